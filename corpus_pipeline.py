@@ -1,3 +1,63 @@
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""From raw documents to token ids, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept; all
+but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from matchloom.llm.decontaminate import clean
+from matchloom.llm.log_templates import keep_filled
+from matchloom.llm.near_dup import keep_one
+from matchloom.llm.quality_rules import keep_good
+from matchloom.llm.queries import tokenizer_file
+from matchloom.llm.store import table, written
+from matchloom.llm.trie_bpe import round_trip
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines of recurring templates; n_chars follows the text."""
+    return keep_filled(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's token ids, and the digest of the decoded text."""
+    out = round_trip(docs, tokenizer_file())
+    return out.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+#: Binomial bounds, templates and BPE can't be put in SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
