@@ -1,13 +1,14 @@
 """An adaptive context-mixing range coder for token ids.
 
 Ids are coded in blocks, each reset to the starting state and checksummed, so any block can be
-read alone. An id is four nibbles, high to low. For each nibble there are three predictions
-of its 16 values: order 0 knows the nibbles before it in the id, order 1 the id before as
-well, order 2 the two ids before. The three are mixed by weights that follow how well each
-has predicted, kept apart by how often the order-1 and order-2 contexts have been seen. The
-mixture drives a carryless range coder of 64-bit state that moves 16 bits at a time.
-
-Many blocks are coded side by side: every step takes the next nibble of each of them.
+read alone. Three orders predict the next id. Order 2 and order 1 each name the id that last
+followed the two ids, or the one id, before; order 0 spreads over all ids, as four nibbles
+whose frequencies adapt. The mixture's weights adapt, too, apart for how sure the two named
+ids are and whether they agree. What is coded is first which order explains the id, then,
+for order 0, its nibbles; the codes are driven into a carryless range coder of 64-bit state
+that moves 16 bits at a time.
+
+Many blocks are coded side by side: every step takes the next id of each of them.
 """
 
 from __future__ import annotations
@@ -17,68 +18,126 @@ import zlib
 
 import numpy as np
 
-LANES = 768  # blocks side by side
-SLOTS = 1 << 11  # contexts of order 1 and of order 2 that a block tells apart
-NODES = 1 + 16 + 256 + 4096
-ONE = 1 << 15  # all predictions are of this total
-LEAST = 16  # share that no value falls below
-FADE, FLOOR = 0.12, 0.002  # how fast weights move, and what each keeps
-
-_TARGET = np.array([[i + (i > s) * (ONE - 16) for i in range(16)] for s in range(16)], np.int32)
-_START = np.arange(16, dtype=np.uint16) * (ONE // 16)
-_LEAST_AT = np.arange(17, dtype=np.int32) * LEAST
-_FIRST = np.array([0, 1, 17, 273])  # first node of each nibble
+LANES = 2048  # blocks side by side
+ONE_SLOTS, TWO_SLOTS = 1 << 11, 1 << 12  # contexts that a block tells apart
+NODES = 1 + 16 + 256 + 512
+ONE = 1 << 12  # all shares are of this total
+FADE = 4  # weights move by a 16th
+
+_TARGET = np.array([[(i > s) * ((1 << 15) - 1) for i in range(16)] for s in range(16)], np.int32)
+_START = np.arange(16, dtype=np.uint16) * (1 << 11)
+_PLACE = np.arange(16, dtype=np.int32)
 U64 = np.uint64
 _TOP, _BOTTOM = U64(1 << 48), U64(1 << 32)
 
 
-class _Model:
-    """The states of n blocks."""
-
-    def __init__(self, n: int):
-        rows = (NODES, SLOTS, SLOTS)
-        self.cdf = [np.tile(_START, (n * r, 1)) for r in rows]
-        self.seen = [np.zeros(n * r, np.uint8) for r in rows]
-        self.base = [np.arange(n, dtype=np.int64) * r for r in rows]
-        trust = np.array([[1, [0.05, 1, 2, 4][a], [0.05, 2, 4, 8][b]] for a in range(4) for b in range(4)])
-        self.weight = np.tile(trust / trust.sum(axis=1, keepdims=True), (n, 1))
-        self.kind = np.arange(n, dtype=np.int64) * 16
-
-    def predict(self, m: int, node: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """17 cumulative shares for each of the first m blocks."""
-        mark = node * 0x9E3779B1
-        at = [node, (one * 0x85EBCA6B + mark) >> 13 & SLOTS - 1, (one * 0xC2B2AE35 + two * 0x27D4EB2F + mark) >> 11 & SLOTS - 1]
-        self.at = at = [b[:m] + x for b, x in zip(self.base, at, strict=True)]
-        self.rows = [c[x].astype(np.int32) for c, x in zip(self.cdf, at, strict=True)]
-        self.count = [s[x] for s, x in zip(self.seen, at, strict=True)]
-        self.set = self.kind[:m] + np.minimum(self.count[1], 3) * 4 + np.minimum(self.count[2], 3)
-        self.w = self.weight[self.set]
-        whole = (self.w * 16384).astype(np.int32)
-        mixed = self.rows[0] * whole[:, :1]
-        mixed += self.rows[1] * whole[:, 1:2]
-        mixed += self.rows[2] * whole[:, 2:]
-        mixed >>= 14
-        out = np.empty((m, 17), np.int32)
-        np.multiply(mixed, ONE - 16 * LEAST, out=out[:, :16])
-        out[:, :16] >>= 15
-        out[:, 16] = ONE - 16 * LEAST
-        out += _LEAST_AT
-        return out
-
-    def learn(self, symbol: np.ndarray) -> None:
-        pick = np.arange(len(symbol))
-        after = np.minimum(symbol + 1, 15)
-        last = symbol == 15
-        target = _TARGET[symbol]
-        share = np.empty((len(symbol), 3))
-        for k, rows in enumerate(self.rows):
-            share[:, k] = np.where(last, ONE, rows[pick, after]) - rows[pick, symbol]
-            rows += (target - rows) >> np.minimum(self.count[k] + 1, 5)[:, None].astype(np.int32)
-            self.cdf[k][self.at[k]] = rows
-            self.seen[k][self.at[k]] = np.minimum(self.count[k] + 1, 250)
-        good = share * self.w
-        good /= good.sum(axis=1, keepdims=True) + 1e-9
-        self.weight[self.set] = (self.w * (1 - FADE) + good * FADE + FLOOR) / (1 + 3 * FLOOR)
+class _Coder:
+    """The states of n blocks; ``words`` is what is read, or None to write."""
+
+    def __init__(self, n: int, words: np.ndarray | None, wide: int):
+        self.low, self.span = np.zeros(n, U64), np.full(n, (1 << 64) - 1, U64)
+        self.reads = words is not None
+        self.words = np.zeros((n, wide), np.uint16) if words is None else words
+        self.used = np.full(n, 4 if self.reads else 0, np.int64)
+        self.code = np.zeros(n, U64)
+        for k in range(4 if self.reads else 0):
+            self.code = self.code << U64(16) | words[:, k].astype(U64)
+        self.one, self.two = np.zeros((n, ONE_SLOTS), np.uint32).ravel(), np.zeros((n, TWO_SLOTS), np.uint32).ravel()
+        self.weight = np.tile(np.array([[1 << 14, 1 << 13]], np.int32), (n * 32, 1))
+        self.cdf = np.tile(_START, (n * NODES, 1))
+        rows = np.arange(n, dtype=np.int64)
+        self.rows, self.at_one, self.at_two, self.at_weight, self.at_cdf = rows, rows * ONE_SLOTS, rows * TWO_SLOTS, rows * 32, rows * NODES
+
+    def narrow(self, lanes, start: np.ndarray, end: np.ndarray) -> None:
+        unit = self.span[lanes] >> U64(12)
+        self.low[lanes] += unit * start.astype(U64)
+        self.span[lanes] = unit * (end - start).astype(U64)
+
+    def aim(self, lanes) -> np.ndarray:
+        """Where the code points to, of ONE."""
+        at = (self.code[lanes] - self.low[lanes]) // (self.span[lanes] >> U64(12))
+        return np.minimum(at, U64(ONE - 1)).astype(np.int32)
+
+    def settle(self, lanes) -> None:
+        """Moves 16 bits wherever they are decided, or the span would become too small."""
+        low, span = self.low[lanes], self.span[lanes]
+        at = self.rows[lanes]
+        while True:
+            same = (low ^ (low + span)) < _TOP
+            small = span < _BOTTOM
+            if small.any():
+                tight = small & ~same
+                span[tight] = (U64(0) - low[tight]) & (_BOTTOM - U64(1))
+                same |= tight
+            move = np.flatnonzero(same)
+            if not len(move):
+                break
+            who = at[move]
+            if self.reads:
+                self.code[who] = self.code[who] << U64(16) | self.words[who, self.used[who]].astype(U64)
+            else:
+                self.words[who, self.used[who]] = (low[move] >> U64(48)).astype(np.uint16)
+            self.used[who] += 1
+            low[move] <<= U64(16)
+            span[move] <<= U64(16)
+        self.low[lanes], self.span[lanes] = low, span
+
+    def nibble(self, lanes: np.ndarray, node: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
+        at = self.at_cdf[lanes] + node
+        rows = self.cdf[at].astype(np.int32)
+        seen = rows[:, 0].copy()  # the first bound is always 0, so the times seen are kept there
+        rows[:, 0] = 0
+        shares = (rows * (ONE - 16) >> 15) + _PLACE
+        pick = np.arange(len(lanes))
+        if symbol is None:
+            symbol = (shares[:, 1:] <= self.aim(lanes)[:, None]).sum(axis=1)
+        end = np.where(symbol == 15, ONE, shares[pick, np.minimum(symbol + 1, 15)])
+        self.narrow(lanes, shares[pick, symbol], end)
+        rows += (_TARGET[symbol] - rows) >> np.minimum(seen + 1, 5)[:, None]
+        rows[:, 0] = np.minimum(seen + 1, 6)
+        self.cdf[at] = rows
+        return symbol
+
+    def step(self, m: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """Codes the next id of the first m blocks. one, two: the ids before, plus 1, or 0."""
+        lanes = slice(0, m)
+        slot_one = self.at_one[:m] + ((one * 0x9E3779B1 >> 15) & ONE_SLOTS - 1)
+        slot_two = self.at_two[:m] + ((one * 0x85EBCA6B + two * 0xC2B2AE35 >> 13) & TWO_SLOTS - 1)
+        from_one, from_two = self.one[slot_one].astype(np.int64), self.two[slot_two].astype(np.int64)
+        named_one, sure_one, named_two, sure_two = from_one >> 8, from_one & 255, from_two >> 8, from_two & 255
+        kind = self.at_weight[:m] + np.minimum(sure_two, 3) * 8 + np.minimum(sure_one, 3) * 2 + (named_one == named_two)
+        weight = self.weight[kind]
+        first = np.clip(weight[:, 0] >> 4, 1, ONE - 3)
+        second = first + np.clip((ONE - first) * (weight[:, 1] >> 4) >> 12, 1, ONE - 1 - first)
+        if ids is None:
+            aim = self.aim(lanes)
+            order = (aim >= first).astype(np.int64) + (aim >= second)
+            got = np.where(order == 0, named_two, named_one) - 1
+        else:
+            got = ids
+            order = np.where(named_two == ids + 1, 0, np.where(named_one == ids + 1, 1, 2))
+        self.narrow(lanes, np.where(order == 0, 0, np.where(order == 1, first, second)), np.where(order == 0, first, np.where(order == 1, second, ONE)))
+        self.settle(lanes)
+        weight[:, 0] += ((order == 0) * 65535 - weight[:, 0]) >> FADE
+        weight[:, 1] += np.where(order == 0, 0, ((order == 1) * 65535 - weight[:, 1]) >> FADE)
+        self.weight[kind] = weight
+        plain = np.flatnonzero(order == 2)
+        if len(plain):
+            known = got[plain] if ids is not None else None
+            a = self.nibble(plain, np.zeros(len(plain), np.int64), None if known is None else known >> 12)
+            b = self.nibble(plain, 1 + a, None if known is None else known >> 8 & 15)
+            self.settle(plain)
+            high = a << 4 | b
+            c = self.nibble(plain, 17 + high, None if known is None else known >> 4 & 15)
+            d = self.nibble(plain, 273 + ((high << 4 | c) * 0x9E3779B1 >> 17 & 511), None if known is None else known & 15)
+            self.settle(plain)
+            if known is None:
+                got[plain] = high << 8 | c << 4 | d
+        for table, slot, named, sure in ((self.one, slot_one, named_one, sure_one), (self.two, slot_two, named_two, sure_two)):
+            hit = named == got + 1
+            keep = hit | (sure > 1)
+            table[slot] = np.where(keep, named, got + 1) << 8 | np.where(hit, np.minimum(sure + 1, 255), np.where(keep, sure >> 1, 1))
+        return got
 
 
 def _in_order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,74 +147,43 @@ def _in_order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, left
 
 
-def _settle(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Which blocks have 16 bits to move; cuts the span of those that straddle a border."""
-    same = (low ^ (low + span)) < _TOP
-    tight = ~same & (span < _BOTTOM)
-    if tight.any():
-        span[tight] = (U64(0) - low[tight]) & (_BOTTOM - U64(1))
-    return np.flatnonzero(same | tight)
+def _run(coder: _Coder, left: np.ndarray, ids: np.ndarray, known: bool) -> None:
+    zero = np.zeros(len(ids), np.int64)
+    one = two = zero
+    for step, m in enumerate(left):
+        got = coder.step(int(m), one[:m], two[:m], ids[:m, step].astype(np.int64) if known else None)
+        if not known:
+            ids[:m, step] = got
+        one, two = got + 1, one[:m]
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids below 65536, as: number of ids, crc32 of the ids as little-endian
     unsigned 32-bit integers, crc32 of the code, code."""
-    out: list[bytes] = []
-    for at in range(0, len(blocks), LANES):
-        out += _encode(blocks[at : at + LANES])
-    return out
+    return [c for at in range(0, len(blocks), LANES) for c in _encode(blocks[at : at + LANES])]
 
 
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lengths = np.array([len(b) for b in blocks])
     order, left = _in_order(lengths)
-    n = len(blocks)
-    ids = np.zeros((n, int(lengths.max(initial=0))), np.int64)
+    if any(len(b) and int(np.max(b)) >= 1 << 16 for b in blocks):
+        raise ValueError("ids have 16 bits at most")
+    ids = np.zeros((len(blocks), int(lengths.max(initial=0))), np.uint16)
     for row, k in enumerate(order):
         ids[row, : lengths[k]] = blocks[k]
-    if ids.max(initial=0) >= 1 << 16:
-        raise ValueError("ids have 16 bits at most")
-    model = _Model(n)
-    low, span = np.zeros(n, U64), np.full(n, (1 << 64) - 1, U64)
-    words = np.zeros((n, ids.shape[1] * 4 + 8), np.uint16)
-    used = np.zeros(n, np.int64)
-    zero = np.zeros(n, np.int64)
-    for step, m in enumerate(left):
-        here = ids[:m, step]
-        one = ids[:m, step - 1] + 1 if step else zero[:m]
-        two = ids[:m, step - 2] + 1 if step > 1 else zero[:m]
-        pick = np.arange(m)
-        for level in range(4):
-            node = _FIRST[level] + (here >> 4 * (4 - level))
-            symbol = here >> 4 * (3 - level) & 15
-            shares = model.predict(m, node, one, two)
-            start, end = shares[pick, symbol], shares[pick, symbol + 1]
-            unit = span[:m] >> U64(15)
-            low[:m] += unit * start.astype(U64)
-            span[:m] = unit * (end - start).astype(U64)
-            model.learn(symbol)
-            lo, sp = low[:m], span[:m]
-            while len(move := _settle(lo, sp)):
-                words[move, used[move]] = (lo[move] >> U64(48)).astype(np.uint16)
-                used[move] += 1
-                lo[move] <<= U64(16)
-                sp[move] <<= U64(16)
-        if step % 64 == 0 and used.max() + 600 > words.shape[1]:
-            words = np.concatenate([words, np.zeros_like(words)], axis=1)
-    out = [b""] * n
+    # An id takes five codes of 12 bits at most, so never more than four moves.
+    coder = _Coder(len(blocks), None, ids.shape[1] * 4 + 8)
+    _run(coder, left, ids, True)
+    out = [b""] * len(blocks)
     for row, k in enumerate(order):
-        code = words[row, : used[row]].astype("<u2").tobytes() + int(low[row]).to_bytes(8, "big")
-        raw = np.asarray(blocks[k], "<u4").tobytes()
-        out[k] = struct.pack("<III", len(blocks[k]), zlib.crc32(raw), zlib.crc32(code)) + code
+        code = coder.words[row, : coder.used[row]].astype("<u2").tobytes() + np.array([int(coder.low[row]) >> s & 0xFFFF for s in (48, 32, 16, 0)], "<u2").tobytes()
+        out[k] = struct.pack("<III", len(blocks[k]), zlib.crc32(np.asarray(blocks[k], "<u4").tobytes()), zlib.crc32(code)) + code
     return out
 
 
 def decode(codes: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a block that is damaged raises ValueError."""
-    out: list[np.ndarray] = []
-    for at in range(0, len(codes), LANES):
-        out += _decode(codes[at : at + LANES])
-    return out
+    return [c for at in range(0, len(codes), LANES) for c in _decode(codes[at : at + LANES])]
 
 
 def _decode(codes: list[bytes]) -> list[np.ndarray]:
@@ -164,44 +192,12 @@ def _decode(codes: list[bytes]) -> list[np.ndarray]:
         raise ValueError("a block's checksum is wrong")
     lengths = np.array([h[0] for h in heads])
     order, left = _in_order(lengths)
-    n = len(codes)
-    wide = max(map(len, codes)) // 2 + 8
-    words = np.zeros((n, wide), np.uint64)
-    code = np.zeros(n, U64)
+    words = np.zeros((len(codes), max(map(len, codes)) // 2 + 8), np.uint16)
     for row, k in enumerate(order):
-        body = codes[k][12:-8]
-        tail = np.frombuffer(codes[k][-8:], ">u2")
-        flat = np.concatenate([np.frombuffer(body, "<u2"), tail])
-        words[row, : len(flat)] = flat
-    for k in range(4):
-        code = code << U64(16) | words[:, k]
-    used = np.full(n, 4, np.int64)
-    model = _Model(n)
-    low, span = np.zeros(n, U64), np.full(n, (1 << 64) - 1, U64)
-    ids = np.zeros((n, int(lengths.max(initial=0))), np.int64)
-    zero = np.zeros(n, np.int64)
-    for step, m in enumerate(left):
-        one = ids[:m, step - 1] + 1 if step else zero[:m]
-        two = ids[:m, step - 2] + 1 if step > 1 else zero[:m]
-        here, pick = np.zeros(m, np.int64), np.arange(m)
-        for level in range(4):
-            shares = model.predict(m, _FIRST[level] + here, one, two)
-            unit = span[:m] >> U64(15)
-            aim = np.minimum((code[:m] - low[:m]) // unit, U64(ONE - 1)).astype(np.int32)
-            symbol = (shares[:, 1:16] <= aim[:, None]).sum(axis=1)
-            start, end = shares[pick, symbol], shares[pick, symbol + 1]
-            low[:m] += unit * start.astype(U64)
-            span[:m] = unit * (end - start).astype(U64)
-            model.learn(symbol)
-            here = here << 4 | symbol
-            lo, sp, co = low[:m], span[:m], code[:m]
-            while len(move := _settle(lo, sp)):
-                co[move] = co[move] << U64(16) | words[move, used[move]]
-                used[move] += 1
-                lo[move] <<= U64(16)
-                sp[move] <<= U64(16)
-        ids[:m, step] = here
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * n
+        words[row, : len(codes[k]) // 2 - 6] = np.frombuffer(codes[k], "<u2", offset=12)
+    ids = np.zeros((len(codes), int(lengths.max(initial=0))), np.uint16)
+    _run(_Coder(len(codes), words, 0), left, ids, False)
+    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
     for row, k in enumerate(order):
         got = ids[row, : lengths[k]].astype("<u4")
         if zlib.crc32(got.tobytes()) != heads[k][1]:

@@ -20,7 +20,8 @@ from . import range_coder
 from .store import tasks
 from .trie_bpe import codec
 
-BLOCK = 8192  # ids
+BLOCK = 4096  # ids
+ROWS = 5000  # documents whose blocks are coded side by side
 BLOCKS = "part int, block long, ids array<long>, sizes array<long>, starts array<long>, whole array<boolean>, code binary"
 
 
@@ -51,8 +52,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
         part, number, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(ids), 2000):
-                flat = [np.concatenate([np.frombuffer(x, "<u4"), end]) for x in c.encode(texts[low : low + 2000])]
+            for low in range(0, len(ids), ROWS):
+                flat = [np.concatenate([np.frombuffer(x, "<u4"), end]) for x in c.encode(texts[low : low + ROWS])]
                 first = start + np.cumsum([0] + [len(x) for x in flat])
                 start = int(first[-1])
                 blocks = list(_segments([len(x) for x in flat]))
