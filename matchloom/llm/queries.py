@@ -9,6 +9,7 @@ from .decontaminate import contained
 from .histogram_sort import sharded
 from .log_templates import without_templates
 from .near_dup import linked
+from .oracles import ORACLES
 from .pii_surrogates import replaced
 from .quality_rules import judged
 from .repeats import without_repeats
@@ -78,4 +79,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
