@@ -28,8 +28,8 @@ from .words import PIECE, U64, _power_tables, mixed
 
 LENGTH = 200
 GRAM = 16
-HOT = 20_000
-BUCKET_BYTES = 3_000_000
+HOT = 4_000
+BUCKET_BYTES = 1_500_000
 
 
 class Runs:
