@@ -36,19 +36,20 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _WORD = r"\p{Lu}[\p{L}’'-]+"
 #: In the order in which they are tried; each matches an entity from its first character on.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "aws": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"\b(?:token|password|passwd|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,200}",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "aws": r"AKIA[0-9A-Z]{16}\b",
+    "secret": r"(?:token|password|passwd|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,200}",
+    "iban": r"[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b",
     "card": r"(?<![\d.-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]\d{3,4}){2}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "person": rf"\b(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? {_WORD}(?: {_WORD})?|\b(?:{'|'.join(MALE_NAMES + FEMALE_NAMES)}) {_WORD}",
+    "person": rf"(?=[A-Zг])(?:(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? {_WORD}(?: {_WORD})?|(?:{'|'.join(MALE_NAMES + FEMALE_NAMES)}) {_WORD})",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these holds no entity.
-HINT = rf"[0-9@]|{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES + MALE_NAMES + FEMALE_NAMES)}|token|passw|secret|api_?key"
+#: An entity starts where no ASCII letter or digit is before it, so words are tried once.
+ANY = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: A text without any of these holds no entity; names are tried at capitals only.
+HINT = rf"[0-9@=:]|(?=[A-Zг])(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES + MALE_NAMES + FEMALE_NAMES)})[. ]"
 _SECRET_KEY = r"^[a-z_]+\s{0,3}[=:]\s{0,3}\"?"
 
 
@@ -199,11 +200,12 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     A null or empty text stays as it is, with no mention. Rows need no id: equal texts get
     equal results, whatever their other columns; repeated rows stay.
     """
-    text = F.col(text_col).cast("string")
-    base = docs.withColumn(text_col, text)
-    hinted = F.coalesce(F.col(text_col).rlike(HINT), F.lit(False))
-    found = base.where(hinted).withColumn("__found", F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)))
-    some = found.where(F.size("__found") > 0).withColumn("__text", F.xxhash64(text_col))
+    base = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    # A filter only asks whether there is a mention, and stops at the first; mentions are
+    # gathered from the texts that have any.
+    holds = F.coalesce(F.col(text_col).rlike(HINT) & F.col(text_col).rlike(ANY), F.lit(False))
+    found = base.where(holds).withColumns({"__found": F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)), "__text": F.xxhash64(text_col)})
+    some = written(found, "mentions")
     forms = some.select(F.col("__text"), F.explode(F.array_distinct("__found")).alias("form"))
     kinds = forms.select("form").distinct().withColumn("kind", kind_of(F.col("form"))).withColumn("canonical", canonical_of(F.col("kind"), F.col("form")))
     kinds = written(kinds, "forms")
@@ -214,5 +216,5 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     swapped = F.transform(F.col("__found"), lambda m: F.coalesce(F.element_at("__swaps", m), m))
     pieces = F.zip_with(swapped, F.slice(between, 2, F.size("__found")), lambda m, rest: F.concat(m, rest))
     done = some.join(by_text, "__text").withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size("__found"))
-    rest = base.where(~hinted).withColumn(count_col, F.lit(0)).unionByName(found.where(F.size("__found") == 0).withColumn(count_col, F.lit(0)).drop("__found"))
+    rest = base.where(~holds).withColumn(count_col, F.lit(0))
     return done.drop("__found", "__text", "__swaps").unionByName(rest)
