@@ -3,9 +3,9 @@
 Entities are found by pattern. Each distinct entity (its type and canonical form: digits of
 a number, lower case of an address or name) gets one surrogate, derived from a secret key by
 SHA-256: letters stay letters of their script and case, digits stay digits, separators stay;
-card numbers keep their first digit and a right check digit, addresses a valid form and
-whether they are private, AWS keys their prefix, names the script and gender of the title or
-given name. All writings of an entity get the same surrogate, each in its own format.
+hexadecimal secrets stay hexadecimal, card numbers keep their first digit and a right check
+digit, addresses a valid form and whether they are private, AWS keys their prefix, names the
+script and gender of the title or given name. All writings of an entity get the same surrogate, each in its own format.
 
 Surrogates are checked: one that equals another entity's surrogate, or any real entity of
 the corpus, is drawn anew with the next attempt until all are distinct. After ``WIDEN``
@@ -96,13 +96,14 @@ def _byte(stream: Column, at: Column) -> Column:
     return F.conv(F.substr(stream, at % 96 * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _letters(text: Column, stream: Column) -> Column:
-    """Every letter and digit of the text replaced by one of its kind."""
+def _letters(text: Column, stream: Column, alphabet: Column | int = 26) -> Column:
+    """Every letter and digit of the text replaced by one of its kind; letters are of the
+    first ``alphabet`` ones."""
     chars = F.split(text, "")
 
     def one(c: Column, at: Column) -> Column:
         pick = lambda first, n: F.chr(F.lit(ord(first)) + _byte(stream, at) % n)
-        return F.when(c.rlike("^[0-9]$"), pick("0", 10)).when(c.rlike("^[a-z]$"), pick("a", 26)).when(c.rlike("^[A-Z]$"), pick("A", 26)).otherwise(c)
+        return F.when(c.rlike("^[0-9]$"), pick("0", 10)).when(c.rlike("^[a-z]$"), pick("a", alphabet)).when(c.rlike("^[A-Z]$"), pick("A", alphabet)).otherwise(c)
 
     return F.array_join(F.transform(chars, one), "")
 
@@ -160,7 +161,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     real = written(entities.select("kind", "canonical").distinct(), "entities")
     waiting, done, attempt = real, [], 0
     while attempt < MOST_ATTEMPTS and not waiting.isEmpty():
-        drawn = waiting.withColumn("attempt", F.lit(attempt)).withColumn("drawn", _letters(F.col("canonical"), _stream(key, F.col("kind"), F.lit(attempt), F.col("canonical"))))
+        stream = _stream(key, F.col("kind"), F.lit(attempt), F.col("canonical"))
+        hexadecimal = (F.col("kind") == "secret") & F.col("canonical").rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+        drawn = waiting.withColumn("attempt", F.lit(attempt)).withColumn("drawn", _letters(F.col("canonical"), stream, F.when(hexadecimal, 6).otherwise(26)))
         tried = drawn.withColumn("surrogate", surrogate_of(key)).select("kind", "canonical", "surrogate")
         taken = reduce(DataFrame.unionByName, [real.select("kind", F.lower("canonical").alias("low")), *(d.select("kind", F.lower("surrogate").alias("low")) for d in done)])
         free = tried.withColumn("low", F.lower("surrogate")).join(taken, ["kind", "low"], "left_anti")
