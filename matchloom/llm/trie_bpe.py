@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 250_000  # words a worker remembers; past it, it forgets all and goes on
-CACHED_TAILS = 100_000  # endings of words whose tokens it remembers
+CACHED_WORDS = 450_000  # words a worker remembers; past it, it forgets all and goes on
+CACHED_TAILS = 200_000  # endings of words whose tokens it remembers
 BATCH_WORDS = 200_000  # words cut from texts before the unknown ones among them are encoded
 
 TAIL = 6  # bytes by which the vocabulary's suffixes of a path are remembered
