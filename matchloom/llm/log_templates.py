@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,6 @@ from .store import written
 
 DEPTH = 3
 MIN_DOCS = 20
-LEAF_LINES = 5_000  # different lines of a leaf beyond which it is split by further tokens
-FURTHER = 12  # leading tokens by which it is split
 FIELD = b"<*>"
 
 _digit = re.compile(rb"[0-9]").search
@@ -42,10 +41,10 @@ def masked(line: bytes) -> bytes:
     return b" ".join([FIELD if _digit(t) else t for t in tokens] if _digit(line) else tokens)
 
 
-def leaf_of(line: bytes, depth: int = DEPTH) -> int:
-    tokens = line.split(b" ", depth)
+def leaf_of(line: bytes) -> int:
+    tokens = line.split(b" ", DEPTH)
     n = line.count(b" ") + 1
-    return _hash(b"%d " % n + b" ".join(tokens[:depth]))
+    return _hash(b"%d " % n + b" ".join(tokens[:DEPTH]))
 
 
 def _lines(text: bytes | None) -> list[bytes]:
@@ -74,7 +73,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -> DataFrame:
-    """(leaf, line, further, masked) of the different lines of the given leaves."""
+    """(leaf, line, masked) of the different lines of the given leaves."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(leaves, "leaf"))
 
     def run(batches):
@@ -85,30 +84,42 @@ def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -
             keep = np.flatnonzero(passes(bits.value, leaf))
             lines = [lines[k] for k in keep]
             if lines:
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array([_hash(x) for x in lines], pa.int64()), pa.array([leaf_of(x, FURTHER) for x in lines], pa.int64()), pa.array(lines, pa.binary())], names=["leaf", "line", "further", "masked"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array([_hash(x) for x in lines], pa.int64()), pa.array(lines, pa.binary())], names=["leaf", "line", "masked"])
 
-    found = _texts(docs, id_col, text_col).mapInArrow(run, "leaf long, line long, further long, masked binary")
+    found = _texts(docs, id_col, text_col).mapInArrow(run, "leaf long, line long, masked binary")
     return found.join(leaves.select("leaf"), "leaf", "left_semi").dropDuplicates(["leaf", "line"])
 
 
 def generalised(lines: list[bytes]) -> list[int]:
-    """For each of the lines of one leaf, sorted: the number of the template it joins."""
+    """For each of the lines of one leaf, sorted: the number of the template it joins.
+
+    A template that agrees in half of a line's fixed tokens has one at least of any set of
+    them that leaves less than half out, so only templates begun with one of the tokens that
+    the fewest templates have are compared.
+    """
     number: dict[bytes, int] = {FIELD: 0}
-    rows = np.array([[number.setdefault(t, len(number)) for t in x.split(b" ")] for x in lines], np.int64)
-    further = rows.shape[1] - DEPTH
+    further = lines[0].count(b" ") + 1 - DEPTH
     if further < 2:
         return list(range(len(lines)))  # too short to differ in a field that has no digit
-    templates, made, out = np.empty((8, further), np.int64), 0, []
-    for row in rows[:, DEPTH:]:
-        like = ((templates[:made] == row) & (row != 0)).sum(axis=1)
-        fixed = int((row != 0).sum())
-        best = int(like.argmax()) if made else -1
-        if made and fixed and 2 * like[best] >= fixed or made and not fixed and (templates[best] == row).all():
-            templates[best][templates[best] != row] = 0
-        else:
+    rows = np.fromiter((number.setdefault(t, len(number)) for x in lines for t in x.split(b" ")[DEPTH:]), np.int32, len(lines) * further).reshape(-1, further)
+    begun: dict[tuple[int, int], array] = {}  # templates by place and token
+    templates, made, out = np.empty((8, further), np.int32), 0, []
+    for row in rows:
+        fixed = [(k, t) for k, t in enumerate(row.tolist()) if t]
+        lists = sorted((begun.get(x, ()) for x in fixed), key=len)[: len(fixed) // 2 + 1]
+        near = np.unique(np.concatenate(lists)).astype(np.intp) if any(lists) else ()
+        best = -1
+        if len(near):
+            like = ((templates[near] == row) & (row != 0)).sum(axis=1)
+            if 2 * like.max() >= len(fixed):
+                best = int(near[like.argmax()])
+                templates[best][templates[best] != row] = 0
+        if best < 0:
             if made == len(templates):
                 templates = np.concatenate([templates, np.empty_like(templates)])
             best, templates[made] = made, row
+            for x in fixed:
+                begun.setdefault(x, array("i")).append(made)
             made += 1
         out.append(best)
     return out
@@ -118,8 +129,6 @@ def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
     """(line, template, docs, first_id) of the masked lines whose template recurs."""
     leaves = written(keys.select("leaf", "content").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaves")
     lines = written(leaf_lines(docs, id_col, text_col, leaves), "leaf_lines")
-    large = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF_LINES).select("leaf", F.lit(True).alias("large"))
-    parted = lines.join(large, "leaf", "left").withColumn("further", F.when(F.col("large"), F.col("further")).otherwise(F.lit(0)))
 
     def run(leaf: pa.Table) -> pa.Table:
         leaf = leaf.sort_by("masked")
@@ -130,7 +139,7 @@ def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
             first.setdefault(t, x)
         return pa.table({"line": pa.array(line, pa.int64()), "template": pa.array([first[t] for t in which], pa.int64())})
 
-    tree = written(parted.groupBy("leaf", "further").applyInArrow(run, "line long, template long"), "tree")
+    tree = written(lines.groupBy("leaf").applyInArrow(run, "line long, template long"), "tree")
     found = keys.join(tree, "line")
     spread = found.select("template", "content").distinct().groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     first = found.groupBy("template").agg(F.min("id").alias("first_id"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from matchloom.llm.log_templates import generalised, keep_filled, masked, without_templates
 
 
@@ -41,3 +43,32 @@ def test_copies_do_not_make_a_template(spark):
     copies = spark.createDataFrame([(k, "one line here of some words\nand another line of words") for k in range(50)], "doc_id long, text string")
     assert without_templates(copies).distinct().count() == 50
     assert without_templates(copies.limit(0)).count() == 0
+
+
+def test_leaves_of_many_lines_follow_the_same_rule(spark):
+    many = 6000  # different lines of one leaf
+    docs = spark.createDataFrame([(k, f"Page viewed by user {'anbecidofu'[k % 10]}x{'name' * (k // 10 % 6)}{chr(97 + k // 60 % 10)}{chr(97 + k // 600)} from the main portal\nown{'abcdefghij'[k % 10]} words") for k in range(many)], "doc_id long, text string")
+    assert docs.select("text").distinct().count() == many
+    assert [r["doc_id"] for r in without_templates(docs).collect() if "portal" in r["text"]] == [0]
+
+
+def test_every_template_is_found_as_if_all_were_compared():
+    def plain(lines):
+        out, templates = [], []
+        for row in ([None if t == b"<*>" else t for t in x.split(b" ")[3:]] for x in lines):
+            fixed = sum(t is not None for t in row)
+            like = [sum(a == b is not None for a, b in zip(t, row, strict=True)) for t in templates]
+            best = int(np.argmax(like)) if like else -1
+            if like and fixed and 2 * like[best] >= fixed:
+                templates[best] = [a if a == b else None for a, b in zip(templates[best], row, strict=True)]
+            else:
+                best = len(templates)
+                templates.append(row)
+            out.append(best)
+        return out
+
+    rng = random.Random(2)
+    for width in (2, 3, 5, 8):
+        for words in (3, 8, 40):
+            lines = sorted({b"a b c " + b" ".join(rng.choice([b"<*>", *(b"w%c" % (97 + k) for k in range(words))]) for _ in range(width)) for _ in range(300)})
+            assert generalised(lines) == plain(lines)
