@@ -38,7 +38,7 @@ _WORD = r"\p{Lu}[\p{L}’'-]+"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "aws": r"AKIA[0-9A-Z]{16}\b",
-    "secret": r"(?:token|password|passwd|secret|api_key|apikey)\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,200}",
+    "secret": r"(?i:token|password|passwd|secret|(?:(?:api|access|secret|private)[_-]?key))\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,200}",
     "iban": r"[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b",
     "card": r"(?<![\d.-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -50,7 +50,7 @@ PATTERNS = {
 ANY = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: A text without any of these holds no entity; names are tried at capitals only.
 HINT = rf"[0-9@=:]|(?=[A-Zг])(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES + MALE_NAMES + FEMALE_NAMES)})[. ]"
-_SECRET_KEY = r"^[a-z_]+\s{0,3}[=:]\s{0,3}\"?"
+_SECRET_KEY = r"^[A-Za-z_-]+\s{0,3}[=:]\s{0,3}\"?"
 
 
 def _is(form: Column, kind: str) -> Column:

@@ -41,3 +41,12 @@ def test_surrogates_are_distinct(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_keys_of_secrets_in_any_case(spark):
+    value = "9233A8ECF7C5D0B1E2F34455"
+    keys = ["token", "TOKEN", "Token", "PASSWORD", "Passwd", "Secret", "API_KEY", "api-key", "ApiKey", "Access_Key"]
+    got = run(spark, [(k, f'{key} = "{value}" is here', None, None) for k, key in enumerate(keys)])
+    assert [got[k]["n_entities"] for k in range(len(keys))] == [1] * len(keys)
+    parts = [re.fullmatch(r'(\S+) = "([0-9A-F]{24})" is here', got[k]["text"]) for k in range(len(keys))]
+    assert [m[1] for m in parts] == keys and len({m[2] for m in parts}) == 1 and parts[0][2] != value
