@@ -38,7 +38,7 @@ _WORD = r"\p{Lu}[\p{L}’'-]+"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "aws": r"AKIA[0-9A-Z]{16}\b",
-    "secret": r"(?i:token|password|passwd|secret|(?:(?:api|access|secret|private)[_-]?key))\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,200}",
+    "secret": r"(?i:token|password|passwd|secret|(?:(?:api|access|secret|private)[_-]?key))\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_\-+/.]{6,}+",
     "iban": r"[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,3})?\b",
     "card": r"(?<![\d.-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -86,14 +86,26 @@ def _gender(form: Column) -> Column:
     return F.when(starts(MALE_TITLES) | given(MALE_NAMES), "m").when(starts(FEMALE_TITLES) | given(FEMALE_NAMES), "f").otherwise("x")
 
 
-def _stream(key: str, *seed: Column) -> Column:
-    """96 hexadecimal bytes that only the key and seed decide."""
-    at = lambda b: F.sha2(F.concat_ws("|", F.lit(key), F.lit(str(b)), *(s.cast("string") for s in seed)), 256)
-    return F.concat(at(0), at(1), at(2))
+def _let(value: Column, body) -> Column:
+    """The body of the value, which is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _stream(key: str, *seed: Column, text: Column | None = None) -> Column:
+    """Hexadecimal bytes that only the key and seed decide, in blocks of 32: three blocks, or
+    as many as it takes to give each character of a longer text its own byte."""
+    block = lambda b, *s: F.sha2(F.concat_ws("|", F.lit(key), b.cast("string"), *(x.cast("string") for x in s)), 256)
+    three = F.array(*(block(F.lit(b), *seed) for b in range(3)))
+    if text is None:
+        return three
+    last = F.shiftright(F.length(text) - 1, 5)
+    more = lambda first: F.concat(first, F.transform(F.sequence(F.lit(3), last), lambda b: block(b, F.element_at(first, 1))))
+    return F.when(last > 2, _let(three, more)).otherwise(three)
 
 
 def _byte(stream: Column, at: Column) -> Column:
-    return F.conv(F.substr(stream, at % 96 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    place = at % (F.size(stream) * 32)
+    return F.conv(F.substr(F.element_at(stream, F.shiftright(place, 5) + 1), place % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _letters(text: Column, stream: Column, alphabet: Column | int = 26) -> Column:
@@ -101,11 +113,12 @@ def _letters(text: Column, stream: Column, alphabet: Column | int = 26) -> Colum
     first ``alphabet`` ones."""
     chars = F.split(text, "")
 
-    def one(c: Column, at: Column) -> Column:
-        pick = lambda first, n: F.chr(F.lit(ord(first)) + _byte(stream, at) % n)
-        return F.when(c.rlike("^[0-9]$"), pick("0", 10)).when(c.rlike("^[a-z]$"), pick("a", alphabet)).when(c.rlike("^[A-Z]$"), pick("A", alphabet)).otherwise(c)
+    def one(c: Column, at: Column, bytes_: Column, letters: Column) -> Column:
+        pick = lambda first, n: F.chr(F.lit(ord(first)) + _byte(bytes_, at) % n)
+        return F.when(c.rlike("^[0-9]$"), pick("0", 10)).when(c.rlike("^[a-z]$"), pick("a", letters)).when(c.rlike("^[A-Z]$"), pick("A", letters)).otherwise(c)
 
-    return F.array_join(F.transform(chars, one), "")
+    alphabet = F.lit(alphabet) if isinstance(alphabet, int) else alphabet
+    return _let(F.struct(stream.alias("bytes"), alphabet.alias("letters")), lambda x: F.array_join(F.transform(chars, lambda c, at: one(c, at, x["bytes"], x["letters"])), ""))
 
 
 def _luhn(first: Column) -> Column:
@@ -161,7 +174,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     real = written(entities.select("kind", "canonical").distinct(), "entities")
     waiting, done, attempt = real, [], 0
     while attempt < MOST_ATTEMPTS and not waiting.isEmpty():
-        stream = _stream(key, F.col("kind"), F.lit(attempt), F.col("canonical"))
+        stream = _stream(key, F.col("kind"), F.lit(attempt), F.col("canonical"), text=F.col("canonical"))
         hexadecimal = (F.col("kind") == "secret") & F.col("canonical").rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
         drawn = waiting.withColumn("attempt", F.lit(attempt)).withColumn("drawn", _letters(F.col("canonical"), stream, F.when(hexadecimal, 6).otherwise(26)))
         tried = drawn.withColumn("surrogate", surrogate_of(key)).select("kind", "canonical", "surrogate")

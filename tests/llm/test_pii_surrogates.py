@@ -1,3 +1,4 @@
+import random
 import re
 
 from matchloom.llm.pii_surrogates import replaced
@@ -50,3 +51,19 @@ def test_keys_of_secrets_in_any_case(spark):
     assert [got[k]["n_entities"] for k in range(len(keys))] == [1] * len(keys)
     parts = [re.fullmatch(r'(\S+) = "([0-9A-F]{24})" is here', got[k]["text"]) for k in range(len(keys))]
     assert [m[1] for m in parts] == keys and len({m[2] for m in parts}) == 1 and parts[0][2] != value
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    rng = random.Random(3)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_.") for _ in range(n))
+    head = draw(300)
+    values = [head + draw(4000), head + draw(40_000), head + draw(7)]
+    got = run(spark, [(k, f"token: {v} end token={v}", None, None) for k, v in enumerate(values)])
+    out = []
+    for k, v in enumerate(values):
+        m = re.fullmatch(r"token: (\S+) end token=(\S+)", got[k]["text"])
+        assert got[k]["n_entities"] == 2 and m[1] == m[2] and len(m[1]) == len(v)
+        assert not any(v[x : x + 12] in m[1] for x in range(len(v) - 12))
+        assert len({m[1][x : x + 6] for x in range(0, len(v) - 6, 96)}) == len(range(0, len(v) - 6, 96))
+        out.append(m[1])
+    assert len({x[:300] for x in out}) == len(out)
