@@ -4,8 +4,9 @@ A line's path in the tree is its number of tokens and its first ``DEPTH`` tokens
 fields (tokens with a digit) masked. Lines that end in one leaf are generalised: a line joins
 the template that agrees best with it if that is in half of its further tokens without a
 digit, and where they differ
-the template has a variable field. A template found in ``min_docs`` different texts or more is
-boilerplate: its lines are dropped, except in the document of the smallest id that has it.
+the template has a variable field. A line whose template is found in ``min_docs`` different
+texts or more, or in fewer if it has many words (``BARS``), is boilerplate: it is dropped,
+except in the document of the smallest id that has the template.
 
 Only leaves of that many texts are ever looked into; others can't hold such a template.
 """
@@ -18,7 +19,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
@@ -26,6 +27,8 @@ from .store import written
 
 DEPTH = 3
 MIN_DOCS = 20
+#: A line of so many words without a digit is no accident in so many texts.
+BARS = ((10, 3), (8, 6), (5, 10))
 FIELD = b"<*>"
 
 _digit = re.compile(rb"[0-9]").search
@@ -47,6 +50,19 @@ def leaf_of(line: bytes) -> int:
     return _hash(b"%d " % n + b" ".join(tokens[:DEPTH]))
 
 
+def words_of(line: bytes) -> int:
+    tokens = line.split(b" ")
+    return len(tokens) - tokens.count(FIELD)
+
+
+def bar_of(words: Column, min_docs: int) -> Column:
+    """The number of texts from which a line of so many words is boilerplate."""
+    out = F.lit(min_docs)
+    for least, docs in reversed(BARS):
+        out = F.when(words >= least, min(docs, min_docs)).otherwise(out)
+    return out
+
+
 def _lines(text: bytes | None) -> list[bytes]:
     """Masked lines, empty where a line has no token."""
     return [masked(x) for x in (text or b"").split(b"\n")]
@@ -57,7 +73,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, content, leaf, line) of the distinct masked lines of each row, as hashes."""
+    """(id, content, leaf, line) of the distinct masked lines of each row, as hashes, and words."""
 
     def run(batches):
         for batch in batches:
@@ -65,11 +81,11 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 lines = {x for x in _lines(text) if x}
                 content = _hash(text) if lines else 0
-                rows += [(i, content, leaf_of(x), _hash(x)) for x in lines]
+                rows += [(i, content, leaf_of(x), _hash(x), words_of(x)) for x in lines]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["id", "content", "leaf", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["id", "content", "leaf", "line", "words"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, content long, leaf long, line long")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, content long, leaf long, line long, words long")
 
 
 def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -> DataFrame:
@@ -127,7 +143,8 @@ def generalised(lines: list[bytes]) -> list[int]:
 
 def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """(line, template, docs, first_id) of the masked lines whose template recurs."""
-    leaves = written(keys.select("leaf", "content").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaves")
+    texts = keys.groupBy("leaf", "content").agg(F.max("words").alias("words"))
+    leaves = written(texts.groupBy("leaf").agg(F.count("*").alias("n"), F.max("words").alias("words")).where(F.col("n") >= bar_of(F.col("words"), min_docs)), "leaves")
     lines = written(leaf_lines(docs, id_col, text_col, leaves), "leaf_lines")
 
     def run(leaf: pa.Table) -> pa.Table:
@@ -137,13 +154,13 @@ def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
         first = {}
         for t, x in zip(which, line, strict=True):
             first.setdefault(t, x)
-        return pa.table({"line": pa.array(line, pa.int64()), "template": pa.array([first[t] for t in which], pa.int64())})
+        return pa.table({"line": pa.array(line, pa.int64()), "template": pa.array([first[t] for t in which], pa.int64()), "words": pa.array([words_of(x) for x in text], pa.int64())})
 
-    tree = written(lines.groupBy("leaf").applyInArrow(run, "line long, template long"), "tree")
-    found = keys.join(tree, "line")
-    spread = found.select("template", "content").distinct().groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    tree = written(lines.groupBy("leaf").applyInArrow(run, "line long, template long, words long"), "tree")
+    found = keys.join(tree.select("line", "template"), "line")
+    spread = found.select("template", "content").distinct().groupBy("template").agg(F.count("*").alias("docs"))
     first = found.groupBy("template").agg(F.min("id").alias("first_id"))
-    return tree.join(spread, "template").join(first, "template").select("line", "template", "docs", "first_id")
+    return tree.join(spread, "template").where(F.col("docs") >= bar_of(F.col("words"), min_docs)).join(first, "template").select("line", "template", "docs", "first_id")
 
 
 def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, counts: bool = False) -> DataFrame:

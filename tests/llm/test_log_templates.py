@@ -72,3 +72,13 @@ def test_every_template_is_found_as_if_all_were_compared():
         for words in (3, 8, 40):
             lines = sorted({b"a b c " + b" ".join(rng.choice([b"<*>", *(b"w%c" % (97 + k) for k in range(words))]) for _ in range(width)) for _ in range(300)})
             assert generalised(lines) == plain(lines)
+
+
+def test_long_lines_recur_in_fewer_texts(spark):
+    word = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    planted = {"l": (12, 3), "m": (10, 19), "n": (9, 6), "o": (6, 10), "p": (12, 2), "q": (9, 5), "r": (4, 19), "s": (6, 9)}
+    passage = {x: " ".join(x + word(k) for k in range(n)) for x, (n, _) in planted.items()}
+    docs = [(k, "\n".join([f"own{word(k)} text", *(passage[x] for x, (_, n) in planted.items() if k < n)])) for k in range(25)]
+    text = {r["doc_id"]: r["text"].split("\n") for r in without_templates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for x, (_, n) in planted.items():
+        assert sum(passage[x] in lines for lines in text.values()) == (1 if x in "lmno" else n), x
