@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import lru_cache, reduce
+from operator import add
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,13 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from ..functions.scalars import normalize_name
 from .merge import first_wins
 
 
+@lru_cache(1 << 16)
+def _ratio(a: str, b: str) -> float:
+    return SequenceMatcher(None, a, b).ratio()
+
+
 @pandas_udf(DoubleType())
 def sequence_ratio(target: pd.Series, listing: pd.Series) -> pd.Series:
     """K-01: Ratcliff-Obershelp similarity; not symmetric, so the target comes first."""
-    return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(target, listing, strict=True)], dtype="float64")
+    return pd.Series([None if a is None or b is None else _ratio(a, b) for a, b in zip(target, listing, strict=True)], dtype="float64")
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -25,15 +33,26 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.when(longest > 0, 1 - F.levenshtein(a, b) / longest).otherwise(F.lit(1.0))
 
 
-def best_matches(targets: DataFrame, listings: DataFrame, similarity, least: float = 0.85) -> DataFrame:
-    """J-09, W-05: per target (block, name) the listing of its block with the most similar
-    name of at least ``least``; ties go to the first by pos. The block is an equi-join key,
-    and names whose lengths rule the similarity out are dropped before it is computed."""
-    a, b = F.lower("name"), F.lower("listing")
-    la, lb = F.length("name"), F.length("listing")
-    pairs = targets.join(listings.select("block", "pos", F.col("name").alias("listing")), "block").where(2 * F.least(la, lb) >= least * (la + lb))
-    scored = pairs.withColumn("score", similarity(a, b)).where(F.col("score") >= least)
-    return first_wins(scored, ["block", "name"], [F.desc("score"), "pos"])
+def best_matches(targets: DataFrame, listings: DataFrame, similarity, least: float = 0.85, names: tuple[str, ...] = ("name",)) -> DataFrame:
+    """J-09, W-05: per target (block, names) the listing of its block whose names are each
+    similar by at least ``least`` and most similar in sum (``score``); ties go to the first by
+    pos. White space and case don't count. The block is an equi-join key, and pairs with a
+    name whose length rules the similarity out are dropped before it is computed.
+
+    The listing's names are ``listing``, or ``listing_home`` and so on if there are several."""
+    other = {n: "listing" if len(names) == 1 else f"listing_{n}" for n in names}
+    plain = lambda c: F.lower(normalize_name(F.coalesce(c, F.lit(""))))
+    ours = targets.withColumns({f"__{n}": plain(F.col(n)) for n in names})
+    theirs = listings.select("block", "pos", *(F.col(n).alias(o) for n, o in other.items())).withColumns({f"__{o}": plain(F.col(o)) for o in other.values()})
+    pairs = ours.join(theirs, "block")
+    for n, o in other.items():
+        la, lb = F.length(f"__{n}"), F.length(f"__{o}")
+        pairs = pairs.where(2 * F.least(la, lb) >= least * (la + lb))
+    for n, o in other.items():
+        pairs = pairs.withColumn(f"__score_{n}", similarity(F.col(f"__{n}"), F.col(f"__{o}"))).where(F.col(f"__score_{n}") >= least)
+    scored = pairs.withColumn("score", reduce(add, (F.col(f"__score_{n}") for n in names)))
+    best = first_wins(scored, ["block", *names], [F.desc("score"), "pos"])
+    return best.drop(*(f"__{x}" for x in (*names, *other.values())), *(f"__score_{n}" for n in names))
 
 
 def unmatched(targets: DataFrame, matches: DataFrame) -> DataFrame:

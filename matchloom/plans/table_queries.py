@@ -173,7 +173,9 @@ def _matches(spark, sf, similarity):
 
 @query("j09_fuzzy_match")
 def j09(spark, sf):
-    return _matches(spark, sf, matching.sequence_ratio).select("block", "name", "listing", "pos", "score")
+    targets, listings = view(spark, sf, "v_fixture_targets"), view(spark, sf, "v_fixture_listings")
+    found = matching.best_matches(targets, listings, matching.sequence_ratio, names=("home", "away"))
+    return found.select("block", "home", "away", "listing_home", "listing_away", "pos", "score")
 
 
 _FUZZY = """(select block, name, listing, pos, score from (select *, row_number() over (partition by block, name order by score desc, pos) as n from (

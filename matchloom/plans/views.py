@@ -59,6 +59,11 @@ VIEWS = {
     "v_listings": """
         select p_brand as block, min(p_partkey) as pos, name from (select p_brand, p_partkey,
           case when p_partkey % 3 = 0 then substr(p_name, 1, 3) || substr(p_name, 5) else p_name end as name from {part}) x group by p_brand, name""",
+    "v_fixture_targets": "select distinct p_brand as block, p_name as home, p_type as away from {part}",
+    "v_fixture_listings": """
+        select p_brand as block, min(p_partkey) as pos, home, away from (select p_brand, p_partkey,
+          case when p_partkey % 3 = 0 then substr(p_name, 1, 3) || substr(p_name, 5) when p_partkey % 3 = 1 then replace(p_name, ' ', '  ') else p_name end as home,
+          case when p_partkey % 5 = 0 then substr(p_type, 1, 2) || substr(p_type, 4) else p_type end as away from {part}) x group by p_brand, home, away""",
     "v_real_odds": """
         select cast(l_shipdate as timestamp) as match_date, l_suppkey as home_team, l_returnflag as market, l_extendedprice as real_odd, l_partkey % 4 as file_rank,
           l_orderkey, l_linenumber, l_partkey, l_quantity from {lineitem}""",
