@@ -27,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import tasks, written
+from .bits import bit_filter, passes
+from .store import discard, tasks, written
 from .words import U64, mixed, shingle_hashes, word_hashes
 
 TREES = 16
@@ -35,11 +36,11 @@ DEPTH = 3  # leading values of an order that candidates share at least
 LEVELS = 8  # values of an order that are sorted on
 NEXT = 8  # following rows of an order that are candidates
 KEEP = 2 * NEXT  # rows carried from batch to batch: enough to see that a region is large
-QUERIES, MEMBERS = 256, 512  # rows of a tile
+QUERIES, MEMBERS = 1 << 19, 1 << 20  # shingles of a tile's rows, on average
 HASHES = TREES * DEPTH
 #: Of 48 four-bit values, true links of similarity 0.8 agree in 39 with a deviation of 2.7.
 LEAST_AGREEING = 24
-FILTER_BITS = 1 << 22
+JUMPS = 3  # times that labels follow their own labels before the links are contracted
 
 _MULTIPLY = (mixed(np.arange(1, HASHES + 1, dtype=U64)) | U64(1)).astype(np.uint32)
 _ADD = mixed(np.arange(1001, HASHES + 1001, dtype=U64)).astype(np.uint32)
@@ -110,9 +111,9 @@ _NEIGHBOUR_SCHEMA = "a long, b long, step int, key binary, sketch binary, size i
 
 
 def _neighbours(least_share: tuple[int, int], edges: bool):
-    """For rows in the order of their keys: pairs of rows close to each other, pairs of
-    adjacent rows of a region that neighbours don't cover (step 0) and, if edges, the first
-    and last rows of the partition."""
+    """For rows in the order of their keys: pairs of rows close to each other, pairs of the
+    first and each further row of a region that neighbours don't cover (step 0) and, if edges,
+    the first and last rows of the partition."""
     num, den = least_share
 
     def pairs(keys, sketch, size, node):
@@ -126,9 +127,12 @@ def _neighbours(least_share: tuple[int, int], edges: bool):
             a, b = node[at], node[at + step]
             found.append((np.minimum(a, b), np.maximum(a, b), np.full(len(at), step, np.int32)))
         same = np.flatnonzero((head[:-1] == head[1:]).all(axis=1))
-        run = np.cumsum(np.diff(same, prepend=-2) != 1)
-        same = same[np.bincount(run, minlength=1)[run] > NEXT] if len(same) else same
-        return [*found, (node[same], node[same + 1], np.zeros(len(same), np.int32))]
+        if len(same):
+            run = np.cumsum(np.diff(same, prepend=-2) != 1)
+            first = same[np.searchsorted(run, run)]
+            large = np.bincount(run)[run] > NEXT
+            found.append((node[first[large]], node[same[large] + 1], np.zeros(large.sum(), np.int32)))
+        return found
 
     def out(a, b, step, keys, sketch, size, part):
         n, none = max(len(a), len(keys)), pa.nulls
@@ -169,28 +173,19 @@ def candidates(nodes: DataFrame, least_share: tuple[int, int]) -> DataFrame:
     # At most 2 * KEEP rows of each partition: few whatever the input.
     rim = found.where("key is not null").select("key", "sketch", "size", F.col("a").alias("node")).distinct().coalesce(1).sortWithinPartitions("key", "node")
     across = rim.mapInArrow(_neighbours(least_share, False), _NEIGHBOUR_SCHEMA)
-    return found.where("b is not null").unionByName(across).groupBy("a", "b", F.when(F.col("step") == 0, 0).otherwise(1).alias("kind")).agg(F.min("step").alias("step")).drop("kind")
-
-
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each id: of fixed size, so it can go to every task. Where it
-    fills up it lets more rows through; the join that follows is exact all the same."""
-    spots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("spot"))
-    rows = spots.groupBy(F.expr("shiftright(spot, 5)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 31 as int)))").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for r in rows:
-        out[r["at"]] = r["bits"]
-    return out
+    pairs = found.where("b is not null").unionByName(across).groupBy("a", "b", F.when(F.col("step") == 0, 0).otherwise(1).alias("kind")).agg(F.min("step").alias("step"))
+    pairs = written(pairs.drop("kind"), "candidates")
+    discard(found)
+    return pairs
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted (node, id), from the texts."""
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(wanted.select("id")))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "id"))
 
     def run(batches):
         for batch in batches:
-            spot = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((bits.value[spot // 32] >> (spot % 32).astype(np.uint32) & 1).astype(bool)))
+            batch = batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
             ids, texts = batch.column(0).to_pylist(), _bytes_of(batch.column(1))
             rows = [(ids[k], node_of(s), s.view(np.int64)) for k, s in sets_of(texts, n) if len(s)]
             for at in range(0, len(rows), 500):
@@ -198,7 +193,6 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: DataF
                 yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(node, pa.int64()), pa.array(shingles, pa.list_(pa.int64()))], names=["id", "node", "shingles"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body")).where("id is not null")
-    source = source.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)))
     rows = source.mapInArrow(run, "id long, node long, shingles array<long>")
     return rows.join(wanted, ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "shingles")
 
@@ -212,36 +206,88 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least_share: tuple[int, int]) -
     return both.where(F.col("shared") * den >= (F.size("sa") + F.size("sb") - F.col("shared")) * num).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def forest(links: DataFrame) -> DataFrame:
+    """Links (a, b), a < b, that connect what the given ones do; of each batch of rows only as
+    many as it has nodes, each tied to the least node that it reaches in the batch."""
+
+    def run(batches):
+        for batch in batches:
+            ends, pairs = np.unique(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]), return_inverse=True)
+            up = list(range(len(ends)))
+            for x, y in pairs.reshape(2, -1).T.tolist():
+                _unite(up, x, y)
+            top = np.array([_top(up, x) for x in range(len(ends))], np.int64)
+            tied = np.flatnonzero(top != np.arange(len(ends)))
+            yield pa.RecordBatch.from_arrays([pa.array(ends[top[tied]], pa.int64()), pa.array(ends[tied], pa.int64())], names=["a", "b"])
+
+    return links.select("a", "b").mapInArrow(run, "a long, b long").distinct()
+
+
+def _top(up: list[int], x: int) -> int:
+    while up[x] != x:
+        up[x] = up[up[x]]
+        x = up[x]
+    return x
+
+
+def _unite(up: list[int], x: int, y: int) -> bool:
+    """Joins the sets of x and y under the lesser top; False if they are one set already."""
+    x, y = _top(up, x), _top(up, y)
+    up[max(x, y)] = min(x, y)
+    return x != y
+
+
+def _followed(table: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """The table with the column's node replaced by its label, where it has one."""
+    label = labels.select(F.col("node").alias(column), F.col("root").alias("label"))
+    return table.join(label, column, "left").withColumn(column, F.coalesce("label", column)).drop("label")
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, root) of every linked node; root is the least node that can be reached.
 
-    Least labels pass along the links, and then from each label to its own label, until
-    nothing changes. Counts are all that the driver sees.
+    Every node takes the least of its neighbours and itself as its label, follows labels a few
+    times, and the links are contracted to the labels, until no link is left: links become
+    fewer with each round. ``known`` are components of links found before, to which these are
+    added. Whether links are left is all that the driver sees.
     """
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
-    while True:
-        told = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(told, labels["node"] == told["a"]).select("node", F.least("root", "near").alias("root"), F.col("root").alias("before"))
-        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        now = written(step.join(up, "root").select("node", F.least("root", "top").alias("root"), "before"), "labels")
-        changed = now.where("root <> before").count()
-        labels = now.select("node", "root")
-        if not changed:
-            return labels
-
-
-def leftovers(clusters: DataFrame, roots: DataFrame, sets: DataFrame, least_share: tuple[int, int]) -> DataFrame | None:
-    """Links between members of a cluster (node, root) that ``roots`` doesn't connect yet.
+    if known is not None:
+        links = _followed(_followed(links.select("a", "b"), "a", known), "b", known).where("a <> b")
+    links, levels = written(forest(links), "links"), []
+    while not links.isEmpty():
+        ends = links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(links.select("b", "a"))
+        labels = first = written(ends.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("root")), "labels")
+        for _ in range(JUMPS):
+            labels = _followed(labels, "root", first)
+        levels.append(written(labels.select("node", "root"), "labels"))
+        fewer = _followed(_followed(links, "a", levels[-1]), "b", levels[-1]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fewer = written(fewer.distinct(), "links")
+        discard(links, first)
+        links = fewer
+    roots = levels[-1] if levels else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    for labels in reversed(levels[:-1]):
+        roots = _followed(labels, "root", roots)
+    if known is not None:
+        roots = _followed(known, "root", roots).unionByName(roots.join(known, "node", "left_anti"))
+    roots = written(roots.select("node", "root"), "roots")
+    discard(links, *levels)
+    return roots
+
+
+def leftovers(clusters: DataFrame, roots: DataFrame, sizes: DataFrame, sets: DataFrame, least_share: tuple[int, int]) -> DataFrame | None:
+    """Links between components that lie in a cluster (node, root) and that ``roots`` doesn't
+    connect yet. sizes: (node, n_shingles).
 
     Members outside the cluster's largest component are the queries. Queries and members are
-    dealt into blocks, and each pair of blocks is a tile of its own.
+    dealt into blocks by their shingles, and each pair of blocks is a tile of its own. A tile
+    gives no more links than it takes to connect its components.
     """
     num, den = least_share
-    member = clusters.withColumnRenamed("root", "cluster").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    by_root = member.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    member = clusters.withColumnRenamed("root", "cluster").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, "node")
+    by_root = member.groupBy("cluster", "root").agg(F.sum("n_shingles").alias("n"))
     split = by_root.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("members"), F.count("*").alias("parts")).where("parts > 1")
-    member = written(member.join(split.select("cluster", F.col("main.root").alias("main"), F.ceil(F.col("members") / MEMBERS).alias("mb"), F.ceil((F.col("members") - F.col("main.n")) / QUERIES).alias("qb")), "cluster"), "split")
+    blocks = split.select("cluster", F.col("main.root").alias("main"), F.ceil(F.col("members") / MEMBERS).alias("mb"), F.ceil((F.col("members") - F.col("main.n")) / QUERIES).alias("qb"))
+    member = written(member.join(blocks, "cluster"), "split")
     if member.isEmpty():
         return None
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
@@ -249,7 +295,9 @@ def leftovers(clusters: DataFrame, roots: DataFrame, sets: DataFrame, least_shar
     others = member.select("cluster", "node", "root", F.lit(False).alias("query"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1)).alias("q"), block("mb").alias("m"))
 
     def tile(rows: pa.Table) -> pa.Table:
-        node, root, query = (rows.column(c).to_numpy() for c in ("node", "root", "query"))
+        node, query = (rows.column(c).to_numpy() for c in ("node", "query"))
+        root = np.unique(rows.column("root").to_numpy(), return_inverse=True)[1]
+        up = list(range(len(root)))
         shingles = [np.asarray(x.values) for x in rows.column("shingles").combine_chunks()]
         size, at = np.array([len(x) for x in shingles]), np.flatnonzero(~query.astype(bool))
         flat = np.concatenate([shingles[k] for k in at]) if len(at) else np.empty(0, np.int64)
@@ -263,7 +311,7 @@ def leftovers(clusters: DataFrame, roots: DataFrame, sets: DataFrame, least_shar
             hits = owner[np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
             shared = np.bincount(hits, minlength=len(at))
             near = at[(shared * den >= (size[k] + size[at] - shared) * num) & (root[at] != root[k])]
-            found += [(node[k], x) for x in node[near]]
+            found += [(node[k], node[x]) for x in near.tolist() if _unite(up, root[k], root[x])]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -282,7 +330,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     num, den = least_share
     prof = written(profiles(docs, id_col, text_col, n), "profiles")
     nodes = written(prof.where("node is not null and id is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "nodes")
-    near = written(candidates(nodes, least_share), "candidates")
+    near = candidates(nodes, least_share)
     clusters = components(near.where("step = 0"))
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     sets = written(full_sets(docs, id_col, text_col, n, nodes.join(ends, "node", "left_semi").select("id", "node")), "sets")
@@ -291,11 +339,13 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     # What adjacent rows have linked already needs no further look.
     side = lambda at: roots.select(F.col("node").alias(at), F.col("root").alias(f"root_{at}"))
     rest = near.where("step > 1").join(side("a"), "a", "left").join(side("b"), "b", "left").where("root_a is null or root_b is null or root_a <> root_b")
-    links = links.union(written(confirmed(rest, sets, least_share), "links"))
-    roots = components(links)
-    unseen = leftovers(clusters, roots, sets, least_share)
+    further = written(confirmed(rest, sets, least_share), "links")
+    roots = components(further, known=roots)
+    unseen = leftovers(clusters, roots, nodes.select("node", "n_shingles"), sets, least_share)
     if unseen is not None:
-        roots = components(links.union(unseen))
+        roots = components(unseen, known=roots)
+        discard(unseen)
+    discard(near, links, further, clusters, sets)
     member = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = member.groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = member.join(least, "root").select("node", "component_id")
