@@ -8,16 +8,25 @@ shares with the word before; only the bytes behind it are worked out.
 That the last token is enough as a state is a property of BPE: an encoding without its last
 token is the encoding of the text without that token's bytes, and a sequence is an encoding
 when all its adjacent pairs are. So the last token at a byte is the one vocabulary suffix that
-stands next to the last token before it as the merges would leave them.
+stands next to the last token before it as the merges would leave them. Which vocabulary suffixes a
+path has is told by an automaton over the vocabulary (Aho and Corasick), so the work at a byte
+doesn't depend on where in the word it is.
+
+Only words that recur are remembered between batches, up to ``KNOWN_BYTES``, and a task forgets
+them at its end.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
 import re
 import struct
+import sys
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 from os.path import commonprefix
 
@@ -26,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 450_000  # words a worker remembers; past it, it forgets all and goes on
-CACHED_TAILS = 200_000  # endings of words whose tokens it remembers
+KNOWN_BYTES = 64_000_000  # of words remembered; past it, all are forgotten
+SEEN = 1 << 22  # places, by a word's hash, that tell whether it may have been met before
+FITS = 400_000  # pairs of tokens remembered
 BATCH_WORDS = 200_000  # words cut from texts before the unknown ones among them are encoded
-
-TAIL = 6  # bytes by which the vocabulary's suffixes of a path are remembered
+ROWS = 2_000  # rows of a batch taken at once
 
 #: The pre-tokenizer's pattern with its letters and digits below U+0250 spelled out.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -67,14 +76,14 @@ class Codec:
             pair = (self.age[self.id_of[a]], self.age[self.id_of[b]])
             self.joins[pair] = self.age[self.id_of[a + b]] = len(self.halves)
             self.halves.append(pair)
-        self.longest = max(map(len, self.id_of))
-        self.long_tails = {raw[-TAIL:] for raw in self.id_of if len(raw) > TAIL}
-        self.suffixes: dict[bytes, list[tuple[int, int]]] = {}
+        self.ahead, self.endings, self.back = _automaton(self.id_of)
         self.fast = re.compile(_PATTERN).findall
         self.beyond = re.compile("[^\x00-ɏ]").search
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.most_steps = len(self.ahead) + FITS
+        self.known: dict[str | int, bytes] = {}
+        self.seen, self.n_seen, self.n_bytes = bytearray(SEEN), 0, 0
 
     def adjacent(self, a: int, b: int) -> bool:
         """Whether the merges leave the bytes of the tokens a and b as just these two.
@@ -97,27 +106,29 @@ class Codec:
             self.fits[key] = got
         return got
 
-    def ending(self, path: bytes) -> list[tuple[int, int]]:
-        """(length, token) of the tokens that end the path, the longest first; those within
-        the last bytes are remembered."""
-        tail = path[-TAIL:]
-        short = self.suffixes.get(tail)
-        if short is None:
-            short = self.suffixes[tail] = [(n, self.id_of[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in self.id_of]
-        if len(path) > TAIL and tail in self.long_tails:
-            return [(n, self.id_of[path[-n:]]) for n in range(min(len(path), self.longest), TAIL, -1) if path[-n:] in self.id_of] + short
-        return short
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes unknown words together."""
-        adjacent, ending, fits = self.adjacent, self.ending, self.fits
-        before, last = b"", [-1]  # last[k]: last token of the path's first k bytes
-        size = [0]  # its bytes
+    def step(self, state: int, byte: int) -> int:
+        """The automaton's next state, remembered as if it were a step of the vocabulary's trie."""
+        ahead, at = self.ahead, state
+        while (to := ahead.get(at << 8 | byte)) is None:
+            at = self.back[at]
+        if len(ahead) < self.most_steps:
+            ahead[state << 8 | byte] = to
+        return to
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encodes different words together."""
+        adjacent, fits, ahead, endings, step = self.adjacent, self.fits, self.ahead, self.endings, self.step
+        before, out = b"", {}
+        last, size, states = [-1], [0], [0]  # of the path's first k bytes: last token, its bytes, state
         for word, raw in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
             keep = len(commonprefix((before, raw)))
-            del last[keep + 1 :], size[keep + 1 :]
+            del last[keep + 1 :], size[keep + 1 :], states[keep + 1 :]
+            state = states[keep]
             for end in range(keep + 1, len(raw) + 1):
-                for n, token in ending(raw[:end]):
+                byte = raw[end - 1]
+                to = ahead.get(state << 8 | byte)
+                state = step(state, byte) if to is None else to
+                for n, token in endings[state]:
                     if n == end:
                         break
                     a = last[end - n]
@@ -126,13 +137,15 @@ class Codec:
                         break
                 last.append(token)
                 size.append(n)
+                states.append(state)
             ids, at = [], len(raw)
             while at:
                 ids.append(last[at])
                 at -= size[at]
             ids.reverse()
-            self.known[word] = np.array(ids, "<u4").tobytes() if len(ids) > 8 else b"".join([i.to_bytes(4, "little") for i in ids])
+            out[word] = struct.pack(f"<{len(ids)}I", *ids)
             before = raw
+        return out
 
     def words(self, text: str) -> list[str]:
         return self.fast(text) if not self.beyond(text) else [text[a:b] for _, (a, b) in self.split(text)]
@@ -155,24 +168,62 @@ class Codec:
         return out + self._joined(group)
 
     def _joined(self, group: list[list]) -> list[bytes]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        if len(self.fits) > CACHED_WORDS:
-            self.fits.clear()
-        if len(self.suffixes) > CACHED_TAILS:
-            self.suffixes.clear()
-        known = self.known
+        known, seen = self.known, self.seen
         new = set().union(*group).difference(known)
         for x in [x for x in new if isinstance(x, int)]:
             known[x] = struct.pack("<I", x)
             new.remove(x)
-        self.learn(list(new))
-        return [b"".join(map(known.__getitem__, words)) for words in group]
+        found = self.learn(list(new))
+        known.update(found)
+        out = [b"".join(map(known.__getitem__, words)) for words in group]
+        for word, ids in found.items():
+            if seen[place := hash(word) & SEEN - 1]:
+                self.n_bytes += len(ids) + 2 * len(word) + 200
+            else:
+                seen[place] = 1
+                self.n_seen += 1
+                del known[word]
+        if self.n_bytes > KNOWN_BYTES:
+            known.clear()
+            self.n_bytes = 0
+        if self.n_seen > SEEN // 2:
+            self.seen, self.n_seen = bytearray(SEEN), 0
+        if len(self.fits) > FITS:
+            self.fits.clear()
+        return out
+
+    def forget(self) -> None:
+        """Frees the words of the texts so far."""
+        self.known, self.seen, self.n_seen, self.n_bytes = {}, bytearray(SEEN), 0, 0
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
+def _automaton(vocabulary: dict[bytes, int]) -> tuple[dict[int, int], list[tuple], list[int]]:
+    """Steps (state * 256 + byte -> state) of the vocabulary's trie, and of its root for every
+    byte; for each state the (length, token) of all tokens that end there, the longest first;
+    and the state of the longest proper suffix."""
+    steps, endings, back, level = {}, [()], [0], {b"": 0}
+    by_length: dict[int, list[bytes]] = {}
+    for prefix in {raw[:n] for raw in vocabulary for n in range(1, len(raw) + 1)}:
+        by_length.setdefault(len(prefix), []).append(prefix)
+    for n in sorted(by_length):
+        at, level = level, {}
+        for prefix in sorted(by_length[n]):
+            state = level[prefix] = len(endings)
+            steps[at[prefix[:-1]] << 8 | prefix[-1]] = state
+            suffix = back[at[prefix[:-1]]]
+            while n > 1 and (to := steps.get(suffix << 8 | prefix[-1])) is None:
+                suffix = back[suffix]
+            back.append(to if n > 1 else 0)
+            own = ((n, vocabulary[prefix]),) if prefix in vocabulary else ()
+            endings.append(own + endings[back[state]])
+    for byte in range(256):
+        steps.setdefault(byte, 0)
+    return steps, endings, back
+
+
 def _bytes_of_symbols() -> dict[str, int]:
     """The printable symbol of each byte in the vocabulary file: itself where it is printable
     in Latin-1, else the next free one from U+0100."""
@@ -185,47 +236,62 @@ def _over(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
 
 
+def in_slices(batches, tokenizer: str, made) -> Iterator[pa.RecordBatch]:
+    """``made(codec, slice)`` of some rows at a time; what the codec has learned of the task's
+    texts goes at its end."""
+    c = codec(tokenizer)
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                yield made(c, batch.slice(at, ROWS))
+    finally:
+        c.forget()
+        release()
+
+
+def release() -> None:
+    """Gives freed memory back to the machine: Python workers are used again by later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every row; a null or empty text has no ids. Rows are taken one
     by one, so repeated rows and null ids come out as they went in."""
 
-    def run(batches):
-        c = codec(tokenizer)
-        for batch in batches:
-            flat = c.encode(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(x, "<i4") for x in flat], pa.list_(pa.int32()))], names=["id", "ids"])
+    def made(c: Codec, rows: pa.RecordBatch) -> pa.RecordBatch:
+        flat = c.encode(rows.column(1).to_pylist())
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array([np.frombuffer(x, "<i4") for x in flat], pa.list_(pa.int32()))], names=["id", "ids"])
 
-    return _over(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>")
+    return _over(docs, id_col, text_col).mapInArrow(lambda batches: in_slices(batches, tokenizer, made), "id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, tokenizer: str) -> DataFrame:
     """(id, text) of (id, ids); null ids give an empty text. Bytes that are not UTF-8 become
     U+FFFD."""
 
-    def run(batches):
-        c = codec(tokenizer)
-        for batch in batches:
-            texts = [c.decode(np.asarray(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+    def made(c: Codec, rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [c.decode(np.asarray(x or [], "<u4").tobytes()) for x in rows.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return tokens.select("id", "ids").mapInArrow(run, "id long, text string")
+    return tokens.select("id", "ids").mapInArrow(lambda batches: in_slices(batches, tokenizer, made), "id long, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every row and decodes the ids: (id, n_tokens, ids_sha256, decoded_sha256,
     ids_crc32). A null text counts as empty, with the digests of nothing."""
 
-    def run(batches):
-        c = codec(tokenizer)
-        for batch in batches:
-            flat = c.encode(batch.column(1).to_pylist())
-            columns = [
-                batch.column(0),
-                pa.array([len(x) // 4 for x in flat], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in flat]),
-                pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in flat]),
-                pa.array([zlib.crc32(x) for x in flat], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids_crc32"])
-
-    return _over(docs, id_col, text_col).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids_crc32 long")
+    def made(c: Codec, rows: pa.RecordBatch) -> pa.RecordBatch:
+        flat = c.encode(rows.column(1).to_pylist())
+        columns = [
+            rows.column(0),
+            pa.array([len(x) // 4 for x in flat], pa.int64()),
+            pa.array([hashlib.sha256(x).hexdigest() for x in flat], pa.string()),
+            pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in flat], pa.string()),
+            pa.array([zlib.crc32(x) for x in flat], pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids_crc32"])
+
+    return _over(docs, id_col, text_col).mapInArrow(lambda batches: in_slices(batches, tokenizer, made), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids_crc32 long")

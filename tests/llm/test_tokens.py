@@ -6,6 +6,7 @@ import zlib
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from matchloom.llm import trie_bpe
 from matchloom.llm.token_cache import new_cache, token_counts
 from matchloom.llm.trie_bpe import decoded, encoded, round_trip
 
@@ -46,6 +47,27 @@ def test_counts_and_cache(spark):
         assert spark.read.parquet(cache).count() == len({t or "" for _, t in rows})
 
 
+def test_memory_stays_bounded_and_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(trie_bpe, "KNOWN_BYTES", 3000)
+    monkeypatch.setattr(trie_bpe, "SEEN", 64)
+    monkeypatch.setattr(trie_bpe, "FITS", 50)
+    monkeypatch.setattr(trie_bpe, "BATCH_WORDS", 100)
+    codec = trie_bpe.Codec(PATH)
+    for text in 3 * [t for t in texts() if t]:
+        assert codec.encode([text]) == [struct.pack(f"<{len(ids := LIBRARY.encode(text, add_special_tokens=False).ids)}I", *ids)]
+        assert codec.n_bytes <= 3000 and codec.n_seen <= 32
+    codec.forget()
+    assert not codec.known
+
+
+def test_very_long_word(spark):
+    """A word's cost is linear in its length."""
+    word = "".join(random.Random(1).choice("abcdefghij") for _ in range(300_000))
+    got = round_trip(spark.createDataFrame([(1, word)], "doc_id long, text string"), PATH).first()
+    assert got["decoded_sha256"] == hashlib.sha256(word.encode()).hexdigest()
+    assert got["n_tokens"] == len(LIBRARY.encode(word, add_special_tokens=False).ids)
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, id int, body int")
     assert round_trip(none, PATH).count() == token_counts(none, PATH).count() == 0
