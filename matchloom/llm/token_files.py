@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import range_coder
 from .store import tasks
-from .trie_bpe import codec
+from .trie_bpe import codec, release
 
 BLOCK = 4096  # ids
 ROWS = 5000  # documents whose blocks are coded side by side
