@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free
 from .store import written
 from .words import U64, mixed, shingle_hashes, word_hashes
 
@@ -135,5 +136,6 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; rows without an id stay."""
-    hit = contained(docs, items, id_col=id_col, **options).select(F.col("id").alias("__hit")).distinct()
-    return docs.join(hit, F.col(id_col).cast("long") == F.col("__hit"), "left_anti")
+    name = free(docs, "__hit")
+    hit = contained(docs, items, id_col=id_col, **options).select(F.col("id").alias(name)).distinct()
+    return docs.join(hit, F.col(id_col).cast("long") == F.col(name), "left_anti")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
+from .columns import free
 from .store import discard, tasks, written
 from .words import U64, mixed, shingle_hashes, word_hashes
 
@@ -356,5 +357,6 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, least_share: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of ``docs``, all columns, without those that are linked, over any number of
     links, with a smaller id. Rows without an id and repeated rows of one id stay."""
-    gone = linked(docs, id_col, text_col, n, least_share).where("not kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    name = free(docs, "__gone")
+    gone = linked(docs, id_col, text_col, n, least_share).where("not kept").select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")

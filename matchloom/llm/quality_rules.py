@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import written
+from .bits import bit_filter, passes
+from .columns import free
+from .store import discard, written
 from .words import shingle_hashes, word_hashes
 
 ALPHA, DELTA, COST = 0.05, 0.05, 10
@@ -114,31 +116,46 @@ def cutoffs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> D
     return found.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("score", "cut"))).alias("cuts"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", keep_columns: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its ``keep_columns``) with the struct __quality and boolean __kept.
+def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", keep_columns: list[str] | None = None, quality_col: str = "__quality", kept_col: str = "__kept") -> DataFrame:
+    """``docs`` (or its ``keep_columns``) with the struct ``quality_col`` and boolean ``kept_col``.
 
     labels has doc_id and quality (1 good, 0 bad, null ignored); a document with several
-    labels is good only if all are. A null stratum is a stratum of its own, null texts fail
-    the base rule, rows with a null id carry no label; repeated rows are judged alike.
+    labels is good only if all are, and of several texts of one id the one with the least
+    scores is the holdout's. A null stratum is a stratum of its own, null and empty texts fail
+    the base rule, rows with a null id carry no label; repeated rows are judged alike. Without
+    labels the base rule is the whole verdict; an empty table gives no rows. Columns of
+    ``docs`` named like the two new ones are replaced by them, any other name may occur.
     """
     stratum = F.coalesce(F.concat(F.lit("="), F.col(stratum_col).cast("string")), F.lit("")).alias("stratum")
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), stratum, F.col(text_col).alias("body"))
-    scores = measured(narrow, "body").select("id", "stratum", "__quality.base_failed", *(f"__quality.{s}" for s in SCORES))
-    known = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.min("quality") == 1).alias("good"))
+    known = written(labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.min("quality") == 1).alias("good")).where("id is not null"), "known")
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(known, "id"))
+
+    def labelled(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
+
+    # Texts without a label aren't counted here, but for the few that the filter lets through.
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), stratum, F.col(text_col).cast("string").alias("body")).where("id is not null")
+    scores = measured(narrow.mapInArrow(labelled, "id long, stratum string, body string"), "body").select("id", "stratum", "__quality.base_failed", *(f"__quality.{s}" for s in SCORES))
     # Documents that the base rule rejects anyway say nothing about the cutoffs.
-    holdout = written(scores.where("not base_failed").dropDuplicates(["id"]).join(known, "id").drop("id", "base_failed"), "holdout")
+    firsts = scores.where("not base_failed").groupBy("id").agg(F.min(F.struct("stratum", *SCORES)).alias("first")).select("id", "first.*")
+    holdout = written(firsts.join(known, "id").drop("id"), "holdout")
     cuts = written(cutoffs(holdout), "cutoffs")
+    discard(known, holdout)
     if cuts.count() <= BROADCAST_STRATA:
         cuts = F.broadcast(cuts)
-    columns = docs.select(*(keep_columns or docs.columns), F.col(text_col).cast("string").alias("__body"), stratum.alias("__stratum"))
-    rows = measured(columns, "__body").join(cuts.withColumnsRenamed({"stratum": "__stratum", "cuts": "__cuts"}), "__stratum", "left")
-    over = [F.coalesce(F.col(f"__quality.{s}") > F.element_at("__cuts", F.lit(s)), F.lit(False)) for s in SCORES]
-    kept = ~F.col("__quality.base_failed")
-    for x in over:
-        kept = kept & ~x
-    return rows.withColumn("__kept", kept).drop("__body", "__stratum", "__cuts")
+    columns = [c for c in keep_columns or docs.columns if c not in (quality_col, kept_col)]
+    body, group = free([*columns, quality_col, kept_col], "__body"), free([*columns, quality_col, kept_col], "__stratum")
+    found = free([*columns, quality_col, kept_col, body, group], "__cuts")
+    rows = measured(docs.select(*columns, F.col(text_col).cast("string").alias(body), stratum.alias(group)), body, quality_col)
+    rows = rows.join(cuts.withColumnsRenamed({"stratum": group, "cuts": found}), group, "left")
+    kept = ~F.col(f"`{quality_col}`.base_failed")
+    for s in SCORES:
+        kept = kept & ~F.coalesce(F.col(f"`{quality_col}`.{s}") > F.element_at(F.col(found), F.lit(s)), F.lit(False))
+    return rows.select(*columns, F.col(quality_col), kept.alias(kept_col))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns."""
-    return judged(docs, labels, **options).where("__kept").select(*docs.columns)
+    kept = free(docs, "__kept")
+    return judged(docs, labels, **options, quality_col=free(docs, "__quality"), kept_col=kept).where(F.col(kept)).select(*docs.columns)

@@ -42,19 +42,22 @@ def documents(spark, n):
         bad = k % 10 == 0
         rows.append((k, " ".join(w + "***" if bad else w for w in words), "en" if k % 2 or k % 4 == 0 else None, 0 if bad else 1, 7))
     rows += [(n, None, "en", 1, 7), (n + 1, "", None, None, 7), (None, "a " * 90, "xx", None, 7), (n + 2, "few words", "en", 1, 7)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int, __cuts int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int, __cuts int")
+    return docs.selectExpr("*", *(f"{k} as {c}" for k, c in enumerate(("__stratum", "__body", "__kept", "__quality", "stratum", "cuts", "id", "body"))))
 
 
 def test_rules_reject_junk_and_keep_good(spark):
     docs = documents(spark, 6000)
     labels = docs.select("doc_id", "quality").where("doc_id % 2 = 0")
-    got = {r["doc_id"]: (r["quality"], r["__kept"], r["lang"]) for r in judged(docs.drop("__cuts"), labels).collect() if r["doc_id"] is not None}
+    got = {r["doc_id"]: (r["quality"], r["__kept"], r["lang"]) for r in judged(docs, labels).collect() if r["doc_id"] is not None}
     assert all(kept == (quality == 1) for k, (quality, kept, _) in got.items() if k < 6000)
     assert not any(got[k][1] for k in (6000, 6001, 6002))
-    assert keep_good(docs.drop("__cuts"), labels).columns == ["doc_id", "text", "lang", "quality"]
+    good = keep_good(docs, labels)
+    assert good.columns == docs.columns
+    assert {(r["doc_id"], r["__cuts"], r["__kept"], r["__quality"]) for r in good.collect()} == {(k, 7, 2, 3) for k in range(6000) if k % 10}
 
 
 def test_no_evidence_no_cut(spark):
     holdout = spark.createDataFrame([("a", True, 1, 1, 1, 1, 1), ("a", False, 9, 9, 9, 9, 9)], "stratum string, good boolean, symbols int, repeats int, dup_lines int, upper int, length int")
     assert cutoffs(holdout).count() == 0
-    assert judged(documents(spark, 0).drop("__cuts"), holdout.selectExpr("1L as doc_id", "1 as quality").limit(0)).count() == 4
+    assert judged(documents(spark, 0), holdout.selectExpr("1L as doc_id", "1 as quality").limit(0)).count() == 4
