@@ -9,6 +9,10 @@ texts or more, or in fewer if it has many words (``BARS``), is boilerplate: it i
 except in the document of the smallest id that has the template.
 
 Only leaves of that many texts are ever looked into; others can't hold such a template.
+
+A leaf's different lines are generalised in parts of some ``PART`` lines, then the parts'
+templates are generalised in the same way, until a leaf is in one part. So no task has to
+hold a leaf's lines, but once its templates have stopped becoming fewer it holds those.
 """
 
 from __future__ import annotations
@@ -23,10 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
-from .store import written
+from .columns import free
+from .store import discard, written
 
 DEPTH = 3
 MIN_DOCS = 20
+PART = 20_000
 #: A line of so many words without a digit is no accident in so many texts.
 BARS = ((10, 3), (8, 6), (5, 10))
 FIELD = b"<*>"
@@ -89,7 +95,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -> DataFrame:
-    """(leaf, line, masked) of the different lines of the given leaves."""
+    """(leaf, line, words, masked) of the different lines of the given leaves."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(leaves, "leaf"))
 
     def run(batches):
@@ -100,14 +106,15 @@ def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -
             keep = np.flatnonzero(passes(bits.value, leaf))
             lines = [lines[k] for k in keep]
             if lines:
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array([_hash(x) for x in lines], pa.int64()), pa.array(lines, pa.binary())], names=["leaf", "line", "masked"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array([_hash(x) for x in lines], pa.int64()), pa.array([words_of(x) for x in lines], pa.int64()), pa.array(lines, pa.binary())], names=["leaf", "line", "words", "masked"])
 
-    found = _texts(docs, id_col, text_col).mapInArrow(run, "leaf long, line long, masked binary")
+    found = _texts(docs, id_col, text_col).mapInArrow(run, "leaf long, line long, words long, masked binary")
     return found.join(leaves.select("leaf"), "leaf", "left_semi").dropDuplicates(["leaf", "line"])
 
 
-def generalised(lines: list[bytes]) -> list[int]:
-    """For each of the lines of one leaf, sorted: the number of the template it joins.
+def generalised(lines: list[bytes]) -> tuple[list[int], list[bytes]]:
+    """For each of the lines of one leaf, sorted: the number of the template it joins; and the
+    templates.
 
     A template that agrees in half of a line's fixed tokens has one at least of any set of
     them that leaves less than half out, so only templates begun with one of the tokens that
@@ -116,7 +123,7 @@ def generalised(lines: list[bytes]) -> list[int]:
     number: dict[bytes, int] = {FIELD: 0}
     further = lines[0].count(b" ") + 1 - DEPTH
     if further < 2:
-        return list(range(len(lines)))  # too short to differ in a field that has no digit
+        return list(range(len(lines))), lines  # too short to differ in a field that has no digit
     rows = np.fromiter((number.setdefault(t, len(number)) for x in lines for t in x.split(b" ")[DEPTH:]), np.int32, len(lines) * further).reshape(-1, further)
     begun: dict[tuple[int, int], array] = {}  # templates by place and token
     templates, made, out = np.empty((8, further), np.int32), 0, []
@@ -138,7 +145,50 @@ def generalised(lines: list[bytes]) -> list[int]:
                 begun.setdefault(x, array("i")).append(made)
             made += 1
         out.append(best)
-    return out
+    tokens, begins = list(number), {}
+    for t, x in zip(out, lines, strict=True):
+        begins.setdefault(t, b" ".join(x.split(b" ", DEPTH)[:DEPTH]))
+    return out, [b" ".join([begins[t], *map(tokens.__getitem__, templates[t].tolist())]) for t in range(made)]
+
+
+def _generalised_once(lines: DataFrame, parts: DataFrame) -> DataFrame:
+    """(leaf, line, template, masked): each line's template, named by its first line; masked
+    is the template's text, in the row of that line only."""
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("masked", "ascending"), ("line", "ascending")])
+        line = part.column("line").to_pylist()
+        which, texts = generalised(part.column("masked").to_pylist())
+        first: dict[int, int] = {}
+        text = [texts[t] if first.setdefault(t, k) == k else None for k, t in enumerate(which)]
+        return pa.table({"leaf": part.column("leaf"), "line": part.column("line"), "template": pa.array([line[first[t]] for t in which], pa.int64()), "masked": pa.array(text, pa.binary())})
+
+    dealt = lines.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("line"), F.col("parts")))
+    return dealt.groupBy("leaf", "part").applyInArrow(run, "leaf long, line long, template long, masked binary")
+
+
+def tree(lines: DataFrame) -> DataFrame:
+    """(line, template) of the different lines (leaf, line, masked)."""
+    out, rows, before = None, lines, None
+    while True:
+        sizes = rows.groupBy("leaf").agg(F.count("*").alias("n"))
+        if before is not None:
+            # A leaf whose templates hardly became fewer ends in one part.
+            sizes = sizes.join(before, "leaf").withColumn("still", F.col("n") > F.col("was") * 0.9)
+        one = F.col("still") if before is not None else F.lit(False)
+        parts = written(sizes.select("leaf", "n", F.when(one, 1).otherwise(F.ceil(F.col("n") / PART)).alias("parts")), "parts")
+        level = written(_generalised_once(rows, parts.select("leaf", "parts")), "level")
+        step = level.select("line", "template")
+        if out is None:
+            out = step
+        else:
+            on = step.select(F.col("line").alias("template"), F.col("template").alias("top"))
+            out = out.join(on, "template", "left").select("line", F.coalesce("top", "template").alias("template"))
+        again = parts.where("parts > 1")
+        if again.isEmpty():
+            return out
+        before = again.select("leaf", F.col("n").alias("was"))
+        rows = level.where("masked is not null").select("leaf", F.col("template").alias("line"), "masked").join(again.select("leaf"), "leaf", "left_semi")
 
 
 def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -147,55 +197,57 @@ def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
     leaves = written(texts.groupBy("leaf").agg(F.count("*").alias("n"), F.max("words").alias("words")).where(F.col("n") >= bar_of(F.col("words"), min_docs)), "leaves")
     lines = written(leaf_lines(docs, id_col, text_col, leaves), "leaf_lines")
 
-    def run(leaf: pa.Table) -> pa.Table:
-        leaf = leaf.sort_by("masked")
-        text, line = leaf.column("masked").to_pylist(), leaf.column("line").to_pylist()
-        which = generalised(text)
-        first = {}
-        for t, x in zip(which, line, strict=True):
-            first.setdefault(t, x)
-        return pa.table({"line": pa.array(line, pa.int64()), "template": pa.array([first[t] for t in which], pa.int64()), "words": pa.array([words_of(x) for x in text], pa.int64())})
-
-    tree = written(lines.groupBy("leaf").applyInArrow(run, "line long, template long, words long"), "tree")
-    found = keys.join(tree.select("line", "template"), "line")
+    named = written(tree(lines).join(lines.select("line", "words"), "line"), "tree")
+    found = keys.join(named.select("line", "template"), "line")
     spread = found.select("template", "content").distinct().groupBy("template").agg(F.count("*").alias("docs"))
     first = found.groupBy("template").agg(F.min("id").alias("first_id"))
-    return tree.join(spread, "template").where(F.col("docs") >= bar_of(F.col("words"), min_docs)).join(first, "template").select("line", "template", "docs", "first_id")
+    out = named.join(spread, "template").where(F.col("docs") >= bar_of(F.col("words"), min_docs)).join(first, "template").select("line", "template", "docs", "first_id")
+    out = written(out, "templates")
+    discard(leaves, lines, named)
+    return out
 
 
-def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, counts: bool = False) -> DataFrame:
+def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs``, all columns, the lines of recurring templates taken out of the text.
 
-    With ``counts`` also __lines and __dropped: lines with a word, and those dropped. A null
-    or empty text stays as it is. Rows without an id count for recurrence but lose nothing,
-    and repeated rows of one id are treated alike. Equal texts count once towards min_docs.
+    ``counts`` names two more columns: lines with a word, and those dropped; columns of
+    ``docs`` of these names are replaced by them, any other name may occur. A null or empty
+    text stays as it is. Rows without an id count for recurrence but lose nothing, and
+    repeated rows of one id are treated alike. Equal texts count once towards min_docs.
     """
     keys = written(line_keys(docs, id_col, text_col), "line_keys")
-    found = written(templates(docs, keys, id_col, text_col, min_docs), "templates")
-    drops = keys.join(found, "line").where("id <> first_id").groupBy(F.col("id").alias("__id")).agg(F.collect_set("line").alias("__drop"))
-    rows = docs.join(drops, F.col(id_col).cast("long") == F.col("__id"), "left").drop("__id")
-    at = docs.columns.index(text_col)
+    found = templates(docs, keys, id_col, text_col, min_docs)
+    key, drop_col = free(docs, "__id"), free(docs, "__drop")
+    drops = keys.join(found, "line").where("id <> first_id").groupBy(F.col("id").alias(key)).agg(F.collect_set("line").alias(drop_col))
+    drops = written(drops, "drops")
+    discard(keys, found)
+    names = counts or (free(docs, "__lines"), free(docs, "__dropped"))
+    columns = [c for c in docs.columns if c not in names]
+    rows = docs.join(drops, F.col(id_col).cast("long") == F.col(key), "left").select(*columns, drop_col)
+    at = columns.index(text_col)
 
     def run(batches):
         for batch in batches:
             texts, n, gone = batch.column(at).cast(pa.string()).cast(pa.binary()).to_pylist(), [], []
             for k, drop in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 lines = (texts[k] or b"").split(b"\n")
-                stay = [x for x in lines if not drop or not (m := masked(x)) or _hash(m) not in drop] if drop else lines
+                drop = set(drop or ())
+                stay = [x for x in lines if not (m := masked(x)) or _hash(m) not in drop] if drop else lines
                 n.append(sum(bool(x.strip()) for x in lines))
                 gone.append(len(lines) - len(stay))
                 if gone[-1]:
                     texts[k] = b"\n".join(stay)
             out = list(batch.columns[:-1])
             out[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*batch.schema.names[:-1], "__lines", "__dropped"])
+            yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*batch.schema.names[:-1], *names])
 
-    fields = rows.drop("__drop").withColumn(text_col, F.col(text_col).cast("string")).withColumns({"__lines": F.lit(0).cast("long"), "__dropped": F.lit(0).cast("long")}).schema
+    fields = rows.drop(drop_col).withColumn(text_col, F.col(text_col).cast("string")).withColumns({c: F.lit(0).cast("long") for c in names}).schema
     out = rows.mapInArrow(run, fields)
-    return out if counts else out.drop("__lines", "__dropped")
+    return out if counts else out.drop(*names)
 
 
 def keep_filled(docs: DataFrame, **options) -> DataFrame:
     """As ``without_templates``, without the rows whose every line was dropped."""
-    out = without_templates(docs, counts=True, **options)
-    return out.where("__dropped = 0 or __lines > __dropped").select(*docs.columns)
+    lines, dropped = free(docs, "__lines"), free(docs, "__dropped")
+    out = without_templates(docs, counts=(lines, dropped), **options)
+    return out.where((F.col(dropped) == 0) | (F.col(lines) > F.col(dropped))).select(*docs.columns)

@@ -37,7 +37,7 @@ DEPTH = 3  # leading values of an order that candidates share at least
 LEVELS = 8  # values of an order that are sorted on
 NEXT = 8  # following rows of an order that are candidates
 KEEP = 2 * NEXT  # rows carried from batch to batch: enough to see that a region is large
-QUERIES, MEMBERS = 1 << 19, 1 << 20  # shingles of a tile's rows, on average
+QUERIES, MEMBERS = 1 << 18, 1 << 19  # shingles of a tile's rows, on average
 HASHES = TREES * DEPTH
 #: Of 48 four-bit values, true links of similarity 0.8 agree in 39 with a deviation of 2.7.
 LEAST_AGREEING = 24

@@ -73,8 +73,8 @@ def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = without_templates(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
-    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), "text")
+    out = without_templates(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def queries() -> dict:

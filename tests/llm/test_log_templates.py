@@ -1,16 +1,19 @@
 import random
 
 import numpy as np
+import pytest
 
+from matchloom.llm import log_templates
 from matchloom.llm.log_templates import generalised, keep_filled, masked, without_templates
 
 
 def test_masking_and_generalising():
     assert masked(b"  user 17   logged\tin at 10:30") == b"user <*> logged in at <*>"
     lines = sorted([b"the job of user anna ended well today", b"the job of user bob ended well today", b"the job of all things is quite another"])
-    got = generalised(lines)
+    got, found = generalised(lines)
+    assert found[got[1]] == b"the job of user <*> ended well today"
     assert got[1] == got[2] != got[0]
-    assert generalised([b"a b c x", b"a b c y"]) == [0, 1]
+    assert generalised([b"a b c x", b"a b c y"]) == ([0, 1], [b"a b c x", b"a b c y"])
 
 
 def rows():
@@ -28,9 +31,10 @@ def rows():
 
 def test_recurring_templates_are_dropped(spark):
     data = [*rows(), (100, None), (101, ""), (None, rows()[3][1]), (102, "code 5 of batch 9 done")]
-    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as line", "2 as __x", "3 as id")
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as line", "2 as __x", "3 as id", "4 as __id", "5 as __drop", "6 as __lines", "7 as leaf")
     got = without_templates(docs).collect()
-    assert got[0].asDict().keys() == {"doc_id", "text", "line", "__x", "id"}
+    assert got[0].asDict().keys() == {"doc_id", "text", "line", "__x", "id", "__id", "__drop", "__lines", "leaf"}
+    assert tuple(got[0])[2:] == (1, 2, 3, 4, 5, 6, 7)
     text = {r["doc_id"]: r["text"] for r in got}
     assert text[0] == data[0][1] and text[100] is None and text[101] == "" and text[None] == data[3][1]
     for k in range(1, 60):
@@ -45,7 +49,9 @@ def test_copies_do_not_make_a_template(spark):
     assert without_templates(copies.limit(0)).count() == 0
 
 
-def test_leaves_of_many_lines_follow_the_same_rule(spark):
+@pytest.mark.parametrize("part", [20_000, 500])
+def test_leaves_of_many_lines_follow_the_same_rule(spark, monkeypatch, part):
+    monkeypatch.setattr(log_templates, "PART", part)
     many = 6000  # different lines of one leaf
     docs = spark.createDataFrame([(k, f"Page viewed by user {'anbecidofu'[k % 10]}x{'name' * (k // 10 % 6)}{chr(97 + k // 60 % 10)}{chr(97 + k // 600)} from the main portal\nown{'abcdefghij'[k % 10]} words") for k in range(many)], "doc_id long, text string")
     assert docs.select("text").distinct().count() == many
@@ -71,7 +77,7 @@ def test_every_template_is_found_as_if_all_were_compared():
     for width in (2, 3, 5, 8):
         for words in (3, 8, 40):
             lines = sorted({b"a b c " + b" ".join(rng.choice([b"<*>", *(b"w%c" % (97 + k) for k in range(words))]) for _ in range(width)) for _ in range(300)})
-            assert generalised(lines) == plain(lines)
+            assert generalised(lines)[0] == plain(lines)
 
 
 def test_long_lines_recur_in_fewer_texts(spark):
@@ -82,3 +88,56 @@ def test_long_lines_recur_in_fewer_texts(spark):
     text = {r["doc_id"]: r["text"].split("\n") for r in without_templates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     for x, (_, n) in planted.items():
         assert sum(passage[x] in lines for lines in text.values()) == (1 if x in "lmno" else n), x
+
+
+def whole_result(rows):
+    """Brute force: the rule of the docstring on all lines at once."""
+    mask = lambda x: " ".join("<*>" if any(c in "0123456789" for c in t) else t for t in x.split())
+    of_line, texts, first = {}, {}, {}
+    leaves = {}
+    for i, text in rows:
+        for m in {mask(x) for x in (text or "").split("\n")} - {""}:
+            tokens = m.split(" ")
+            leaves.setdefault((len(tokens), *tokens[:3]), {}).setdefault(m, []).append((i, text))
+    for lines in leaves.values():
+        made = []
+        for m in sorted(lines, key=str.encode):
+            tokens = m.split(" ")
+            rest = [None if t == "<*>" else t for t in tokens[3:]]
+            fixed = sum(t is not None for t in rest)
+            like = [sum(a == b and a is not None for a, b in zip(t, rest)) for t, _ in made]
+            best = max(range(len(made)), key=lambda k: (like[k], -k), default=-1)
+            if len(rest) < 2 or not made or not fixed or 2 * like[best] < fixed:
+                best = len(made)
+                made.append((rest, (tuple(tokens[:3]), m)))
+            else:
+                made[best] = ([a if a == b else None for a, b in zip(made[best][0], rest)], made[best][1])
+            name = of_line[m] = made[best][1]
+            for i, text in lines[m]:
+                texts.setdefault(name, set()).add(text)
+                if i is not None:
+                    first[name] = min(first.get(name, i), i)
+    out = []
+    for i, text in rows:
+        kept = []
+        for x in (text or "").split("\n"):
+            m = mask(x)
+            words = sum(t != "<*>" for t in m.split())
+            bar = 3 if words >= 10 else 6 if words >= 8 else 10 if words >= 5 else 20
+            if not m or i is None or len(texts[of_line[m]]) < bar or first[of_line[m]] == i:
+                kept.append(x)
+        out.append((str(i), None if text is None else "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def test_whole_result_matches_brute_force(spark):
+    rng = random.Random(9)
+    forms = ["at {} the user {} logged in from host {} today", "{} of {}", "see also the page of {} for more on this old matter", "{} {} {} {} {} {}", "end", "call {} now and ask for {} at once please"]
+    word = lambda: rng.choice(["anna", "bob", "carl", "dora", "7", "x12", "own" + rng.choice("abcdefgh") + rng.choice("xyz")])
+    rows = []
+    for k in range(150):
+        lines = [rng.choice(forms) for _ in range(rng.randrange(6))]
+        rows.append((k, "\n".join(f.format(*(word() for _ in range(6))) for f in lines) + rng.choice(["", "\n", "\n  \n"])))
+    rows += [(200, None), (201, ""), (None, rows[3][1]), (5, rows[7][1]), (202, rows[9][1])]
+    got = without_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((str(r["doc_id"]), r["text"]) for r in got), key=str) == whole_result(rows)
