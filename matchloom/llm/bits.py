@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import U64, mixed
+from .workers import tidy
 
 LEAST_BITS, MOST_BITS = 16, 26
 
@@ -30,7 +31,7 @@ def bit_filter(keys: DataFrame, column: str) -> np.ndarray:
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(words[at], pa.int64())], names=["at", "bits"])
 
-    rows = keys.mapInArrow(run, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # 2**(bits - 6) rows at most
+    rows = keys.mapInArrow(tidy(run), "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # 2**(bits - 6) rows at most
     out = np.zeros(1 << bits - 6, "<i8")
     out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
     return out.view(np.uint8)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .columns import free
 from .store import written
 from .words import U64, mixed, shingle_hashes, word_hashes
+from .workers import tidy
 
 HASHES = 64
 BLOCK = 1_000_000
@@ -110,7 +111,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(runs, pa.list_(pa.int64()))], names=["item_id", "run"])
 
     source = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("body"))
-    known = written(source.mapInArrow(item_runs, "item_id long, run array<long>"), "items")
+    known = written(source.mapInArrow(tidy(item_runs), "item_id long, run array<long>"), "items")
     total = known.agg(F.sum(F.size("run"))).first()[0] or 0
     passes = -(-int(total) // BLOCK)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
@@ -129,7 +130,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
                     at, item, s, size = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *(pa.array(x, pa.int64()) for x in (item, s, size))], names=["id", "item_id", "n_shared", "n_item"])
 
-        found = texts.mapInArrow(search, schema)
+        found = texts.mapInArrow(tidy(search), schema)
         out = found if passes == 1 else out.unionByName(found)
     return out
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import tasks, written
+from .workers import tidy
 
 ID_BITS = 24
 TOP = 1 << 63
@@ -44,7 +45,7 @@ def below(rows: DataFrame, probes: list[int]) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at]), pa.array(count[at])], names=["cell", "bytes", "n"])
 
-    cells = rows.select("__key", "size").mapInArrow(run, "cell int, bytes long, n long").groupBy("cell").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect()
+    cells = rows.select("__key", "size").mapInArrow(tidy(run), "cell int, bytes long, n long").groupBy("cell").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect()
     out = np.zeros((2, len(marks) + 1), np.int64)
     for r in cells:  # as many as probes
         out[:, r["cell"]] = r["bytes"], r["n"]

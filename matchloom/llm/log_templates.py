@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .bits import bit_filter, passes
 from .columns import free
 from .store import discard, written
+from .workers import tidy
 
 DEPTH = 3
 MIN_DOCS = 20
@@ -91,7 +92,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["id", "content", "leaf", "line", "words"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, content long, leaf long, line long, words long")
+    return _texts(docs, id_col, text_col).mapInArrow(tidy(run), "id long, content long, leaf long, line long, words long")
 
 
 def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -
             if lines:
                 yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array([_hash(x) for x in lines], pa.int64()), pa.array([words_of(x) for x in lines], pa.int64()), pa.array(lines, pa.binary())], names=["leaf", "line", "words", "masked"])
 
-    found = _texts(docs, id_col, text_col).mapInArrow(run, "leaf long, line long, words long, masked binary")
+    found = _texts(docs, id_col, text_col).mapInArrow(tidy(run), "leaf long, line long, words long, masked binary")
     return found.join(leaves.select("leaf"), "leaf", "left_semi").dropDuplicates(["leaf", "line"])
 
 
@@ -242,7 +243,7 @@ def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*batch.schema.names[:-1], *names])
 
     fields = rows.drop(drop_col).withColumn(text_col, F.col(text_col).cast("string")).withColumns({c: F.lit(0).cast("long") for c in names}).schema
-    out = rows.mapInArrow(run, fields)
+    out = rows.mapInArrow(tidy(run), fields)
     return out if counts else out.drop(*names)
 
 

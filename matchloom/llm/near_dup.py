@@ -31,6 +31,7 @@ from .bits import bit_filter, passes
 from .columns import free
 from .store import discard, tasks, written
 from .words import U64, mixed, shingle_hashes, word_hashes
+from .workers import tidy
 
 TREES = 16
 DEPTH = 3  # leading values of an order that candidates share at least
@@ -86,7 +87,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary())], names=["id", "n_shingles", "node", "sig"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
-    return source.mapInArrow(run, "id long, n_shingles long, node long, sig binary")
+    return source.mapInArrow(tidy(run), "id long, n_shingles long, node long, sig binary")
 
 
 def forest_rows(nodes: DataFrame) -> DataFrame:
@@ -105,7 +106,7 @@ def forest_rows(nodes: DataFrame) -> DataFrame:
                 keys = [bytes([tree]) + x.tobytes() for x in values]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sketch, pa.binary()), batch.column("n_shingles").cast(pa.int32()), batch.column("node")], names=["key", "sketch", "size", "node"])
 
-    return nodes.select("sig", "n_shingles", "node").mapInArrow(run, "key binary, sketch binary, size int, node long")
+    return nodes.select("sig", "n_shingles", "node").mapInArrow(tidy(run), "key binary, sketch binary, size int, node long")
 
 
 _NEIGHBOUR_SCHEMA = "a long, b long, step int, key binary, sketch binary, size int, part int"
@@ -170,10 +171,10 @@ def candidates(nodes: DataFrame, least_share: tuple[int, int]) -> DataFrame:
     """Distinct pairs (a, b, step) of nodes that are neighbours in some order."""
     spark = nodes.sparkSession
     dealt = forest_rows(nodes).repartitionByRange(tasks(spark), "key", "node").sortWithinPartitions("key", "node")
-    found = written(dealt.mapInArrow(_neighbours(least_share, True), _NEIGHBOUR_SCHEMA), "neighbours")
+    found = written(dealt.mapInArrow(tidy(_neighbours(least_share, True)), _NEIGHBOUR_SCHEMA), "neighbours")
     # At most 2 * KEEP rows of each partition: few whatever the input.
     rim = found.where("key is not null").select("key", "sketch", "size", F.col("a").alias("node")).distinct().coalesce(1).sortWithinPartitions("key", "node")
-    across = rim.mapInArrow(_neighbours(least_share, False), _NEIGHBOUR_SCHEMA)
+    across = rim.mapInArrow(tidy(_neighbours(least_share, False)), _NEIGHBOUR_SCHEMA)
     pairs = found.where("b is not null").unionByName(across).groupBy("a", "b", F.when(F.col("step") == 0, 0).otherwise(1).alias("kind")).agg(F.min("step").alias("step"))
     pairs = written(pairs.drop("kind"), "candidates")
     discard(found)
@@ -194,7 +195,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, n: int, wanted: DataF
                 yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(node, pa.int64()), pa.array(shingles, pa.list_(pa.int64()))], names=["id", "node", "shingles"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body")).where("id is not null")
-    rows = source.mapInArrow(run, "id long, node long, shingles array<long>")
+    rows = source.mapInArrow(tidy(run), "id long, node long, shingles array<long>")
     return rows.join(wanted, ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "shingles")
 
 
@@ -221,7 +222,7 @@ def forest(links: DataFrame) -> DataFrame:
             tied = np.flatnonzero(top != np.arange(len(ends)))
             yield pa.RecordBatch.from_arrays([pa.array(ends[top[tied]], pa.int64()), pa.array(ends[tied], pa.int64())], names=["a", "b"])
 
-    return links.select("a", "b").mapInArrow(run, "a long, b long").distinct()
+    return links.select("a", "b").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _top(up: list[int], x: int) -> int:

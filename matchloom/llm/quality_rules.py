@@ -24,6 +24,7 @@ from .bits import bit_filter, passes
 from .columns import free
 from .store import discard, written
 from .words import shingle_hashes, word_hashes
+from .workers import tidy
 
 ALPHA, DELTA, COST = 0.05, 0.05, 10
 SCORES = ("symbols", "repeats", "dup_lines", "upper", "length")
@@ -53,14 +54,16 @@ def counts_of(texts: list[bytes | None]) -> np.ndarray:
     return out
 
 
-def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality") -> DataFrame:
-    """``docs`` with a struct of counts, base_failed and the scores in steps."""
+def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality", pick=None) -> DataFrame:
+    """``docs`` with a struct of counts, base_failed and the scores in steps; of the rows of
+    each batch only those that ``pick`` leaves, if that is given."""
     fields = [*((c, pa.int64()) for c in _COUNTS), ("base_failed", pa.bool_()), *((s, pa.int32()) for s in SCORES)]
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType([T.StructField(c, {"bool": T.BooleanType(), "int32": T.IntegerType()}.get(str(t), T.LongType())) for c, t in fields]))])
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
+            batch = pick(batch) if pick else batch
             c = counts_of(batch.column(at).cast(pa.string()).cast(pa.binary()).to_pylist())
             words, chars, symbols, lines, repeats, upper = c.T
             some = np.maximum(words, 1)
@@ -70,7 +73,7 @@ def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality") -
             made = pa.StructArray.from_arrays([*map(pa.array, c.T), pa.array(failed), *map(pa.array, steps)], names=[f for f, _ in fields])
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def tail(k: int, n: int, p: float) -> float:
@@ -130,13 +133,12 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = written(labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.min("quality") == 1).alias("good")).where("id is not null"), "known")
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(known, "id"))
 
-    def labelled(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
+    def labelled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
 
     # Texts without a label aren't counted here, but for the few that the filter lets through.
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), stratum, F.col(text_col).cast("string").alias("body")).where("id is not null")
-    scores = measured(narrow.mapInArrow(labelled, "id long, stratum string, body string"), "body").select("id", "stratum", "__quality.base_failed", *(f"__quality.{s}" for s in SCORES))
+    scores = measured(narrow, "body", pick=labelled).select("id", "stratum", "__quality.base_failed", *(f"__quality.{s}" for s in SCORES))
     # Documents that the base rule rejects anyway say nothing about the cutoffs.
     firsts = scores.where("not base_failed").groupBy("id").agg(F.min(F.struct("stratum", *SCORES)).alias("first")).select("id", "first.*")
     holdout = written(firsts.join(known, "id").drop("id"), "holdout")

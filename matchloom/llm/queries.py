@@ -69,7 +69,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", *(F.col(f"__{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.sha2("__kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

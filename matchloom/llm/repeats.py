@@ -2,15 +2,17 @@
 
 Every ``length``-byte string has an anchor: the place in it of the least hash of ``GRAM``
 bytes. Strings that are equal have the same anchor, so they meet where runs of neighbouring
-strings are grouped by a hash of ``CORE`` bytes around it that all strings of a run hold. A
-group in which all runs are equal is decided by counting. The different runs of the other
-groups are dealt into buckets, and in each bucket common prefixes are derived from the
+strings are grouped by a hash of the bytes around it that all strings of a run hold. A group
+in which all runs are equal, by two 64-bit hashes of different bytes, is decided by counting.
+The different runs of the other groups are dealt into buckets, and in each bucket common prefixes are derived from the
 Burrows-Wheeler transform of the runs: intervals of suffixes are extended backward, breadth
 first, so prefix lengths come out in increasing order, and the expansion stops at ``length``.
 Suffixes that are then still not told apart from a neighbour start a repeated string.
 
-A group of more than ``HOT`` different runs could outgrow a task; its strings are counted
-one by one by their hashes instead.
+A group of more than ``HOT`` different runs could outgrow a task. Its runs are cut into
+overlapping windows of starts, and each window is grouped by the bytes that all its strings
+hold, which are more than the group had in common; windows go the same way as runs. A window
+of a single start has all its bytes in common, so in the end no group is too large.
 """
 
 from __future__ import annotations
@@ -23,12 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
-from .store import tasks, written
+from .columns import free
+from .store import discard, tasks, written
 from .words import PIECE, U64, _power_tables, mixed
+from .workers import tidy
 
 LENGTH = 200
 GRAM = 16
-HOT = 4_000
+HOT = 2_000
+WIDTHS = (8, 1)  # starts of a window, one level after the other
 BUCKET_BYTES = 1_500_000
 
 
@@ -52,7 +57,7 @@ class Runs:
                 valid[high - length + 1] -= 1
         at = np.flatnonzero(np.cumsum(valid[: max(0, n - length + 1)], dtype=np.int8))
         self.first = self.size = np.empty(0, np.int64)
-        self.key = self.run = np.empty(0, np.int64)
+        self.key = self.run = self.ahead = np.empty(0, np.int64)
         if not len(at):
             return
         grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
@@ -62,9 +67,10 @@ class Runs:
         new = np.flatnonzero(np.diff(anchor, prepend=-1).astype(bool) | np.diff(left.astype(np.int8), prepend=2).astype(bool) | (np.diff(at, prepend=-2) != 1))
         self.first, self.size = at[new], np.diff(np.append(new, len(at)))
         a, is_left = anchor[new], left[new]
+        self.ahead = a - self.first  # bytes before the anchor
         low = np.where(is_left, a - core + GRAM, a)
         self.key = (digest(low, low + core) ^ np.where(is_left, U64(0x5851F42D4C957F2D), U64(0))).view(np.int64)
-        self.run = mixed(digest(self.first, self.first + self.size - 1 + length) + (a - self.first).astype(U64)).view(np.int64)
+        self.run = mixed(digest(self.first, self.first + self.size - 1 + length) + self.ahead.astype(U64)).view(np.int64)
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -121,11 +127,11 @@ def run_rows(docs: DataFrame, text_col: str, length: int) -> DataFrame:
             for _, runs, text, at in _found(batch.column(2).cast(pa.binary()).to_pylist(), length):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (runs.key, runs.run, content[text], size[text], at, runs.size)], names=["key", "run", "content", "n_bytes", "at", "n"])
 
-    return _bodies(docs, text_col).mapInArrow(run, "key long, run long, content long, n_bytes long, at long, n long")
+    return _bodies(docs, text_col).mapInArrow(tidy(run), "key long, run long, content long, n_bytes long, at long, n long")
 
 
 def run_bytes(docs: DataFrame, text_col: str, length: int, keys: DataFrame) -> DataFrame:
-    """(key, run, bytes) of the different runs of the given keys."""
+    """(key, run, ahead, bytes) of the different runs of the given keys."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(keys, "key"))
 
     def run(batches):
@@ -136,9 +142,9 @@ def run_bytes(docs: DataFrame, text_col: str, length: int, keys: DataFrame) -> D
                 keep = keep[np.unique(np.stack([runs.key[keep], runs.run[keep]]), axis=1, return_index=True)[1]] if len(keep) else keep
                 if len(keep):
                     parts = [buf[f : f + n - 1 + length] for f, n in zip(runs.first[keep].tolist(), runs.size[keep].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(runs.key[keep]), pa.array(runs.run[keep]), pa.array(parts, pa.binary())], names=["key", "run", "bytes"])
+                    yield pa.RecordBatch.from_arrays([pa.array(runs.key[keep]), pa.array(runs.run[keep]), pa.array(runs.ahead[keep]), pa.array(parts, pa.binary())], names=["key", "run", "ahead", "bytes"])
 
-    found = _bodies(docs, text_col).mapInArrow(run, "key long, run long, bytes binary")
+    found = _bodies(docs, text_col).mapInArrow(tidy(run), "key long, run long, ahead long, bytes binary")
     return found.join(keys.select("key"), "key", "left_semi").dropDuplicates(["key", "run"])
 
 
@@ -223,24 +229,42 @@ def _stretches(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[new], np.diff(np.append(new, len(places)))
 
 
-def repeated_strings(docs: DataFrame, text_col: str, length: int) -> DataFrame:
-    """(content, n_bytes, at, n): stretches of starts of repeated strings, by text."""
-    spark = docs.sparkSession
-    light = written(run_rows(docs, text_col, length), "runs")
-    groups = written(light.groupBy("key").agg(F.count("*").alias("times"), F.min("run").alias("low"), F.max("run").alias("high")).where("times > 1").select("key", F.expr("low <> high").alias("differ")), "groups")
-    bits = spark.sparkContext.broadcast(bit_filter(groups, "key"))
+def windows(parts: DataFrame, length: int, width: int) -> DataFrame:
+    """(from_key, from_run, offset, key, run, ahead, bytes): the windows of ``width`` starts
+    of each run, counted from its anchor, so that equal strings are in windows of one key."""
 
-    def some(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
+    def digest(*x: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"".join(x), digest_size=8).digest(), "little", signed=True)
 
-    again = written(light.mapInArrow(some, light.schema).join(groups, "key"), "again")
-    by_run = written(again.where("differ").groupBy("key", "run").agg(F.count("*").alias("times"), F.max("n").alias("n")), "by_run")
-    load = by_run.groupBy("key").agg(F.count("*").alias("different"), F.sum(F.col("n") + length).alias("bytes"))
-    keys = written(load, "differing")
-    total = keys.where(F.col("different") <= HOT).agg(F.sum("bytes")).first()[0] or 0
+    def run(batches):
+        for batch in batches:
+            for key, own, ahead, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "run", "ahead", "bytes")), strict=True):
+                out, high = [], ahead
+                last = ahead - (len(raw) - length)  # bytes before the anchor in the last string
+                while high >= last:
+                    base = high // width * width
+                    low = max(base, last)
+                    part = raw[ahead - high : ahead - low + length]
+                    shared = raw[ahead - base : ahead - base - width + 1 + length]
+                    place = b"%d %d " % (key, base)
+                    out.append((key, own, ahead - high, digest(place, shared), digest(place, b"%d " % high, part), high, part))
+                    high = base - 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*out, strict=True))[:6]] + [pa.array([x[6] for x in out], pa.binary())], names=_WINDOW)
+
+    return parts.select("key", "run", "ahead", "bytes").mapInArrow(tidy(run), "from_key long, from_run long, offset long, key long, run long, ahead long, bytes binary")
+
+
+_WINDOW = ["from_key", "from_run", "offset", "key", "run", "ahead", "bytes"]
+
+
+def repeated_in_groups(parts: DataFrame, length: int, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """(key, run, skip, n): stretches of starts of strings that occur again in the group, of
+    the different runs (key, run, ahead, bytes)."""
+    spark = parts.sparkSession
+    load = parts.groupBy("key").agg(F.count("*").alias("different"), F.sum(F.octet_length("bytes")).alias("bytes")).withColumn("hot", F.col("different") > HOT)
+    load = written(load, "load")
+    total = load.where("not hot").agg(F.sum("bytes")).first()[0] or 0
     buckets = max(tasks(spark), int(total) // BUCKET_BYTES + 1)
-    parts = written(run_bytes(docs, text_col, length, keys), "run_bytes").join(keys.select("key", (F.col("different") > HOT).alias("hot")), "key")
 
     def by_transform(rows: pa.Table) -> pa.Table:
         key, run = rows.column("key").to_numpy(), rows.column("run").to_numpy()
@@ -251,40 +275,68 @@ def repeated_strings(docs: DataFrame, text_col: str, length: int) -> DataFrame:
         columns = zip(*out, strict=True) if out else [()] * 4
         return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("key", "run", "skip", "n"), columns, strict=True)})
 
-    def strings(batches):
+    marked = parts.join(load.select("key", "hot"), "key")
+    found = marked.where("not hot").groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(by_transform, "key long, run long, skip long, n long")
+    found = written(found, "strings")
+    if load.where("hot").isEmpty():
+        return found
+    cut = written(windows(marked.where("hot"), length, widths[0]), "windows")
+    each = written(cut.groupBy("key", "run").agg(F.count("*").alias("times"), F.first("ahead").alias("ahead"), F.first("bytes").alias("bytes")), "each")
+    # A window that is itself there again is repeated throughout.
+    whole = each.where("times > 1").select("key", "run", F.lit(0).cast("long").alias("skip"), (F.octet_length("bytes") - length + 1).cast("long").alias("n"))
+    several = each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    if len(widths) > 1:
+        whole = whole.unionByName(repeated_in_groups(written(each.join(several.select("key"), "key", "left_semi"), "several"), length, widths[1:]))
+    back = cut.select("from_key", "from_run", "offset", "key", "run").join(whole, ["key", "run"])
+    back = back.select(F.col("from_key").alias("key"), F.col("from_run").alias("run"), (F.col("skip") + F.col("offset")).alias("skip"), "n")
+    return written(found.unionByName(back), "strings")
+
+
+def repeated_strings(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(content, n_bytes, at, n): stretches of starts of repeated strings, by text."""
+    spark = docs.sparkSession
+    light = written(run_rows(docs, text_col, length), "runs")
+    groups = written(light.groupBy("key").agg(F.count("*").alias("times"), F.min("run").alias("low"), F.max("run").alias("high")).where("times > 1").select("key", F.expr("low <> high").alias("differ")), "groups")
+    bits = spark.sparkContext.broadcast(bit_filter(groups, "key"))
+
+    def some(batches):
         for batch in batches:
-            for key, run, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "run", "bytes")), strict=True):
-                hashes = [hashlib.blake2b(raw[k : k + length], digest_size=16).digest() for k in range(len(raw) - length + 1)]
-                m = len(hashes)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * m), pa.array([run] * m), pa.array(range(m), pa.int64()), pa.array(hashes, pa.binary())], names=["key", "run", "skip", "string"])
-
-    schema = "key long, run long, skip long, n long"
-    cold = parts.where("not hot").groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInArrow(by_transform, schema)
-    single = parts.where("hot").select("key", "run", "bytes").mapInArrow(strings, "key long, run long, skip long, string binary")
-    often = single.groupBy("string").agg(F.count("*").alias("times")).where("times > 1")
-    hot = single.join(often, "string").select("key", "run", "skip", F.lit(1).cast("long").alias("n"))
+            yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
+
+    again = written(light.mapInArrow(tidy(some), light.schema).join(groups, "key"), "again")
+    discard(light)
+    by_run = written(again.where("differ").groupBy("key", "run").agg(F.count("*").alias("times"), F.max("n").alias("n")), "by_run")
+    parts = written(run_bytes(docs, text_col, length, groups.where("differ")), "run_bytes")
     # A run that is itself there again is repeated throughout.
     whole = by_run.where("times > 1").select("key", "run", F.lit(0).cast("long").alias("skip"), "n")
-    found = written(cold.unionByName(hot).unionByName(whole), "strings")
+    found = repeated_in_groups(parts, length).unionByName(whole)
     differing = again.where("differ").select("key", "run", "content", "n_bytes", "at").join(found, ["key", "run"]).withColumn("at", F.col("at") + F.col("skip"))
     columns = ["content", "n_bytes", "at", "n"]
-    return again.where("not differ").select(*columns).unionByName(differing.select(*columns)).distinct()
+    out = written(again.where("not differ").select(*columns).unionByName(differing.select(*columns)).distinct(), "places")
+    discard(groups, again, by_run, parts)
+    return out
+
+
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with __n_bytes, __n_removed, __n_spans and __kept (binary).
+def without_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text", names: tuple[str, ...] = RESULTS) -> DataFrame:
+    """``docs``, all columns, with bytes, bytes removed, spans removed and what is kept
+    (binary) under ``names``; columns of ``docs`` of these names are replaced by them.
 
     Removed is every byte that a string of ``length`` bytes covers that starts anywhere else
     in the rows' texts, too, the same text included. Strings are judged as they stand in the
     input and never cross texts. A null text counts as empty. Rows need no id; repeated rows
-    repeat each other. __kept may cut a character, so it is binary.
+    repeat each other. What is kept may cut a character, so it is binary.
     """
-    places = written(repeated_strings(docs, text_col, length).groupBy("content", "n_bytes").agg(F.collect_list(F.struct("at", "n")).alias("__places")), "places")
+    places = repeated_strings(docs, text_col, length).groupBy("content", "n_bytes").agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    columns = [c for c in docs.columns if c not in names]
+    own = {c: free([*columns, *names], f"__{c}") for c in ("content", "body", "places")}
+    places = written(places.withColumnsRenamed({"content": own["content"], "n_bytes": names[0], "places": own["places"]}), "marks")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumns({"__content": F.xxhash64(body), "__n_bytes": F.octet_length(body).cast("long"), "__body": F.encode(body, "utf-8")})
-    rows = rows.join(places.withColumnsRenamed({"content": "__content", "n_bytes": "__n_bytes"}), ["__content", "__n_bytes"], "left")
-    rows = rows.select(*docs.columns, "__n_bytes", "__body", "__places")
-    n = len(docs.columns)
+    rows = docs.select(*columns, F.xxhash64(body).alias(own["content"]), F.octet_length(body).cast("long").alias(names[0]), F.encode(body, "utf-8").alias(own["body"]))
+    rows = rows.join(places, [own["content"], names[0]], "left").select(*columns, names[0], own["body"], own["places"])
+    n = len(columns)
 
     def run(batches):
         for batch in batches:
@@ -302,8 +354,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text
                 removed.append(gone)
                 spans.append(count)
                 kept.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*batch.schema.names[: n + 1], "__n_removed", "__n_spans", "__kept"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*batch.schema.names[: n + 1], *names[1:]])
 
     zero = F.lit(0).cast("long")
-    schema = docs.withColumns({"__n_bytes": zero, "__n_removed": zero, "__n_spans": zero, "__kept": F.encode(F.lit(""), "utf-8")}).schema
-    return rows.mapInArrow(run, schema)
+    schema = docs.select(*columns, *(zero.alias(c) for c in names[:3]), F.encode(F.lit(""), "utf-8").alias(names[3])).schema
+    return rows.mapInArrow(tidy(run), schema)

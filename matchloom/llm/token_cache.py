@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .bits import bit_filter, passes
 from .store import new_path, written
 from .trie_bpe import Codec, in_slices
+from .workers import tidy
 
 CACHE = "content_sha256 binary, tokenizer_sha256 string, n_tokens long"
 
@@ -68,7 +69,7 @@ def fill(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", te
         for batch in batches:
             yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
 
-    wanted = rows.select("place", "content_sha256", "body").mapInArrow(some, "place long, content_sha256 binary, body string")
+    wanted = rows.select("place", "content_sha256", "body").mapInArrow(tidy(some), "place long, content_sha256 binary, body string")
     wanted = wanted.join(misses.hint("shuffle_hash"), ["place", "content_sha256"], "left_semi")
     _counts(wanted, tokenizer).select("content_sha256", F.lit(version).alias("tokenizer_sha256"), "n_tokens").write.mode("append").parquet(cache)
 

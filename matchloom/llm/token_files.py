@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from . import range_coder
 from .store import tasks
-from .trie_bpe import codec, release
+from .trie_bpe import codec
+from .workers import tidy
 
 BLOCK = 4096  # ids
 ROWS = 5000  # documents whose blocks are coded side by side
@@ -72,7 +73,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     rows = rows.repartitionByRange(tasks(docs.sparkSession), "id").sortWithinPartitions("id", "body")
-    rows.mapInArrow(run, BLOCKS).write.parquet(path)
+    rows.mapInArrow(tidy(run), BLOCKS).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -94,7 +95,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                         out.append((part, block, i, start, n, zlib.crc32(raw) if whole else None, None if whole else raw))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["part", "block", "id", "start", "n_tokens", "ids_crc32", "raw"])
 
-    found = blocks.mapInArrow(run, "part int, block long, id long, start long, n_tokens long, ids_crc32 long, raw binary")
+    found = blocks.mapInArrow(tidy(run), "part int, block long, id long, start long, n_tokens long, ids_crc32 long, raw binary")
 
     def join(pieces: pa.Table) -> pa.Table:
         """One document's segments; it is as long as the text that one task encoded."""
@@ -105,7 +106,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     # Only documents of several blocks are gathered; which they are shows without decoding.
     split = blocks.where("exists(whole, x -> not x)")
-    pieces = split.mapInArrow(run, found.schema).where("raw is not null")
+    pieces = split.mapInArrow(tidy(run), found.schema).where("raw is not null")
     joined = pieces.groupBy("part", "start").applyInArrow(join, "part int, id long, start long, n_tokens long, ids_crc32 long")
     rows = found.where("raw is null").select("part", "id", "start", "n_tokens", "ids_crc32").unionByName(joined)
     sums = blocks.select("part", F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("n")).groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()

@@ -18,13 +18,10 @@ them at its end.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import hashlib
 import json
 import re
 import struct
-import sys
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workers import release
+
 KNOWN_BYTES = 64_000_000  # of words remembered; past it, all are forgotten
 SEEN = 1 << 22  # places, by a word's hash, that tell whether it may have been met before
 FITS = 400_000  # pairs of tokens remembered
@@ -249,14 +248,6 @@ def in_slices(batches, tokenizer: str, made) -> Iterator[pa.RecordBatch]:
         release()
 
 
-def release() -> None:
-    """Gives freed memory back to the machine: Python workers are used again by later stages."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every row; a null or empty text has no ids. Rows are taken one
     by one, so repeated rows and null ids come out as they went in."""

@@ -52,10 +52,11 @@ def test_removal_matches_brute_force(spark, monkeypatch):
         monkeypatch.setattr(repeats, "PIECE", piece)
         texts = [None, *make(random.Random(7), 120)]
         rows = [(k if k % 9 else None, t, k) for k, t in enumerate(texts)]
-        docs = spark.createDataFrame(rows, "doc_id long, text string, key int").selectExpr("*", "1 as content", "'x' as at")
+        docs = spark.createDataFrame(rows, "doc_id long, text string, key int").selectExpr("*", "1 as content", "'x' as at", "2 as __body", "3 as __places", "4 as kept")
         got = sorted(without_repeats(docs).collect(), key=lambda r: r["key"])
         want = brute([(t or "").encode() for t in texts], 200)
-        assert [(r["__n_bytes"], r["__n_removed"], r["__n_spans"], bytes(r["__kept"])) for r in got] == want
+        assert [(r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got] == want
+        assert got[0].asDict().keys() >= {"__body", "__places", "content", "at", "key"}
 
 
 def test_empty_table(spark):
