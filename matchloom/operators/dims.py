@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a dimension may be broadcast; a larger one is joined by shuffle.
-SMALL = 200_000
+from .sequence import ranked
+
+#: Rows and bytes up to which a dimension may be broadcast; a larger one is joined by shuffle.
+SMALL, SMALL_BYTES = 200_000, 32_000_000
 
 
 def small(dim: DataFrame) -> DataFrame:
-    """The dimension, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(dim) if dim.limit(SMALL + 1).count() <= SMALL else dim
+    """The dimension, marked for broadcast if a look at it shows that it is small."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in dim.columns), F.lit(0))
+    n, bytes_ = dim.limit(SMALL + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(dim) if n <= SMALL and bytes_ <= SMALL_BYTES else dim
 
 
 def encode(names: DataFrame, known: DataFrame | None = None, column: str = "name") -> DataFrame:
     """M-01: (id, name) for every distinct name; known ids stay, new ones follow in name order."""
     new = names.select(F.col(column).alias("name")).where("name is not null").distinct()
     if known is None:
-        return new.select(F.row_number().over(Window.orderBy("name")).cast("long").alias("id"), "name")
-    new = new.join(known, "name", "left_anti")
+        return ranked(new, ["name"], "id").select("id", "name")
     top = known.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("top"))
-    fresh = new.crossJoin(F.broadcast(top)).select((F.col("top") + F.row_number().over(Window.orderBy("name"))).alias("id"), "name")
-    return known.select(F.col("id").cast("long").alias("id"), "name").unionByName(fresh)
+    fresh = ranked(new.join(known, "name", "left_anti"), ["name"], "id").crossJoin(F.broadcast(top))  # top is one row
+    return known.select(F.col("id").cast("long").alias("id"), "name").unionByName(fresh.select((F.col("top") + F.col("id")).alias("id"), "name"))
 
 
 def encoded_by(df: DataFrame, dim: DataFrame, column: str, id_column: str) -> DataFrame:
@@ -56,3 +59,12 @@ def unstar(dims: dict[str, DataFrame], fact: DataFrame) -> DataFrame:
     for c, dim in dims.items():
         fact = fact.join(small(dim.select(F.col("id").alias(f"{c}_id"), F.col("name").alias(c))), f"{c}_id", "left").drop(f"{c}_id")
     return fact
+
+
+def resolve_alias(rows: DataFrame, aliases: DataFrame, given: str = "given", sport: str = "sport") -> DataFrame:
+    """P-19: path of a given name and whether it was rejected. aliases: (alias, sport, path).
+    A known alias of another sport is rejected; an unknown name passes without outer slashes."""
+    known = aliases.select(F.col("alias").alias(given), F.col("sport").alias("__own"), F.col("path").alias("__known"))
+    rejected = F.coalesce(F.col("__own") != F.col(sport), F.lit(False))
+    path = F.when(F.col("__known").isNull(), F.regexp_replace(given, "^/+|/+$", "")).when(~rejected, F.col("__known"))
+    return rows.join(small(known), given, "left").withColumn("path", path).withColumn("rejected", rejected).drop("__own", "__known")

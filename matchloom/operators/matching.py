@@ -55,23 +55,36 @@ def best_matches(targets: DataFrame, listings: DataFrame, similarity, least: flo
     return best.drop(*(f"__{x}" for x in (*names, *other.values())), *(f"__score_{n}" for n in names))
 
 
-def unmatched(targets: DataFrame, matches: DataFrame) -> DataFrame:
+def unmatched(targets: DataFrame, matches: DataFrame, names: tuple[str, ...] = ("name",)) -> DataFrame:
     """J-11: targets without a match."""
-    return targets.join(matches.select("block", "name"), ["block", "name"], "left_anti")
+    return targets.join(matches.select("block", *names), ["block", *names], "left_anti")
 
 
-def coverage(targets: DataFrame, matches: DataFrame) -> DataFrame:
+def coverage(targets: DataFrame, matches: DataFrame, names: tuple[str, ...] = ("name",)) -> DataFrame:
     """A-08: number of targets, matched, unmatched, and per cent matched."""
-    flagged = targets.join(matches.select("block", "name", F.lit(1).alias("hit")), ["block", "name"], "left")
+    flagged = targets.join(matches.select("block", *names, F.lit(1).alias("hit")), ["block", *names], "left")
     sums = flagged.agg(F.count("*").alias("targets"), F.count("hit").alias("matched"))
     return sums.select("targets", "matched", (F.col("targets") - F.col("matched")).alias("unmatched"), F.round(100.0 * F.col("matched") / F.col("targets"), 2).alias("pct"))
 
 
+def name_ratios(targets: DataFrame, listings: DataFrame, least: float = 0.85) -> DataFrame:
+    """K-01 on pairs (block, name, listing): those whose lengths alone don't rule a ratio of
+    ``least`` out, and whose ratio is that high."""
+    la, lb = F.length("name"), F.length("listing")
+    pairs = targets.select("block", "name").distinct().join(listings.select("block", "listing").distinct(), "block").where(2 * F.least(la, lb) >= least * (la + lb))
+    return pairs.withColumn("ratio", sequence_ratio(F.lower("name"), F.lower("listing"))).where(F.col("ratio") >= least)
+
+
 def recover_scores(phantoms: DataFrame, listings: DataFrame) -> DataFrame:
-    """J-10: a result for each phantom (league, season, source_url): the score that the last
-    listing with its URL's fragment shows, NULL where there is none or it isn't a number."""
-    last = listings.groupBy("league", "season", "hash").agg(F.max_by(F.struct("home", "away"), "pos").alias("__s"))
-    rows = phantoms.withColumn("hash", F.regexp_extract("source_url", "#(.*)$", 1)).join(last, ["league", "season", "hash"], "left")
+    """J-10: a result for each phantom (id, league, season, source_url): the score that the
+    last listing with its URL's fragment shows in its league and season, NULL where there is
+    none or it isn't a number. A missing league or season is equal to a missing one; an empty
+    fragment finds nothing."""
+    known = listings.where(F.coalesce("hash", F.lit("")) != "")
+    last = known.groupBy(F.col("league").alias("__l"), F.col("season").alias("__y"), F.col("hash").alias("__h")).agg(F.max_by(F.struct("home", "away"), "pos").alias("__s"))
+    rows = phantoms.withColumn("__f", F.regexp_extract("source_url", "(?s)^[^#]*#(.*)$", 1))
+    on = F.col("league").eqNullSafe(F.col("__l")) & F.col("season").eqNullSafe(F.col("__y")) & (F.col("__f") == F.col("__h"))
+    rows = rows.join(last, on, "left")
     home, away = F.col("__s.home").try_cast("int"), F.col("__s.away").try_cast("int")
     both = home.isNotNull() & away.isNotNull()
     return rows.select("id", F.when(both, home).alias("score_home"), F.when(both, away).alias("score_away"))

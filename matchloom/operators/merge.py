@@ -63,9 +63,8 @@ def upsert_events(rows: DataFrame, key: str = "id", seq: str = "seq") -> DataFra
 
 
 def merge_season_state(rows: DataFrame, rank: str = "shard_rank") -> DataFrame:
-    """M-05: the largest count, the completion time of the last shard that has one."""
-    at = F.max_by("completed_at", F.when(F.col("completed_at").isNotNull(), F.col(rank)))
-    return rows.groupBy("league", "season").agg(F.max("n").alias("n"), at.alias("completed_at"))
+    """M-05: the largest count, and the completion time that the last shard has, even none."""
+    return rows.groupBy("league", "season").agg(F.max("n").alias("n"), F.max_by("completed_at", rank).alias("completed_at"))
 
 
 def fill_zero_scores(events: DataFrame) -> DataFrame:

@@ -19,6 +19,37 @@ def not_done(work: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     return work.join(other, on, "left_anti")
 
 
+def in_manifest(work: DataFrame, manifest: DataFrame, key: str = "league") -> DataFrame:
+    """J-07: the work that the manifest names."""
+    return work.join(manifest.select(key).distinct(), key, "left_semi")
+
+
+def all_leagues(*parts: DataFrame) -> DataFrame:
+    """X-01: the leagues of all parts, each once."""
+    out = parts[0].select("league")
+    for p in parts[1:]:
+        out = out.union(p.select("league"))
+    return out.distinct()
+
+
+def only_stored(stored: DataFrame, *others: DataFrame) -> DataFrame:
+    """X-02: leagues that are stored and in none of the others."""
+    out = stored.select("league")
+    for p in others:
+        out = out.subtract(p.select("league"))
+    return out.distinct()
+
+
+def head_of_tiers(leagues: DataFrame, most: int = 1, n: int = 5, order: str = "league") -> DataFrame:
+    """O-03: the first leagues of the tiers up to ``most``."""
+    return leagues.where(league_tier(F.col("league")) <= most).orderBy(order).limit(n)
+
+
+def first_groups(df: DataFrame, key: list[str], n: int) -> DataFrame:
+    """O-03: the first ``n`` keys in their order."""
+    return df.select(*key).distinct().orderBy(*key).limit(n)
+
+
 def season_span(events: DataFrame) -> DataFrame:
     """A-11: first, last and all years of each league's seasons."""
     year = season_end_year(F.col("season"))
@@ -47,10 +78,9 @@ def prioritised(leagues: DataFrame, covered: DataFrame, best_first: bool = True)
 
 def worklist(discovered: DataFrame, known: DataFrame, events: DataFrame, state: DataFrame, manifest: DataFrame | None, shard: int, shards: int) -> DataFrame:
     """X-04: all leagues, less dead ones, those of one shard, in order, if the manifest has them."""
-    stored = events.select("league")
-    leagues = discovered.select("league").union(known.select("league")).union(stored).distinct()
+    leagues = all_leagues(discovered, known, events)
     leagues = leagues.join(dead_leagues(state, events), "league", "left_anti")
     mine = assign_round_robin(leagues, shards).where(F.col("shard") == shard)
     if manifest is not None:
-        mine = mine.join(manifest.select("league"), "league", "left_semi")
+        mine = in_manifest(mine, manifest)
     return prioritised(mine, events)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def carried(value: Column, key: list[str], order: list) -> Column:
     """W-01: the latest value at or before the row that isn't NULL."""
@@ -38,8 +40,38 @@ def early_stop(log: DataFrame, as_of_year: int, cutoff: int, anchors: list[int],
     return rows.select("league", "y", "outcome", "stop_y", mark.alias("mark"))
 
 
-def success_curve(log: DataFrame, order: list, every: int = 500) -> DataFrame:
-    """W-03: per shard, the running share of ok outcomes at each ``every``-th row."""
-    upto = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = log.withColumns({"n": F.count("*").over(upto), "ok": F.sum((F.col("outcome") == "ok").cast("long")).over(upto)})
+def season_marks(log: DataFrame, as_of_year: int) -> DataFrame:
+    """W-02, season by season: the mark of a listing without matches (league, y, outcome, and
+    n_events, the events that are stored): -1 if it was broken, whatever the season, 0 if it
+    was empty and the season is final, NULL if it has stored events or the outcome says
+    nothing for sure."""
+    mark = F.when(F.col("n_events") > 0, None).when(F.col("outcome") == "http404", -1).when((F.col("outcome") == "empty200") & (F.col("y") < as_of_year), 0)
+    return log.withColumn("mark", mark.cast("int"))
+
+
+def ranged(df: DataFrame, order: list) -> DataFrame:
+    """``df`` with __part: rows of a part are in order behind those of the parts before it, and
+    no part has to hold more than its share. Written, as another run would cut other parts."""
+    return stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged")
+
+
+def ranked(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with its place from 1 in an order of all rows, without a task that has them all."""
+    rows = ranged(df, order)
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("__n"))  # as many rows as parts
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return rows.join(F.broadcast(before), "__part").withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
+
+
+def success_curve(log: DataFrame, order: list[str], every: int = 500) -> DataFrame:
+    """W-03: per shard, the running share of ok outcomes at each ``every``-th row. Counted
+    within parts of the order, to which the sums of the parts before are added."""
+    rows = ranged(log.select("shard", *order, (F.col("outcome") == "ok").cast("long").alias("__ok")), ["shard", *order])
+    sums = rows.groupBy("shard", "__part").agg(F.count("*").alias("__n"), F.sum("__ok").alias("__k"))
+    upto = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("shard", "__part", *(F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"{c}0") for c in ("__n", "__k")))
+    mine = Window.partitionBy("shard", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"__n1": F.count("*").over(mine), "__k1": F.sum("__ok").over(mine)}).join(before, ["shard", "__part"])
+    rows = rows.select("shard", (F.col("__n0") + F.col("__n1")).alias("n"), (F.col("__k0") + F.col("__k1")).alias("ok"))
     return rows.where(F.col("n") % every == 0).select("shard", "n", "ok", (F.col("ok") / F.col("n")).alias("rate"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import OUTCOMES
 from ..functions.scalars import parse_odd
 from ..operators import extract
-from ..operators.matching import sequence_ratio
+from ..operators.matching import name_ratios
 from ..session import table
 from ..streaming import jobs
 from .registry import query
@@ -122,8 +122,8 @@ def h12(spark, sf):
 
 @query("k01_sequence_ratio")
 def k01(spark, sf):
-    t, listed = view(spark, sf, "v_targets"), view(spark, sf, "v_listings").select("block", F.col("name").alias("listing"))
-    return t.join(listed, "block").select("block", "name", "listing", sequence_ratio(F.lower("name"), F.lower("listing")).alias("ratio"))
+    targets = view(spark, sf, "v_targets").select("block", F.col("home").alias("name"))
+    return name_ratios(targets, view(spark, sf, "v_listings").select("block", F.col("home").alias("listing")))
 
 
 @query("k02_market_extractors", f"""
@@ -153,12 +153,12 @@ def t01(spark, sf):
         cast(event_id % 4 as int) as score_away, min(case when event_type = 'view' then event_id end) over (partition by user_id) as k from events) x group by id""")
 def t02(spark, sf):
     n = F.col("event_id")
-    stream = jobs.event_stream(spark, sf).select(
+    rows = table(spark, sf, "events").select(
         F.col("user_id").alias("id"), F.col("event_type").alias("home"), n.alias("seq"), F.when(n % 3 == 0, (n % 7).cast("string")).alias("season"),
         F.when(F.col("event_type") == "view", (n % 5).cast("int")).alias("score_home"), (n % 4).cast("int").alias("score_away"),
         F.lit(None).cast("string").alias("sets_detail"), F.lit("scheduled").alias("status"),
     )
-    return jobs.upsert_stream(stream).select("id", "home", "season", "score_home", "score_away")
+    return jobs.upsert_stream(jobs.in_batches(rows, 4, ["seq"])).select("id", "home", "season", "score_home", "score_away")
 
 
 @query("t03_rate_by_window", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import scalars as S
-from ..operators import audit, odds
+from ..operators import audit, dims, odds
 from ..session import table
 from .registry import query
 from .views import view
@@ -217,10 +217,8 @@ _SPORTS = ["basketball", "soccer", "tennis"]
 def p19(spark, sf):
     pick = lambda values: F.element_at(F.lit(values), (F.col("o_orderkey") % len(values)).cast("int") + 1)
     rows = table(spark, sf, "orders").select("o_orderkey", pick(_SPORTS).alias("sport"), pick(_ALIASES).alias("given"))
-    dim = spark.createDataFrame([(k, s, p) for k, (s, p) in fixed.LEAGUE_ALIASES.items()], "given string, own string, known string")
-    rejected = F.coalesce(F.col("own") != F.col("sport"), F.lit(False))
-    path = F.when(F.col("known").isNull(), F.regexp_replace("given", "^/+|/+$", "")).when(~rejected, F.col("known"))
-    return rows.join(F.broadcast(dim), "given", "left").select("o_orderkey", "sport", "given", path.alias("path"), rejected.alias("rejected"))
+    aliases = spark.createDataFrame([(k, s, p) for k, (s, p) in fixed.LEAGUE_ALIASES.items()], "alias string, sport string, path string")
+    return dims.resolve_alias(rows, aliases).select("o_orderkey", "sport", "given", "path", "rejected")
 
 
 @query("p20_listing_outcome", "select event_id, case when http >= 400 then 'http404' when n_rows > 0 then 'ok' when n_rows = 0 and http = 200 then 'empty200' else 'uncertain' end as outcome from {v_listing_log}")
@@ -299,8 +297,7 @@ def p27(spark, sf):
 @query("f01_date_regex_distinct", """
     select distinct league, season, home from {v_events} where dt between timestamp '1997-01-01 00:00:00' and timestamp '1999-12-31 00:00:00' and regexp_matches(lower(league), 'auto|furn')""")
 def f01(spark, sf):
-    e = view(spark, sf, "v_events")
-    return e.where(F.col("dt").between(F.lit("1997-01-01").cast("timestamp"), F.lit("1999-12-31").cast("timestamp")) & F.col("league").rlike("(?i)AUTO|FURN")).select("league", "season", "home").dropDuplicates()
+    return audit.between(view(spark, sf, "v_events"), "1997-01-01", "1999-12-31", "AUTO|FURN", ["league", "season", "home"])
 
 
 @query("f02_stale", f"select id, dt from {{v_events}} where cast(dt as date) < date '{AS_OF}' - 2")

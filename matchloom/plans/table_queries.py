@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.fixed_values import MARKET_KEYS
 from ..operators import audit, dims, matching, merge, odds, planning, sequence
-from ..session import table
+from ..session import folder, table
 from ..sources import files
-from ..streaming.jobs import folder
 from .registry import query
 from .views import view
 
@@ -158,8 +157,7 @@ _REPORT = f"(select league, season, count(*) as total, count(score_home) as scor
 
 @query("j07_manifest", f"select distinct league from {{v_events}} where league in (select league from {_REPORT} r where scored < total - 1)")
 def j07(spark, sf):
-    e = view(spark, sf, "v_events").select("league").distinct()
-    return e.join(a01(spark, sf).where("scored < total - 1").select("league"), "league", "left_semi")
+    return planning.in_manifest(view(spark, sf, "v_events").select("league").distinct(), a01(spark, sf).where("scored < total - 1"))
 
 
 @query("j08_false_empty", "select league, season, n from {v_state} s where n <> 0 or not exists (select 1 from {v_events} e where e.league = s.league and e.season = s.season)")
@@ -167,43 +165,50 @@ def j08(spark, sf):
     return merge.drop_false_empty(view(spark, sf, "v_state"), view(spark, sf, "v_events")).select("league", "season", "n")
 
 
+NAMES = ("home", "away")
+
+
 def _matches(spark, sf, similarity):
-    return matching.best_matches(view(spark, sf, "v_targets"), view(spark, sf, "v_listings"), similarity)
+    return matching.best_matches(view(spark, sf, "v_targets"), view(spark, sf, "v_listings"), similarity, names=NAMES)
 
 
 @query("j09_fuzzy_match")
 def j09(spark, sf):
-    targets, listings = view(spark, sf, "v_fixture_targets"), view(spark, sf, "v_fixture_listings")
-    found = matching.best_matches(targets, listings, matching.sequence_ratio, names=("home", "away"))
-    return found.select("block", "home", "away", "listing_home", "listing_away", "pos", "score")
+    return _matches(spark, sf, matching.sequence_ratio).select("block", "home", "away", "listing_home", "listing_away", "pos", "score")
 
 
-_FUZZY = """(select block, name, listing, pos, score from (select *, row_number() over (partition by block, name order by score desc, pos) as n from (
-      select t.block, t.name, l.name as listing, l.pos, 1 - levenshtein(lower(t.name), lower(l.name)) / greatest(length(t.name), length(l.name)) as score
-      from {v_targets} t join {v_listings} l on t.block = l.block where 2 * least(length(t.name), length(l.name)) >= 0.85 * (length(t.name) + length(l.name))) x where score >= 0.85) y where n = 1)"""
+def _like(name: str) -> str:
+    a, b = (f"lower(trim(regexp_replace({t}.{name}, '\\s+', ' ', 'g')))" for t in "tl")
+    return f"case when 2 * least(length({a}), length({b})) >= 0.85 * (length({a}) + length({b})) then 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) else 0 end"
 
 
-@query("j09_edit_match", f"select block, name, listing, pos, score from {_FUZZY} z")
-def j09_edit(spark, sf):
-    return _matches(spark, sf, matching.edit_similarity).select("block", "name", "listing", "pos", "score")
+_FUZZY = f"""(select block, home, away, pos, score from (select *, row_number() over (partition by block, home, away order by score desc, pos) as n from (
+      select block, home, away, pos, like_home + like_away as score from (
+        select t.block, t.home, t.away, l.pos, {_like("home")} as like_home, {_like("away")} as like_away from {{v_targets}} t join {{v_listings}} l on t.block = l.block) p
+      where like_home >= 0.85 and like_away >= 0.85) x) y where n = 1)"""
 
 
-_LISTED = "(select league, season, cast(id as string) as hash, id as pos, cast(id % 5 as string) as home, case when id % 7 = 0 then 'x' else '2' end as away from {v_events} where id % 2 = 0)"
+@query("j09_edit_match", f"select block, home, away, pos, score from {_FUZZY} z")
+def j09_edit(spark, sf):
+    return _matches(spark, sf, matching.edit_similarity).select("block", "home", "away", "pos", "score")
 
 
 @query("j10_recover_scores", """
-    select id, case when id % 2 = 0 and id % 7 <> 0 then cast(id % 5 as int) end as score_home, case when id % 2 = 0 and id % 7 <> 0 then 2 end as score_away
+    select id, case when id % 2 = 0 and id % 7 <> 0 and id % 3 <> 0 then cast(id % 5 as int) end as score_home, case when id % 2 = 0 and id % 7 <> 0 and id % 3 <> 0 then 2 end as score_away
     from {v_events} where strftime(dt, '%H:%M:%S') = '00:00:00' and status = 'scheduled'""")
 def j10(spark, sf):
-    e = view(spark, sf, "v_events")
+    # Some events have no season, some no fragment in their URL; a listing without a fragment is for nobody.
+    e = view(spark, sf, "v_events").withColumn("season", F.col("season_raw"))
+    e = e.withColumn("source_url", F.when(F.col("id") % 3 == 0, F.substring_index("source_url", "#", 1)).otherwise(F.col("source_url")))
     listed = e.where("id % 2 = 0").select("league", "season", F.col("id").cast("string").alias("hash"), F.col("id").alias("pos"), (F.col("id") % 5).cast("string").alias("home"), F.when(F.col("id") % 7 == 0, "x").otherwise("2").alias("away"))
     earlier = listed.withColumns({"pos": -F.col("pos"), "home": F.lit("99")})
-    return matching.recover_scores(audit.phantoms(e), listed.unionByName(earlier))
+    nameless = listed.withColumns({"hash": F.lit(""), "home": F.lit("9")})
+    return matching.recover_scores(audit.phantoms(e), listed.unionByName(earlier).unionByName(nameless))
 
 
-@query("j11_unmatched", f"select block, name from {{v_targets}} t where not exists (select 1 from {_FUZZY} z where z.block = t.block and z.name = t.name)")
+@query("j11_unmatched", f"select block, home, away from {{v_targets}} t where not exists (select 1 from {_FUZZY} z where z.block = t.block and z.home = t.home and z.away = t.away)")
 def j11(spark, sf):
-    return matching.unmatched(view(spark, sf, "v_targets"), _matches(spark, sf, matching.edit_similarity))
+    return matching.unmatched(view(spark, sf, "v_targets"), _matches(spark, sf, matching.edit_similarity), NAMES)
 
 
 @query("j12_orphans", """
@@ -222,7 +227,7 @@ def a01(spark, sf):
 
 
 @query("a02_completeness_rollup", f"""
-    select count(*) as groups, cast(sum(2 * total - scored - with_odds) as bigint) as missing, 100.0 * cast(sum(scored) as double) / cast(sum(total) as double) as scored_pct
+    select count(*) as groups, cast(sum(total - scored) as bigint) as missing, 100.0 * cast(sum(scored) as double) / cast(sum(total) as double) as scored_pct
     from {_REPORT} r where scored < total or with_odds < total""")
 def a02(spark, sf):
     return audit.completeness_rollup(a01(spark, sf)).withColumn("scored_pct", F.col("scored_pct").cast("double"))
@@ -261,18 +266,17 @@ def a05(spark, sf):
 @query("a06_tier_histogram", "select case when regexp_matches(league, '^([^/]*/)?(atp|wta)-') then 3 when contains(league, 'challenger') then 4 else 5 end as tier, count(*) as n from (select distinct replace(replace(league, '/auto', '/atp-auto'), '/build', '/challenger-') as league from {v_events}) x group by 1")
 def a06(spark, sf):
     named = F.replace(F.replace("league", F.lit("/auto"), F.lit("/atp-auto")), F.lit("/build"), F.lit("/challenger-"))
-    return view(spark, sf, "v_events").select(named.alias("league")).distinct().groupBy(S.league_tier(F.col("league")).alias("tier")).agg(F.count("*").alias("n"))
+    return audit.tier_histogram(view(spark, sf, "v_events").select(named.alias("league")))
 
 
 @query("a07_merge_summary", "select count(*) as n_rows, count(distinct (match_date, home_team)) as matches, count(distinct case when market <> 'R' then market end) as markets from {v_real_odds}")
 def a07(spark, sf):
-    r = view(spark, sf, "v_real_odds")
-    return r.agg(F.count("*").alias("n_rows"), F.count_distinct("match_date", "home_team").alias("matches"), F.count_distinct(F.when(F.col("market") != "R", F.col("market"))).alias("markets"))
+    return audit.merge_summary(view(spark, sf, "v_real_odds"), ["match_date", "home_team"], F.when(F.col("market") != "R", F.col("market")))
 
 
 @query("a08_coverage", f"select targets, matched, targets - matched as unmatched, round(100.0 * cast(matched as double) / cast(targets as double), 2) as pct from (select (select count(*) from {{v_targets}} t) as targets, (select count(*) from {_FUZZY} z) as matched) x")
 def a08(spark, sf):
-    out = matching.coverage(view(spark, sf, "v_targets"), _matches(spark, sf, matching.edit_similarity))
+    out = matching.coverage(view(spark, sf, "v_targets"), _matches(spark, sf, matching.edit_similarity), NAMES)
     return out.withColumn("pct", F.col("pct").cast("double"))
 
 
@@ -281,17 +285,15 @@ _OUTCOME = "case when http >= 400 then 'http404' when n_rows > 0 then 'ok' when
 
 @query("a09_outcome_counts", f"""
     select shard, count(*) filter (o = 'ok') as ok, count(*) filter (o = 'empty200') as empty200, count(*) filter (o = 'http404') as http404, count(*) filter (o = 'uncertain') as uncertain,
-      cast(count(*) filter (o = 'ok') as double) / count(*) as ok_rate from (select shard, {_OUTCOME} as o from {{v_listing_log}}) x group by shard""")
+      cast(count(*) filter (o = 'ok') as double) / count(*) as ok_rate from (select shard, {_OUTCOME} as o from {{v_listing_log}} where season_year < 2001) x group by shard""")
 def a09(spark, sf):
-    log = view(spark, sf, "v_listing_log").withColumn("o", S.listing_outcome(F.col("http"), F.col("n_rows")))
-    names = ["ok", "empty200", "http404", "uncertain"]
-    return log.groupBy("shard").agg(*(F.count_if(F.col("o") == n).alias(n) for n in names), (F.count_if(F.col("o") == "ok") / F.count("*")).alias("ok_rate"))
+    log = view(spark, sf, "v_listing_log").withColumn("outcome", S.listing_outcome(F.col("http"), F.col("n_rows")))
+    return audit.outcome_counts(log, 2001)
 
 
 @query("a10_run_summary", "select count(*) filter (d > 0) as with_data, count(*) filter (d = 0) as without_data, cast(sum(skipped) as bigint) as skipped from (select league, count(*) filter (n > 0) as d, count(*) filter (n <= 0) as skipped from {v_state} group by league) x")
 def a10(spark, sf):
-    per = view(spark, sf, "v_state").groupBy("league").agg(F.count_if(F.col("n") > 0).alias("d"), F.count_if(F.col("n") <= 0).alias("skipped"))
-    return per.agg(F.count_if(F.col("d") > 0).alias("with_data"), F.count_if(F.col("d") == 0).alias("without_data"), F.sum("skipped").alias("skipped"))
+    return audit.run_summary(view(spark, sf, "v_state"))
 
 
 @query("a11_season_span", "select league, cast(min(y) as int) as first, cast(max(y) as int) as last, array_to_string(list(distinct y order by y), ',') as years from {v_gappy} group by league")
@@ -302,7 +304,7 @@ def a11(spark, sf):
 
 @query("a12_existing_counts", "select league, season, count(*) as n from {v_events} group by league, season")
 def a12(spark, sf):
-    return view(spark, sf, "v_events").groupBy("league", "season").agg(F.count("*").alias("n"))
+    return audit.counts_by(view(spark, sf, "v_events"), ["league", "season"])
 
 
 # --- dedup, upsert, merge, repair
@@ -350,7 +352,7 @@ def m04(spark, sf):
 
 
 @query("m05_season_state", """
-    select league, season, max(n) as n, arg_max(done, r) filter (done is not null) as completed_at from (
+    select league, season, max(n) as n, last(done order by r) as completed_at from (
       select s.league, s.season, case when (length(s.league) + r) % 3 = 0 then 0 else s.n end as n, r, case when (s.n + r) % 4 = 0 then null else s.completed_at + r * interval '1' day end as done
       from {v_state} s cross join (select 0 as r union all select 1 union all select 2) t) x group by league, season""")
 def m05(spark, sf):
@@ -447,6 +449,17 @@ def w02(spark, sf):
     return sequence.early_stop(view(spark, sf, "v_season_log"), 2001, 1996, [1995, 1996])
 
 
+@query("w02_season_marks", f"""
+    select league, y, outcome, cast(n_events as bigint) as n_events, case when n_events > 0 then null when outcome = 'http404' then -1 when outcome = 'empty200' and y < 2001 then 0 end as mark from (
+      select l.league, l.y, case l.outcome when 'empty' then 'empty200' when 'broken' then 'http404' else l.outcome end as outcome,
+        (select count(*) from {{v_gappy}} g where g.league = l.league and g.y = l.y) as n_events from {{v_season_log}} l) x""")
+def w02_marks(spark, sf):
+    n = audit.counts_by(view(spark, sf, "v_gappy"), ["league", "y"])
+    outcome = F.when(F.col("outcome") == "empty", "empty200").when(F.col("outcome") == "broken", "http404").otherwise(F.col("outcome"))
+    log = view(spark, sf, "v_season_log").join(n, ["league", "y"], "left").select("league", "y", outcome.alias("outcome"), F.coalesce("n", F.lit(0)).alias("n_events"))
+    return sequence.season_marks(log, 2001)
+
+
 @query("w03_success_curve", f"""
     select shard, n, ok, cast(ok as double) / n as rate from (select shard, row_number() over (partition by shard order by ts, event_id) as n,
       cast(sum(case when {_OUTCOME} = 'ok' then 1 else 0 end) over (partition by shard order by ts, event_id rows unbounded preceding) as bigint) as ok from {{v_listing_log}}) x where n % 500 = 0""")
@@ -460,9 +473,9 @@ def w04(spark, sf):
     return planning.assign_round_robin(view(spark, sf, "v_events").select("league").distinct(), 10)
 
 
-@query("w05_best_candidate", f"select block, name, pos from {_FUZZY} z")
+@query("w05_best_candidate", f"select block, home, away, pos from {_FUZZY} z")
 def w05(spark, sf):
-    return _matches(spark, sf, matching.edit_similarity).select("block", "name", "pos")
+    return _matches(spark, sf, matching.edit_similarity).select("block", "home", "away", "pos")
 
 
 # --- orders and limits
@@ -476,28 +489,35 @@ def o01(spark, sf):
     return planning.prioritised(e.select("league").distinct(), e.where("y = 2001 and nk < 12")).select("league", "covered", "tier", "priority")
 
 
-@query("o02_top_incomplete", f"select league, season, total, scored, with_odds, 2 * total - scored - with_odds as missing from {_REPORT} r where scored < total or with_odds < total order by missing desc, league, season limit 5")
+@query("o02_top_incomplete", f"select league, season, total, scored, with_odds, total - scored as missing from {_REPORT} r where scored < total or with_odds < total order by missing desc, league, season limit 5")
 def o02(spark, sf):
-    return audit.missing(a01(spark, sf)).orderBy(F.desc("missing"), "league", "season").limit(5)
+    return audit.top_incomplete(a01(spark, sf))
+
 
+_TIERED = "replace(replace(replace(league, 'france/building', 'france/atp-aberto-da-franca'), 'united states/building', 'usa/wta-us-open'), 'china/building', 'china/atp-xangai')"
 
-@query("o03_filtered_head", "select league, season from (select distinct league, season from {v_events}) x where season >= '1998' order by league, season limit 5")
+
+@query("o03_filtered_head", f"select distinct {_TIERED} as league from {{v_events}} where league in ('france/building', 'united states/building', 'china/building') order by league limit 5")
 def o03(spark, sf):
-    return view(spark, sf, "v_events").select("league", "season").distinct().where("season >= '1998'").orderBy("league", "season").limit(5)
+    return planning.head_of_tiers(view(spark, sf, "v_events").select(F.expr(_TIERED).alias("league")).distinct())
+
+
+@query("o03_first_groups", "select distinct league, season from {v_events} where season >= '1998' order by league, season limit 5")
+def o03_groups(spark, sf):
+    return planning.first_groups(view(spark, sf, "v_events").where("season >= '1998'"), ["league", "season"], 5)
 
 
 # --- sets
 
 
-@query("x01_union", "select league from {v_events} where y < 1997 union select league from {v_gappy} union select league from {v_state}")
+@query("x01_union", "select league from {v_events} union select league from {v_gappy} union select league from {v_state}")
 def x01(spark, sf):
-    parts = [view(spark, sf, v).select("league") for v in ("v_events", "v_gappy", "v_state")]
-    return parts[0].union(parts[1]).union(parts[2]).distinct()
+    return planning.all_leagues(*(view(spark, sf, v) for v in ("v_events", "v_gappy", "v_state")))
 
 
 @query("x02_difference", "select league from {v_state} except select league from {v_events}")
 def x02(spark, sf):
-    return view(spark, sf, "v_state").select("league").subtract(view(spark, sf, "v_events").select("league"))
+    return planning.only_stored(view(spark, sf, "v_state"), view(spark, sf, "v_events"))
 
 
 @query("x03_gap_years", f"select league, year from {_GAP_YEARS} g")

@@ -45,7 +45,7 @@ VIEWS = {
         select league, y, max(case when (nk * 7 + y) % 8 < 4 then 'empty' when (nk + y) % 11 = 0 then 'broken' else 'ok' end) as outcome
         from {v_events} where y < 2001 group by league, y""",
     "v_listing_log": """
-        select event_id, cast(ts as timestamp) as ts, user_id % 4 as shard,
+        select event_id, cast(ts as timestamp) as ts, user_id % 4 as shard, cast(user_id % 7 + 1996 as int) as season_year,
           case when event_type = 'error' then 404 when event_type in ('view', 'click') then 200 end as http,
           case event_type when 'view' then 1 when 'click' then 0 when 'error' then 0 end as n_rows
         from {events}""",
@@ -55,15 +55,11 @@ VIEWS = {
           when 3 then cast(cast(l_quantity as int) as string) || '/' || cast(l_suppkey % 9 as string) when 4 then ' ' || cast(cast(l_quantity as int) % 4 as string) || ',' || cast(l_suppkey % 90 + 10 as string) || ' '
           when 5 then cast(cast(l_quantity as int) as string) || '.' || cast(l_partkey % 10 as string) when 6 then '-' else case when l_suppkey % 2 = 0 then 'N/A' else '1e3' end end as txt
         from {lineitem}""",
-    "v_targets": "select distinct p_brand as block, p_name as name from {part}",
+    "v_targets": "select distinct p_brand as block, p_name as home, p_type as away from {part}",
     "v_listings": """
-        select p_brand as block, min(p_partkey) as pos, name from (select p_brand, p_partkey,
-          case when p_partkey % 3 = 0 then substr(p_name, 1, 3) || substr(p_name, 5) else p_name end as name from {part}) x group by p_brand, name""",
-    "v_fixture_targets": "select distinct p_brand as block, p_name as home, p_type as away from {part}",
-    "v_fixture_listings": """
         select p_brand as block, min(p_partkey) as pos, home, away from (select p_brand, p_partkey,
           case when p_partkey % 3 = 0 then substr(p_name, 1, 3) || substr(p_name, 5) when p_partkey % 3 = 1 then replace(p_name, ' ', '  ') else p_name end as home,
-          case when p_partkey % 5 = 0 then substr(p_type, 1, 2) || substr(p_type, 4) else p_type end as away from {part}) x group by p_brand, home, away""",
+          case when p_partkey % 5 = 0 then substr(p_type, 1, 2) || substr(p_type, 4) else p_type end as away from {part} where p_partkey % 7 <> 0) x group by p_brand, home, away""",
     "v_real_odds": """
         select cast(l_shipdate as timestamp) as match_date, l_suppkey as home_team, l_returnflag as market, l_extendedprice as real_odd, l_partkey % 4 as file_rank,
           l_orderkey, l_linenumber, l_partkey, l_quantity from {lineitem}""",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -17,3 +20,23 @@ def session(name: str = "matchloom", **settings: str) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors share, below ``spark.checkpoint.dir``.
+    Where that isn't set a temporary folder is taken, on a local master only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-matchloom-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to a shared folder and read again, so that it is worked out once and
+    executors that are lost take nothing with them."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import upsert_events
-
-
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="spark-matchloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from ..session import folder
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,27 +40,55 @@ def fresh_only(stream: DataFrame, key: list[str], at: str = "ts", ttl: str = "7
     return stream.withWatermark(at, ttl).groupBy(F.window(at, "1 hour"), *key).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *key, "n")
 
 
+def in_batches(df: DataFrame, files: int, order: list[str]) -> DataFrame:
+    """A stream of the rows, read file by file, in so many files by ranges of ``order``."""
+    spark, path = df.sparkSession, folder(df.sparkSession, "files")
+    df.repartitionByRange(files, *order).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+BUCKETS = 64
+
+
 def upsert_stream(stream: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:
     """T-02: the table that M-04 gives, kept up by micro-batches.
 
-    A batch is merged with the table that the batch before it left and written under its own
-    number, so a batch that is run again after a failure writes the same table again."""
-    spark = stream.sparkSession
-    tables, state = folder(spark, "upsert"), folder(spark, "upsert-state")
-    last: dict[str, int] = {}
-    schema = stream.schema
+    The table is dealt into ``BUCKETS`` by a hash of the key, and a batch rewrites only the
+    buckets that it touches. It is written under its own number, with a manifest (bucket,
+    batch) of where each bucket's rows are, so a batch that is run again after a failure
+    writes the same again, and a stream taken up again finds what is there. A stream without
+    rows gives an empty table."""
+    spark, schema = stream.sparkSession, stream.schema
+    base, state = folder(spark, "upsert"), folder(spark, "upsert-state")
+
+    def manifest(before: int = 1 << 62) -> dict[int, int]:
+        try:
+            rows = spark.read.parquet(f"{base}/manifest/*").where(F.col("number") < before)
+        except AnalysisException:  # no batch has been written
+            return {}
+        last = rows.groupBy().agg(F.max("number").alias("number"))
+        return {r["bucket"]: r["batch"] for r in rows.join(F.broadcast(last), "number").collect()}  # BUCKETS rows at most
+
+    def parts(at: dict[int, int], buckets) -> list[str]:
+        return [f"{base}/data/batch={at[b]}/bucket={b}" for b in sorted(buckets) if b in at]
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if number:
-            stored = spark.read.parquet(f"{tables}/{number - 1}")
-            rows = batch.unionByName(stored)
+        bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+        at = manifest(number)
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # BUCKETS at most
+        rows, before = batch, parts(at, touched)
+        if before:
+            rows = batch.unionByName(spark.read.schema(schema).parquet(*before))
         # Rows of one event fold again to the same event, so all that a table needs to keep
         # of each is its first row, its first scored row and its first row with a season.
         firsts = [F.min_by(F.struct(*schema.names), F.when(ok, F.col(seq))) for ok in (F.lit(True), F.col("score_home").isNotNull(), F.col("season") != "")]
         kept = rows.groupBy(F.col(key).alias("__key")).agg(F.array_distinct(F.array_compact(F.array(*firsts))).alias("__r"))
-        kept.select(F.explode("__r").alias("r")).select("r.*").write.mode("overwrite").parquet(f"{tables}/{number}")
-        last["number"] = number
+        kept = kept.select(F.explode("__r").alias("r")).select("r.*").withColumn("bucket", bucket)
+        kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{base}/data/batch={number}")
+        now = at | dict.fromkeys(touched, number)
+        spark.createDataFrame([(number, b, n) for b, n in sorted(now.items())], "number long, bucket int, batch long").coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/{number}")
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return upsert_events(spark.read.schema(schema).parquet(f"{tables}/{last['number']}"), key, seq)
+    found = parts(at := manifest(), at)
+    rows = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+    return upsert_events(rows, key, seq)
