@@ -131,3 +131,28 @@ OUTCOMES = {
     "btts": ["yes", "no"],
     "odd_even": ["odd", "even"],
 }
+
+#: Values of data-testid in the pages, and the class of a participant's name.
+TEST_IDS = {
+    "date_header": ["date-header", "secondary-header"],
+    "game_row": ["game-row"],
+    "time": ["time-item"],
+    "participants": ["event-participants"],
+    "participant": ["participant-name"],
+    "score": ["result-score", "score"],
+    "odds_row": ["over-under-expanded-row"],
+    "bookmaker": ["outrights-expanded-bookmaker-name"],
+    "odd": ["odd-container"],
+    "payout": ["payout-container"],
+    "line_header": ["line-header", "handicap-row", "total-row"],
+    "best_row": ["over-under-collapsed-row"],
+    "best_label": ["over-under-collapsed-option-box"],
+    "best_odd": ["odd-container-default"],
+    "grid_header": ["bookmaker-table-header-line"],
+    "host": ["game-host"],
+    "guest": ["game-guest"],
+    "game_time": ["game-time-item"],
+    "live": ["live-info"],
+    "game_participants": ["game-participants"],
+}
+LINE_ATTRIBUTES = ["data-line", "data-total", "data-handicap"]

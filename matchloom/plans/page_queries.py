@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import OUTCOMES
+from ..functions.fixed_values import MONTHS_PT, OUTCOMES
 from ..functions.scalars import parse_odd
-from ..operators import extract
+from ..operators import extract, pages
 from ..operators.matching import name_ratios
 from ..session import table
 from ..streaming import jobs
@@ -120,6 +120,133 @@ def h12(spark, sf):
     return extract.as_upcoming(view(spark, sf, "v_events")).select("id", "home", "status", "score_home", "score_away")
 
 
+# --- whole pages, made from the tables, to rows
+
+AS_OF = "2001-08-02"
+SITE, HOSTS = "https://matches.example.com", ["example.com"]
+
+
+def joined(rows, page: str, order: list[str]):
+    """(page_id, html): the pieces of each page in their order, between what isn't of interest."""
+    piece = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "piece"))), lambda x: x["piece"]), "\n")
+    html = F.concat(F.lit("<html><body><nav><a href='/x'>1 2</a></nav>"), piece, F.lit("</body></html>"))
+    return rows.groupBy(F.col(page).alias("page_id")).agg(html.alias("html"))
+
+
+def div(test_id: str, *inner):
+    return F.concat(F.lit(f'<div class="row" data-testid="{test_id}">'), *(F.lit(x) if isinstance(x, str) else x for x in inner), F.lit("</div>"))
+
+
+def listing_pages(spark, sf):
+    """A page for each league and year. Some rows stand twice, some lead to another site, some
+    name one side only; a header that is no date comes between."""
+    e = view(spark, sf, "v_events").withColumn("page", F.concat_ws("/", "league", F.col("y").cast("string")))
+    date = F.concat_ws(" ", F.day("dt").cast("string"), F.element_at(F.lit([m.capitalize() for m in MONTHS_PT]), F.month("dt")), F.col("y").cast("string"))
+    people = F.concat(F.lit('<a title="'), F.col("home"), F.lit('"><p class="name participant-name">'), F.col("home"), F.lit('</p></a><a title="'), F.col("away"), F.lit('">'), F.when(F.col("id") % 4 == 0, "?").otherwise(F.concat(F.lit('<p data-testid="participant-name">'), F.col("away"), F.lit("</p>"))), F.lit("</a>"))
+    score = F.concat(F.col("score_home").cast("string"), F.lit(":"), F.col("score_away").cast("string"))
+    shown = F.coalesce(F.when(F.col("id") % 3 == 0, F.concat(F.lit("<p>after extra time "), F.replace(score, F.lit(":"), F.lit(" : ")), F.lit("</p>"))).otherwise(div("score", score)), F.lit(""))
+    time = F.when(F.col("status") == "finished", "Finalizado").otherwise(F.date_format("dt", "HH:mm"))
+
+    def row(href, names):
+        return div("game-row", F.lit('<a href="'), href, F.lit('">'), div("game-row", div("time-item", time), div("event-participants", names), shown), F.lit("</a>"))
+
+    path = F.concat(F.lit("/"), F.col("nk").cast("string"), F.lit("/#"), F.col("id").cast("string"))
+    again = F.when(F.col("id") % 19 == 0, row(F.concat(F.lit(SITE), path), F.lit('<a title="X"></a><a title="Y"></a>'))).otherwise("")
+    foreign = F.when(F.col("id") % 17 == 0, row(F.lit("https://example.com.other.org/#1"), people)).otherwise("")
+    alone = F.when(F.col("id") % 23 == 0, row(F.lit("/one/#1"), F.lit('<a title="X">X</a>'))).otherwise("")
+    piece = F.concat(div("date-header", date, " - Playoffs"), div("secondary-header", "Best odds"), foreign, row(path, people), again, alone)
+    return joined(e.select("page", "id", piece.alias("piece")), "page", ["id"])
+
+
+@query("h02_listing_rows", f"""
+    select league || '/' || cast(y as string) as page_id, '{SITE}/' || cast(nk as string) || '/#' || cast(id as string) as match_url, case when status = 'finished' then date_trunc('day', dt) else dt end as dt,
+      home, away, case when status = 'finished' and score_away is not null then score_home end as score_home, case when status = 'finished' and score_home is not null then score_away end as score_away, status from {{v_events}}""")
+def h02_listing(spark, sf):
+    return pages.listing_rows(listing_pages(spark, sf), F.lit(AS_OF).cast("date"), SITE, HOSTS).drop("pos")
+
+
+ODDS_ROW = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+_PAYOUT = "cast(l_linenumber as string) || '.' || cast(l_partkey as string) || '%'"
+
+
+def odds_row(test_id: str = "odd-container", tag: str = "div"):
+    """One to three cells of odds in several notations."""
+    n = F.col("l_suppkey") % 3 + 1
+    text = [F.concat(F.lit("+"), F.col("l_quantity").cast("int").cast("string")), F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",5")), F.lit("-")]
+    return F.concat(*(F.when(n > k, F.concat(F.lit(f'<{tag} data-testid="{test_id}"><b>'), t, F.lit(f"</b></{tag}>"))).otherwise("") for k, t in enumerate(text)))
+
+
+def bookmakers(before=None):
+    name = F.when(F.col("l_partkey") % 11 != 0, F.concat(F.lit("Book &amp; Co "), F.col("l_suppkey").cast("string"))).otherwise(" ")
+    own = div("over-under-expanded-row", div("outrights-expanded-bookmaker-name", name), odds_row(), div("payout-container", F.expr(_PAYOUT)))
+    return own if before is None else F.concat(before, own)
+
+
+def odds_pages(spark, sf, piece):
+    return joined(table(spark, sf, "lineitem").select("l_orderkey", *ODDS_ROW, piece.alias("piece")), "l_orderkey", ODDS_ROW)
+
+
+_BOOKS = f"(select *, 'Book & Co ' || cast(l_suppkey as string) as book, {_PAYOUT} as payout_pct from {_CELLS} b)"
+
+
+@query("h06_page_odds", f"""
+    select l_orderkey as page_id, payout_pct, book as bookmaker, (['home', 'draw', 'away'])[i] as outcome, cells[i] as odds_closing from {_BOOKS} c, (values (1), (2), (3)) t(i) where i <= n and bookmaker is not null""")
+def h06_page(spark, sf):
+    return pages.fixed_outcome_odds(odds_pages(spark, sf, bookmakers()), OUTCOMES["1x2"])
+
+
+@query("h07_page_lines", f"""
+    select l_orderkey as page_id, submarket, payout_pct, book as bookmaker, (['over', 'under'])[i] as outcome, cells[i] as odds_closing from (select *, coalesce(last_value(
+      case l_linenumber when 1 then '2.5' when 3 then '3.5' when 5 then '' when 6 then '-1.5' end ignore nulls) over (partition by l_orderkey order by {', '.join(ODDS_ROW)} rows unbounded preceding), '') as submarket
+      from {_BOOKS} b) c, (values (1), (2)) t(i) where i <= n and bookmaker is not null""")
+def h07_page(spark, sf):
+    line = F.col("l_linenumber")
+    before = F.when(line == 1, '<div class="x" data-line="2.5"></div>').when(line == 3, '<section data-total=""><h3>Games 3.5 in all</h3></section>').when(line == 5, '<div data-handicap="">none</div>').when(line == 6, div("line-header", "Handicap -1.5")).otherwise("")
+    return pages.line_odds(odds_pages(spark, sf, bookmakers(before)), ["over", "under"])
+
+
+@query("h08_page_best", f"""
+    select l_orderkey as page_id, case l_returnflag when 'A' then '+1.5' else '-3' end as submarket, 'best' as bookmaker, (['over', 'under'])[i] as outcome, cells[i] as odds_closing
+    from {_CELLS} c, (values (1), (2)) t(i) where i <= n and l_returnflag <> 'R'""")
+def h08_page(spark, sf):
+    label = F.when(F.col("l_returnflag") == "A", "<p>Acima/Abaixo +1.5</p><p>+1.5</p>").when(F.col("l_returnflag") == "N", "Handicap 2 -3").otherwise("<p>no line</p>")
+    piece = div("over-under-collapsed-row", div("over-under-collapsed-option-box", label), div("odd-container-default", odds_row("odd-container-default", "p")))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", *ODDS_ROW, piece.alias("piece"))
+    return pages.best_price_odds(joined(rows, "l_orderkey", ODDS_ROW), ["over", "under"])
+
+
+@query("h09_page_grid", f"""
+    select l_orderkey as page_id, payout_pct, book as bookmaker, case when i <= 2 then (['2:0', '2:1'])[i] else 'col_2' end as submarket, 'yes' as outcome, cells[i] as odds_closing
+    from {_BOOKS} c, (values (1), (2), (3)) t(i) where i <= n and bookmaker is not null""")
+def h09_page(spark, sf):
+    head = div("bookmaker-table-header-line", "<div>Bookmaker</div><div>2:0</div><div> </div><div>2:1</div>")
+    made = odds_pages(spark, sf, bookmakers()).withColumn("html", F.concat(head, F.col("html")))
+    return pages.grid_odds(made)
+
+
+def match_pages(spark, sf):
+    """A page for each event: a third has JSON-LD, of the others some lack an element."""
+    e = view(spark, sf, "v_events")
+    event = F.struct(F.lit("SportsEvent").alias("@type"), F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("startDate"), F.struct(F.concat(F.lit("Page "), "home").alias("name")).alias("homeTeam"), F.struct(F.col("away").alias("name")).alias("awayTeam"), F.struct(F.struct(F.lit("Xland").alias("addressCountry")).alias("address")).alias("location"))
+    script = F.concat(F.lit('<script type="application/ld+json">{"@type": "Other"}</script><script type="application/ld+json">'), F.to_json(event), F.lit("</script>"))
+    guest = F.when(F.col("id") % 2 == 0, div("game-guest", "Page ", F.col("away"))).otherwise("")
+    score = F.concat(F.col("score_home").cast("string"), F.lit(":"), F.col("score_away").cast("string"))
+    live = F.when(F.col("sets_detail").isNotNull(), F.concat(F.lit("Resultado final <strong>"), score, F.lit("</strong> (6<sup>3</sup>:4, 6:3)"))).otherwise(F.concat(F.lit("Final "), score))
+    html = F.concat(F.lit("<html>"), F.when(F.col("id") % 3 == 0, script).otherwise(guest), F.coalesce(div("live-info", live), F.lit("")), F.lit("</html>"))
+    return e.select(F.col("source_url").alias("match_url"), html.alias("html"))
+
+
+@query("h10_match_rows", """
+    select source_url as match_url, case when id % 3 = 0 then 'Page ' || home else home end as home, case when id % 3 <> 0 and id % 2 = 0 then 'Page ' || away else away end as away, dt,
+      score_home, score_away, case when score_home is not null and score_away is not null then 'finished' else 'scheduled' end as status,
+      case when score_home is not null and score_away is not null and sets_detail is not null then '6-4 6-3' end as sets_detail, case when id % 3 = 0 then 'Xland' else 'Nation_' || cast(nk as string) end as venue_country
+    from {v_events}""")
+def h10_rows(spark, sf):
+    listing = view(spark, sf, "v_events").select(F.col("source_url").alias("match_url"), "home", "away", "dt", "score_home", "score_away", "league")
+    out = pages.match_rows(pages.match_headers(match_pages(spark, sf), F.lit(AS_OF).cast("date"), "match_url"), listing)
+    return out.select("match_url", "home", "away", "dt", "score_home", "score_away", "status", "sets_detail", "venue_country")
+
+
 @query("k01_sequence_ratio")
 def k01(spark, sf):
     targets = view(spark, sf, "v_targets").select("block", F.col("home").alias("name"))

@@ -494,10 +494,10 @@ def o02(spark, sf):
     return audit.top_incomplete(a01(spark, sf))
 
 
-_TIERED = "replace(replace(replace(league, 'france/building', 'france/atp-aberto-da-franca'), 'united states/building', 'usa/wta-us-open'), 'china/building', 'china/atp-xangai')"
+_TIERED = "replace(replace(replace(league, 'nation_1/building', 'france/atp-aberto-da-franca'), 'nation_2/building', 'usa/wta-us-open'), 'nation_3/building', 'china/atp-xangai')"
 
 
-@query("o03_filtered_head", f"select distinct {_TIERED} as league from {{v_events}} where league in ('france/building', 'united states/building', 'china/building') order by league limit 5")
+@query("o03_filtered_head", f"select distinct {_TIERED} as league from {{v_events}} where league in ('nation_1/building', 'nation_2/building', 'nation_3/building') order by league limit 5")
 def o03(spark, sf):
     return planning.head_of_tiers(view(spark, sf, "v_events").select(F.expr(_TIERED).alias("league")).distinct())
 
