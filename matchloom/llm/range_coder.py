@@ -2,11 +2,12 @@
 
 Ids are coded in blocks, each reset to the starting state and checksummed, so any block can be
 read alone. Three orders predict the next id. Order 2 and order 1 each name the id that last
-followed the two ids, or the one id, before; order 0 spreads over all ids, as four nibbles
-whose frequencies adapt. The mixture's weights adapt, too, apart for how sure the two named
-ids are and whether they agree. What is coded is first which order explains the id, then,
-for order 0, its nibbles; the codes are driven into a carryless range coder of 64-bit state
-that moves 16 bits at a time.
+followed the two ids, or the one id, before; order 0 spreads over all ids, as nibbles whose
+frequencies adapt: four, or as many as the largest id needs. The mixture's weights adapt, too,
+apart for how sure the two named ids are and whether they agree. An id's share of the range is
+its largest term of the mixture, not the sum of its terms: what is coded is first which order
+explains the id, then, for order 0, its nibbles. The codes are driven into a carryless range
+coder of 64-bit state that moves 16 bits at a time.
 
 Many blocks are coded side by side: every step takes the next id of each of them.
 """
@@ -21,6 +22,9 @@ import numpy as np
 LANES = 2048  # blocks side by side
 ONE_SLOTS, TWO_SLOTS = 1 << 11, 1 << 12  # contexts that a block tells apart
 NODES = 1 + 16 + 256 + 512
+MORE = 16  # nodes for each nibble above the lowest four
+HEAD = "<IIIB"  # ids, their crc32 as little-endian unsigned 32-bit integers, the code's crc32, nibbles
+HEAD_BYTES = struct.calcsize(HEAD)
 ONE = 1 << 12  # all shares are of this total
 FADE = 4  # weights move by a 16th
 
@@ -34,7 +38,8 @@ _TOP, _BOTTOM = U64(1 << 48), U64(1 << 32)
 class _Coder:
     """The states of n blocks; ``words`` is what is read, or None to write."""
 
-    def __init__(self, n: int, words: np.ndarray | None, wide: int):
+    def __init__(self, n: int, words: np.ndarray | None, wide: int, nibbles: int):
+        self.nibbles, nodes = nibbles, NODES + MORE * (nibbles - 4)
         self.low, self.span = np.zeros(n, U64), np.full(n, (1 << 64) - 1, U64)
         self.reads = words is not None
         self.words = np.zeros((n, wide), np.uint16) if words is None else words
@@ -42,11 +47,13 @@ class _Coder:
         self.code = np.zeros(n, U64)
         for k in range(4 if self.reads else 0):
             self.code = self.code << U64(16) | words[:, k].astype(U64)
-        self.one, self.two = np.zeros((n, ONE_SLOTS), np.uint32).ravel(), np.zeros((n, TWO_SLOTS), np.uint32).ravel()
+        # A named id plus 1, and 8 bits of how sure it is.
+        kind = np.uint32 if nibbles <= 5 else np.uint64
+        self.one, self.two = np.zeros(n * ONE_SLOTS, kind), np.zeros(n * TWO_SLOTS, kind)
         self.weight = np.tile(np.array([[1 << 14, 1 << 13]], np.int32), (n * 32, 1))
-        self.cdf = np.tile(_START, (n * NODES, 1))
+        self.cdf = np.tile(_START, (n * nodes, 1))
         rows = np.arange(n, dtype=np.int64)
-        self.rows, self.at_one, self.at_two, self.at_weight, self.at_cdf = rows, rows * ONE_SLOTS, rows * TWO_SLOTS, rows * 32, rows * NODES
+        self.rows, self.at_one, self.at_two, self.at_weight, self.at_cdf = rows, rows * ONE_SLOTS, rows * TWO_SLOTS, rows * 32, rows * nodes
 
     def narrow(self, lanes, start: np.ndarray, end: np.ndarray) -> None:
         unit = self.span[lanes] >> U64(12)
@@ -124,15 +131,20 @@ class _Coder:
         plain = np.flatnonzero(order == 2)
         if len(plain):
             known = got[plain] if ids is not None else None
-            a = self.nibble(plain, np.zeros(len(plain), np.int64), None if known is None else known >> 12)
-            b = self.nibble(plain, 1 + a, None if known is None else known >> 8 & 15)
+            at = lambda shift: None if known is None else known >> shift & 15
+            above = np.zeros(len(plain), np.int64)
+            for k in range(self.nibbles - 1, 3, -1):
+                above = above << 4 | self.nibble(plain, NODES + MORE * (k - 4) + (above & 15), at(4 * k))
+                self.settle(plain)
+            a = self.nibble(plain, above & 0, at(12))
+            b = self.nibble(plain, 1 + a, at(8))
             self.settle(plain)
             high = a << 4 | b
-            c = self.nibble(plain, 17 + high, None if known is None else known >> 4 & 15)
-            d = self.nibble(plain, 273 + ((high << 4 | c) * 0x9E3779B1 >> 17 & 511), None if known is None else known & 15)
+            c = self.nibble(plain, 17 + high, at(4))
+            d = self.nibble(plain, 273 + ((high << 4 | c) * 0x9E3779B1 >> 17 & 511), at(0))
             self.settle(plain)
             if known is None:
-                got[plain] = high << 8 | c << 4 | d
+                got[plain] = above << 16 | high << 8 | c << 4 | d
         for table, slot, named, sure in ((self.one, slot_one, named_one, sure_one), (self.two, slot_two, named_two, sure_two)):
             hit = named == got + 1
             keep = hit | (sure > 1)
@@ -158,45 +170,50 @@ def _run(coder: _Coder, left: np.ndarray, ids: np.ndarray, known: bool) -> None:
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of ids below 65536, as: number of ids, crc32 of the ids as little-endian
-    unsigned 32-bit integers, crc32 of the code, code."""
+    """Each block of ids below 2**32 as ``HEAD`` and the code."""
     return [c for at in range(0, len(blocks), LANES) for c in _encode(blocks[at : at + LANES])]
 
 
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lengths = np.array([len(b) for b in blocks])
     order, left = _in_order(lengths)
-    if any(len(b) and int(np.max(b)) >= 1 << 16 for b in blocks):
-        raise ValueError("ids have 16 bits at most")
-    ids = np.zeros((len(blocks), int(lengths.max(initial=0))), np.uint16)
+    nibbles = max(4, -(-max((int(np.max(b)).bit_length() for b in blocks if len(b)), default=0) // 4))
+    ids = np.zeros((len(blocks), int(lengths.max(initial=0))), np.uint16 if nibbles == 4 else np.uint32)
     for row, k in enumerate(order):
         ids[row, : lengths[k]] = blocks[k]
-    # An id takes five codes of 12 bits at most, so never more than four moves.
-    coder = _Coder(len(blocks), None, ids.shape[1] * 4 + 8)
+    # A nibble takes 12 bits at most and the order as many, so an id never more moves than nibbles.
+    coder = _Coder(len(blocks), None, ids.shape[1] * nibbles + 8, nibbles)
     _run(coder, left, ids, True)
     out = [b""] * len(blocks)
     for row, k in enumerate(order):
         code = coder.words[row, : coder.used[row]].astype("<u2").tobytes() + np.array([int(coder.low[row]) >> s & 0xFFFF for s in (48, 32, 16, 0)], "<u2").tobytes()
-        out[k] = struct.pack("<III", len(blocks[k]), zlib.crc32(np.asarray(blocks[k], "<u4").tobytes()), zlib.crc32(code)) + code
+        out[k] = struct.pack(HEAD, len(blocks[k]), zlib.crc32(np.asarray(blocks[k], "<u4").tobytes()), zlib.crc32(code), nibbles) + code
     return out
 
 
 def decode(codes: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a block that is damaged raises ValueError."""
-    return [c for at in range(0, len(codes), LANES) for c in _decode(codes[at : at + LANES])]
+    heads = [struct.unpack_from(HEAD, c) for c in codes]
+    if any(zlib.crc32(c[HEAD_BYTES:]) != h[2] or not 4 <= h[3] <= 8 for c, h in zip(codes, heads, strict=True)):
+        raise ValueError("a block's checksum is wrong")
+    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
+    for nibbles in {h[3] for h in heads}:
+        rows = [k for k, h in enumerate(heads) if h[3] == nibbles]
+        for at in range(0, len(rows), LANES):
+            some = rows[at : at + LANES]
+            for k, ids in zip(some, _decode([codes[k] for k in some], [heads[k] for k in some], nibbles), strict=True):
+                out[k] = ids
+    return out
 
 
-def _decode(codes: list[bytes]) -> list[np.ndarray]:
-    heads = [struct.unpack_from("<III", c) for c in codes]
-    if any(zlib.crc32(c[12:]) != h[2] for c, h in zip(codes, heads, strict=True)):
-        raise ValueError("a block's checksum is wrong")
+def _decode(codes: list[bytes], heads: list[tuple], nibbles: int) -> list[np.ndarray]:
     lengths = np.array([h[0] for h in heads])
     order, left = _in_order(lengths)
     words = np.zeros((len(codes), max(map(len, codes)) // 2 + 8), np.uint16)
     for row, k in enumerate(order):
-        words[row, : len(codes[k]) // 2 - 6] = np.frombuffer(codes[k], "<u2", offset=12)
-    ids = np.zeros((len(codes), int(lengths.max(initial=0))), np.uint16)
-    _run(_Coder(len(codes), words, 0), left, ids, False)
+        words[row, : (len(codes[k]) - HEAD_BYTES) // 2] = np.frombuffer(codes[k], "<u2", offset=HEAD_BYTES)
+    ids = np.zeros((len(codes), int(lengths.max(initial=0))), np.uint16 if nibbles == 4 else np.uint32)
+    _run(_Coder(len(codes), words, 0, nibbles), left, ids, False)
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
     for row, k in enumerate(order):
         got = ids[row, : lengths[k]].astype("<u4")
@@ -204,3 +221,25 @@ def _decode(codes: list[bytes]) -> list[np.ndarray]:
             raise ValueError("a block's ids don't have the checksum they had")
         out[k] = got
     return out
+
+
+_POLYNOMIAL = 0xEDB88320  # fixed value: of crc32, lowest power first
+
+
+def _product(a: int, b: int) -> int:
+    """Of two polynomials over bits, the highest bit for power 0, reduced by the crc's."""
+    out = 0
+    for k in range(31, -1, -1):
+        if a >> k & 1:
+            out ^= b
+        b = b >> 1 ^ (_POLYNOMIAL if b & 1 else 0)
+    return out
+
+
+def joined_crc(first: int, second: int, size: int) -> int:
+    """crc32 of two byte strings one after the other, of their crc32 and the second's size."""
+    power, square = 1 << 31, 1 << 23  # one, and the power for a byte
+    while size:
+        power = _product(square, power) if size & 1 else power
+        square, size = _product(square, square), size >> 1
+    return _product(power, first) ^ second

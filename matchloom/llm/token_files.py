@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import range_coder
-from .store import tasks
+from .store import tasks, written
 from .trie_bpe import codec
 from .workers import tidy
 
@@ -50,6 +50,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
 
     def run(batches):
         c, end = codec(tokenizer), np.array([end_id], "<u4")
+        c.forget()
         part, number, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -90,25 +91,21 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 for flat, part, block, *lists in zip(decoded, *(rows.column(c).to_pylist() for c in ("part", "block", "ids", "sizes", "starts", "whole")), strict=True):
                     low = 0
                     for i, n, start, whole in zip(*lists, strict=True):
-                        raw = flat[low : low + n].astype("<u4").tobytes()
+                        out.append((part, block, i, start, n, zlib.crc32(flat[low : low + n].astype("<u4").tobytes()), whole))
                         low += n
-                        out.append((part, block, i, start, n, zlib.crc32(raw) if whole else None, None if whole else raw))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["part", "block", "id", "start", "n_tokens", "ids_crc32", "raw"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), *[pa.int64()] * 5, pa.bool_()], strict=True)], names=["part", "block", "id", "start", "n_tokens", "ids_crc32", "whole"])
 
-    found = blocks.mapInArrow(tidy(run), "part int, block long, id long, start long, n_tokens long, ids_crc32 long, raw binary")
+    found = written(blocks.mapInArrow(tidy(run), "part int, block long, id long, start long, n_tokens long, ids_crc32 long, whole boolean"), "segments")
 
     def join(pieces: pa.Table) -> pa.Table:
-        """One document's segments; it is as long as the text that one task encoded."""
-        pieces, crc = pieces.sort_by("block"), 0
-        for raw in pieces.column("raw").to_pylist():
-            crc = zlib.crc32(raw, crc)
-        return pa.table({"part": pieces.column("part")[:1], "id": pieces.column("id")[:1], "start": pieces.column("start")[:1], "n_tokens": pa.array([sum(pieces.column("n_tokens").to_pylist())], pa.int64()), "ids_crc32": pa.array([crc], pa.int64())})
-
-    # Only documents of several blocks are gathered; which they are shows without decoding.
-    split = blocks.where("exists(whole, x -> not x)")
-    pieces = split.mapInArrow(tidy(run), found.schema).where("raw is not null")
-    joined = pieces.groupBy("part", "start").applyInArrow(join, "part int, id long, start long, n_tokens long, ids_crc32 long")
-    rows = found.where("raw is null").select("part", "id", "start", "n_tokens", "ids_crc32").unionByName(joined)
+        """One document's segments, a row for each block that it goes through."""
+        pieces, crc, total = pieces.sort_by("block"), 0, 0
+        for n, piece in zip(pieces.column("n_tokens").to_pylist(), pieces.column("ids_crc32").to_pylist(), strict=True):
+            crc, total = range_coder.joined_crc(crc, piece, 4 * n), total + n
+        return pa.table({"part": pieces.column("part")[:1], "id": pieces.column("id")[:1], "start": pieces.column("start")[:1], "n_tokens": pa.array([total], pa.int64()), "ids_crc32": pa.array([crc], pa.int64())})
+
+    joined = found.where("not whole").groupBy("part", "start").applyInArrow(join, "part int, id long, start long, n_tokens long, ids_crc32 long")
+    rows = found.where("whole").select("part", "id", "start", "n_tokens", "ids_crc32").unionByName(joined)
     sums = blocks.select("part", F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("n")).groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
     before, base = 0, [0] * (max((r["part"] for r in sums), default=0) + 1)  # a number for each part
     for r in sums:

@@ -26,8 +26,21 @@ def test_coder_round_trip_and_damage():
         broken[at] ^= 1
         with pytest.raises(ValueError):
             range_coder.decode([bytes(broken)])
-    with pytest.raises(ValueError):
-        range_coder.encode([np.array([70000])])
+
+
+@pytest.mark.parametrize("top", [100_000, 1 << 20, 1 << 22, (1 << 32) - 1])
+def test_ids_of_large_vocabularies(top):
+    rng = np.random.default_rng(2)
+    blocks = [rng.integers(0, top, 300, dtype=np.uint64), np.array([top, 0, top, 0, top, 5]), np.arange(70), np.minimum(rng.zipf(1.2, 500), top), np.empty(0, int)]
+    codes = range_coder.encode(blocks)
+    assert [x.tolist() for x in range_coder.decode(codes + range_coder.encode([blocks[2]]))] == [x.tolist() for x in [*blocks, blocks[2]]]
+
+
+def test_joined_checksums():
+    rng = random.Random(4)
+    for n in (0, 1, 4, 100, 4096):
+        a, b = rng.randbytes(rng.randrange(50)), rng.randbytes(n)
+        assert range_coder.joined_crc(zlib.crc32(a), zlib.crc32(b), n) == zlib.crc32(a + b)
 
 
 def test_files_match_library(spark, monkeypatch):
