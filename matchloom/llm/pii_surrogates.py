@@ -4,12 +4,20 @@ Entities are found by pattern. Each distinct entity (its type and canonical form
 a number, lower case of an address or name) gets one surrogate, derived from a secret key by
 SHA-256: letters stay letters of their script and case, digits stay digits, separators stay;
 hexadecimal secrets stay hexadecimal, card numbers keep their first digit and a right check
-digit, addresses a valid form and whether they are private, AWS keys their prefix, names the
-script and gender of the title or given name. All writings of an entity get the same surrogate, each in its own format.
+digit, bank account numbers their country and right check digits, social security numbers a
+number that may be given out, addresses a valid form and whether they are private, AWS keys
+their prefix. All writings of an entity get the same surrogate, each in its own format.
+
+A person is a title, a phrase that introduces a name, or a known given name, with what follows.
+Given name and surname are entities of their own, so a surname has one surrogate whatever
+stands before it. Given names keep their gender (of the title, else of the name), all words
+their script.
 
 Surrogates are checked: one that equals another entity's surrogate, or any real entity of
 the corpus, is drawn anew with the next attempt until all are distinct. After ``WIDEN``
-attempts a word is drawn one letter longer, so that crowded forms can't keep it waiting.
+attempts a word is drawn one letter longer, so that crowded forms can't keep it waiting. Only
+forms of which there are too few (as 17 million private addresses) can run out: what is left
+after ``MOST_ATTEMPTS`` is masked, its digits by 0 and its letters by x.
 """
 
 from __future__ import annotations
@@ -19,21 +27,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free
 from .store import written
 
-WIDEN, MOST_ATTEMPTS = 8, 200
+WIDEN, MOST_ATTEMPTS = 8, 40
 
 #: Titles and given names that carry a gender.
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "господин"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа"]
-OTHER_TITLES = ["Dr", "Prof"]
+OTHER_TITLES = ["Dr", "Prof", "κ", "Δρ", "доктор"]
+#: Phrases that a name follows.
+PHRASES = ["my name is", "My name is", "name is", "Name:", "name:", "Dear", "signed by", "Signed by", "Sincerely,", "Regards,", "regards,", "contact person:"]
 MALE_NAMES = ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Daniel", "Paul", "Mark", "Peter", "Hans", "Pierre", "Jean", "Carlos", "José", "Juan", "Miguel", "Klaus", "Stefan"]
 FEMALE_NAMES = ["Mary", "Anna", "Linda", "Barbara", "Susan", "Sarah", "Karen", "Laura", "Emma", "Julia", "Maria", "Marie", "Claire", "Sophie", "Carmen", "Elena", "Isabel", "Ursula", "Petra", "Heike"]
 LATIN_SYLLABLES = ["ba", "be", "bo", "da", "de", "do", "ka", "ke", "ko", "la", "le", "lo", "ma", "me", "mo", "na", "ne", "no", "ra", "re", "ro", "sa", "se", "so", "ta", "te", "to", "va", "ve", "vo", "wa", "we"]
 CYRILLIC_SYLLABLES = ["ба", "бе", "бо", "да", "де", "до", "ка", "ке", "ко", "ла", "ле", "ло", "ма", "ме", "мо", "на", "не", "но", "ра", "ре", "ро", "са", "се", "со", "та", "те", "то", "ва", "ве", "во", "за", "зе"]
 
+#: Of each further script a letter's pattern, the first of a row of letters, and their number.
+SCRIPTS = [
+    (r"[\p{IsGreek}&&\p{Lu}]", 0x391, 17), (r"[\p{IsGreek}&&\p{Ll}]", 0x3B1, 17), (r"[\p{IsCyrillic}&&\p{Lu}]", 0x410, 32), (r"[\p{IsCyrillic}&&\p{Ll}]", 0x430, 32),
+    (r"[\p{IsArmenian}&&\p{Lu}]", 0x531, 38), (r"[\p{IsArmenian}&&\p{Ll}]", 0x561, 38), (r"[\p{IsGeorgian}&&\p{L}]", 0x10D0, 33), (r"[\p{IsHebrew}&&\p{L}]", 0x5D0, 27),
+    (r"[\p{IsArabic}&&\p{L}]", 0x628, 19), (r"[\p{IsDevanagari}&&\p{L}]", 0x915, 37), (r"[\p{IsThai}&&\p{L}]", 0xE01, 40), (r"[\p{IsHiragana}&&\p{L}]", 0x304B, 40),
+    (r"[\p{IsKatakana}&&\p{L}]", 0x30AB, 40), (r"[\p{IsHangul}&&\p{L}]", 0xAC00, 256), (r"[\p{IsHan}&&\p{L}]", 0x4E00, 256),
+]
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_WORD = r"\p{Lu}[\p{L}’'-]+"
+_WORD = r"[\p{Lu}\p{Lo}][\p{L}\p{M}’'-]+"
+_TITLE = rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? "
+_BEFORE = rf"(?:(?:{'|'.join(PHRASES)}) (?:{_TITLE})?|{_TITLE})"
+_GIVEN = rf"(?:{'|'.join(MALE_NAMES + FEMALE_NAMES)})"
 #: In the order in which they are tried; each matches an entity from its first character on.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -44,12 +66,12 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]\d{3,4}){2}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "person": rf"(?=[A-Zг])(?:(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? {_WORD}(?: {_WORD})?|(?:{'|'.join(MALE_NAMES + FEMALE_NAMES)}) {_WORD})",
+    "person": rf"(?:{_BEFORE}{_WORD}(?: {_WORD})?|{_GIVEN} {_WORD})",
 }
 #: An entity starts where no ASCII letter or digit is before it, so words are tried once.
 ANY = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: A text without any of these holds no entity; names are tried at capitals only.
-HINT = rf"[0-9@=:]|(?=[A-Zг])(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES + MALE_NAMES + FEMALE_NAMES)})[. ]"
+HINT = rf"[0-9@=:]|{_BEFORE}|{_GIVEN} "
 _SECRET_KEY = r"^[A-Za-z_-]+\s{0,3}[=:]\s{0,3}\"?"
 
 
@@ -66,24 +88,34 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, r"\D", "")
 
 
-def canonical_of(kind: Column, form: Column) -> Column:
-    """What all writings of one entity share."""
-    digits, name = _digits(form), F.lower(F.regexp_replace(form, rf"^(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? ", ""))
-    return (
+def _gender(form: Column) -> Column:
+    starts = lambda words: form.rlike(f"(?:^| )(?:{'|'.join(words)})[. ]")
+    return F.when(starts(MALE_TITLES) | starts(MALE_NAMES), "m").when(starts(FEMALE_TITLES) | starts(FEMALE_NAMES), "f").otherwise("x")
+
+
+def _name_of(form: Column) -> Column:
+    return F.regexp_replace(form, f"^{_BEFORE}", "")
+
+
+def parts_of(kind: Column, form: Column) -> Column:
+    """The entities (kind, canonical) in a mention: what all writings of one share. A person
+    has a given name, a surname or both, anything else is one."""
+    digits = _digits(form)
+    canonical = (
         F.when(kind == "email", F.lower(form))
         .when(kind == "secret", F.regexp_replace(form, _SECRET_KEY, ""))
         .when(kind == "phone", F.when((F.length(digits) == 11) & digits.startswith("1"), F.expr("substring(regexp_replace(form, '\\\\D', ''), 2)")).otherwise(digits))
         .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.regexp_replace(form, " ", ""))
-        .when(kind == "person", F.concat(_gender(form), F.lit(":"), name))
         .otherwise(form)
     )
-
-
-def _gender(form: Column) -> Column:
-    starts = lambda words: form.rlike(f"^(?:{'|'.join(words)})[. ]")
-    given = lambda words: form.rlike(f"(?:^| )(?:{'|'.join(words)}) ")
-    return F.when(starts(MALE_TITLES) | given(MALE_NAMES), "m").when(starts(FEMALE_TITLES) | given(FEMALE_NAMES), "f").otherwise("x")
+    words = F.split(_name_of(form), " ")
+    part = lambda k, c: F.struct(k.alias("kind"), c.alias("canonical"))
+    given = lambda w: part(F.lit("given"), F.concat(_gender(form), F.lit(":"), F.lower(w)))
+    surname = lambda w: part(F.lit("surname"), F.lower(w))
+    single = F.when(words[0].rlike(f"^{_GIVEN}$"), given(words[0])).otherwise(surname(words[0]))
+    person = F.when(F.size(words) > 1, F.array(given(words[0]), surname(F.try_element_at(words, F.lit(2))))).otherwise(F.array(single))
+    return F.when(kind == "person", person).otherwise(F.array(part(kind, canonical)))
 
 
 def _let(value: Column, body) -> Column:
@@ -128,20 +160,58 @@ def _luhn(first: Column) -> Column:
     return ((10 - F.aggregate(digits, F.lit(0), lambda a, x: a + x) % 10) % 10).cast("string")
 
 
-def _name(stream: Column, canonical: Column, attempt: Column) -> Column:
-    """gender:words -> as many words, in the script of the original."""
-    gender, words = F.substring(canonical, 1, 1), F.split(F.expr("substring(canonical, 3)"), " ")
-    cyrillic = canonical.rlike("[а-яё]")
+def _in_script(text: Column, stream: Column) -> Column:
+    """Every letter of the text replaced by one of its script and case; marks and the rest stay."""
+
+    def one(c: Column, at: Column) -> Column:
+        out = F.when(c.rlike(r"[\p{IsLatin}&&\p{Lu}]"), F.chr(F.lit(65) + _byte(stream, at) % 26))
+        for pattern, first, n in SCRIPTS:
+            # The letters of a row are encoded by their numbers; chr() only knows the first 256.
+            row = F.lit("".join(chr(first + k) for k in range(n) if chr(first + k).isalpha()))
+            out = out.when(c.rlike(pattern), F.substr(row, _byte(stream, at) % F.length(row) + 1, F.lit(1)))
+        return out.when(c.rlike(r"\p{L}"), F.chr(F.lit(97) + _byte(stream, at) % 26)).otherwise(c)
 
-    def invented(at: Column) -> Column:
-        syllable = lambda k: F.element_at(F.when(cyrillic, F.lit(CYRILLIC_SYLLABLES)).otherwise(F.lit(LATIN_SYLLABLES)), _byte(stream, at * 7 + k) % 32 + 1)
-        more = F.when(attempt >= WIDEN, syllable(5)).otherwise("")
-        end = F.when(cyrillic, F.when(gender == "f", "ова").otherwise("ов")).otherwise("n")
-        return F.initcap(F.concat(syllable(1), syllable(2), syllable(3), more, end))
+    return F.array_join(F.transform(F.split(text, ""), one), "")
 
-    given = lambda at: F.element_at(F.when(gender == "f", F.lit(FEMALE_NAMES)).otherwise(F.lit(MALE_NAMES)), _byte(stream, at) % 20 + 1)
-    several = F.size(words) > 1
-    return F.array_join(F.transform(words, lambda w, at: F.when(several & (at == 0) & ~cyrillic, given(at)).otherwise(invented(at))), " ")
+
+def _invented(stream: Column, attempt: Column, cyrillic: Column, end: Column) -> Column:
+    syllable = lambda k: F.element_at(F.when(cyrillic, F.lit(CYRILLIC_SYLLABLES)).otherwise(F.lit(LATIN_SYLLABLES)), _byte(stream, F.lit(k)) % 32 + 1)
+    more = F.when(attempt >= WIDEN, F.concat(syllable(5), F.when(attempt >= 2 * WIDEN, syllable(6)).otherwise(""))).otherwise("")
+    return F.concat(syllable(1), syllable(2), syllable(3), more, end)
+
+
+def _surname(stream: Column, word: Column, attempt: Column) -> Column:
+    cyrillic = word.rlike(r"\p{IsCyrillic}")
+    other = ~cyrillic & ~word.rlike(r"\p{IsLatin}")
+    end = F.when(cyrillic, F.when(word.endswith("а"), "ова").otherwise("ов")).otherwise("n")
+    longer = F.when(attempt >= WIDEN, F.concat(word, F.substring(word, 1, 1))).otherwise(word)
+    return F.when(other, _in_script(longer, stream)).otherwise(_invented(stream, attempt, cyrillic, end))
+
+
+def _given(stream: Column, canonical: Column, attempt: Column) -> Column:
+    """gender:name -> a name of that gender; a known one in the first attempts."""
+    gender, word = F.substring(canonical, 1, 1), F.expr("substring(canonical, 3)")
+    cyrillic, listed = word.rlike(r"\p{IsCyrillic}"), word.rlike(r"\p{IsLatin}") & (attempt < WIDEN // 2)
+    known = F.element_at(F.when(gender == "f", F.lit(FEMALE_NAMES)).when(gender == "m", F.lit(MALE_NAMES)).otherwise(F.lit(MALE_NAMES + FEMALE_NAMES)), _byte(stream, F.lit(9)) % F.when(gender == "x", 40).otherwise(20) + 1)
+    end = F.when(gender == "f", F.when(cyrillic, "на").otherwise("na")).otherwise(F.when(cyrillic, "р").otherwise("r"))
+    other = ~cyrillic & ~word.rlike(r"\p{IsLatin}")
+    return F.when(other, _in_script(F.when(attempt >= WIDEN, F.concat(word, word)).otherwise(word), stream)).when(listed, F.lower(known)).otherwise(_invented(stream, attempt, cyrillic, end))
+
+
+def _ssn(stream: Column) -> Column:
+    """Nine digits: no area of 000, 666 or from 900 on, no group of 00, no serial of 0000."""
+    number = lambda k: _byte(stream, F.lit(k)) * 256 + _byte(stream, F.lit(k + 1))
+    area = number(60) % 898 + 1
+    area = F.when(area >= 666, area + 1).otherwise(area)
+    return F.concat(F.lpad(area.cast("string"), 3, "0"), F.lpad((number(62) % 99 + 1).cast("string"), 2, "0"), F.lpad((number(64) % 9999 + 1).cast("string"), 4, "0"))
+
+
+def _iban(country: Column, account: Column) -> Column:
+    """Country, check digits, account: the rest by 97 of account, country and check is 1."""
+    value = lambda k: (F.ascii(F.substring(country, k, 1)) - 55).cast("string")
+    digits = F.concat(account, value(1), value(2), F.lit("00"))
+    rest = F.aggregate(F.split(digits, ""), F.lit(0), lambda a, d: (a * 10 + d.cast("int")) % 97)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
 
 
 def surrogate_of(key: str) -> Column:
@@ -163,12 +233,19 @@ def surrogate_of(key: str) -> Column:
         .when(kind == "ip", F.concat_ws(".", F.when(private, F.lit("10")).otherwise(public), octet(1), octet(2), octet(3)))
         .when(kind == "phone", phone)
         .when(kind == "aws", F.concat(F.lit("AKIA"), F.expr("substring(drawn, 5)")))
-        .when(kind == "iban", F.concat(F.substring(canonical, 1, 2), F.expr("substring(drawn, 3)")))
-        .when(kind == "person", F.concat(F.substring(canonical, 1, 2), _name(stream, canonical, attempt)))
+        .when(kind == "iban", _iban(F.substring(canonical, 1, 2), F.expr("substring(drawn, 5)")))
+        .when(kind == "ssn", _ssn(stream))
+        .when(kind == "given", _given(stream, canonical, attempt))
+        .when(kind == "surname", _surname(stream, canonical, attempt))
         .otherwise(F.col("drawn"))
     )
 
 
+def _bare(kind: Column, canonical: Column) -> Column:
+    """What a surrogate must not be equal to: the entity in lower case, a name without gender."""
+    return F.lower(F.when(kind == "given", F.expr("substring(canonical, 3)")).otherwise(canonical))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate): distinct within a kind, and none a real entity."""
     real = written(entities.select("kind", "canonical").distinct(), "entities")
@@ -178,33 +255,36 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         hexadecimal = (F.col("kind") == "secret") & F.col("canonical").rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
         drawn = waiting.withColumn("attempt", F.lit(attempt)).withColumn("drawn", _letters(F.col("canonical"), stream, F.when(hexadecimal, 6).otherwise(26)))
         tried = drawn.withColumn("surrogate", surrogate_of(key)).select("kind", "canonical", "surrogate")
-        taken = reduce(DataFrame.unionByName, [real.select("kind", F.lower("canonical").alias("low")), *(d.select("kind", F.lower("surrogate").alias("low")) for d in done)])
+        taken = reduce(DataFrame.unionByName, [real.select("kind", _bare(F.col("kind"), F.col("canonical")).alias("low")), *(d.select("kind", F.lower("surrogate").alias("low")) for d in done)])
         free = tried.withColumn("low", F.lower("surrogate")).join(taken, ["kind", "low"], "left_anti")
         won = free.groupBy("kind", "low").agg(F.min(F.struct("canonical", "surrogate")).alias("w")).select("kind", "w.canonical", "w.surrogate")
         done.append(written(won, "surrogates"))
         waiting = written(waiting.join(done[-1], ["kind", "canonical"], "left_anti"), "waiting")
         attempt += 1
-    if attempt == MOST_ATTEMPTS:
-        raise ValueError("no free surrogates are left for some kind of entity")
-    return reduce(DataFrame.unionByName, done) if done else real.withColumn("surrogate", F.col("canonical"))
+    masked = F.regexp_replace(F.regexp_replace("canonical", r"^[mfx]:", ""), r"\p{L}", "x")
+    done.append(waiting.select("kind", "canonical", F.regexp_replace(masked, "[0-9]", "0").alias("surrogate")))
+    return reduce(DataFrame.unionByName, done)
 
 
 def written_as(form: Column) -> Column:
-    """The surrogate in the format of the mention. Columns: kind, form, canonical, surrogate."""
-    kind, out = F.col("kind"), F.col("surrogate")
+    """The surrogates in the format of the mention. Columns: kind, form, found (surrogates in
+    the order of the mention's entities)."""
+    kind, out = F.col("kind"), F.col("found")[0]
     chars = F.split(form, "")
     # The last digits of the mention are the entity's; a country code before them stays.
     behind = lambda at: F.length(_digits(F.substr(form, at + 2, F.length(form))))
     place = lambda at: F.length(out) - behind(at)
     numbers = F.array_join(F.transform(chars, lambda c, at: F.when(c.rlike("^[0-9]$") & (place(at) >= 1), F.substr(out, place(at), F.lit(1))).otherwise(c)), "")
     spaced = F.array_join(F.transform(chars, lambda c, at: F.when(c == " ", c).otherwise(F.substr(out, F.length(F.regexp_replace(F.substr(form, F.lit(1), at + 1), " ", "")), F.lit(1)))), "")
-    title = F.regexp_extract(form, rf"^((?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? )", 1)
+    words = F.split(_name_of(form), " ")
+    shaped = F.zip_with("found", words, lambda f, w: F.when((F.length(w) > 1) & (F.upper(w) == w) & (F.lower(w) != w), F.upper(f)).otherwise(F.initcap(f)))
+    person = F.concat(F.regexp_extract(form, f"^({_BEFORE})", 1), F.array_join(shaped, " "))
     email = F.when(F.upper(form) == form, F.upper(out)).otherwise(out)
     return (
         F.when(kind.isin("phone", "card", "ssn"), numbers)
         .when(kind == "iban", spaced)
         .when(kind == "secret", F.concat(F.regexp_extract(form, f"({_SECRET_KEY})", 1), out))
-        .when(kind == "person", F.concat(title, F.expr("substring(surrogate, 3)")))
+        .when(kind == "person", person)
         .when(kind == "email", email)
         .otherwise(out)
     )
@@ -214,23 +294,30 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     """``docs``, all columns, entities in the text replaced, and the number of mentions.
 
     A null or empty text stays as it is, with no mention. Rows need no id: equal texts get
-    equal results, whatever their other columns; repeated rows stay.
+    equal results, whatever their other columns; repeated rows stay. A column of ``docs``
+    named like ``count_col`` is replaced by the number; any other name may occur.
     """
-    base = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    columns = [c for c in docs.columns if c != count_col]
+    base = docs.select(*columns).withColumn(text_col, F.col(text_col).cast("string"))
+    mentions, digest, swap_col = (free(columns, f"__{c}") for c in ("found", "text", "swaps"))
     # A filter only asks whether there is a mention, and stops at the first; mentions are
     # gathered from the texts that have any.
     holds = F.coalesce(F.col(text_col).rlike(HINT) & F.col(text_col).rlike(ANY), F.lit(False))
-    found = base.where(holds).withColumns({"__found": F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)), "__text": F.xxhash64(text_col)})
+    found = base.where(holds).withColumns({mentions: F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)), digest: F.xxhash64(text_col)})
     some = written(found, "mentions")
-    forms = some.select(F.col("__text"), F.explode(F.array_distinct("__found")).alias("form"))
-    kinds = forms.select("form").distinct().withColumn("kind", kind_of(F.col("form"))).withColumn("canonical", canonical_of(F.col("kind"), F.col("form")))
+    forms = some.select(F.col(digest).alias("digest"), F.explode(F.array_distinct(mentions)).alias("form")).distinct()
+    kinds = forms.select("form").distinct().withColumn("kind", kind_of(F.col("form"))).withColumn("parts", parts_of(F.col("kind"), F.col("form")))
     kinds = written(kinds, "forms")
-    swaps = kinds.join(surrogates(kinds, key), ["kind", "canonical"]).select("form", written_as(F.col("form")).alias("swap"))
-    # A text's mentions are no more than the text; equal texts share one entry.
-    by_text = forms.distinct().join(swaps, "form").groupBy("__text").agg(F.map_from_entries(F.collect_list(F.struct("form", "swap"))).alias("__swaps"))
+    parts = kinds.select("form", F.col("kind").alias("of"), F.posexplode("parts").alias("pos", "part")).select("form", "of", "pos", "part.*")
+    by_form = parts.join(surrogates(parts, key), ["kind", "canonical"]).groupBy("form", F.col("of").alias("kind")).agg(F.array_sort(F.collect_list(F.struct("pos", "surrogate"))).alias("s"))
+    swaps = by_form.withColumn("found", F.col("s.surrogate")).select("form", written_as(F.col("form")).alias("swap"))
+    # A text's mentions are no more than the text; equal texts share one entry. Written apart
+    # from the join, so that Spark can split the rows of a very common text.
+    by_text = forms.join(swaps, "form").groupBy(F.col("digest").alias(digest)).agg(F.map_from_entries(F.collect_list(F.struct("form", "swap"))).alias(swap_col))
+    by_text = written(by_text, "swaps")
     between = F.split(F.col(text_col), ANY, -1)
-    swapped = F.transform(F.col("__found"), lambda m: F.coalesce(F.element_at("__swaps", m), m))
-    pieces = F.zip_with(swapped, F.slice(between, 2, F.size("__found")), lambda m, rest: F.concat(m, rest))
-    done = some.join(by_text, "__text").withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size("__found"))
+    swapped = F.transform(F.col(mentions), lambda m: F.coalesce(F.element_at(F.col(swap_col), m), m))
+    pieces = F.zip_with(swapped, F.slice(between, 2, F.size(mentions)), lambda m, rest: F.concat(m, rest))
+    done = some.join(by_text, digest).withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size(mentions))
     rest = base.where(~holds).withColumn(count_col, F.lit(0))
-    return done.drop("__found", "__text", "__swaps").unionByName(rest)
+    return done.select(*columns, count_col).unionByName(rest)
