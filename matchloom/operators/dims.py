@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .merge import first_wins
 from .sequence import ranked
 
 #: Rows and bytes up to which a dimension may be broadcast; a larger one is joined by shuffle.
@@ -45,20 +48,58 @@ def remap(df: DataFrame, column: str, old: DataFrame, new: DataFrame) -> DataFra
     return df.join(small(ids), column).withColumn(column, F.col("__new")).drop("__new")
 
 
-def star(wide: DataFrame, columns: list[str]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """S-09: a dimension for each of ``columns``, and the fact with ids in their place."""
-    dims = {c: encode(wide, column=c) for c in columns}
-    fact = wide
-    for c, dim in dims.items():
-        fact = encoded_by(fact, dim, c, f"{c}_id")
-    return dims, fact
-
-
-def unstar(dims: dict[str, DataFrame], fact: DataFrame) -> DataFrame:
-    """The wide rows again."""
-    for c, dim in dims.items():
-        fact = fact.join(small(dim.select(F.col("id").alias(f"{c}_id"), F.col("name").alias(c))), f"{c}_id", "left").drop(f"{c}_id")
-    return fact
+#: S-09: the dimensions, and the columns of wide odds rows whose values they hold.
+STAR = {"sports": ["sport"], "leagues": ["league"], "teams": ["home", "away"], "bookmakers": ["bookmaker"], "markets": ["market"], "submkts": ["submarket"], "outcomes": ["outcome"]}
+ODDS_COLUMNS = ["market", "submarket", "outcome", "bookmaker"]
+
+
+def star(wide: DataFrame, event_columns: list[str], odds_values: list[str], order: list) -> dict[str, DataFrame]:
+    """S-09: wide rows of odds as seven dimensions, events (a row for each event_id, the first
+    by ``order``, with league_id, home_id, away_id and ``event_columns``) and odds (a row for
+    each event and each of ``ODDS_COLUMNS``, the first by ``order``). leagues has its sport_id.
+    A missing name has a missing id."""
+    names = {t: reduce(DataFrame.union, (wide.select(F.col(c).alias("name")) for c in columns)) for t, columns in STAR.items()}
+    out = {t: encode(df) for t, df in names.items()}
+    sport_of = wide.select("league", "sport").where("league is not null").groupBy(F.col("league").alias("name")).agg(F.min("sport").alias("sport"))
+    out["leagues"] = encoded_by(out["leagues"].join(sport_of, "name"), out["sports"], "sport", "sport_id").select("id", "sport_id", "name")
+    events = first_wins(wide, ["event_id"], order).select("event_id", "league", "home", "away", *event_columns)
+    for column, dim in (("league", "leagues"), ("home", "teams"), ("away", "teams")):
+        events = encoded_by(events, out[dim], column, f"{column}_id")
+    odds = first_wins(wide, ["event_id", *ODDS_COLUMNS], order).select("event_id", *ODDS_COLUMNS, *odds_values)
+    for column, dim in zip(ODDS_COLUMNS, ("markets", "submkts", "outcomes", "bookmakers"), strict=True):
+        odds = encoded_by(odds, out[dim], column, f"{column}_id")
+    return out | {"events": events, "odds": odds}
+
+
+def unstar(tables: dict[str, DataFrame]) -> DataFrame:
+    """The wide rows again, one for each row of odds."""
+
+    def named(df: DataFrame, column: str, dim: str, *more: str) -> DataFrame:
+        names = tables[dim].select(F.col("id").alias(f"{column}_id"), F.col("name").alias(column), *more)
+        return df.join(small(names), f"{column}_id", "left").drop(f"{column}_id")
+
+    events = named(named(named(named(tables["events"], "league", "leagues", "sport_id"), "sport", "sports"), "home", "teams"), "away", "teams")
+    odds = tables["odds"]
+    for column, dim in zip(ODDS_COLUMNS, ("markets", "submkts", "outcomes", "bookmakers"), strict=True):
+        odds = named(odds, column, dim)
+    return odds.join(events, "event_id")
+
+
+def merged_names(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """J-02 for all shards at once: of (shard_rank, dim, id, name) the merged dimensions (dim,
+    id, name) and the mapping (shard_rank, dim, old, new)."""
+    merged = ranked(names.select("dim", "name").distinct(), ["dim", "name"], "id")
+    new = merged.select("dim", "name", F.col("id").alias("new"))
+    return merged.select("dim", "id", "name"), names.join(new, ["dim", "name"]).select("shard_rank", "dim", F.col("id").alias("old"), "new")
+
+
+def remapped(df: DataFrame, mapping: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """J-02: the columns' ids as those of the merged dimensions; rows with an id that their
+    shard has no name for are dropped."""
+    for column, dim in columns.items():
+        ids = mapping.where(F.col("dim") == dim).select("shard_rank", F.col("old").alias(column), "new")
+        df = df.join(small(ids), ["shard_rank", column]).withColumn(column, F.col("new")).drop("new")
+    return df
 
 
 def resolve_alias(rows: DataFrame, aliases: DataFrame, given: str = "given", sport: str = "sport") -> DataFrame:

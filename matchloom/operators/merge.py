@@ -103,10 +103,3 @@ def grant_amnesty(state: DataFrame, gaps: DataFrame, cutoff: str, include_root:
     root = F.lit(include_root) & (F.col("season") == "") & (F.col("n") < 0)
     gone = old & ((F.col("__gap").isNotNull() & (F.col("n") <= 0)) | root)
     return state.join(forms, ["league", "season"], "left").where(~gone).drop("__gap")
-
-
-def merge_shards(shards: DataFrame, odds: DataFrame, state: DataFrame, odds_key: list[str], odds_order: list) -> dict[str, DataFrame]:
-    """M-12: ranked shards to one set of events, odds and season states. Events are one
-    shuffle by id, odds one by their key; the repairs are projections on top."""
-    events = fill_zero_scores(infer_season(merge_events(shards), F.col("dt")))
-    return {"events": events, "odds": first_wins(odds, odds_key, odds_order), "state": drop_false_empty(merge_season_state(state), events)}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.fixed_values import MARKET_KEYS
 from ..operators import audit, dims, matching, merge, odds, planning, sequence
+from ..operators.shards import EVENT_IDS, ODDS_IDS, final_counts, merge_shards
 from ..session import folder, table
 from ..sources import files
 from .registry import query
@@ -51,6 +52,19 @@ def s03(spark, sf):
     return files.read_tolerant_csv(spark, path, T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("quantity", T.DoubleType())]))[1]
 
 
+@query("s03_skipped_files", "select 'schema' as reason, count(*) as n from (select distinct l_returnflag from lineitem where l_returnflag <> 'R') x union all select 'rows', count(*) from lineitem where l_returnflag = 'R'")
+def s03_files(spark, sf):
+    from pyspark.sql import types as T
+
+    path = folder(spark, "drifting")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    for flag in ("A", "N", "R"):  # only files of R have the quantity's column
+        part = rows.where(F.col("l_returnflag") == flag).coalesce(1).select("l_orderkey", F.col("l_quantity").alias("quantity" if flag == "R" else "amount"))
+        part.write.mode("append").option("header", True).csv(path)
+    good, _, skipped = files.read_usable_csv(spark, path, T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("quantity", T.DoubleType())]))
+    return skipped.unionByName(good.agg(F.lit("rows").alias("reason"), F.count("l_orderkey").alias("n")))
+
+
 @query("s04_csv_round_trip", "select home_team, market, real_odd, l_orderkey from {v_real_odds}")
 def s04(spark, sf):
     df = view(spark, sf, "v_real_odds").select("home_team", "market", "real_odd", "l_orderkey")
@@ -95,12 +109,19 @@ def s08(spark, sf):
     return sitemap(bodies, "xml", r"^https?://[^/]+/(.*)$")
 
 
-@query("s09_star_schema", "select distinct event_id, market, submarket, outcome, bookmaker, odds_closing from {v_odds}")
+_TOTAL = "event_id, l_linenumber, l_partkey, l_shipdate, l_extendedprice, l_quantity"
+_FIRST_ODDS = f"(select *, row_number() over (partition by event_id, market, submarket, outcome, bookmaker order by {_TOTAL}) as n from {{v_odds}})"
+
+
+@query("s09_star_schema", f"""
+    select event_id, 'sport ' || cast(nk % 3 as string) as sport, league, season, home, away, status, market, submarket, outcome, bookmaker, odds_closing from {_FIRST_ODDS} o join {{v_events}} e on event_id = id where n = 1""")
 def s09(spark, sf):
-    wide = view(spark, sf, "v_odds").select("event_id", "market", "submarket", "outcome", "bookmaker", "odds_closing").distinct()
-    path, columns = folder(spark, "star"), ["market", "submarket", "outcome"]
-    files.write_star(*dims.star(wide, columns), path)
-    return dims.unstar(*files.read_star(spark, columns, path)).select(*wide.columns)
+    events = view(spark, sf, "v_events").select(F.col("id").alias("event_id"), F.concat(F.lit("sport "), (F.col("nk") % 3).cast("string")).alias("sport"), "league", "season", "home", "away", "status")
+    wide = view(spark, sf, "v_odds").join(events, "event_id")
+    path = folder(spark, "star")
+    files.write_star(dims.star(wide, ["season", "status"], ["odds_closing"], ODDS_ORDER), path)
+    out = dims.unstar(files.read_star(spark, [*dims.STAR, "events", "odds"], path))
+    return out.select("event_id", "sport", "league", F.col("season").cast("string").alias("season"), "home", "away", "status", "market", "submarket", "outcome", "bookmaker", "odds_closing")
 
 
 @query("s10_events_without_odds", "select id, coalesce(n, 0) as n_odds from {v_events} left join (select event_id, count(*) as n from {v_odds} group by event_id) o on id = event_id")
@@ -319,9 +340,6 @@ def m01(spark, sf):
     return dims.encode(c.select(F.col("c_name").alias("name")).union(s.select("s_name")), known).select("name", "id")
 
 
-_TOTAL = "event_id, l_linenumber, l_partkey, l_shipdate, l_extendedprice, l_quantity"
-
-
 @query("m02_first_wins", f"select event_id, market, submarket, outcome, bookmaker, odds_closing from (select *, row_number() over (partition by event_id, market, submarket, outcome, bookmaker order by {_TOTAL}) as n from {{v_odds}}) x where n = 1")
 def m02(spark, sf):
     return merge.first_wins(view(spark, sf, "v_odds"), ODDS_KEY, ODDS_ORDER).select(*ODDS_KEY, "odds_closing")
@@ -356,10 +374,7 @@ def m04(spark, sf):
       select s.league, s.season, case when (length(s.league) + r) % 3 = 0 then 0 else s.n end as n, r, case when (s.n + r) % 4 = 0 then null else s.completed_at + r * interval '1' day end as done
       from {v_state} s cross join (select 0 as r union all select 1 union all select 2) t) x group by league, season""")
 def m05(spark, sf):
-    rows = view(spark, sf, "v_state").withColumn("shard_rank", F.explode(F.lit([0, 1, 2])))
-    n = F.when((F.length("league") + F.col("shard_rank")) % 3 == 0, 0).otherwise(F.col("n"))
-    at = F.when((F.col("n") + F.col("shard_rank")) % 4 != 0, F.expr("completed_at + shard_rank * interval '1' day"))
-    return merge.merge_season_state(rows.select("league", "season", "shard_rank", n.cast("long").alias("n"), at.alias("completed_at")))
+    return merge.merge_season_state(states(spark, sf))
 
 
 _LAST = "row_number() over (partition by match_date, home_team, market order by file_rank desc, l_orderkey desc, l_linenumber desc, l_partkey desc, real_odd desc, l_quantity desc)"
@@ -415,16 +430,73 @@ def m11(spark, sf):
     return merge.grant_amnesty(view(spark, sf, "v_state"), gaps, "2001-07-15", include_root=True).select("league", "season", "n")
 
 
+# A shard names its leagues, teams and so on by ids of its own. Some teams have lost their name.
+_LOST = "%77"
+_M12_FOLD = _FOLD.replace("from {v_shards}", f"from {{v_shards}} where home not like '{_LOST}'")
+_M12_SEASON = "coalesce(season, strftime(dt, '%Y'))"
+_M12_ODDS = f"(select *, row_number() over (partition by event_id, market, submarket, outcome, bookmaker order by l_partkey % 3, {_TOTAL}) as n from {{v_odds}})"
+_STATES = """(select league, season, max(n) as n, last(completed_at order by r) as completed_at from (
+    select s.league, s.season, case when (length(s.league) + r) % 3 = 0 then 0 else s.n end as n, r, case when (s.n + r) % 4 = 0 then null else s.completed_at + r * interval '1' day end as completed_at
+    from {v_state} s cross join (select 0 as r union all select 1 union all select 2) t) x group by league, season)"""
+_M12_STATES = f"(select * from {_STATES} s where n <> 0 or not exists (select 1 from {_M12_FOLD} f where f.league = s.league and {_M12_SEASON} = s.season))"
+
+
+def states(spark, sf):
+    """The season states of three shards."""
+    rows = view(spark, sf, "v_state").withColumn("shard_rank", F.explode(F.lit([0, 1, 2])))
+    n = F.when((F.length("league") + F.col("shard_rank")) % 3 == 0, 0).otherwise(F.col("n"))
+    at = F.when((F.col("n") + F.col("shard_rank")) % 4 != 0, F.expr("completed_at + shard_rank * interval '1' day"))
+    return rows.select("league", "season", "shard_rank", n.cast("long").alias("n"), at.alias("completed_at"))
+
+
+def merged_shards(spark, sf):
+    own = lambda c: F.xxhash64("shard_rank", F.col(c).cast("string"))
+    events = shards(spark, sf)
+    odds = view(spark, sf, "v_odds").withColumn("shard_rank", F.col("l_partkey") % 3)
+    named = [(events, "leagues", "league"), (events, "teams", "home"), (events, "teams", "away"), (odds, "markets", "market"), (odds, "submkts", "submarket"), (odds, "outcomes", "outcome"), (odds, "bookmakers", "bookmaker")]
+    parts = [df.select(F.col("shard_rank").cast("int"), F.lit(dim).alias("dim"), own(c).alias("id"), F.col(c).cast("string").alias("name")).distinct() for df, dim, c in named]
+    names = parts[0]
+    for x in parts[1:]:
+        names = names.union(x)
+    names = names.distinct().where(f"dim <> 'teams' or name not like '{_LOST}'")
+    coded = events.withColumns({f"{c}_id": own(c) for c in ("league", "home", "away")}).drop("league", "home", "away")
+    coded_odds = odds.withColumns({f"{c}_id": own(c) for c in ("market", "submarket", "outcome", "bookmaker")}).drop("market", "submarket", "outcome", "bookmaker")
+    return merge_shards(names, coded, coded_odds, states(spark, sf), ODDS_ORDER)
+
+
+def _named(df, merged, ids):
+    for column, dim in ids.items():
+        df = df.join(merged["dims"].where(F.col("dim") == dim).select(F.col("id").alias(column), F.col("name").alias(column.removesuffix("_id"))), column).drop(column)
+    return df
+
+
+@query("m12_merged_events", f"""
+    select id, league, home, away, {_M12_SEASON} as season, dt, case when status = 'finished' and score_home is null and score_away is not null then 0 else score_home end as score_home,
+      case when status = 'finished' and score_home is not null and score_away is null then 0 else score_away end as score_away, sets_detail, status from {_M12_FOLD} f""")
+def m12_events(spark, sf):
+    merged = merged_shards(spark, sf)
+    return _named(merged["events"], merged, EVENT_IDS).select(*_EVENT.split(", "), "season")
+
+
+@query("m12_merged_odds", f"select event_id, market, submarket, outcome, cast(bookmaker as string) as bookmaker, odds_closing from {_M12_ODDS} o where n = 1")
+def m12_odds(spark, sf):
+    merged = merged_shards(spark, sf)
+    return _named(merged["odds"], merged, ODDS_IDS).select(*ODDS_KEY, "odds_closing")
+
+
+@query("m12_merged_state", f"select league, season, n, completed_at from {_M12_STATES} s")
+def m12_state(spark, sf):
+    return merged_shards(spark, sf)["state"].select("league", "season", "n", "completed_at")
+
+
 @query("m12_shard_merge", f"""
-    select 'events' as name, count(*) as n, cast(sum(case when status = 'finished' and score_home is null and score_away is not null then 0 else score_home end) as bigint) as checksum from {_FOLD} f
-    union all select 'odds', count(*), cast(sum(tenths) as bigint) from (select *, row_number() over (partition by event_id, market, submarket, outcome, bookmaker order by {_TOTAL}) as n from {{v_odds}}) x where n = 1
-    union all select 'state', count(*), cast(sum(n) as bigint) from {{v_state}} s where n <> 0 or not exists (select 1 from {_FOLD} f where f.league = s.league and coalesce(f.season, strftime(f.dt, '%Y')) = s.season)""")
+    select 'events' as name, count(*) as n from {_M12_FOLD} f union all select 'odds', count(*) from {_M12_ODDS} o where n = 1
+    union all select 'seasons_cached', count(*) from {_M12_STATES} s union all select 'seasons_empty', count(*) from {_M12_STATES} s where n = 0
+    union all select 'leagues', count(distinct league) from {{v_shards}} union all select 'teams', count(distinct x) from (select home as x from {{v_shards}} where home not like '{_LOST}' union all select away from {{v_shards}}) t
+    union all select 'markets', count(distinct market) from {{v_odds}} union all select 'submkts', count(distinct submarket) from {{v_odds}}
+    union all select 'outcomes', count(distinct outcome) from {{v_odds}} union all select 'bookmakers', count(distinct bookmaker) from {{v_odds}}""")
 def m12(spark, sf):
-    state = view(spark, sf, "v_state").withColumn("shard_rank", F.lit(0))
-    out = merge.merge_shards(shards(spark, sf), view(spark, sf, "v_odds"), state, ODDS_KEY, ODDS_ORDER)
-    total = {"events": "score_home", "odds": "tenths", "state": "n"}
-    parts = [df.agg(F.count("*").alias("n"), F.sum(total[name]).cast("long").alias("checksum")).select(F.lit(name).alias("name"), "n", "checksum") for name, df in out.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return final_counts(merged_shards(spark, sf))
 
 
 # --- windows

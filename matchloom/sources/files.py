@@ -44,6 +44,29 @@ def read_tolerant_csv(spark: SparkSession, path: str, schema: T.StructType) -> t
     return rows.where("__corrupt is null").drop("__corrupt"), report
 
 
+def usable_files(spark: SparkSession, folder: str, columns: list[str], pattern: str = "*.csv") -> DataFrame:
+    """S-03: (file, reason) of each file of a folder: reason is NULL if it can be used, else
+    ``empty`` (nothing but white space), ``corrupt`` (bytes that are no text) or ``schema`` (its
+    header lacks a column). Only the first 64 kB of a file are looked at; files of no bytes at
+    all are passed over by Spark itself."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    head = F.substring("content", 1, 1 << 16)
+    first = F.trim(F.split_part(F.regexp_replace(F.col("text"), "\r", ""), F.lit("\n"), F.lit(1)))
+    lacks = F.size(F.array_except(F.lit(columns), F.transform(F.split(first, ","), lambda c: F.trim(c, F.lit('"'))))) > 0
+    rows = files.select(F.col("path").alias("file"), "length", head.alias("head")).withColumn("text", F.when(F.col("length") > 0, F.expr("try_validate_utf8(cast(head as string))")))
+    reason = F.when(F.trim(F.regexp_replace("text", r"\s+", "")) == "", "empty").when(F.col("text").isNull() | F.col("text").contains("\0"), "corrupt").when(lacks, "schema")
+    return rows.select("file", reason.alias("reason"))
+
+
+def read_usable_csv(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S-03: (good rows, report of rows, report of skipped files) of a folder of CSV files."""
+    files = usable_files(spark, folder, schema.names)
+    good = [r["file"] for r in files.where("reason is null").select("file").collect()]  # a list of files, as a scan needs it
+    skipped = files.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+    rows, report = read_tolerant_csv(spark, good, schema) if good else (spark.createDataFrame([], schema), spark.createDataFrame([], "good boolean, n long, n_values long"))
+    return rows, report, skipped
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S-04."""
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -73,16 +96,15 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_star(dims: dict[str, DataFrame], fact: DataFrame, path: str, partition: str | None = None) -> None:
-    """S-09: each dimension and the fact as Parquet, the fact partitioned by a column."""
-    for name, dim in dims.items():
-        dim.write.mode("overwrite").parquet(f"{path}/{name}")
-    writer = fact.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/fact")
+def write_star(tables: dict[str, DataFrame], path: str, partition: str | None = "season") -> None:
+    """S-09: each table as Parquet, events partitioned by a column."""
+    for name, df in tables.items():
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition and name == "events" else writer).parquet(f"{path}/{name}")
 
 
-def read_star(spark: SparkSession, names: list[str], path: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    return {n: spark.read.parquet(f"{path}/{n}") for n in names}, spark.read.parquet(f"{path}/fact")
+def read_star(spark: SparkSession, names: list[str], path: str) -> dict[str, DataFrame]:
+    return {n: spark.read.parquet(f"{path}/{n}") for n in names}
 
 
 def events_and_odds(events: DataFrame, odds: DataFrame) -> DataFrame:

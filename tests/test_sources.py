@@ -44,3 +44,20 @@ def test_failed_extractor_costs_only_its_market(spark):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = view(spark, "/root/testdata/sf0.001", "v_real_odds").where("home_team = 5").select("home_team", F.col("real_odd"))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_suppkey,5)" in plan and "l_comment" not in plan and "l_tax" not in plan
+
+
+def test_skipped_files_are_counted(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text("id,odd\n1,2.5\n2,x\n")
+    (tmp_path / "b.csv").write_text(" \n\n")
+    (tmp_path / "c.csv").write_bytes(b"id,odd\n\xff\xfe\x00\x01")
+    (tmp_path / "d.csv").write_text("id,price\n1,2\n")
+    (tmp_path / "e.csv").write_text('"odd","id"\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("odd", T.DoubleType())])
+    files_ = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in files.usable_files(spark, str(tmp_path), schema.names).collect()}
+    assert files_ == {"a.csv": None, "b.csv": "empty", "c.csv": "corrupt", "d.csv": "schema", "e.csv": None}
+    rows, report, skipped = files.read_usable_csv(spark, str(tmp_path), schema)
+    assert [tuple(r) for r in rows.collect()] == [(1, 2.5)]
+    assert sorted((r["good"], r["n"]) for r in report.collect()) == [(False, 1), (True, 1)]
+    assert sorted(map(tuple, skipped.collect())) == [("corrupt", 1), ("empty", 1), ("schema", 1)]
