@@ -10,21 +10,22 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _folders: list[str] = []  # of the scratch blocks that are open, the innermost last
+_own: dict[str, str] = {}  # by application, where the cluster names no folder
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``. Where nothing is named, a temporary
-    folder is taken and the setting filled in with it, on a local master only: executors on
-    other machines would not see it.
+    folder is taken, on a local master only: executors on other machines would not see it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not named:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        if context.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="spark-matchloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="spark-matchloom-")
+        named = _own[context.applicationId]
     return named.rstrip("/")
 
 

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from matchloom.llm import store
 from matchloom.llm.queries import oracle_sql, queries
 from matchloom.llm.store import table, written
 
@@ -117,3 +118,44 @@ def test_queries_match_sql(spark, name):
 def test_queries_run(spark, name):
     df = queries()[name](spark, SF)
     assert "doc_id" in df.columns and dict(df.dtypes)["doc_id"] == "bigint" and df.count() >= 0
+
+
+EXTRA = "1 as id, 2 as body, 3 as __kept, 4 as __drop, 5 as __gone, 6 as __hit, 7 as stratum, 8 as node, 9 as line, 10 as __quality"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_empty_tables_and_nulls(spark, name, stage):
+    docs = table(spark, SF, "documents").selectExpr("*", *EXTRA.split(", "))
+    last = name == corpus_pipeline.STAGES[-1][0]
+    empty = stage(spark, docs.limit(0), SF)
+    assert empty.count() == 0 and (last or empty.columns == docs.columns)
+    good = docs.where("length(text) > 2000 and lang = 'en'").limit(1).select("text").first()["text"]
+    rows = [(None, None, None, None, None), (1, None, "en", "s", 0), (2, "", None, None, 0), (3, good, None, None, None), (3, good, None, None, None), (None, good, "en", None, 5)]
+    got = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *EXTRA.split(", ")), SF)
+    found = [(str(r["doc_id"]), None if last else r["text"]) for r in got.collect()]
+    texts = {"quality_rules": [("3", good), ("3", good), ("None", good)]}.get(name, [("1", None), ("2", ""), ("3", good), ("3", good), ("None", None), ("None", good)])
+    assert sorted(found, key=str) == sorted([(i, None if last else t) for i, t in texts], key=str)
+    if not last:
+        assert got.columns == docs.columns and all(tuple(r)[5:] == tuple(range(1, 11)) for r in got.collect())
+
+
+def test_run_leaves_only_its_stages_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "shared_folder", lambda spark: str(tmp_path))
+    assert corpus_pipeline.run(spark, SF).count() >= 0
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == sorted(name for name, _ in corpus_pipeline.STAGES[:-1])
+
+
+class Session:
+    """A session of some master that names a shared folder or doesn't."""
+
+    def __init__(self, master, named=None):
+        self.conf = {"spark.checkpoint.dir": named}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"{master} {named}"})
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    assert store.shared_folder(Session("spark://a:1", "file:///shared/")) == "file:///shared"
+    assert store.shared_folder(mine := Session("local[4]")) == store.shared_folder(mine)
+    for master in ("spark://a:1", "yarn", "local-cluster[1,1,1024]"):
+        with pytest.raises(ValueError):
+            store.shared_folder(Session(master))
