@@ -22,15 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}  # by application, where the cluster names no shared folder
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors share, below ``spark.checkpoint.dir``.
     Where that isn't set a temporary folder is taken, on a local master only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not shared:
-        if spark.sparkContext.master.split("[")[0] != "local":
+        if context.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="spark-matchloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="spark-matchloom-")
+        shared = _own[context.applicationId]
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
