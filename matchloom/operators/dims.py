@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .merge import first_wins
 from .sequence import ranked
 
@@ -59,7 +60,7 @@ def star(wide: DataFrame, event_columns: list[str], odds_values: list[str], orde
     each event and each of ``ODDS_COLUMNS``, the first by ``order``). leagues has its sport_id.
     A missing name has a missing id."""
     names = {t: reduce(DataFrame.union, (wide.select(F.col(c).alias("name")) for c in columns)) for t, columns in STAR.items()}
-    out = {t: encode(df) for t, df in names.items()}
+    out = {t: stored(encode(df), t) for t, df in names.items()}
     sport_of = wide.select("league", "sport").where("league is not null").groupBy(F.col("league").alias("name")).agg(F.min("sport").alias("sport"))
     out["leagues"] = encoded_by(out["leagues"].join(sport_of, "name"), out["sports"], "sport", "sport_id").select("id", "sport_id", "name")
     events = first_wins(wide, ["event_id"], order).select("event_id", "league", "home", "away", *event_columns)
