@@ -37,7 +37,7 @@ MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "господин"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа"]
 OTHER_TITLES = ["Dr", "Prof", "κ", "Δρ", "доктор"]
 #: Phrases that a name follows.
-PHRASES = ["my name is", "My name is", "name is", "Name:", "name:", "Dear", "signed by", "Signed by", "Sincerely,", "Regards,", "regards,", "contact person:"]
+PHRASES = ["My name is", "Name:", "Dear", "Signed by", "Sincerely,", "Regards,"]
 MALE_NAMES = ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Daniel", "Paul", "Mark", "Peter", "Hans", "Pierre", "Jean", "Carlos", "José", "Juan", "Miguel", "Klaus", "Stefan"]
 FEMALE_NAMES = ["Mary", "Anna", "Linda", "Barbara", "Susan", "Sarah", "Karen", "Laura", "Emma", "Julia", "Maria", "Marie", "Claire", "Sophie", "Carmen", "Elena", "Isabel", "Ursula", "Petra", "Heike"]
 LATIN_SYLLABLES = ["ba", "be", "bo", "da", "de", "do", "ka", "ke", "ko", "la", "le", "lo", "ma", "me", "mo", "na", "ne", "no", "ra", "re", "ro", "sa", "se", "so", "ta", "te", "to", "va", "ve", "vo", "wa", "we"]
@@ -56,6 +56,8 @@ _WORD = r"[\p{Lu}\p{Lo}][\p{L}\p{M}’'-]+"
 _TITLE = rf"(?:{'|'.join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)})\.? "
 _BEFORE = rf"(?:(?:{'|'.join(PHRASES)}) (?:{_TITLE})?|{_TITLE})"
 _GIVEN = rf"(?:{'|'.join(MALE_NAMES + FEMALE_NAMES)})"
+#: What a person can begin with, so that the names are tried at few places.
+_FIRST = "(?=[A-ZгдκΔ])"
 #: In the order in which they are tried; each matches an entity from its first character on.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
@@ -66,12 +68,12 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]\d{3,4}){2}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "person": rf"(?:{_BEFORE}{_WORD}(?: {_WORD})?|{_GIVEN} {_WORD})",
+    "person": rf"{_FIRST}(?:{_BEFORE}{_WORD}(?: {_WORD})?|{_GIVEN} {_WORD})",
 }
 #: An entity starts where no ASCII letter or digit is before it, so words are tried once.
 ANY = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: A text without any of these holds no entity; names are tried at capitals only.
-HINT = rf"[0-9@=:]|{_BEFORE}|{_GIVEN} "
+HINT = rf"[0-9@=:]|{_FIRST}(?:{_BEFORE}|{_GIVEN} )"
 _SECRET_KEY = r"^[A-Za-z_-]+\s{0,3}[=:]\s{0,3}\"?"
 
 
@@ -162,40 +164,31 @@ def _luhn(first: Column) -> Column:
 
 def _in_script(text: Column, stream: Column) -> Column:
     """Every letter of the text replaced by one of its script and case; marks and the rest stay."""
+    rows = [(pattern, "".join(chr(first + k) for k in range(n) if chr(first + k).isalpha())) for pattern, first, n in SCRIPTS]
 
     def one(c: Column, at: Column) -> Column:
-        out = F.when(c.rlike(r"[\p{IsLatin}&&\p{Lu}]"), F.chr(F.lit(65) + _byte(stream, at) % 26))
-        for pattern, first, n in SCRIPTS:
-            # The letters of a row are encoded by their numbers; chr() only knows the first 256.
-            row = F.lit("".join(chr(first + k) for k in range(n) if chr(first + k).isalpha()))
-            out = out.when(c.rlike(pattern), F.substr(row, _byte(stream, at) % F.length(row) + 1, F.lit(1)))
-        return out.when(c.rlike(r"\p{L}"), F.chr(F.lit(97) + _byte(stream, at) % 26)).otherwise(c)
+        row = F.lit(None).cast("string")
+        for pattern, letters in reversed(rows):
+            row = F.when(c.rlike(pattern), F.lit(letters)).otherwise(row)
+        return _let(row, lambda r: F.coalesce(F.substr(r, _byte(stream, at) % F.length(r) + 1, F.lit(1)), c))
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
-def _invented(stream: Column, attempt: Column, cyrillic: Column, end: Column) -> Column:
-    syllable = lambda k: F.element_at(F.when(cyrillic, F.lit(CYRILLIC_SYLLABLES)).otherwise(F.lit(LATIN_SYLLABLES)), _byte(stream, F.lit(k)) % 32 + 1)
-    more = F.when(attempt >= WIDEN, F.concat(syllable(5), F.when(attempt >= 2 * WIDEN, syllable(6)).otherwise(""))).otherwise("")
-    return F.concat(syllable(1), syllable(2), syllable(3), more, end)
-
-
-def _surname(stream: Column, word: Column, attempt: Column) -> Column:
-    cyrillic = word.rlike(r"\p{IsCyrillic}")
-    other = ~cyrillic & ~word.rlike(r"\p{IsLatin}")
-    end = F.when(cyrillic, F.when(word.endswith("а"), "ова").otherwise("ов")).otherwise("n")
-    longer = F.when(attempt >= WIDEN, F.concat(word, F.substring(word, 1, 1))).otherwise(word)
-    return F.when(other, _in_script(longer, stream)).otherwise(_invented(stream, attempt, cyrillic, end))
-
-
-def _given(stream: Column, canonical: Column, attempt: Column) -> Column:
-    """gender:name -> a name of that gender; a known one in the first attempts."""
-    gender, word = F.substring(canonical, 1, 1), F.expr("substring(canonical, 3)")
-    cyrillic, listed = word.rlike(r"\p{IsCyrillic}"), word.rlike(r"\p{IsLatin}") & (attempt < WIDEN // 2)
+def _name(stream: Column, kind: Column, canonical: Column, attempt: Column) -> Column:
+    """Of a given name (gender:name) or surname: a known given name in the first attempts, else
+    an invented word with the ending of its gender; in further scripts letter by letter."""
+    given, gender = kind == "given", F.substring(canonical, 1, 1)
+    word = F.when(given, F.expr("substring(canonical, 3)")).otherwise(canonical)
+    cyrillic, latin = word.rlike(r"\p{IsCyrillic}"), word.rlike(r"\p{IsLatin}")
+    female = F.when(given, gender == "f").otherwise(word.endswith("а"))
     known = F.element_at(F.when(gender == "f", F.lit(FEMALE_NAMES)).when(gender == "m", F.lit(MALE_NAMES)).otherwise(F.lit(MALE_NAMES + FEMALE_NAMES)), _byte(stream, F.lit(9)) % F.when(gender == "x", 40).otherwise(20) + 1)
-    end = F.when(gender == "f", F.when(cyrillic, "на").otherwise("na")).otherwise(F.when(cyrillic, "р").otherwise("r"))
-    other = ~cyrillic & ~word.rlike(r"\p{IsLatin}")
-    return F.when(other, _in_script(F.when(attempt >= WIDEN, F.concat(word, word)).otherwise(word), stream)).when(listed, F.lower(known)).otherwise(_invented(stream, attempt, cyrillic, end))
+    latin_end = F.when(~given, "n").when(female, "na").otherwise("r")
+    cyrillic_end = F.when(given, F.when(female, "на").otherwise("р")).otherwise(F.when(female, "ова").otherwise("ов"))
+    syllables = F.transform(F.sequence(F.lit(1), F.when(attempt >= 2 * WIDEN, 5).when(attempt >= WIDEN, 4).otherwise(3)), lambda k: F.element_at(F.when(cyrillic, F.lit(CYRILLIC_SYLLABLES)).otherwise(F.lit(LATIN_SYLLABLES)), _byte(stream, k) % 32 + 1))
+    invented = F.concat(F.array_join(syllables, ""), F.when(cyrillic, cyrillic_end).otherwise(latin_end))
+    longer = F.when(attempt >= WIDEN, F.concat(word, F.substring(word, 1, 1))).otherwise(word)
+    return F.when(~cyrillic & ~latin, _in_script(longer, stream)).when(given & latin & (attempt < WIDEN // 2), F.lower(known)).otherwise(invented)
 
 
 def _ssn(stream: Column) -> Column:
@@ -235,8 +228,7 @@ def surrogate_of(key: str) -> Column:
         .when(kind == "aws", F.concat(F.lit("AKIA"), F.expr("substring(drawn, 5)")))
         .when(kind == "iban", _iban(F.substring(canonical, 1, 2), F.expr("substring(drawn, 5)")))
         .when(kind == "ssn", _ssn(stream))
-        .when(kind == "given", _given(stream, canonical, attempt))
-        .when(kind == "surname", _surname(stream, canonical, attempt))
+        .when(kind.isin("given", "surname"), _name(stream, kind, canonical, attempt))
         .otherwise(F.col("drawn"))
     )
 
