@@ -453,11 +453,12 @@ def merged_shards(spark, sf):
     own = lambda c: F.xxhash64("shard_rank", F.col(c).cast("string"))
     events = shards(spark, sf)
     odds = view(spark, sf, "v_odds").withColumn("shard_rank", F.col("l_partkey") % 3)
-    named = [(events, "leagues", "league"), (events, "teams", "home"), (events, "teams", "away"), (odds, "markets", "market"), (odds, "submkts", "submarket"), (odds, "outcomes", "outcome"), (odds, "bookmakers", "bookmaker")]
-    parts = [df.select(F.col("shard_rank").cast("int"), F.lit(dim).alias("dim"), own(c).alias("id"), F.col(c).cast("string").alias("name")).distinct() for df, dim, c in named]
-    names = parts[0]
-    for x in parts[1:]:
-        names = names.union(x)
+
+    def named(df, **columns):
+        of = [F.struct(F.lit(dim).alias("dim"), own(c).alias("id"), F.col(c).cast("string").alias("name")) for dim, cs in columns.items() for c in cs]
+        return df.select(F.col("shard_rank").cast("int").alias("shard_rank"), F.explode(F.array(*of)).alias("x")).select("shard_rank", "x.*")
+
+    names = named(events, leagues=["league"], teams=["home", "away"]).union(named(odds, markets=["market"], submkts=["submarket"], outcomes=["outcome"], bookmakers=["bookmaker"]))
     names = names.distinct().where(f"dim <> 'teams' or name not like '{_LOST}'")
     coded = events.withColumns({f"{c}_id": own(c) for c in ("league", "home", "away")}).drop("league", "home", "away")
     coded_odds = odds.withColumns({f"{c}_id": own(c) for c in ("market", "submarket", "outcome", "bookmaker")}).drop("market", "submarket", "outcome", "bookmaker")
