@@ -22,25 +22,27 @@ _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&
 
 def mark(name: str) -> str:
     """An opening tag whose data-testid is one of the name's values."""
-    return rf'<\w+\b[^>]*\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>'
+    return rf'<\w+\b[^>]*?\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>'
 
 
 def _element(name: str, tag: str = r"\w+") -> str:
     """An element by its data-testid; group 2 is what it holds, up to the next end of its tag."""
-    return rf'(?s)<({tag})\b[^>]*\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>(.*?)</\1>'
+    return rf'(?s)<({tag})\b[^>]*?\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>(.*?)</\1>'
 
 
 def text_of(html: Column) -> Column:
     """Text without tags and entities, words one space apart."""
-    out = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+    plain = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+    out = plain
     for entity, char in _ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return S.normalize_name(out)
+    return S.normalize_name(F.when(F.contains(html, F.lit("&")), out).otherwise(plain))
 
 
 def element_text(html: Column, name: str) -> Column:
     """The text of the first such element, NULL without one."""
-    return F.when(html.rlike(_element(name)), text_of(F.regexp_extract(html, _element(name), 2)))
+    inner = F.regexp_extract(html, _element(name), 2)
+    return F.when(inner != "", text_of(inner)).when(html.rlike(_element(name)), "")
 
 
 def element_texts(html: Column, name: str, tag: str = r"\w+") -> Column:
@@ -63,30 +65,36 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
     than two names are dropped."""
     outer = rf"{mark('game_row')}\s*<a\b[^>]*\bhref="
     rows = pieces(pages.select(key, "html"), mark("date_header"), mark("game_row"))
-    said = F.trim(F.element_at(F.split(element_text(F.col("piece"), "date_header"), r"\s*-\s*", 2), 1))
     is_header, is_outer = F.col("piece").rlike(f"^{mark('date_header')}"), F.col("piece").rlike(f"^{outer}")
-    dated = F.when(is_header & S.parse_pt_datetime(said, as_of).isNotNull(), said)
+    # Columns of their own, as what is made from them names them many times.
+    said = F.trim(F.element_at(F.split(element_text(F.col("piece"), "date_header"), r"\s*-\s*", 2), 1))
+    rows = rows.withColumn("said", F.when(is_header, said))
+    dated = F.when(S.parse_pt_datetime(F.col("said"), as_of).isNotNull(), F.col("said"))
     order = Window.partitionBy(key).orderBy("pos")
     after = F.lead("piece").over(order)
     inner = F.when(after.rlike(f"^{mark('game_row')}") & ~after.rlike(f"^{outer}"), after).otherwise("")
     rows = rows.withColumns({"header": carried(dated, [key], ["pos"]), "row": F.concat("piece", inner)}).where(is_outer)
-    row = F.col("row")
-    url = S.resolve_url(F.regexp_extract(row, rf'^{mark("game_row")}\s*<a\b[^>]*\bhref="([^"]*)"', 1), base)
-    people = F.element_at(F.split(row, mark("participants"), 2), 2)
     named = r'(?s)<(\w+)\b[^>]*(?:class="[^"]*\bparticipant-name\b[^"]*"|data-testid="participant-name")[^>]*>(.*?)</\1>'
     filled = lambda xs: F.filter(xs, lambda x: x != "")
-    names = filled(F.transform(F.regexp_extract_all(people, F.lit(named), F.lit(2)), text_of))
-    titles = filled(F.transform(F.regexp_extract_all(people, F.lit(r'(?s)<a\b[^>]*\btitle="([^"]*)"'), F.lit(1)), text_of))
-    names = F.when(F.size(names) >= 2, names).otherwise(F.array_union(names, titles))
-    rows = rows.withColumns({"match_url": url, "names": F.when(row.rlike(mark("participants")), names), "time": F.coalesce(element_text(row, "time"), F.lit("00:00")), "shown": element_text(row, "score"), "all": text_of(row)})
+
+    def read(row: Column) -> Column:
+        url = S.resolve_url(F.regexp_extract(row, rf'^{mark("game_row")}\s*<a\b[^>]*\bhref="([^"]*)"', 1), base)
+        people = F.try_element_at(F.split(row, mark("participants"), 2), F.lit(2))
+        names = filled(F.transform(F.regexp_extract_all(people, F.lit(named), F.lit(2)), text_of))
+        titles = filled(F.transform(F.regexp_extract_all(people, F.lit(r'(?s)<a\b[^>]*\btitle="([^"]*)"'), F.lit(1)), text_of))
+        return F.struct(url.alias("match_url"), names.alias("names"), titles.alias("titles"), F.coalesce(element_text(row, "time"), F.lit("00:00")).alias("time"), element_text(row, "score").alias("shown"), text_of(row).alias("all"))
+
+    # Generated, so that what a row says is read once and filters stay behind it.
+    rows = rows.select(key, "pos", "header", F.inline(F.transform(F.array("row"), read)))
+    rows = rows.withColumn("names", F.when(F.size("names") >= 2, F.col("names")).otherwise(F.array_union("names", "titles")))
     rows = rows.where((F.size("names") >= 2) & S.host_allowed(F.col("match_url"), hosts))
     finished = ~F.col("time").rlike(r"^\d{1,2}:\d{2}$")
-    at = F.concat_ws(" ", "header", F.when(finished, "00:00").otherwise(F.col("time")))
+    rows = rows.withColumn("at", F.concat_ws(" ", "header", F.when(finished, "00:00").otherwise(F.col("time"))))
     loose = r"(?<![:\d])(\d{1,2})\s*:\s*(\d{1,2})(?![:\d])"
     in_text = ~F.regexp_extract("all", loose, 0).rlike(r"^\d{2}:\d{2}$")
     score = lambda k: F.when(finished, F.when(F.col("shown").rlike(_SCORE), F.regexp_extract("shown", _SCORE, k)).when(in_text, F.regexp_extract("all", loose, k))).try_cast("int")
     out = rows.select(
-        key, "pos", "match_url", S.parse_pt_datetime(at, as_of).alias("dt"), F.col("names")[0].alias("home"), F.col("names")[1].alias("away"),
+        key, "pos", "match_url", S.parse_pt_datetime(F.col("at"), as_of).alias("dt"), F.col("names")[0].alias("home"), F.col("names")[1].alias("away"),
         score(1).alias("score_home"), score(2).alias("score_away"), F.when(finished, "finished").otherwise("scheduled").alias("status"),
     )
     return first_wins(out, [key, "match_url"], ["pos"])
@@ -159,7 +167,7 @@ def match_headers(pages: DataFrame, as_of: Column, key: str = "page_id") -> Data
     named = lambda team, name: F.coalesce(S.blank_to_null(S.normalize_name(event[team]["name"])), S.blank_to_null(element_text(html, name)))
     live = F.regexp_extract(html, _element("live"), 2)
     plain = text_of(F.regexp_replace(live, r"(?s)<sup\b[^>]*>.*?</sup>", ""))
-    rows = rows.withColumns({"strong": text_of(F.regexp_extract(live, r"(?s)<strong\b[^>]*>(.*?)</strong>", 1)), "live": plain, "others": F.coalesce(element_text(html, "game_participants"), F.lit(""))})
+    rows = rows.withColumns({"strong": text_of(F.regexp_extract(live, r"(?s)<strong\b[^>]*>(.*?)</strong>", 1)), "live": plain, "others": F.coalesce(element_text(html, "game_participants"), F.lit("")), "time": element_text(html, "game_time")})
     free, dashes = r"(\d+)\s*[:\-]\s*(\d+)", r"(\d+)\s*[–—\-]\s*(\d+)"
     by_strong, by_text = F.col("strong").rlike(_SCORE), F.col("live").rlike(free) & F.col("live").rlike("Result|[Ff]inal")
     score = lambda k: F.when(by_strong, F.regexp_extract("strong", _SCORE, k)).when(by_text, F.regexp_extract("live", free, k)).when(F.col("others").rlike(dashes), F.regexp_extract("others", dashes, k)).try_cast("int")
@@ -167,7 +175,7 @@ def match_headers(pages: DataFrame, as_of: Column, key: str = "page_id") -> Data
     joined = F.array_join(F.transform(sets, lambda x: F.regexp_replace(x, r"\s*[:\-]\s*", "-")), " ")
     return rows.select(
         key, named("homeTeam", "host").alias("home"), named("awayTeam", "guest").alias("away"),
-        F.coalesce(F.try_to_timestamp(event["startDate"]), S.parse_pt_datetime(element_text(html, "game_time"), as_of)).alias("dt"),
+        F.coalesce(F.try_to_timestamp(event["startDate"]), S.parse_pt_datetime(F.col("time"), as_of)).alias("dt"),
         S.blank_to_null(event["location"]["address"]["addressCountry"]).alias("venue_country"),
         score(1).alias("score_home"), score(2).alias("score_away"), F.when(by_strong, S.blank_to_null(joined)).alias("sets_detail"),
         F.when(score(1).isNotNull() & score(2).isNotNull(), "finished").otherwise("scheduled").alias("status"),
