@@ -224,7 +224,8 @@ def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     discard(keys, found)
     names = counts or (free(docs, "__lines"), free(docs, "__dropped"))
     columns = [c for c in docs.columns if c not in names]
-    rows = docs.join(drops, F.col(id_col).cast("long") == F.col(key), "left").select(*columns, drop_col)
+    # One plan at every size: the drops grow with the texts.
+    rows = docs.join(drops.hint("merge"), F.col(id_col).cast("long") == F.col(key), "left").select(*columns, drop_col)
     at = columns.index(text_col)
 
     def run(batches):
