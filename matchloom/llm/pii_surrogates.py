@@ -310,6 +310,6 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     between = F.split(F.col(text_col), ANY, -1)
     swapped = F.transform(F.col(mentions), lambda m: F.coalesce(F.element_at(F.col(swap_col), m), m))
     pieces = F.zip_with(swapped, F.slice(between, 2, F.size(mentions)), lambda m, rest: F.concat(m, rest))
-    done = some.join(by_text, digest).withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size(mentions))
+    done = some.join(by_text.hint("merge"), digest).withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size(mentions))
     rest = base.where(~holds).withColumn(count_col, F.lit(0))
     return done.select(*columns, count_col).unionByName(rest)
