@@ -62,4 +62,43 @@ with items as materialized (select * from {_shingles("benchmark", "item_id", 5)}
 shared as (select d.doc_id, i.item_id, count(*) as n_shared from {_shingles("documents", "doc_id", 5)} d join items i on d.s = i.s group by 1, 2)
 select doc_id, shared.item_id, n_shared, n_item from shared join sizes on shared.item_id = sizes.item_id where 100 * n_shared >= 80 * n_item"""
 
-ORACLES = {"op2_minhash_near_dup": OP2, "op7_quality_rules": OP7, "op8_decontamination": OP8}
+_LETTERS = "(values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16))"
+_FIVE = [f"p{k}" for k in range(1, 6)]
+
+OP12 = f"""
+with texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+words as (select doc_id, part, text, {_WORDS.format(text="text")} as w, min(doc_id) over (partition by text) as first from texts),
+marks as materialized (select part, w.doc_id, case when len(w) < 100 then 1 else 0 end + case when 100 * len(list_distinct(w)) < 80 * len(w) then 2 else 0 end
+  + case when 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) then 4 else 0 end
+  + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end + case when first < w.doc_id then 16 else 0 end as failed,
+  coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from words w left join (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id) l on w.doc_id = l.doc_id),
+combos as materialized (select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from marks group by part, failed),
+letters as (select * from {_LETTERS} t(f, bit)),
+orders as (select {", ".join(f"{p}.f as f{p}, {p}.bit as b{p}" for p in _FIVE)} from {" join ".join(f"letters {p}" + (" on " + " and ".join(f"{p}.f <> {q}.f" for q in _FIVE[:k]) if k else "") for k, p in enumerate(_FIVE))}),
+steps as materialized ({" union all ".join(f"select {' || '.join(f'f{q}' for q in _FIVE)} as filter_order, {k + 1} as step, b{p} as own, {' + '.join(['0', *(f'b{q}' for q in _FIVE[:k])])} as earlier from orders" for k, p in enumerate(_FIVE))}),
+lines as materialized (select part, filter_order, step, own, cast(coalesce(sum(n) filter (failed & (own | earlier) = 0), 0) as bigint) as kept,
+  cast(coalesce(sum(n) filter (failed & own <> 0 and failed & earlier = 0), 0) as bigint) as removed, cast(coalesce(sum(n) filter (failed & own <> 0 and failed & earlier <> 0), 0) as bigint) as redundant,
+  cast(coalesce(sum(n) filter (failed = own), 0) as bigint) as unique_fails, cast(coalesce(sum(good) filter (failed & own <> 0 and failed & earlier = 0), 0) as bigint) as good_lost,
+  cast(coalesce(sum(toxic) filter (failed & own <> 0 and failed & earlier = 0), 0) as bigint) as toxic_lost from combos, steps group by part, filter_order, step, own)
+select part, filter_order, cast(step as int) as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, cast(sum(removed) over (partition by part, own) as bigint) as shapley from lines"""
+
+OP13 = f"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOW}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces where regexp_matches(piece, '[^\x20\x09]')),
+found as (select lang, unnest(w) as phrase, 1 as size from words
+  union all select lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 from words where len(w) > 1
+  union all select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 from words where len(w) > 2),
+f as materialized (select lang, phrase, size, cast(count(*) as hugeint) as a from found group by lang, phrase, size having count(*) >= 10),
+split as materialized (select lang, phrase, size, a, string_split(phrase, ' ') as w from f where size > 1),
+cuts as (select lang, phrase, a, 1 as k, w[1] as x, case when size = 2 then w[2] else w[2] || ' ' || w[3] end as y from split
+  union all select lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] from split where size = 3),
+scores as (select c.lang, c.phrase, c.a, k, l.a as l, r.a as r, 1000000 * c.a * c.a // (l.a * r.a) as score
+  from cuts c join f l on l.lang = c.lang and l.phrase = x join f r on r.lang = c.lang and r.phrase = y),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, k) as place from scores) z where place = 1),
+longer as (select lang, phrase, max(a) as most from (select lang, w[1] || ' ' || w[2] as phrase, a from split where size = 3 union all select lang, w[2] || ' ' || w[3], a from split where size = 3) z group by lang, phrase),
+n as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+ranked as (select b.*, row_number() over (partition by b.lang order by score desc, a desc, encode(b.phrase)) as rank from best b left join longer g on g.lang = b.lang and g.phrase = b.phrase where most is null or 100 * most < 50 * a)
+select ranked.lang, rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score from ranked join n on n.lang = ranked.lang where rank <= 2000"""
+
+ORACLES = {"op2_minhash_near_dup": OP2, "op7_quality_rules": OP7, "op8_decontamination": OP8, "op12_filter_audit": OP12, "op13_collocations": OP13}

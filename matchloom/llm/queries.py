@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .decontaminate import contained
+from .filter_audit import audited
 from .histogram_sort import sharded
 from .log_templates import without_templates
 from .near_dup import linked
@@ -13,6 +15,7 @@ from .oracles import ORACLES
 from .pii_surrogates import replaced
 from .quality_rules import judged
 from .repeats import without_repeats
+from .simhash import linked as simhash_linked
 from .store import new_path, table
 from .token_cache import fill, new_cache, token_counts
 from .token_files import read_tokens, write_tokens
@@ -77,8 +80,21 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_linked(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("fp").alias("fingerprint"), "component_id", "kept")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_surrogates, op2_minhash_near_dup, op3_trie_bpe, op4_token_files, op5_token_counts, op6_histogram_shards, op7_quality_rules, op8_decontamination, op9_suffix_repeats, op10_line_templates)}
+    return {f.__name__: f for f in (op1_pii_surrogates, op2_minhash_near_dup, op3_trie_bpe, op4_token_files, op5_token_counts, op6_histogram_shards, op7_quality_rules, op8_decontamination, op9_suffix_repeats, op10_line_templates, op11_simhash_near_dup, op12_filter_audit, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:

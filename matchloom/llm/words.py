@@ -37,18 +37,24 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _hashed_piece(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word starts, and its hash."""
+def word_spans(piece: bytes, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word starts and ends, and its hash; ``outside`` says which bytes are of none."""
     raw = np.frombuffer(piece, np.uint8)
     inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = ~_IS_SPACE[raw]
+    inside[1:-1] = ~outside[raw]
     edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     up, down = _power_tables(max(len(raw), PIECE))
     sums = np.zeros(len(raw) + 1, U64)
     np.cumsum((raw.astype(U64) + U64(1)) * up[: len(raw)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
-    return starts, mixed(hashes ^ ((ends - starts).astype(U64) << U64(48)))
+    return starts, ends, mixed(hashes ^ ((ends - starts).astype(U64) << U64(48)))
+
+
+def _hashed_piece(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts, and its hash."""
+    starts, _, hashes = word_spans(piece, _IS_SPACE)
+    return starts, hashes
 
 
 def word_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
