@@ -29,8 +29,8 @@ from .words import U64, mixed, shingle_hashes, word_spans
 from .workers import tidy
 
 SHARDS = 4
-CHUNK = 1 << 22  # bytes of a language's and shard's texts counted at once
-HELD = 1 << 26  # bytes of texts after which all that wait are counted
+CHUNK = 1 << 20  # bytes of a language's and shard's texts counted at once
+HELD = 1 << 25  # bytes of texts after which all that wait are counted
 MIN_COUNT, INSIDE, TOP, LONGEST = 10, 50, 2000, 3
 
 _BREAKS = b".,;:!?\n\v\f\r"
@@ -61,12 +61,23 @@ def _chunks(texts: list[bytes], carried: int) -> Iterator[tuple[bytes, int]]:
             before, at = _last_piece(part)[0].split()[-carried:] if carried else [], end
 
 
+def _lang_hash(lang: str) -> int:
+    return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
+
+
+def cell_of(lang: str, shard: int, size: int = 0) -> int:
+    """A number for a language, a shard and a length, signed. The lowest byte has the last two;
+    languages of one hash would be mined together, which loses no candidate."""
+    x = _lang_hash(lang) & ~255 | shard << 4 | size
+    return x - (1 << 64) if x >> 63 else x
+
+
 class Phrases:
     """The words of a chunk: where they are, and the keys of the phrases that begin with each."""
 
     def __init__(self, chunk: bytes, carried: int, lang: str) -> None:
         self.chunk, self.carried = chunk, carried
-        self.lang = U64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+        self.lang = U64(_lang_hash(lang))
         self.starts, self.ends, self.hashes = word_spans(chunk, _is_outside)
         self.piece = np.cumsum(_is_break[np.frombuffer(chunk, np.uint8)])[self.starts] if len(self.starts) else self.starts
 
@@ -121,39 +132,39 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
     return docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), shard.alias("shard"), text.alias("body"))
 
 
-_MINED = "lang string, shard int, size int, key long, n long"
+_MINED = "cell long, key long, n long"
 
 
 def _mined_batch(lang: str, shard: int, size: int, keys: np.ndarray) -> pa.RecordBatch:
     key, n = np.unique(keys, return_counts=True)
-    same = lambda x, kind: pa.repeat(pa.scalar(x, kind), len(key))
-    return pa.RecordBatch.from_arrays([same(lang, pa.string()), same(shard, pa.int32()), same(size, pa.int32()), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "shard", "size", "key", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), cell_of(lang, shard, size))), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["cell", "key", "n"])
 
 
 def totals(texts: DataFrame) -> DataFrame:
-    """(lang, shard, words): number of words."""
+    """(lang, cell, words): number of words of each language and shard."""
 
     def run(batches):
         found: dict[tuple[str, int], int] = {}
         for lang, shard, phrases in _by_cell(batches, 0):
             found[lang, shard] = found.get((lang, shard), 0) + len(phrases.hashes)
         if found:
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "shard": s, "words": n} for (lang, s), n in found.items()], schema=pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("words", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "cell": cell_of(lang, s), "words": n} for (lang, s), n in found.items()], schema=pa.schema([("lang", pa.string()), ("cell", pa.int64()), ("words", pa.int64())]))
 
-    return texts.mapInArrow(tidy(run), "lang string, shard int, words long").groupBy("lang", "shard").agg(F.sum("words").alias("words"))
+    return texts.mapInArrow(tidy(run), "lang string, cell long, words long").groupBy("lang", "cell").agg(F.sum("words").alias("words"))
 
 
 def _frequent(counts: DataFrame, least: DataFrame) -> DataFrame:
-    """(lang, shard, size, key) of what is frequent in its shard."""
-    sums = counts.groupBy("lang", "shard", "size", "key").agg(F.sum("n").alias("n"))
-    return sums.join(least, ["lang", "shard"]).where("n >= least").select("lang", "shard", "size", "key")
+    """(cell, key) of what is frequent in its shard."""
+    sums = counts.groupBy("cell", "key").agg(F.sum("n").alias("n"))
+    return sums.join(least, F.col("cell").bitwiseAND(F.lit(~15)) == F.col("shard_cell")).where("n >= least").select("cell", "key")
 
 
 def mined(texts: DataFrame, words: DataFrame, min_count: int, longest: int) -> list[DataFrame]:
     """What is frequent in any shard, with its shard: a table for each level."""
-    whole = words.groupBy("lang").agg(F.sum("words").alias("all"))
+    by_cell = words.groupBy(F.col("cell").alias("shard_cell")).agg(F.sum("words").alias("words")).where("words > 0").withColumn("hash", F.col("shard_cell").bitwiseAND(F.lit(~255)))
+    whole = by_cell.groupBy("hash").agg(F.sum("words").alias("all"))
     # The share of min_count that falls to the shard by its words, rounded up.
-    least = words.where("words > 0").join(whole, "lang").select("lang", "shard", F.expr(f"cast(ceil({min_count} * cast(words as decimal(20, 0)) / all) as bigint)").alias("least"))
+    least = by_cell.join(whole, "hash").select("shard_cell", F.expr(f"cast(ceil({min_count} * cast(words as decimal(20, 0)) / all) as bigint)").alias("least"))
     least = written(least, "least")
 
     def first_two(batches):
@@ -164,9 +175,10 @@ def mined(texts: DataFrame, words: DataFrame, min_count: int, longest: int) -> l
                     yield _mined_batch(lang, shard, size, keys)
 
     out = [written(_frequent(texts.mapInArrow(tidy(first_two), _MINED), least), "mined")]
-    mark = F.element_at(F.lit(_SHARD_MARK), F.col("shard") + 1)
+    shard = F.shiftright(F.col("cell").bitwiseAND(F.lit(255)), 4).cast("int")
+    mark = F.element_at(F.lit(_SHARD_MARK), shard + 1)
     for size in range(3, longest + 1):
-        shorter = out[-1].where(F.col("size") == size - 1).select(F.col("key").bitwiseXOR(mark).alias("key"))
+        shorter = out[-1].where(F.col("cell").bitwiseAND(F.lit(15)) == size - 1).select(F.col("key").bitwiseXOR(mark).alias("key"))
         bits = texts.sparkSession.sparkContext.broadcast(bit_filter(shorter, "key"))
 
         def next_level(batches, size=size, bits=bits):
