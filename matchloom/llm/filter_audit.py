@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import free
+from .store import written
 
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT, MAX_CAPITALS = 100, 80, 10  # words; per cent of words; per cent of characters
@@ -43,7 +44,9 @@ def failures(text: Column) -> Column:
 
 def copies(rows: DataFrame) -> DataFrame:
     """The rows (id, hash, text, ...) whose text a row with a smaller id has, without the text."""
+    # Written, so that the join below has rows of hot texts alone on its larger side, which can be split.
     firsts = rows.where("id is not null").groupBy("hash", "text").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    firsts = written(firsts.drop("last"), "firsts")
     d, s = rows.where("id is not null").alias("d"), firsts.alias("s")
     on = (F.col("d.hash") == F.col("s.hash")) & (F.col("d.text") == F.col("s.text")) & (F.col("s.first") < F.col("d.id"))
     # One plan at every size: both sides grow with the texts.
