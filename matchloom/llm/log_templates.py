@@ -1,25 +1,24 @@
 """Line dedup by a log-template tree.
 
 A line's path in the tree is its number of tokens and its first ``DEPTH`` tokens, variable
-fields (tokens with a digit) masked. Lines that end in one leaf are generalised: a line joins
-the template that agrees best with it if that is in half of its further tokens without a
-digit, and where they differ
-the template has a variable field. A line whose template is found in ``min_docs`` different
-texts or more, or in fewer if it has many words (``BARS``), is boilerplate: it is dropped,
-except in the document of the smallest id that has the template.
-
-Only leaves of that many texts are ever looked into; others can't hold such a template.
-
-A leaf's different lines are generalised in parts of some ``PART`` lines, then the parts'
-templates are generalised in the same way, until a leaf is in one part. So no task has to
-hold a leaf's lines, but once its templates have stopped becoming fewer it holds those.
+fields (tokens with a digit) masked. Within a leaf a token has a support, the number of the
+leaf's different lines that have it at its place. A line generalises to templates: for each
+support that one of its further tokens has, all further tokens of less support become
+variable fields, as long as these are half of its further tokens without a digit at most (the
+line itself is the first of its templates). A template that is found in ``min_docs`` different
+texts or more, or in fewer if it has many words (``BARS``), recurs, and a line with such a
+template is boilerplate: it is dropped, except in the document of the smallest id that has the
+template, the most general one of those that recur.
+
+So which lines are dropped depends on counts alone: not on an order of lines, nor on how many
+a leaf has or how they are dealt. All counts are sums by token or template, added up map-side.
+Only leaves of so many texts are looked into; others can't hold such a template.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
-from .columns import free
+from .columns import all_named, free, mapped, named, others, place
 from .store import discard, written
 from .workers import tidy
 
 DEPTH = 3
 MIN_DOCS = 20
-PART = 20_000
 #: A line of so many words without a digit is no accident in so many texts.
 BARS = ((10, 3), (8, 6), (5, 10))
 FIELD = b"<*>"
@@ -76,7 +74,7 @@ def _lines(text: bytes | None) -> list[bytes]:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
+    return docs.select(named(id_col).cast("long").alias("id"), named(text_col).cast("string").alias("body"))
 
 
 def line_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -113,83 +111,27 @@ def leaf_lines(docs: DataFrame, id_col: str, text_col: str, leaves: DataFrame) -
     return found.join(leaves.select("leaf"), "leaf", "left_semi").dropDuplicates(["leaf", "line"])
 
 
-def generalised(lines: list[bytes]) -> tuple[list[int], list[bytes]]:
-    """For each of the lines of one leaf, sorted: the number of the template it joins; and the
-    templates.
+def generalised(lines: DataFrame) -> DataFrame:
+    """(line, template, words): the templates of the different lines (leaf, line, words, masked),
+    as hashes, and the words that are left in each."""
+    further = F.filter(F.transform(F.slice(F.split("masked", " "), DEPTH + 1, 1 << 30), lambda t, k: F.when(t != FIELD.decode(), F.xxhash64(k, t))), lambda h: h.isNotNull())
+    rows = lines.select("leaf", "line", "words", F.col("masked").cast("string").alias("masked")).withColumn("tokens", further)
+    name = lambda hashes: F.xxhash64("leaf", F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(h)))
+    own = rows.select("line", name("tokens").alias("template"), "words")
 
-    A template that agrees in half of a line's fixed tokens has one at least of any set of
-    them that leaves less than half out, so only templates begun with one of the tokens that
-    the fewest templates have are compared.
-    """
-    number: dict[bytes, int] = {FIELD: 0}
-    further = lines[0].count(b" ") + 1 - DEPTH
-    if further < 2:
-        return list(range(len(lines))), lines  # too short to differ in a field that has no digit
-    rows = np.fromiter((number.setdefault(t, len(number)) for x in lines for t in x.split(b" ")[DEPTH:]), np.int32, len(lines) * further).reshape(-1, further)
-    begun: dict[tuple[int, int], array] = {}  # templates by place and token
-    templates, made, out = np.empty((8, further), np.int32), 0, []
-    for row in rows:
-        fixed = [(k, t) for k, t in enumerate(row.tolist()) if t]
-        lists = sorted((begun.get(x, ()) for x in fixed), key=len)[: len(fixed) // 2 + 1]
-        near = np.unique(np.concatenate(lists)).astype(np.intp) if any(lists) else ()
-        best = -1
-        if len(near):
-            like = ((templates[near] == row) & (row != 0)).sum(axis=1)
-            if 2 * like.max() >= len(fixed):
-                best = int(near[like.argmax()])
-                templates[best][templates[best] != row] = 0
-        if best < 0:
-            if made == len(templates):
-                templates = np.concatenate([templates, np.empty_like(templates)])
-            best, templates[made] = made, row
-            for x in fixed:
-                begun.setdefault(x, array("i")).append(made)
-            made += 1
-        out.append(best)
-    tokens, begins = list(number), {}
-    for t, x in zip(out, lines, strict=True):
-        begins.setdefault(t, b" ".join(x.split(b" ", DEPTH)[:DEPTH]))
-    return out, [b" ".join([begins[t], *map(tokens.__getitem__, templates[t].tolist())]) for t in range(made)]
-
-
-def _generalised_once(lines: DataFrame, parts: DataFrame) -> DataFrame:
-    """(leaf, line, template, masked): each line's template, named by its first line; masked
-    is the template's text, in the row of that line only."""
-
-    def run(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("masked", "ascending"), ("line", "ascending")])
-        line = part.column("line").to_pylist()
-        which, texts = generalised(part.column("masked").to_pylist())
-        first: dict[int, int] = {}
-        text = [texts[t] if first.setdefault(t, k) == k else None for k, t in enumerate(which)]
-        return pa.table({"leaf": part.column("leaf"), "line": part.column("line"), "template": pa.array([line[first[t]] for t in which], pa.int64()), "masked": pa.array(text, pa.binary())})
-
-    dealt = lines.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("line"), F.col("parts")))
-    return dealt.groupBy("leaf", "part").applyInArrow(run, "leaf long, line long, template long, masked binary")
-
-
-def tree(lines: DataFrame) -> DataFrame:
-    """(line, template) of the different lines (leaf, line, masked)."""
-    out, rows, before = None, lines, None
-    while True:
-        sizes = rows.groupBy("leaf").agg(F.count("*").alias("n"))
-        if before is not None:
-            # A leaf whose templates hardly became fewer ends in one part.
-            sizes = sizes.join(before, "leaf").withColumn("still", F.col("n") > F.col("was") * 0.9)
-        one = F.col("still") if before is not None else F.lit(False)
-        parts = written(sizes.select("leaf", "n", F.when(one, 1).otherwise(F.ceil(F.col("n") / PART)).alias("parts")), "parts")
-        level = written(_generalised_once(rows, parts.select("leaf", "parts")), "level")
-        step = level.select("line", "template")
-        if out is None:
-            out = step
-        else:
-            on = step.select(F.col("line").alias("template"), F.col("template").alias("top"))
-            out = out.join(on, "template", "left").select("line", F.coalesce("top", "template").alias("template"))
-        again = parts.where("parts > 1")
-        if again.isEmpty():
-            return out
-        before = again.select("leaf", F.col("n").alias("was"))
-        rows = level.where("masked is not null").select("leaf", F.col("template").alias("line"), "masked").join(again.select("leaf"), "leaf", "left_semi")
+    # A token's hash has its place in it. A line of one further token has no field to spare.
+    spots = rows.where(F.size("tokens") > 1).select("leaf", "line", "words", F.explode("tokens").alias("token"))
+    support = spots.groupBy("leaf", "token").agg(F.count("*").alias("support")).where("support > 1")
+    held = spots.join(support.hint("merge"), ["leaf", "token"], "left").withColumn("support", F.coalesce("support", F.lit(1)))
+    of_line = held.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("words").alias("words"), F.collect_list(F.struct("support", "token")).alias("tokens"))
+    supports = F.array_distinct(F.transform("tokens", lambda t: t["support"]))
+
+    def template(least: Column) -> Column:
+        kept = F.filter("tokens", lambda t: t["support"] >= least)
+        return F.struct(name(F.transform(kept, lambda t: t["token"])).alias("template"), (F.size("tokens") - F.size(kept)).alias("fields"))
+
+    each = of_line.select("line", "words", F.size("tokens").alias("n"), F.inline(F.transform(supports, template)))
+    return own.unionByName(each.where("fields > 0 and 2 * fields <= n").select("line", "template", (F.col("words") - F.col("fields")).alias("words")))
 
 
 def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -197,14 +139,20 @@ def templates(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
     texts = keys.groupBy("leaf", "content").agg(F.max("words").alias("words"))
     leaves = written(texts.groupBy("leaf").agg(F.count("*").alias("n"), F.max("words").alias("words")).where(F.col("n") >= bar_of(F.col("words"), min_docs)), "leaves")
     lines = written(leaf_lines(docs, id_col, text_col, leaves), "leaf_lines")
-
-    named = written(tree(lines).join(lines.select("line", "words"), "line"), "tree")
-    found = keys.join(named.select("line", "template"), "line")
-    spread = found.select("template", "content").distinct().groupBy("template").agg(F.count("*").alias("docs"))
+    masks = written(generalised(lines), "tree")
+    # At most so many texts as its lines have together: templates below the bar go first.
+    of_line = keys.select("line", "content").distinct().groupBy("line").agg(F.count("*").alias("docs"))
+    likely = masks.join(of_line, "line").groupBy("template").agg(F.sum("docs").alias("docs"), F.max("words").alias("words")).where(F.col("docs") >= bar_of(F.col("words"), min_docs))
+    likely = written(masks.join(likely.select("template"), "template", "left_semi"), "likely")
+    found = keys.select("id", "content", "line").join(likely, "line")
+    spread = found.select("template", "content", "words").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.max("words").alias("words"))
+    spread = spread.where(F.col("docs") >= bar_of(F.col("words"), min_docs))
     first = found.groupBy("template").agg(F.min("id").alias("first_id"))
-    out = named.join(spread, "template").where(F.col("docs") >= bar_of(F.col("words"), min_docs)).join(first, "template").select("line", "template", "docs", "first_id")
+    recurring = spread.join(first, "template")
+    most_general = F.min_by(F.struct("template", "docs", "first_id"), F.struct(recurring["words"], "template")).alias("t")
+    out = likely.select("line", "template").join(recurring, "template").groupBy("line").agg(most_general).select("line", "t.*")
     out = written(out, "templates")
-    discard(leaves, lines, named)
+    discard(leaves, lines, masks, likely)
     return out
 
 
@@ -223,10 +171,10 @@ def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     drops = written(drops, "drops")
     discard(keys, found)
     names = counts or (free(docs, "__lines"), free(docs, "__dropped"))
-    columns = [c for c in docs.columns if c not in names]
+    columns = others(docs.columns, *names)
     # One plan at every size: the drops grow with the texts.
-    rows = docs.join(drops.hint("merge"), F.col(id_col).cast("long") == F.col(key), "left").select(*columns, drop_col)
-    at = columns.index(text_col)
+    rows = docs.join(drops.hint("merge"), named(id_col).cast("long") == F.col(key), "left").select(*all_named(columns), drop_col)
+    at = place(columns, text_col)
 
     def run(batches):
         for batch in batches:
@@ -243,8 +191,8 @@ def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             out[at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*out, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*batch.schema.names[:-1], *names])
 
-    fields = rows.drop(drop_col).withColumn(text_col, F.col(text_col).cast("string")).withColumns({c: F.lit(0).cast("long") for c in names}).schema
-    out = rows.mapInArrow(tidy(run), fields)
+    fields = rows.drop(drop_col).withColumn(columns[at], named(text_col).cast("string")).withColumns({c: F.lit(0).cast("long") for c in names}).schema
+    out = mapped(rows, tidy(run), fields)
     return out if counts else out.drop(*names)
 
 
@@ -252,4 +200,4 @@ def keep_filled(docs: DataFrame, **options) -> DataFrame:
     """As ``without_templates``, without the rows whose every line was dropped."""
     lines, dropped = free(docs, "__lines"), free(docs, "__dropped")
     out = without_templates(docs, counts=(lines, dropped), **options)
-    return out.where((F.col(dropped) == 0) | (F.col(lines) > F.col(dropped))).select(*docs.columns)
+    return out.where((F.col(dropped) == 0) | (F.col(lines) > F.col(dropped))).select(*all_named(docs.columns))

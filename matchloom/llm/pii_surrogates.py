@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import free
+from .columns import all_named, free, named, others, place
 from .store import written
 
 WIDEN, MOST_ATTEMPTS = 8, 40
@@ -289,8 +289,9 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     equal results, whatever their other columns; repeated rows stay. A column of ``docs``
     named like ``count_col`` is replaced by the number; any other name may occur.
     """
-    columns = [c for c in docs.columns if c != count_col]
-    base = docs.select(*columns).withColumn(text_col, F.col(text_col).cast("string"))
+    columns = others(docs.columns, count_col)
+    text_col = columns[place(columns, text_col)]
+    base = docs.select(*all_named(columns)).withColumn(text_col, named(text_col).cast("string"))
     mentions, digest, swap_col = (free(columns, f"__{c}") for c in ("found", "text", "swaps"))
     # A filter only asks whether there is a mention, and stops at the first; mentions are
     # gathered from the texts that have any.
@@ -312,4 +313,4 @@ def replaced(docs: DataFrame, key: str, text_col: str = "text", count_col: str =
     pieces = F.zip_with(swapped, F.slice(between, 2, F.size(mentions)), lambda m, rest: F.concat(m, rest))
     done = some.join(by_text.hint("merge"), digest).withColumn(text_col, F.concat(F.element_at(between, 1), F.array_join(pieces, ""))).withColumn(count_col, F.size(mentions))
     rest = base.where(~holds).withColumn(count_col, F.lit(0))
-    return done.select(*columns, count_col).unionByName(rest)
+    return done.select(*all_named(columns), named(count_col)).unionByName(rest)

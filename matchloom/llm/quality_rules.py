@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bits import bit_filter, passes
-from .columns import free
+from .columns import all_named, free, mapped, named, others, place
 from .store import discard, written
 from .words import shingle_hashes, word_hashes
 from .workers import tidy
@@ -59,7 +59,7 @@ def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality", p
     each batch only those that ``pick`` leaves, if that is given."""
     fields = [*((c, pa.int64()) for c in _COUNTS), ("base_failed", pa.bool_()), *((s, pa.int32()) for s in SCORES)]
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType([T.StructField(c, {"bool": T.BooleanType(), "int32": T.IntegerType()}.get(str(t), T.LongType())) for c, t in fields]))])
-    at = docs.columns.index(text_col)
+    at = place(docs.columns, text_col)
 
     def run(batches):
         for batch in batches:
@@ -73,7 +73,7 @@ def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality", p
             made = pa.StructArray.from_arrays([*map(pa.array, c.T), pa.array(failed), *map(pa.array, steps)], names=[f for f, _ in fields])
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(tidy(run), schema)
+    return mapped(docs, tidy(run), schema)
 
 
 def tail(k: int, n: int, p: float) -> float:
@@ -146,18 +146,18 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     discard(known, holdout)
     if cuts.count() <= BROADCAST_STRATA:
         cuts = F.broadcast(cuts)
-    columns = [c for c in keep_columns or docs.columns if c not in (quality_col, kept_col)]
+    columns = others(keep_columns or docs.columns, quality_col, kept_col)
     body, group = free([*columns, quality_col, kept_col], "__body"), free([*columns, quality_col, kept_col], "__stratum")
     found = free([*columns, quality_col, kept_col, body, group], "__cuts")
-    rows = measured(docs.select(*columns, F.col(text_col).cast("string").alias(body), stratum.alias(group)), body, quality_col)
+    rows = measured(docs.select(*all_named(columns), named(text_col).cast("string").alias(body), stratum.alias(group)), body, quality_col)
     rows = rows.join(cuts.withColumnsRenamed({"stratum": group, "cuts": found}), group, "left")
     kept = ~F.col(f"`{quality_col}`.base_failed")
     for s in SCORES:
         kept = kept & ~F.coalesce(F.col(f"`{quality_col}`.{s}") > F.element_at(F.col(found), F.lit(s)), F.lit(False))
-    return rows.select(*columns, F.col(quality_col), kept.alias(kept_col))
+    return rows.select(*all_named(columns), F.col(quality_col), kept.alias(kept_col))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns."""
     kept = free(docs, "__kept")
-    return judged(docs, labels, **options, quality_col=free(docs, "__quality"), kept_col=kept).where(F.col(kept)).select(*docs.columns)
+    return judged(docs, labels, **options, quality_col=free(docs, "__quality"), kept_col=kept).where(F.col(kept)).select(*all_named(docs.columns))

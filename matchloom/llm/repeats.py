@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import bit_filter, passes
-from .columns import free
+from .columns import all_named, free, mapped, named, others
 from .store import discard, tasks, written
 from .words import PIECE, U64, _power_tables, mixed
 from .workers import tidy
@@ -114,7 +114,7 @@ def _found(texts: list[bytes], length: int):
 
 
 def _bodies(docs: DataFrame, text_col: str) -> DataFrame:
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    body = F.coalesce(named(text_col).cast("string"), F.lit(""))
     return docs.select(F.xxhash64(body).alias("content"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body"))
 
 
@@ -330,12 +330,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text
     repeat each other. What is kept may cut a character, so it is binary.
     """
     places = repeated_strings(docs, text_col, length).groupBy("content", "n_bytes").agg(F.collect_list(F.struct("at", "n")).alias("places"))
-    columns = [c for c in docs.columns if c not in names]
+    columns = others(docs.columns, *names)
     own = {c: free([*columns, *names], f"__{c}") for c in ("content", "body", "places")}
     places = written(places.withColumnsRenamed({"content": own["content"], "n_bytes": names[0], "places": own["places"]}), "marks")
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*columns, F.xxhash64(body).alias(own["content"]), F.octet_length(body).cast("long").alias(names[0]), F.encode(body, "utf-8").alias(own["body"]))
-    rows = rows.join(places, [own["content"], names[0]], "left").select(*columns, names[0], own["body"], own["places"])
+    body = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*all_named(columns), F.xxhash64(body).alias(own["content"]), F.octet_length(body).cast("long").alias(names[0]), F.encode(body, "utf-8").alias(own["body"]))
+    rows = rows.join(places, [own["content"], names[0]], "left").select(*all_named(columns), names[0], own["body"], own["places"])
     n = len(columns)
 
     def run(batches):
@@ -357,5 +357,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text
             yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*batch.schema.names[: n + 1], *names[1:]])
 
     zero = F.lit(0).cast("long")
-    schema = docs.select(*columns, *(zero.alias(c) for c in names[:3]), F.encode(F.lit(""), "utf-8").alias(names[3])).schema
-    return rows.mapInArrow(tidy(run), schema)
+    schema = docs.select(*all_named(columns), *(zero.alias(c) for c in names[:3]), F.encode(F.lit(""), "utf-8").alias(names[3])).schema
+    return mapped(rows, tidy(run), schema)
