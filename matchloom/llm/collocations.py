@@ -38,6 +38,7 @@ _is_break, _is_outside = np.zeros(256, bool), np.zeros(256, bool)
 _is_break[list(_BREAKS)] = True
 _is_outside[list(_BREAKS + b" \t")] = True
 _next_outside = re.compile(b"[.,;:!?\n\v\f\r \t]").search
+_gaps = re.compile(b"[ \t]{2,}|\t").sub
 _last_piece = re.compile(b"[^.,;:!?\n\v\f\r]*\\Z").search
 _SHARD_MARK = [int(x) for x in mixed(np.arange(1, SHARDS + 1, dtype=U64)).view(np.int64)]
 
@@ -76,6 +77,7 @@ class Phrases:
     """The words of a chunk: where they are, and the keys of the phrases that begin with each."""
 
     def __init__(self, chunk: bytes, carried: int, lang: str) -> None:
+        chunk = _gaps(b" ", chunk)
         self.chunk, self.carried = chunk, carried
         self.lang = U64(_lang_hash(lang))
         self.starts, self.ends, self.hashes = word_spans(chunk, _is_outside)
@@ -95,8 +97,13 @@ class Phrases:
         """The key of the words from each place on, wherever pieces end."""
         return mixed(shingle_hashes(self.hashes, size) ^ self.lang)
 
-    def text(self, at: int, size: int) -> bytes:
-        return b" ".join([self.chunk[s:e] for s, e in zip(self.starts[at : at + size].tolist(), self.ends[at : at + size].tolist())])
+    def texts(self, at: np.ndarray, size: int) -> pa.Array:
+        """The phrases that begin at the given words, one space between words."""
+        starts, ends = self.starts[at], self.ends[at + size - 1]
+        bounds = np.concatenate(([0], np.cumsum(ends - starts)))
+        places = np.arange(bounds[-1]) + np.repeat(starts - bounds[:-1], ends - starts)
+        data = np.frombuffer(self.chunk, np.uint8)[places]
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]).cast(pa.string())
 
 
 def _by_cell(batches, carried: int) -> Iterator[tuple[str, int, Phrases]]:
@@ -140,13 +147,23 @@ def _mined_batch(lang: str, shard: int, size: int, keys: np.ndarray) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), cell_of(lang, shard, size))), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["cell", "key", "n"])
 
 
+def _word_count(text: bytes) -> int:
+    n, after_gap = 0, True
+    for at in range(0, len(text), CHUNK):
+        outside = _is_outside[np.frombuffer(text[at : at + CHUNK], np.uint8)]
+        n += int(np.count_nonzero(~outside[1:] & outside[:-1])) + bool(after_gap and not outside[0])
+        after_gap = bool(outside[-1])
+    return n
+
+
 def totals(texts: DataFrame) -> DataFrame:
     """(lang, cell, words): number of words of each language and shard."""
 
     def run(batches):
         found: dict[tuple[str, int], int] = {}
-        for lang, shard, phrases in _by_cell(batches, 0):
-            found[lang, shard] = found.get((lang, shard), 0) + len(phrases.hashes)
+        for batch in batches:
+            for lang, shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
+                found[lang, shard] = found.get((lang, shard), 0) + _word_count(text)
         if found:
             yield pa.RecordBatch.from_pylist([{"lang": lang, "cell": cell_of(lang, s), "words": n} for (lang, s), n in found.items()], schema=pa.schema([("lang", pa.string()), ("cell", pa.int64()), ("words", pa.int64())]))
 
@@ -208,9 +225,9 @@ def counted(texts: DataFrame, candidates: list[DataFrame], longest: int) -> Data
                 at, keys = phrases.keys(size)
                 keep = passes(bits.value, keys.view(np.int64))
                 _, first, n = np.unique(keys[keep], return_index=True, return_counts=True)
-                at = at[keep][first].tolist()
-                for k in range(0, len(at), 10_000):
-                    found = pa.array([phrases.text(x, size) for x in at[k : k + 10_000]], pa.binary()).cast(pa.string())
+                at = at[keep][first]
+                for k in range(0, len(at), 50_000):
+                    found = phrases.texts(at[k : k + 50_000], size)
                     m = len(found)
                     yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), m), pa.repeat(pa.scalar(size, pa.int32()), m), found, pa.array(n[k : k + m].astype(np.int64))], names=["lang", "size", "phrase", "n"])
 

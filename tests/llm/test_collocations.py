@@ -55,7 +55,7 @@ def test_texts_cut_anywhere_have_the_same_phrases(monkeypatch, chunk):
         for size in (1, 2, 3):
             for lang, shard, phrases in C._by_cell(batches, size - 1):
                 at, keys = phrases.keys(size)
-                found.update((lang, shard, phrases.text(x, size), key) for x, key in zip(at.tolist(), keys.tolist()))
+                found.update((lang, shard, text, key) for text, key in zip(phrases.texts(at, size).to_pylist(), keys.tolist()))
         return found
 
     want = all_phrases()
