@@ -1,8 +1,8 @@
 """From the HTML of a page to rows: listings, bookmakers' odds, match headers.
 
-A page is cut where a tag of interest opens, and what a piece says is read by patterns; what
-runs on from piece to piece (a date header, a line's value) is a window over the page's pieces.
-Pages are independent of each other, so all of it is one shuffle by page at most.
+A page's elements are found by their tags and depth (``markup``), whatever they hold; what runs
+on from one to the next (a date header, a line's value) is a window over the page's elements.
+Pages are independent of each other: their tokens are exchanged once, by page.
 """
 
 from __future__ import annotations
@@ -12,80 +12,50 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.fixed_values import LINE_ATTRIBUTES, TEST_IDS
-from .extract import assemble_header, best_prices, fixed_outcomes, grid, line_value
+from . import markup as M
+from .extract import assemble_header, best_prices, fixed_outcomes, grid
 from .merge import first_wins
 from .sequence import carried
 
 _SCORE = r"^(\d+)\s*[:\-]\s*(\d+)$"
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_NUMBER = r"([+-]?\d+(?:\.\d+)?)"
 
 
-def mark(name: str) -> str:
-    """An opening tag whose data-testid is one of the name's values."""
-    return rf'<\w+\b[^>]*?\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>'
+def _named(*names: str) -> dict[str, str]:
+    return {n: M.by_test_id(TEST_IDS[n]) for n in names}
 
 
-def _element(name: str, tag: str = r"\w+") -> str:
-    """An element by its data-testid; group 2 is what it holds, up to the next end of its tag."""
-    return rf'(?s)<({tag})\b[^>]*?\bdata-testid="(?:{"|".join(TEST_IDS[name])})"[^>]*>(.*?)</\1>'
-
-
-def text_of(html: Column) -> Column:
-    """Text without tags and entities, words one space apart."""
-    plain = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
-    out = plain
-    for entity, char in _ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return S.normalize_name(F.when(F.contains(html, F.lit("&")), out).otherwise(plain))
-
-
-def element_text(html: Column, name: str) -> Column:
-    """The text of the first such element, NULL without one."""
-    inner = F.regexp_extract(html, _element(name), 2)
-    return F.when(inner != "", text_of(inner)).when(html.rlike(_element(name)), "")
-
-
-def element_texts(html: Column, name: str, tag: str = r"\w+") -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(_element(name, tag)), F.lit(2)), text_of)
-
-
-def pieces(pages: DataFrame, *marks: str, html: str = "html") -> DataFrame:
-    """``pages`` without the html, with pos and piece: the page cut before each of the marks."""
-    keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, F.posexplode(F.split(html, f"(?s)(?={'|'.join(marks)})")).alias("pos", "piece"))
+def _with_columns(out: DataFrame, pages: DataFrame, key: str) -> DataFrame:
+    """``out`` with the pages' further columns."""
+    more = [c for c in pages.columns if c not in (key, "html")]
+    return out.join(pages.select(key, *more), key) if more else out
 
 
 def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], key: str = "page_id") -> DataFrame:
     """H-02: (key, pos, match_url, dt, home, away, score_home, score_away, status), one row for
     each URL of a page.
 
-    A game row counts if a link is the first thing in it; its host has to be one of ``hosts``.
+    A game row counts if a link is right below it; the link's host has to be one of ``hosts``.
     The date is the latest header's that is one, the time the row's own. A row whose time isn't
     a time is finished, and has a score in its score element, else as text. Rows with fewer
     than two names are dropped."""
-    outer = rf"{mark('game_row')}\s*<a\b[^>]*\bhref="
-    rows = pieces(pages.select(key, "html"), mark("date_header"), mark("game_row"))
-    is_header, is_outer = F.col("piece").rlike(f"^{mark('date_header')}"), F.col("piece").rlike(f"^{outer}")
-    # Columns of their own, as what is made from them names them many times.
-    said = F.trim(F.element_at(F.split(element_text(F.col("piece"), "date_header"), r"\s*-\s*", 2), 1))
-    rows = rows.withColumn("said", F.when(is_header, said))
+    kinds = _named("date_header", "game_row", "time", "participants", "score") | {"link": "a[href]", "titled": "a[title]", "participant": f".participant-name, {M.by_test_id(TEST_IDS['participant'])}"}
+    rows = M.elements(M.parsed(pages, key, kinds | {"any": ", ".join(kinds[k] for k in ("date_header", "game_row"))}), "any", key)
+    is_header = F.array_contains(F.col("toks")[0]["opens"], "date_header")
+    rows = rows.withColumn("said", F.when(is_header, F.trim(F.element_at(F.split(M.text(F.col("toks")), r"\s*-\s*", 2), 1))))
     dated = F.when(S.parse_pt_datetime(F.col("said"), as_of).isNotNull(), F.col("said"))
-    order = Window.partitionBy(key).orderBy("pos")
-    after = F.lead("piece").over(order)
-    inner = F.when(after.rlike(f"^{mark('game_row')}") & ~after.rlike(f"^{outer}"), after).otherwise("")
-    rows = rows.withColumns({"header": carried(dated, [key], ["pos"]), "row": F.concat("piece", inner)}).where(is_outer)
-    named = r'(?s)<(\w+)\b[^>]*(?:class="[^"]*\bparticipant-name\b[^"]*"|data-testid="participant-name")[^>]*>(.*?)</\1>'
+    rows = rows.withColumn("header", carried(dated, [key], ["pos"])).where(~is_header)
+    rows = rows.withColumn("href", M.attribute(F.try_element_at(M.children(F.col("toks"), "link"), F.lit(1))["head"], "href")).where("href <> ''")
     filled = lambda xs: F.filter(xs, lambda x: x != "")
 
-    def read(row: Column) -> Column:
-        url = S.resolve_url(F.regexp_extract(row, rf'^{mark("game_row")}\s*<a\b[^>]*\bhref="([^"]*)"', 1), base)
-        people = F.try_element_at(F.split(row, mark("participants"), 2), F.lit(2))
-        names = filled(F.transform(F.regexp_extract_all(people, F.lit(named), F.lit(2)), text_of))
-        titles = filled(F.transform(F.regexp_extract_all(people, F.lit(r'(?s)<a\b[^>]*\btitle="([^"]*)"'), F.lit(1)), text_of))
-        return F.struct(url.alias("match_url"), names.alias("names"), titles.alias("titles"), F.coalesce(element_text(row, "time"), F.lit("00:00")).alias("time"), element_text(row, "score").alias("shown"), text_of(row).alias("all"))
+    def read(toks: Column) -> Column:
+        people = M.first(toks, "participants")
+        names = filled(M.texts(people, "participant"))
+        titles = filled(F.transform(M.opening(people, "titled"), lambda t: M.decoded(M.attribute(t["head"], "title"))))
+        return F.struct(names.alias("names"), titles.alias("titles"), F.coalesce(M.first_text(toks, "time"), F.lit("00:00")).alias("time"), M.first_text(toks, "score").alias("shown"), M.text(toks).alias("all"))
 
     # Generated, so that what a row says is read once and filters stay behind it.
-    rows = rows.select(key, "pos", "header", F.inline(F.transform(F.array("row"), read)))
+    rows = rows.select(key, "pos", "header", S.resolve_url(F.col("href"), base).alias("match_url"), F.inline(F.transform(F.array("toks"), read)))
     rows = rows.withColumn("names", F.when(F.size("names") >= 2, F.col("names")).otherwise(F.array_union("names", "titles")))
     rows = rows.where((F.size("names") >= 2) & S.host_allowed(F.col("match_url"), hosts))
     finished = ~F.col("time").rlike(r"^\d{1,2}:\d{2}$")
@@ -100,58 +70,75 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
     return first_wins(out, [key, "match_url"], ["pos"])
 
 
-def bookmaker_rows(pages: DataFrame, *more: str) -> DataFrame:
-    """``pages`` with pos, piece, bookmaker (NULL if none is named), cells and payout_pct of
-    each row of odds; ``more`` marks give pieces of their own, without cells."""
-    rows = pieces(pages, mark("odds_row"), *more)
-    own = F.col("piece").rlike(f"^{mark('odds_row')}")
-    cells = F.transform(element_texts(F.col("piece"), "odd"), lambda x: S.parse_odd(x))
-    return rows.select("*", F.when(own, S.blank_to_null(element_text(F.col("piece"), "bookmaker"))).alias("bookmaker"), F.when(own, cells).alias("cells"), F.coalesce(element_text(F.col("piece"), "payout"), F.lit("")).alias("payout_pct"))
+_ODDS = _named("odds_row", "bookmaker", "odd", "payout")
 
 
-def fixed_outcome_odds(pages: DataFrame, outcomes: list[str]) -> DataFrame:
-    """H-06 from the page: pages' columns, payout_pct, bookmaker, outcome, odds_closing."""
-    keep = [c for c in pages.columns if c != "html"]
-    return fixed_outcomes(bookmaker_rows(pages), outcomes, [*keep, "payout_pct"])
+def bookmaker_rows(page: DataFrame, *keep: str) -> DataFrame:
+    """(keep, bookmaker, cells, payout_pct) of each row of odds of parsed pages; bookmaker is
+    NULL if none is named."""
+    toks = F.col("toks")
+    cells = F.transform(M.texts(toks, "odd"), lambda x: S.parse_odd(x))
+    rows = page if "pos" in page.columns else M.elements(page, "odds_row", *keep)
+    return rows.select(*keep, S.blank_to_null(M.first_text(toks, "bookmaker")).alias("bookmaker"), cells.alias("cells"), F.coalesce(M.first_text(toks, "payout"), F.lit("")).alias("payout_pct"))
 
 
-_TITLE = r'(?s)<(\w+)\b[^>]*>([^<]*)</\1>'
+def fixed_outcome_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
+    """H-06 from the page: pages' columns, payout_pct, bookmaker, outcome, odds_closing."""
+    rows = bookmaker_rows(M.parsed(pages, key, _ODDS), key)
+    return _with_columns(fixed_outcomes(rows, outcomes, [key, "payout_pct"]), pages, key)
 
 
 def line_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
-    """H-07 from the page: as H-06, with submarket: the value of the line a row belongs to, by
-    its container's attribute, its title's number, the last line header before, else empty."""
-    holder = rf'<\w+\b[^>]*\b(?:{"|".join(LINE_ATTRIBUTES)})="[^"]*"[^>]*>'
-    rows = bookmaker_rows(pages, holder, mark("line_header"))
-    attribute = F.coalesce(*(F.nullif(F.regexp_extract("piece", rf'^<[^>]*\b{a}="([^"]*)"', 1), F.lit("")) for a in LINE_ATTRIBUTES))
-    held, header = F.col("piece").rlike(f"^{holder}"), F.col("piece").rlike(f"^{mark('line_header')}")
-    titled = F.regexp_extract("piece", r'(?s)<(h[234]|\w+\b[^>]*class="[^"]*\b(?:title|line-value)\b[^"]*")[^>]*>([^<]*)<', 2)
-    title = F.when(held, titled).when(header, text_of(F.col("piece")))
-    keep = [c for c in pages.columns if c != "html"]
-    # A container without any value ends the line before it.
-    closed = F.when(held & attribute.isNull() & ~title.rlike(r"\d"), F.lit(" "))
-    value = line_value(F.coalesce(F.when(held, attribute), closed, F.lit("")), F.coalesce(title, F.lit("")), [key], ["pos"])
-    return fixed_outcomes(rows.withColumn("submarket", F.trim(value)), outcomes, [*keep, "submarket", "payout_pct"])
-
-
-def best_price_odds(pages: DataFrame, outcomes: list[str]) -> DataFrame:
+    """H-07 from the page: as H-06, with submarket, the line that a row belongs to.
+
+    A row belongs to the containers that it lies in, and is there once for each: a container's
+    line is its attribute, else the number in its first title, else empty; rows outside all
+    containers are dropped. Only on a page where no row with odds lies in a container, every
+    row takes the number of the last line header before it, else the empty line."""
+    kinds = _ODDS | _named("line_header") | {"container": '[data-testid*="line"], ' + ", ".join(f"[{a}]" for a in LINE_ATTRIBUTES), "title": "h2, h3, h4, .title, .line-value"}
+    number = lambda x: F.nullif(F.regexp_extract(F.coalesce(x, F.lit("")), _NUMBER, 1), F.lit(""))
+    toks, keep = F.col("toks"), [key, "submarket", "payout_pct"]
+
+    def valued(c: Column) -> Column:
+        """A container's value; its own tag is no title of it."""
+        own = F.coalesce(*(F.nullif(M.attribute(c["head"], a), F.lit("")) for a in LINE_ATTRIBUTES))
+        inner = F.slice(M.within(toks, c), 2, F.size(toks))
+        return F.struct(c["pos"].alias("pos"), c["end"].alias("end"), F.coalesce(own, number(M.first_text(inner, "title")), F.lit("")).alias("line"))
+
+    page = M.parsed(pages, key, kinds)
+    heads = F.transform(M.opening(toks, "line_header"), lambda h: F.struct(h["pos"].alias("pos"), number(M.text(M.within(toks, h))).alias("line")))
+    page = page.select(key, "toks", F.transform(M.opening(toks, "container"), valued).alias("boxes"), F.filter(heads, lambda h: h["line"].isNotNull()).alias("heads"))
+    each = F.transform(M.opening(toks, "odds_row"), lambda r: F.struct(
+        M.within(toks, r).alias("toks"), r["pos"].alias("pos"),
+        F.transform(F.filter("boxes", lambda b: (b["pos"] < r["pos"]) & (b["end"] > r["pos"])), lambda b: b["line"]).alias("lines"),
+        F.coalesce(F.try_element_at(F.filter("heads", lambda h: h["pos"] < r["pos"]), F.lit(-1))["line"], F.lit("")).alias("header"),
+    ))
+    rows = bookmaker_rows(page.select(key, F.inline(each)), key, "lines", "header").where(F.col("bookmaker").isNotNull() & (F.size("cells") > 0))
+    of_page = Window.partitionBy(key)
+    rows = rows.withColumn("in_boxes", F.max(F.size("lines")).over(of_page) > 0)
+    rows = rows.withColumn("submarket", F.explode(F.when(F.col("in_boxes"), F.col("lines")).otherwise(F.array("header"))))
+    return _with_columns(fixed_outcomes(rows, outcomes, keep), pages, key)
+
+
+def best_price_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
     """H-08 from the page: collapsed rows, the best price of each line."""
-    rows = pieces(pages, mark("best_row")).where(F.col("piece").rlike(f"^{mark('best_row')}"))
-    box = F.element_at(F.split("piece", mark("best_label"), 2), 2)
-    first_p = F.regexp_extract(box, r"(?s)^\s*<p\b[^>]*>(.*?)</p>", 1)
-    label = F.when(first_p != "", text_of(first_p)).otherwise(element_text(F.col("piece"), "best_label"))
-    keep = [c for c in pages.columns if c != "html"]
-    return best_prices(rows.withColumns({"label": label, "cells": F.transform(element_texts(F.col("piece"), "best_odd", "p"), lambda x: S.parse_odd(x))}), outcomes, keep)
+    page = M.parsed(pages, key, _named("best_row", "best_label") | {"best_odd": M.by_test_id(TEST_IDS["best_odd"], "p"), "p": "p"})
+    toks = F.col("toks")
+    label = F.coalesce(M.first_text(M.first(toks, "best_label"), "p"), M.first_text(toks, "best_label"), F.lit(""))
+    rows = M.elements(page, "best_row", key).select(key, label.alias("label"), F.transform(M.texts(toks, "best_odd"), lambda x: S.parse_odd(x)).alias("cells"))
+    return _with_columns(best_prices(rows, outcomes, [key]), pages, key)
 
 
-def grid_odds(pages: DataFrame) -> DataFrame:
-    """H-09 from the page: cells under the table's header, whose first cell names the bookmaker."""
-    first = F.element_at(F.split(F.element_at(F.split("html", mark("grid_header"), 2), 2), mark("odds_row"), 2), 1)
-    heads = F.transform(F.regexp_extract_all(first, F.lit(r"(?s)<(?:th|td|div)\b[^>]*>([^<]*)"), F.lit(1)), text_of)
-    heads = F.filter(F.slice(heads, 2, F.greatest(F.size(heads), F.lit(1))), lambda x: x != "")
-    keep = [c for c in pages.columns if c != "html"]
-    rows = bookmaker_rows(pages.withColumn("headers", F.coalesce(heads, F.array().cast("array<string>"))))
-    return grid(rows, [*keep, "payout_pct"])
+def grid_odds(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """H-09 from the page: cells under the first table header (by test id, ``thead`` or the class
+    ``table-header``), whose first cell names the bookmaker; of cells in cells the innermost count."""
+    page = M.parsed(pages, key, _ODDS | {"header": f"{M.by_test_id(TEST_IDS['grid_header'])}, thead, .table-header", "cell": "th, td, div"})
+    header = F.slice(M.first(F.col("toks"), "header"), 2, F.size("toks"))
+    cells = F.transform(M.leaves(header, "cell"), lambda c: M.text(M.within(header, c)))
+    page = page.withColumn("cells", cells)
+    heads = F.filter(F.slice("cells", 2, F.greatest(F.size("cells"), F.lit(1))), lambda x: x != "")
+    rows = bookmaker_rows(page.withColumn("headers", heads), key, "headers")
+    return _with_columns(grid(rows, [key, "payout_pct"]), pages, key)
 
 
 _EVENT = "`@type` string, startDate string, homeTeam struct<name string>, awayTeam struct<name string>, location struct<address struct<addressCountry string>>"
@@ -162,12 +149,13 @@ def match_headers(pages: DataFrame, as_of: Column, key: str = "page_id") -> Data
     score_away, sets_detail, status). The page's JSON-LD event comes before its elements."""
     blocks = F.regexp_extract_all("html", F.lit(r'(?s)<script type="application/ld\+json">(.*?)</script>'), F.lit(1))
     events = F.filter(F.transform(blocks, lambda x: F.from_json(x, _EVENT)), lambda x: x["@type"].contains("SportsEvent"))
-    html, event = F.col("html"), F.col("event")
-    rows = pages.select(key, "html", F.try_element_at(events, F.lit(1)).alias("event"))
-    named = lambda team, name: F.coalesce(S.blank_to_null(S.normalize_name(event[team]["name"])), S.blank_to_null(element_text(html, name)))
-    live = F.regexp_extract(html, _element("live"), 2)
-    plain = text_of(F.regexp_replace(live, r"(?s)<sup\b[^>]*>.*?</sup>", ""))
-    rows = rows.withColumns({"strong": text_of(F.regexp_extract(live, r"(?s)<strong\b[^>]*>(.*?)</strong>", 1)), "live": plain, "others": F.coalesce(element_text(html, "game_participants"), F.lit("")), "time": element_text(html, "game_time")})
+    kinds = _named("host", "guest", "game_time", "live", "game_participants") | {"strong": "strong", "raised": "sup"}
+    toks, event = F.col("toks"), F.col("event")
+    rows = pages.select(key, F.try_element_at(events, F.lit(1)).alias("event")).join(M.parsed(pages, key, kinds), key, "left")
+    named = lambda team, name: F.coalesce(S.blank_to_null(S.normalize_name(event[team]["name"])), S.blank_to_null(F.col(name)))
+    live, raised = M.first(toks, "live"), lambda t: F.exists(M.opening(toks, "raised"), lambda o: (t["pos"] >= o["pos"]) & (t["pos"] < o["end"]))
+    found = {n: M.first_text(toks, n) for n in ("host", "guest")} | {"strong": F.coalesce(M.first_text(live, "strong"), F.lit("")), "live": M.text(F.filter(live, lambda t: ~raised(t))), "others": F.coalesce(M.first_text(toks, "game_participants"), F.lit("")), "time": M.first_text(toks, "game_time")}
+    rows = rows.select(key, "event", *(c.alias(n) for n, c in found.items()))
     free, dashes = r"(\d+)\s*[:\-]\s*(\d+)", r"(\d+)\s*[–—\-]\s*(\d+)"
     by_strong, by_text = F.col("strong").rlike(_SCORE), F.col("live").rlike(free) & F.col("live").rlike("Result|[Ff]inal")
     score = lambda k: F.when(by_strong, F.regexp_extract("strong", _SCORE, k)).when(by_text, F.regexp_extract("live", free, k)).when(F.col("others").rlike(dashes), F.regexp_extract("others", dashes, k)).try_cast("int")

@@ -134,11 +134,12 @@ def joined(rows, page: str, order: list[str]):
 
 
 def div(test_id: str, *inner):
-    return F.concat(F.lit(f'<div class="row" data-testid="{test_id}">'), *(F.lit(x) if isinstance(x, str) else x for x in inner), F.lit("</div>"))
+    """An element with its content two elements of its own tag further down."""
+    return F.concat(F.lit(f'<div class="row" data-testid="{test_id}"><div><div class="in">'), *(F.lit(x) if isinstance(x, str) else x for x in inner), F.lit("</div></div></div>"))
 
 
 def listing_pages(spark, sf):
-    """A page for each league and year. Some rows stand twice, some lead to another site, some
+    """A page for each league and year, elements in elements of their own tag. Some rows stand twice, some lead to another site, some
     name one side only; a header that is no date comes between."""
     e = view(spark, sf, "v_events").withColumn("page", F.concat_ws("/", "league", F.col("y").cast("string")))
     date = F.concat_ws(" ", F.day("dt").cast("string"), F.element_at(F.lit([m.capitalize() for m in MONTHS_PT]), F.month("dt")), F.col("y").cast("string"))
@@ -148,7 +149,7 @@ def listing_pages(spark, sf):
     time = F.when(F.col("status") == "finished", "Finalizado").otherwise(F.date_format("dt", "HH:mm"))
 
     def row(href, names):
-        return div("game-row", F.lit('<a href="'), href, F.lit('">'), div("game-row", div("time-item", time), div("event-participants", names), shown), F.lit("</a>"))
+        return F.concat(F.lit('<div data-testid="game-row"> <div></div><a href="'), href, F.lit('">'), div("game-row", div("time-item", time), div("event-participants", names), shown), F.lit("</a></div>"))
 
     path = F.concat(F.lit("/"), F.col("nk").cast("string"), F.lit("/#"), F.col("id").cast("string"))
     again = F.when(F.col("id") % 19 == 0, row(F.concat(F.lit(SITE), path), F.lit('<a title="X"></a><a title="Y"></a>'))).otherwise("")
@@ -170,10 +171,11 @@ _PAYOUT = "cast(l_linenumber as string) || '.' || cast(l_partkey as string) || '
 
 
 def odds_row(test_id: str = "odd-container", tag: str = "div"):
-    """One to three cells of odds in several notations."""
+    """One to three cells of odds in several notations, in an element of their own tag if it may nest."""
+    inner = "span" if tag == "p" else tag
     n = F.col("l_suppkey") % 3 + 1
     text = [F.concat(F.lit("+"), F.col("l_quantity").cast("int").cast("string")), F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",5")), F.lit("-")]
-    return F.concat(*(F.when(n > k, F.concat(F.lit(f'<{tag} data-testid="{test_id}"><b>'), t, F.lit(f"</b></{tag}>"))).otherwise("") for k, t in enumerate(text)))
+    return F.concat(*(F.when(n > k, F.concat(F.lit(f'<{tag} data-testid="{test_id}"><{inner}><b>'), t, F.lit(f"</b></{inner}></{tag}>"))).otherwise("") for k, t in enumerate(text)))
 
 
 def bookmakers(before=None):
@@ -195,14 +197,33 @@ def h06_page(spark, sf):
     return pages.fixed_outcome_odds(odds_pages(spark, sf, bookmakers()), OUTCOMES["1x2"])
 
 
+#: Where a row lies, by its line number, in pages whose number isn't a multiple of 4: the lines of
+#: its containers. Lines 2 and 7 lie in none.
+_HOLDERS = "(values (1, '2.5'), (3, '3.5'), (4, '+4.5'), (5, ''), (6, '-1.5'), (6, '-2')) h(line, submarket)"
+
+
 @query("h07_page_lines", f"""
-    select l_orderkey as page_id, submarket, payout_pct, book as bookmaker, (['over', 'under'])[i] as outcome, cells[i] as odds_closing from (select *, coalesce(last_value(
-      case l_linenumber when 1 then '2.5' when 3 then '3.5' when 5 then '' when 6 then '-1.5' end ignore nulls) over (partition by l_orderkey order by {', '.join(ODDS_ROW)} rows unbounded preceding), '') as submarket
-      from {_BOOKS} b) c, (values (1), (2)) t(i) where i <= n and bookmaker is not null""")
+    with rows as (select *, l_orderkey as page_id, coalesce(last_value(case when l_orderkey % 4 = 0 and l_linenumber = 2 then '-1.5' when l_orderkey % 4 <> 0 and l_linenumber = 7 then '7.5' end ignore nulls)
+        over (partition by l_orderkey order by {', '.join(ODDS_ROW)} rows unbounded preceding), '') as header from {_BOOKS} b),
+    held as (select page_id, h.submarket, payout_pct, book, n, cells from rows join {_HOLDERS} on line = l_linenumber where page_id % 4 <> 0 and bookmaker is not null),
+    found as (select * from held union all select page_id, header, payout_pct, book, n, cells from rows where bookmaker is not null and page_id not in (select page_id from held))
+    select page_id, submarket, payout_pct, book as bookmaker, (['over', 'under'])[i] as outcome, cells[i] as odds_closing from found, (values (1), (2)) t(i) where i <= n""")
 def h07_page(spark, sf):
-    line = F.col("l_linenumber")
-    before = F.when(line == 1, '<div class="x" data-line="2.5"></div>').when(line == 3, '<section data-total=""><h3>Games 3.5 in all</h3></section>').when(line == 5, '<div data-handicap="">none</div>').when(line == 6, div("line-header", "Handicap -1.5")).otherwise("")
-    return pages.line_odds(odds_pages(spark, sf, bookmakers(before)), ["over", "under"])
+    """Rows in containers of every kind, one in the other, and outside; pages without containers
+    that hold a row have line headers only, one of them without a number."""
+    own, held, line = bookmakers(), F.col("l_orderkey") % 4 != 0, F.col("l_linenumber")
+    piece = (
+        F.when(held & (line == 1), F.concat(F.lit('<div class="x" data-line="2.5"><div>'), own, F.lit("</div></div>")))
+        .when(held & (line == 3), F.concat(F.lit('<section data-total=""><div><h3>Games <b>3.5</b> in all</h3></div>'), own, F.lit("<h3>9</h3></section>")))
+        .when(held & (line == 4), F.concat(F.lit('<div data-testid="total-line-box"><div><p class="big title">+4.5</p></div>'), own, F.lit("</div>")))
+        .when(held & (line == 5), F.concat(F.lit('<div data-handicap="">none'), own, F.lit("</div>")))
+        .when(held & (line == 6), F.concat(F.lit('<div data-handicap="-1.5"><div data-line=""><span class="line-value">Line -2</span>'), own, F.lit("</div></div>")))
+        .when(held & (line == 7), F.concat(F.lit('<div data-line="8"></div>'), div("line-header", "Games <i>7.5</i>"), own))
+        .when(~held & (line == 2), F.concat(div("handicap-row", "Handicap -1.5"), own))
+        .when(~held & (line == 4), F.concat(F.lit('<div data-total="4"></div>'), div("total-row", "Total"), own))
+        .otherwise(own)
+    )
+    return pages.line_odds(odds_pages(spark, sf, piece), ["over", "under"])
 
 
 @query("h08_page_best", f"""
@@ -219,8 +240,12 @@ def h08_page(spark, sf):
     select l_orderkey as page_id, payout_pct, book as bookmaker, case when i <= 2 then (['2:0', '2:1'])[i] else 'col_2' end as submarket, 'yes' as outcome, cells[i] as odds_closing
     from {_BOOKS} c, (values (1), (2), (3)) t(i) where i <= n and bookmaker is not null""")
 def h09_page(spark, sf):
-    head = div("bookmaker-table-header-line", "<div>Bookmaker</div><div>2:0</div><div> </div><div>2:1</div>")
-    made = odds_pages(spark, sf, bookmakers()).withColumn("html", F.concat(head, F.col("html")))
+    """The header in three forms, by the page's number."""
+    by_id = div("bookmaker-table-header-line", "<div>Bookmaker</div><div><div>2:0</div></div><div> </div><div>2:1</div>")
+    in_table = F.lit("<table><thead><tr><th>Bookmaker</th><th><div>2:0</div></th><th></th><th>2:1</th></tr></thead></table>")
+    by_class = F.lit('<div class="wide table-header"><div>Bookmaker</div><div>2:0</div><span>no cell</span><div>2:1</div></div>')
+    form = F.col("page_id") % 3
+    made = odds_pages(spark, sf, bookmakers()).withColumn("html", F.concat(F.when(form == 0, by_id).when(form == 1, in_table).otherwise(by_class), F.col("html")))
     return pages.grid_odds(made)
 
 

@@ -1,11 +1,14 @@
 """Rows from hand-made pages."""
 
 import datetime
+import random
+import re
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
-from matchloom.operators import pages
+from matchloom.operators import markup, pages
 
 HOSTS, SITE = ["site.test"], "https://www.site.test"
 
@@ -70,15 +73,87 @@ def test_fixed_outcomes(spark):
 
 
 def test_lines(spark):
-    html = odds("B0", "2") + '<div data-handicap="-1.5">' + odds("B1", "2") + '</div><div data-total=""><h3>Games 21.5</h3>' + odds("B2", "2") + "</div><div data-line=''></div><div data-line=\"\"><i>none</i>" + odds("B3", "2") + '</div><div data-testid="line-header">Over +3</div>' + odds("B4", "2")
-    assert [(r["bookmaker"], r["submarket"]) for r in pages.line_odds(made(spark, html), ["over"]).collect()] == [("B0", ""), ("B1", "-1.5"), ("B2", "21.5"), ("B3", ""), ("B4", "+3")]
+    held = odds("B0", "2") + '<div data-handicap="-1.5">' + odds("B1", "2") + '</div><div data-total=""><div><h3>Games <i>21.5</i></h3></div>' + odds("B2", "2") + "</div><div data-line=''></div><div data-line=\"\"><i>none</i>" + odds("B3", "2") + '</div><div data-testid="line-header">Over +3</div>' + odds("B4", "2")
+    titled = '<div data-testid="total-line-box"><p class="line-value x">3.5</p>' + odds("B1", "2") + "</div>" + odds("B0", "2")
+    empty = '<div data-line="2.5"></div>' + odds("B1", "2") + '<div data-testid="total-row">no number</div><div data-testid="line-header"><div>Over</div> +3</div>' + odds("B2", "2") + '<div data-testid="total-row">no number</div>' + odds("B3", "2")
+    nested = '<div data-line="1"><div data-line="2"><div>' + odds("B1", "2") + '</div></div></div><div data-line="3">' + odds("", "2") + "</div>"
+    unnamed = '<div data-line="3">' + odds("", "2") + "</div>" + odds("B1", "2")
+    got = pages.line_odds(made(spark, held, titled, empty, nested, unnamed), ["over"]).collect()
+    assert sorted((r["page_id"], r["bookmaker"], r["submarket"]) for r in got) == [
+        (0, "B1", "-1.5"), (0, "B2", "21.5"), (0, "B3", ""), (1, "B1", "3.5"), (2, "B1", ""), (2, "B2", "+3"), (2, "B3", "+3"), (3, "B1", "1"), (3, "B1", "2"), (4, "B1", ""),
+    ]
+
+
+def test_markup(spark):
+    html = """text <DIV class='a b' data-x="1>2">one<br><!-- <div data-x="9"> --><div>two</div></b>three</DIV>four<script>"<div>"</script><p data-y>five<img data-x="3"/>six"""
+    page = markup.parsed(made(spark, html), "page_id", {"x": "[data-x]", "y": "p[data-y]", "a": "div.b", "part": '[data-x*=">"]', "start": "[data-x^='3']", "none": ".c, [data-z]"})
+    got = {kind: [(r["pos"], r["text"]) for r in markup.elements(page, kind).select("pos", markup.text(F.col("toks")).alias("text")).collect()] for kind in ("x", "y", "a", "part", "start", "none")}
+    one = (1, "one two three")
+    assert got == {"x": [one], "y": [(7, "five six")], "a": [one], "part": [one], "start": [], "none": []}
+    for wrong in ("", "div > p", "[a~=b]"):
+        with pytest.raises(ValueError, match="selector"):
+            markup.matches(F.lit(""), lambda name: F.lit(""), wrong)
+
+
+def plain_lines(tree):
+    """The rules for lines, on a tree of elements: (bookmaker, line) of each row with odds."""
+    everything, number = list(tree.iter()), lambda t: (re.search(r"[+-]?\d+(?:\.\d+)?", "".join(t.itertext())) or [None])[0]
+    rows_in = lambda e: [r for r in e.iter() if r is not e and r.get("data-testid") == "over-under-expanded-row"]
+
+    def book(row):
+        name = next(x for x in row.iter() if x.get("data-testid") == "outrights-expanded-bookmaker-name")
+        return "".join(name.itertext()).strip()
+
+    out = []
+    for c in everything:
+        if "line" in c.get("data-testid", "") or any(c.get(a) is not None for a in ("data-line", "data-total", "data-handicap")):
+            value = c.get("data-line") or c.get("data-total") or c.get("data-handicap")
+            if not value:
+                title = next((x for x in c.iter() if x is not c and (x.tag in ("h2", "h3", "h4") or {"title", "line-value"} & set(x.get("class", "").split()))), None)
+                value = number(title) if title is not None else None
+            out += [(book(r), value or "") for r in rows_in(c) if book(r)]
+    if not out:
+        line = ""
+        for e in everything:
+            if e.get("data-testid") in ("line-header", "handicap-row", "total-row"):
+                line = number(e) or line
+            elif e.get("data-testid") == "over-under-expanded-row" and book(e):
+                out.append((book(e), line))
+    return sorted(out)
+
+
+def test_lines_of_random_pages_match_a_tree_walk(spark):
+    rng = random.Random(7)
+
+    def part(depth, held):
+        kinds = ["row", "row", "header", "title", "plain"] + ["box"] * 3 * held
+        kind = rng.choice(kinds) if depth < 5 else "row"
+        tag = rng.choice(["div", "div", "section"])
+        inner = lambda: "".join(part(depth + 1, held) for _ in range(rng.randrange(4)))
+        if kind == "row":
+            return odds(rng.choice(["", *(f"B{k}" for k in range(9))]), "2").replace("<p>", "<div><div>").replace("</p></div>", "</div></div></div>")
+        if kind == "header":
+            return f'<{tag} data-testid="{rng.choice(["line-header", "handicap-row", "total-row"])}"><{tag}>{rng.choice(["Over 1.5", "-3", "none"])}</{tag}></{tag}>'
+        if kind == "title":
+            return rng.choice(["<h3>Games <b>4.5</b></h3>", '<p class="x title">+1</p>', '<div class="line-value">none</div>', "<h5>8</h5>"])
+        if kind == "plain":
+            return f"<{tag}>{inner()}</{tag}>"
+        return f"<{tag} {rng.choice(['data-line=', 'data-total=', 'data-handicap=', 'data-testid='])}\"{rng.choice(['', '2.5', '-7', 'my-line-box'])}\">{inner()}</{tag}>"
+
+    htmls = ["<body>" + "".join(part(0, k % 3 > 0) for _ in range(rng.randrange(9))) + "</body>" for k in range(90)]
+    want = sorted((k, *x) for k, h in enumerate(htmls) for x in plain_lines(ElementTree.fromstring(h)))
+    got = sorted((r["page_id"], r["bookmaker"], r["submarket"]) for r in pages.line_odds(made(spark, *htmls), ["over"]).collect())
+    assert got == want and len({k for k, *_ in got}) > 40
 
 
 def test_best_prices_and_grid(spark):
     best = '<div data-testid="over-under-collapsed-row"><div data-testid="over-under-collapsed-option-box"><p>Acima/Abaixo +199.5</p><p>x</p></div><div data-testid="odd-container-default"><p data-testid="odd-container-default">1.9</p></div><p data-testid="odd-container-default">2</p></div>'
     assert [tuple(r) for r in pages.best_price_odds(made(spark, best + best.replace("+199.5", "none")), ["over", "under"]).collect()] == [(0, "+199.5", "best", "over", 1.9), (0, "+199.5", "best", "under", 2.0)]
     grid = '<div data-testid="bookmaker-table-header-line"><div>Book</div><div>2:0</div></div>' + odds("B", "3", "4")
-    assert [(r["submarket"], r["odds_closing"]) for r in pages.grid_odds(made(spark, grid)).collect()] == [("2:0", 3.0), ("col_1", 4.0)]
+    in_table = "<table><thead><tr><th>Book</th><th><div>2:0</div></th></tr></thead><thead><tr><th>x</th><th>y</th></tr></thead></table>" + odds("B", "3", "4")
+    by_class = '<div class="a table-header b"><div><div>Book</div><div>2:0</div></div></div>' + odds("B", "3", "4")
+    got = pages.grid_odds(made(spark, grid, in_table, by_class, odds("B", "3", "4"))).collect()
+    assert sorted((r["page_id"], r["submarket"], r["odds_closing"]) for r in got) == [(k, x, o) for k in range(3) for x, o in (("2:0", 3.0), ("col_1", 4.0))] + [(3, "col_0", 3.0), (3, "col_1", 4.0)]
 
 
 def test_match_headers(spark):
