@@ -291,10 +291,24 @@ def k02(spark, sf):
 
 # --- streams
 
+_BATCHES = 5
+
+
+def by_day(spark, sf, delayed: bool = False):
+    """The events in ``_BATCHES`` batches by day; delayed: every 13th comes a batch late, every
+    17th with the last one."""
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = e.agg(F.min("ts").alias("t")).first()["t"]
+    number = F.least(F.floor(F.datediff("ts", F.lit(first)) / 6), F.lit(_BATCHES - 1))
+    if delayed:
+        number = F.when(F.col("event_id") % 17 == 0, _BATCHES - 1).when(F.col("event_id") % 13 == 0, F.least(number + 1, F.lit(_BATCHES - 1))).otherwise(number)
+    return jobs.arriving(e, number, _BATCHES)
+
 
 @query("t01_ingest_once", "select distinct user_id, event_type from events")
 def t01(spark, sf):
-    stream = jobs.event_stream(spark, sf).select("ts", "user_id", "event_type")
+    """The same keys come again in every batch."""
+    stream = by_day(spark, sf, delayed=True).select("ts", "user_id", "event_type")
     return jobs.run_to_end(jobs.ingest_once(stream, ["user_id", "event_type"]), "once").select("user_id", "event_type")
 
 
@@ -317,11 +331,13 @@ def t02(spark, sf):
     select start, n, ok from (select date_trunc('day', ts) as start, count(*) as n, count(*) filter (event_type = 'view') as ok from events group by 1) x
     where start + interval '1' day <= (select max(ts) - interval '1' hour from events)""")
 def t03(spark, sf):
-    return jobs.run_to_end(jobs.rate_by_window(jobs.event_stream(spark, sf), F.col("event_type") == "view"), "rate")
+    return jobs.run_to_end(jobs.rate_by_window(by_day(spark, sf), F.col("event_type") == "view"), "rate")
 
 
-@query("t04_fresh_only", """
-    select start, event_type, n from (select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by 1, 2) x
-    where start + interval '1' hour <= (select max(ts) - interval '7' day from events)""")
+@query("t04_fresh_only", f"""
+    with days as (select *, least(date_diff('day', cast((select min(ts) from events) as date), cast(ts as date)) // 6, {_BATCHES - 1}) as day_batch from events),
+    rows as (select *, case when event_id % 17 = 0 then {_BATCHES - 1} when event_id % 13 = 0 then least(day_batch + 1, {_BATCHES - 1}) else day_batch end as b from days),
+    tops as (select x.b, max(y.ts) as top from (select distinct b from rows) x left join rows y on y.b < x.b group by x.b)
+    select event_id, event_type, ts from rows join tops on rows.b = tops.b where top is null or ts >= top - interval '7' day""")
 def t04(spark, sf):
-    return jobs.run_to_end(jobs.fresh_only(jobs.event_stream(spark, sf), ["event_type"]), "fresh")
+    return jobs.fresh_rows(by_day(spark, sf, delayed=True)).select("event_id", "event_type", "ts")
