@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,17 +9,6 @@ from ..session import stored
 from .merge import first_wins
 from .sequence import ranked
 
-#: Rows and bytes up to which a dimension may be broadcast; a larger one is joined by shuffle.
-SMALL, SMALL_BYTES = 200_000, 32_000_000
-
-
-def small(dim: DataFrame) -> DataFrame:
-    """The dimension, marked for broadcast if a look at it shows that it is small."""
-    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in dim.columns), F.lit(0))
-    n, bytes_ = dim.limit(SMALL + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(dim) if n <= SMALL and bytes_ <= SMALL_BYTES else dim
-
-
 def encode(names: DataFrame, known: DataFrame | None = None, column: str = "name") -> DataFrame:
     """M-01: (id, name) for every distinct name; known ids stay, new ones follow in name order."""
     new = names.select(F.col(column).alias("name")).where("name is not null").distinct()
@@ -34,19 +21,20 @@ def encode(names: DataFrame, known: DataFrame | None = None, column: str = "name
 
 def encoded_by(df: DataFrame, dim: DataFrame, column: str, id_column: str) -> DataFrame:
     """``df`` with the id of ``column`` in place of its value; NULL for what the dimension lacks."""
-    return df.join(small(dim.select(F.col("id").alias(id_column), F.col("name").alias(column))), column, "left").drop(column)
+    ids = dim.select(F.col("id").alias(id_column), F.col("name").alias("__name"))
+    return df.join(ids, F.col(column).cast("string") == F.col("__name"), "left").drop(column, "__name")
 
 
 def decode(events: DataFrame, leagues: DataFrame, teams: DataFrame) -> DataFrame:
     """J-01: names for league_id, home_id and away_id, inner."""
-    role = lambda dim, r: small(dim.select(F.col("id").alias(f"{r}_id"), F.col("name").alias(r)))
+    role = lambda dim, r: dim.select(F.col("id").alias(f"{r}_id"), F.col("name").alias(r))
     return events.join(role(leagues, "league"), "league_id").join(role(teams, "home"), "home_id").join(role(teams, "away"), "away_id")
 
 
 def remap(df: DataFrame, column: str, old: DataFrame, new: DataFrame) -> DataFrame:
     """J-02: ids of ``old`` (id, name) to those of ``new`` by name; rows without one are dropped."""
     ids = old.select(F.col("id").alias(column), "name").join(new.select(F.col("id").alias("__new"), "name"), "name").drop("name")
-    return df.join(small(ids), column).withColumn(column, F.col("__new")).drop("__new")
+    return df.join(ids, column).withColumn(column, F.col("__new")).drop("__new")
 
 
 #: S-09: the dimensions, and the columns of wide odds rows whose values they hold.
@@ -54,14 +42,29 @@ STAR = {"sports": ["sport"], "leagues": ["league"], "teams": ["home", "away"], "
 ODDS_COLUMNS = ["market", "submarket", "outcome", "bookmaker"]
 
 
-def star(wide: DataFrame, event_columns: list[str], odds_values: list[str], order: list) -> dict[str, DataFrame]:
+def dictionary(rows: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """M-01 for several dimensions in one pass: (dim, id, name) of every distinct name that the
+    columns of a dimension hold, ids from 1 in each in name order. Written, so that its size is
+    known where it is joined."""
+    every = F.array(*(F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("name")) for dim, cs in columns.items() for c in cs))
+    names = rows.select(F.inline(every)).where("name is not null").distinct()
+    placed = stored(ranked(names, ["dim", "name"], "place"), "places")
+    first = placed.groupBy("dim").agg(F.min("place").alias("first"))  # a row for each dimension
+    return stored(placed.join(first, "dim").select("dim", (F.col("place") - F.col("first") + 1).alias("id"), "name"), "dictionary")
+
+
+def star(wide: DataFrame, event_columns: list[str], odds_values: list[str], order: list[str]) -> dict[str, DataFrame]:
     """S-09: wide rows of odds as seven dimensions, events (a row for each event_id, the first
     by ``order``, with league_id, home_id, away_id and ``event_columns``) and odds (a row for
     each event and each of ``ODDS_COLUMNS``, the first by ``order``). leagues has its sport_id.
-    A missing name has a missing id."""
-    names = {t: reduce(DataFrame.union, (wide.select(F.col(c).alias("name")) for c in columns)) for t, columns in STAR.items()}
-    out = {t: stored(encode(df), t) for t, df in names.items()}
-    sport_of = wide.select("league", "sport").where("league is not null").groupBy(F.col("league").alias("name")).agg(F.min("sport").alias("sport"))
+    A missing name has a missing id.
+
+    What makes the wide rows is worked out once: they are written, and read for the names, for
+    the events and for the odds."""
+    wide = stored(wide.select(*dict.fromkeys(["event_id", *(c for cs in STAR.values() for c in cs), *event_columns, *odds_values, *order])), "wide")
+    names = dictionary(wide, STAR)
+    out = {t: names.where(F.col("dim") == t).select("id", "name") for t in STAR}
+    sport_of = wide.select("league", "sport").where("league is not null").groupBy(F.col("league").cast("string").alias("name")).agg(F.min("sport").alias("sport"))
     out["leagues"] = encoded_by(out["leagues"].join(sport_of, "name"), out["sports"], "sport", "sport_id").select("id", "sport_id", "name")
     events = first_wins(wide, ["event_id"], order).select("event_id", "league", "home", "away", *event_columns)
     for column, dim in (("league", "leagues"), ("home", "teams"), ("away", "teams")):
@@ -77,7 +80,7 @@ def unstar(tables: dict[str, DataFrame]) -> DataFrame:
 
     def named(df: DataFrame, column: str, dim: str, *more: str) -> DataFrame:
         names = tables[dim].select(F.col("id").alias(f"{column}_id"), F.col("name").alias(column), *more)
-        return df.join(small(names), f"{column}_id", "left").drop(f"{column}_id")
+        return df.join(names, f"{column}_id", "left").drop(f"{column}_id")
 
     events = named(named(named(named(tables["events"], "league", "leagues", "sport_id"), "sport", "sports"), "home", "teams"), "away", "teams")
     odds = tables["odds"]
@@ -96,10 +99,11 @@ def merged_names(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remapped(df: DataFrame, mapping: DataFrame, columns: dict[str, str]) -> DataFrame:
     """J-02: the columns' ids as those of the merged dimensions; rows with an id that their
-    shard has no name for are dropped."""
+    shard has no name for are dropped. Spark broadcasts the mapping, whose size is known where
+    it has been written, or splits it up."""
     for column, dim in columns.items():
         ids = mapping.where(F.col("dim") == dim).select("shard_rank", F.col("old").alias(column), "new")
-        df = df.join(small(ids), ["shard_rank", column]).withColumn(column, F.col("new")).drop("new")
+        df = df.join(ids, ["shard_rank", column]).withColumn(column, F.col("new")).drop("new")
     return df
 
 
@@ -109,4 +113,4 @@ def resolve_alias(rows: DataFrame, aliases: DataFrame, given: str = "given", spo
     known = aliases.select(F.col("alias").alias(given), F.col("sport").alias("__own"), F.col("path").alias("__known"))
     rejected = F.coalesce(F.col("__own") != F.col(sport), F.lit(False))
     path = F.when(F.col("__known").isNull(), F.regexp_replace(given, "^/+|/+$", "")).when(~rejected, F.col("__known"))
-    return rows.join(small(known), given, "left").withColumn("path", path).withColumn("rejected", rejected).drop("__own", "__known")
+    return rows.join(known, given, "left").withColumn("path", path).withColumn("rejected", rejected).drop("__own", "__known")

@@ -64,10 +64,15 @@ def ranked(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(F.broadcast(before), "__part").withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
 
 
-def success_curve(log: DataFrame, order: list[str], every: int = 500) -> DataFrame:
+def success_curve(log: DataFrame, order: list[str], every: int = 500, parts: int = 64) -> DataFrame:
     """W-03: per shard, the running share of ok outcomes at each ``every``-th row. Counted
-    within parts of the order, to which the sums of the parts before are added."""
-    rows = ranged(log.select("shard", *order, (F.col("outcome") == "ok").cast("long").alias("__ok")), ["shard", *order])
+    within parts of the order, to which the sums of the parts before are added. Parts are
+    stretches of the first column of ``order`` (a number or a time) with about as many rows
+    each; rows of one value of it lie in one part."""
+    first = F.col(order[0]).cast("double")
+    bounds = log.agg(F.approx_percentile(first, [k / parts for k in range(1, parts)], 10_000).alias("b")).first()["b"] or []
+    part = F.size(F.filter(F.lit(sorted(set(bounds))) if bounds else F.array().cast("array<double>"), lambda b: b <= first))
+    rows = log.select("shard", *order, part.alias("__part"), (F.col("outcome") == "ok").cast("long").alias("__ok"))
     sums = rows.groupBy("shard", "__part").agg(F.count("*").alias("__n"), F.sum("__ok").alias("__k"))
     upto = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("shard", "__part", *(F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"{c}0") for c in ("__n", "__k")))

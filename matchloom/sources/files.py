@@ -46,16 +46,26 @@ def read_tolerant_csv(spark: SparkSession, path: str, schema: T.StructType) -> t
 
 def usable_files(spark: SparkSession, folder: str, columns: list[str], pattern: str = "*.csv") -> DataFrame:
     """S-03: (file, reason) of each file of a folder: reason is NULL if it can be used, else
-    ``empty`` (nothing but white space), ``corrupt`` (bytes that are no text) or ``schema`` (its
-    header lacks a column). Only the first 64 kB of a file are looked at; files of no bytes at
-    all are passed over by Spark itself."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    head = F.substring("content", 1, 1 << 16)
-    first = F.trim(F.split_part(F.regexp_replace(F.col("text"), "\r", ""), F.lit("\n"), F.lit(1)))
-    lacks = F.size(F.array_except(F.lit(columns), F.transform(F.split(first, ","), lambda c: F.trim(c, F.lit('"'))))) > 0
-    rows = files.select(F.col("path").alias("file"), "length", head.alias("head")).withColumn("text", F.when(F.col("length") > 0, F.expr("try_validate_utf8(cast(head as string))")))
-    reason = F.when(F.trim(F.regexp_replace("text", r"\s+", "")) == "", "empty").when(F.col("text").isNull() | F.col("text").contains("\0"), "corrupt").when(lacks, "schema")
-    return rows.select("file", reason.alias("reason"))
+    ``empty`` (nothing but white space), ``corrupt`` (bytes that are no text, anywhere in it) or
+    ``schema`` (its header lacks a column).
+
+    Files are read whole, line by line and in splits, by many tasks a file: what is known of a
+    file is folded from its splits, so it may be of any size; a line has to fit into a task. A
+    line break is never part of a character, so no character is cut. Files of no bytes at all
+    are passed over by Spark itself."""
+    lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(folder)
+    text, nul = F.col("value"), F.lit("\0")
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    rows = lines.select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), place.alias("place"), text, F.is_valid_utf8(text).alias("valid"))
+    rows = rows.withColumn("filled", F.when(F.col("valid"), F.trim(F.regexp_replace(text, r"\s+", "")) != "").otherwise(True))
+    said = rows.groupBy("file").agg(
+        F.bool_and(F.col("valid") & ~F.contains(F.when(F.col("valid"), text).otherwise(nul), nul)).alias("valid"),
+        F.bool_or("filled").alias("filled"), F.min_by(F.when(F.col("valid"), text), "place").alias("header"),
+    )
+    header = F.trim(F.regexp_replace("header", "[\ufeff\r]", ""))
+    lacks = F.size(F.array_except(F.lit(columns), F.transform(F.split(header, ","), lambda c: F.trim(F.trim(c), F.lit('"'))))) > 0
+    reason = F.when(~F.col("valid"), "corrupt").when(~F.col("filled"), "empty").when(lacks, "schema")
+    return said.select("file", reason.alias("reason"))
 
 
 def read_usable_csv(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -97,9 +107,10 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def write_star(tables: dict[str, DataFrame], path: str, partition: str | None = "season") -> None:
-    """S-09: each table as Parquet, events partitioned by a column."""
+    """S-09: each table as Parquet, events partitioned by a column. Of events only the partitions
+    that there are rows for are replaced."""
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         (writer.partitionBy(partition) if partition and name == "events" else writer).parquet(f"{path}/{name}")
 
 

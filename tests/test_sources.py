@@ -61,3 +61,43 @@ def test_skipped_files_are_counted(spark, tmp_path):
     assert [tuple(r) for r in rows.collect()] == [(1, 2.5)]
     assert sorted((r["good"], r["n"]) for r in report.collect()) == [(False, 1), (True, 1)]
     assert sorted(map(tuple, skipped.collect())) == [("corrupt", 1), ("empty", 1), ("schema", 1)]
+
+
+def test_files_are_validated_whole(spark, tmp_path):
+    wide = "id,odd\n" + "".join(f"{k},{k}.5\n" for k in range(9000))
+    place = 65_536  # a character across what was once looked at
+    text = (wide.encode() * 2)[: place - 1] + "é,1\n".encode()
+    (tmp_path / "border.csv").write_bytes(text)
+    (tmp_path / "late.csv").write_bytes(wide.encode() + b"1,2\n3,\xff\n4,5\n")
+    (tmp_path / "late nul.csv").write_bytes(wide.encode() + b"1,\0\n")
+    (tmp_path / "cut.csv").write_bytes(wide.encode() + "9,é".encode()[:-1])
+    (tmp_path / "mark.csv").write_bytes("﻿id,odd\r\n1,2\r\n".encode())
+    (tmp_path / "blank.csv").write_bytes(b"\r\n \t\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # each file in several splits
+    try:
+        found = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in files.usable_files(spark, str(tmp_path), ["id", "odd"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {"border.csv": None, "late.csv": "corrupt", "late nul.csv": "corrupt", "cut.csv": "corrupt", "mark.csv": None, "blank.csv": "empty"}
+
+
+def test_files_with_odd_names_are_read(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a b%20c+d.csv").write_text("id\n1\n2\n")
+    (tmp_path / "bad.csv").write_bytes(b"id\n\xff\n")
+    rows, _, skipped = files.read_usable_csv(spark, str(tmp_path), T.StructType([T.StructField("id", T.LongType())]))
+    assert sorted(r["id"] for r in rows.collect()) == [1, 2] and [tuple(r) for r in skipped.collect()] == [("corrupt", 1)]
+
+
+def test_only_seasons_with_rows_are_replaced(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "2000", "a"), (2, "2001", "b")], "id int, season string, home string")
+    files.write_star({"events": rows}, str(tmp_path))
+    files.write_star({"events": rows.where("season = '2001'").withColumn("home", F.lit("c"))}, str(tmp_path))
+    assert sorted((r["id"], r["home"]) for r in spark.read.parquet(f"{tmp_path}/events").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_one_dictionary_for_all_dimensions(spark):
+    rows = spark.createDataFrame([("b", "x", 7), ("a", "b", None), (None, "a", 7)], "home string, away string, n int")
+    got = sorted(tuple(r) for r in dims.dictionary(rows, {"teams": ["home", "away"], "numbers": ["n"]}).collect())
+    assert got == [("numbers", 1, "7"), ("teams", 1, "a"), ("teams", 2, "b"), ("teams", 3, "x")]
