@@ -156,3 +156,8 @@ TEST_IDS = {
     "game_participants": ["game-participants"],
 }
 LINE_ATTRIBUTES = ["data-line", "data-total", "data-handicap"]
+
+#: Names in free-form dates, and names of zones that are passed over.
+MONTHS_EN = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+WEEKDAYS_EN = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+ZONES = ["utc", "gmt", "est", "edt", "cst", "cdt", "mst", "mdt", "pst", "pdt", "wet", "west", "cet", "cest", "eet", "eest", "brt", "bst", "jst"]

@@ -58,9 +58,82 @@ def parse_pt_datetime(text: Column, as_of: Column) -> Column:
     return F.coalesce(dated, relative, yearless)
 
 
-def parse_datetime_any(text: Column, formats: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd", "dd/MM/yyyy")) -> Column:
-    """The first format that fits, as UTC."""
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats))
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
+_TIME = r"^(.*?)(?<![\d:.,/+-])(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?|h(\d{2})?|(?=\s*[ap]\.?m\b))\s*(?:([ap])\.?m\b\.?)?(?![\d:])(.*)$"
+_ZONE = rf"^\s*(?:z\b|\(?(?:{'|'.join(fixed.ZONES)})\b\)?)?\s*(?:([+-])(\d{{1,2}}):?(\d{{2}})?(?!\d))?"
+_MONTH = r"(?<![a-z])(" + "|".join(rf"{m[:3]}(?:{m[3:]})?" if m != "september" else "sept?(?:ember)?" for m in fixed.MONTHS_EN) + r")(?![a-z])"
+_WEEKDAY = r"(?<![a-z])(?:" + "|".join(rf"{d[:3]}(?:{d[3:]})?" for d in fixed.WEEKDAYS_EN) + r"|tues|wednes|thur|thurs)(?![a-z])"
+_FILLER = r"(?<![a-z])(?:at|on|and|of|ad|t)(?![a-z])|(?<=\d)(?:st|nd|rd|th)(?![a-z])|(?<=\d)t(?=\s)"
+
+
+def parse_datetime_any(text: Column, day_first: bool = False, default: Column | None = None) -> Column:
+    """A timestamp in UTC from a date in about any notation, NULL if it can't be told.
+
+    Tokens are told by their kind: a time (`13:05:07.5`, `1:05 pm`, `13h05`, `1pm`), a zone
+    behind it (`Z`, `UTC`, `-03:00`, `GMT+2`; other names of zones are passed over), names of
+    months and weekdays, and numbers. A number of four digits or above 31 is the year; with a
+    month's name the other is the day, and of two that may be either the last is the year.
+    Without a name the year comes first or last: year, month, day, or month, day, year, the
+    first two the other way round if ``day_first`` asks for it or the first can't be a month.
+    Years of two digits are those from 1969 to 2068. Without a zone the time is UTC, without a
+    time it is midnight. What a date lacks comes from the date ``default``; without one it is
+    NULL, as are texts with any other word."""
+    low = F.concat(F.lit(" "), F.lower(F.trim(F.regexp_replace(text, r"(?U)\s+", " "))), F.lit(" "))
+    low = F.regexp_replace(low, r"(?<![\d])(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(\d{2})(?!\d)", "$1-$2-$3 $4:$5:$6")
+    low = F.regexp_replace(low, r"(?<!\d)(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(?![\d:])", "$1-$2-$3 $4:$5")
+    low = F.regexp_replace(low, r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
+    number = lambda s: s.try_cast("int")
+
+    def timed(s: Column) -> Column:
+        of = [F.regexp_extract(s, f"(?s){_TIME}", k) for k in range(9)]
+        has = s.rlike(f"(?s){_TIME}")
+        return F.struct(
+            has.alias("has"), F.when(has, of[1]).otherwise(s).alias("before"), F.when(has, of[8]).otherwise("").alias("after"), F.when(has, number(of[2])).otherwise(0).alias("hour"),
+            F.coalesce(number(of[3]), number(of[6]), F.lit(0)).alias("minute"), F.concat_ws(".", F.coalesce(F.nullif(of[4], F.lit("")), F.lit("0")), F.nullif(of[5], F.lit(""))).try_cast("decimal(8,6)").alias("second"), of[7].alias("half"),
+        )
+
+    def zoned(x: Column) -> Column:
+        sign, hours, minutes = (F.when(x["has"], F.regexp_extract(x["after"], _ZONE, k)) for k in (1, 2, 3))
+        offset = (number(hours) * 60 + F.coalesce(number(minutes), F.lit(0))) * F.when(sign == "-", -1).otherwise(1)
+        rest = F.when(x["has"], F.regexp_replace(x["after"], _ZONE, "")).otherwise("")
+        words = F.regexp_replace(F.regexp_replace(F.concat_ws(" ", x["before"], rest, F.lit("")), _WEEKDAY, " "), _FILLER, " ")
+        hour = F.when(x["half"] == "", x["hour"]).when(x["hour"].between(1, 12), x["hour"] % 12 + F.when(x["half"] == "p", 12).otherwise(0))
+        return F.struct(hour.alias("hour"), x["minute"].alias("minute"), x["second"].alias("second"), F.coalesce(offset, F.lit(0)).alias("offset"), words.alias("words"))
+
+    def counted(x: Column) -> Column:
+        month = F.array_position(F.lit([m[:3] for m in fixed.MONTHS_EN]), F.substring(F.regexp_extract(x["words"], _MONTH, 1), 1, 3))
+        left = F.regexp_replace(F.regexp_replace(x["words"], _MONTH, " "), r"\d+", " ")
+        return F.struct(x.alias("x"), F.when(month > 0, month.cast("int")).alias("month"), F.regexp_extract_all(x["words"], F.lit(r"(\d+)"), F.lit(1)).alias("n"), (F.regexp_replace(left, r"[\s,./;'-]+", "") == "").alias("whole"))
+
+    def dated(y: Column) -> Column:
+        n, month, given = y["n"], y["month"], lambda k: F.try_element_at(y["n"], F.lit(k))
+        value = lambda k: number(given(k))
+        is_year = lambda k: (F.length(given(k)) == 4) | (value(k) > 31)
+        full = lambda k: F.when(F.length(given(k)) > 2, value(k)).otherwise(value(k) + F.when(value(k) > 68, 1900).otherwise(2000))
+        missing = lambda part: part(default).cast("int") if default is not None else F.lit(None).cast("int")
+        size, named = F.size(n), month.isNotNull()
+        swap = (value(1) > 12) | (F.lit(day_first) & (value(2) <= 12))
+        year = (
+            F.when(named & (size == 2), F.when(is_year(1), full(1)).otherwise(full(2))).when(named & (size == 1), F.when(is_year(1), full(1)).otherwise(missing(F.year)))
+            .when(size == 3, F.when(is_year(1), full(1)).otherwise(full(3))).when(~named & (size == 2) & is_year(1), full(1)).when(~named & (size == 2), F.when(is_year(2), full(2)).otherwise(missing(F.year))).when(size == 0, missing(F.year))
+        )
+        of_month = (
+            F.when(named, month).when(size == 3, F.when(is_year(1), value(2)).otherwise(F.when(swap, value(2)).otherwise(value(1))))
+            .when(size == 2, F.when(is_year(1), value(2)).when(is_year(2), value(1)).when(swap, value(2)).otherwise(value(1))).when(size == 0, missing(F.month))
+        )
+        day = (
+            F.when(named & (size == 2), F.when(is_year(1), value(2)).otherwise(value(1))).when(named & (size == 1), F.when(is_year(1), missing(F.day)).otherwise(value(1)))
+            .when(size == 3, F.when(is_year(1), value(3)).otherwise(F.when(swap, value(1)).otherwise(value(2)))).when(size == 2, F.when(is_year(1) | is_year(2), missing(F.day)).when(swap, value(1)).otherwise(value(2))).when(size == 0, missing(F.day))
+        )
+        x = y["x"]
+        at = F.try_make_timestamp(year, of_month, day, x["hour"], x["minute"], x["second"])
+        return F.when(y["whole"] & (size <= F.when(named, 2).otherwise(3)), at - F.make_dt_interval(mins=x["offset"]))
+
+    return F.when(F.trim(text) != "", _once(_once(_once(_once(low, timed), zoned), counted), dated))
 
 
 def iso_utc(ts: Column) -> Column:

@@ -74,6 +74,23 @@ def p04(spark, sf):
     d, k = F.col("o_orderdate"), F.col("o_orderkey") % 6
     formats = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd", "dd/MM/yyyy"]
     text = F.coalesce(*(F.when(k == n, F.date_format(d, f)) for n, f in enumerate(formats)), F.lit("no date"))
+    return table(spark, sf, "orders").select("o_orderkey", S.parse_datetime_any(text, day_first=True).alias("dt"))
+
+
+#: Notations of a date and time, and the hours by which each is east of UTC.
+NOTATIONS = [
+    ("EEE, dd MMM yyyy HH:mm:ss '-0300'", -3), ("MMMM d, yyyy h:mm a", 0), ("d MMMM yyyy 'at' HH'h'mm", 0), ("yyyyMMdd'T'HHmmss'Z'", 0), ("MM/dd/yyyy HH:mm", 0), ("yyyy/M/d HH:mm:ss.SSS", 0),
+    ("dd-MMM-yy HH:mm", 0), ("EEEE, MMM d yyyy HH:mm 'GMT+2'", 2), ("yyyy.MM.dd, HH:mm:ss", 0), ("yyyy-MM-dd'T'HH:mm:ssXXX", 0), ("HH:mm yyyy MMM dd", 0), ("dd MMM, yyyy", None), ("'someday' yyyy", None),
+]
+
+
+@query("p04_free_dates", f"""
+    select o_orderkey, case when k = {len(NOTATIONS) - 1} then null when k = {len(NOTATIONS) - 2} then cast(o_orderdate as timestamp)
+      else cast(o_orderdate as timestamp) + (o_orderkey % 24) * interval '1' hour + (o_orderkey % 60) * interval '1' minute - hours * interval '1' hour end as dt
+    from (select *, o_orderkey % {len(NOTATIONS)} as k from orders) o join (values {", ".join(f"({k}, {h or 0})" for k, (_, h) in enumerate(NOTATIONS))}) z(n, hours) on n = k""")
+def p04_free(spark, sf):
+    at = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"), mins=(F.col("o_orderkey") % 60).cast("int"))
+    text = F.coalesce(*(F.when(F.col("o_orderkey") % len(NOTATIONS) == k, F.date_format(at, f)) for k, (f, _) in enumerate(NOTATIONS)))
     return table(spark, sf, "orders").select("o_orderkey", S.parse_datetime_any(text).alias("dt"))
 
 

@@ -1,3 +1,6 @@
+import datetime
+import warnings
+
 from pyspark.sql import functions as F
 
 from matchloom.functions import scalars as S
@@ -41,3 +44,36 @@ def test_stable_id_keeps_empty_parts(spark):
     one = lambda c: S.stable_event_id(F.lit("t"), c, F.lit("a"), F.lit("b"), F.lit("2020-01-01T00:00:00"))
     got = values(spark, ["x", None], one)
     assert len(set(got)) == 2 and all(len(v) == 16 for v in got)
+
+
+NOTATIONS = [
+    "Thu Sep 25 10:36:28 2003", "2003-09-25T10:49:41.5-03:00", "2003-09-25T10:49", "20030925T104941", "20030925T1049", "20030925 10:49", "20030925", "2003-09-25",
+    "Sep-25-2003", "25-Sep-2003", "25 Sep 2003", "2003-Sep-25", "Sep 25, 2003", "September 25th, 2003 at 1pm", "25th of September 2003", "10/09/2003", "25/09/2003", "09/25/2003",
+    "2003/09/25", "2003.09.25", "09.25.2003", "25.09.2003", "10-09-03", "25-09-03", "Thursday, 25 September 2003 10:49 PM", "10:36:28 25 Sep 2003", "Wed, July 10, '96", "1996.07.10 AD at 15:08:56 PDT",
+    "July 4, 1976 12:01:02 am", "Mon Jan  2 04:24:27 1995", "04.04.95 00:22", "Jan 1 1999 11:23:34.578", "3rd of May 2001", "5th of March 2001", "1st of May 2003", "99-12-31", "2003-09-25 10:49:41 UTC",
+    "2003-09-25 10:49:41Z", "2003-09-25 10:49 +02", "Fri, 5 Dec 2025 23:59:59 GMT", "12h05 2003-09-25", "10 pm 2003-09-25", "31-12-1999", "13/13/2003", "2003-02-30", "2003-09-25 25:00", "no date", "soon 2003-09-25", "", " ", "2003-09-25 13 pm",
+]
+
+
+def test_dates_in_any_notation(spark):
+    from dateutil import parser
+
+    def plain(text, **options):
+        try:
+            at = parser.parse(text, **options) if text.strip() else None
+        except (ValueError, OverflowError):
+            return None
+        return at and (at - at.utcoffset() if at.tzinfo else at).replace(tzinfo=None)
+
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(NOTATIONS)], "k int, t string")
+    default = datetime.datetime(2001, 3, 4)
+    more = ["Sep 2003", "25 Sep", "10:36", "Sep", "2003-09", "09/25", "3 May 10:00"]
+    got = {r["t"]: r["dt"] for r in rows.select("t", S.parse_datetime_any(F.col("t")).alias("dt")).collect()}
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert got == {t: plain(t) for t in NOTATIONS}
+        first = {r["t"]: r["dt"] for r in rows.select("t", S.parse_datetime_any(F.col("t"), day_first=True).alias("dt")).where("k in (15, 16, 17, 21, 22, 23)").collect()}
+        assert first == {NOTATIONS[k]: plain(NOTATIONS[k], dayfirst=True) for k in (15, 16, 17, 21, 22, 23)}
+        filled = spark.createDataFrame([(t,) for t in more], "t string").select("t", S.parse_datetime_any(F.col("t"), default=F.lit("2001-03-04").cast("date")).alias("dt"), S.parse_datetime_any(F.col("t")).alias("none")).collect()
+        assert {r["t"]: r["dt"] for r in filled} == {t: plain(t, default=default) for t in more}
+    assert [r["none"] for r in filled] == [None] * len(more)
