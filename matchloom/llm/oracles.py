@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality_rules import ALPHA, COST, DELTA, SCORES, STEPS, TOP
+from .quality_rules import ALPHA, COST, DELTA, EVEN, SCORES, STEPS
 
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -24,6 +24,9 @@ reach as (select a, b from both_ways union select r.a, l.b from reach r join bot
 select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) as component_id, d.doc_id = least(d.doc_id, coalesce(r.low, d.doc_id)) as kept
 from documents d left join n on n.doc_id = d.doc_id left join (select a, min(b) as low from reach group by a) r on r.a = d.doc_id"""
 
+_DOUBLED = f"(length(bin({{x}} // {EVEN})) - 1)"
+_STEP = f"case when {{x}} <= {EVEN} then {{x}} else {EVEN} + {_DOUBLED} * {EVEN // 2} + (({{x}} >> {_DOUBLED}) - {EVEN}) // 2 end"
+_SCORES = [("symbols", "n_symbols", "n_words"), ("repeats", "n_repeat_words", "n_words"), ("dup_lines", "n_dup_lines", "n_words"), ("upper", "n_upper", "word_chars"), ("length", "word_chars", "n_words")]
 _LEVEL = "(select {delta} / (greatest(1, count(distinct stratum)) * {m}) from holdout)"
 _COUNTS = f"""
 words as materialized (select doc_id, coalesce('=' || lang, '') as stratum, coalesce(text, '') as text, {_WORDS.format(text="coalesce(text, '')")} as w from documents),
@@ -36,9 +39,7 @@ base as materialized (select words.doc_id, stratum, cast(len(w) as bigint) as n_
   coalesce(n_repeat_words, 0) as n_repeat_words, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as n_upper
   from words join text_lines on words.doc_id = text_lines.doc_id left join repeats on words.doc_id = repeats.doc_id),
 scored as materialized (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-  least(floor(n_symbols / greatest(n_words, 1) * {STEPS}), {TOP}) as symbols, least(floor(n_repeat_words / greatest(n_words, 1) * {STEPS}), {TOP}) as repeats,
-  least(floor(n_dup_lines / greatest(n_words, 1) * {STEPS}), {TOP}) as dup_lines, least(floor(n_upper / greatest(word_chars, 1) * {STEPS}), {TOP}) as upper,
-  least(floor(word_chars / greatest(n_words, 1) * {STEPS}), {TOP}) as length from base)"""
+  {", ".join(f"{_STEP.format(x=f'cast(floor({count} / greatest({of}, 1) * {STEPS}) as bigint)')} as {name}" for name, count, of in _SCORES)} from base)"""
 
 OP7 = f"""
 with {_COUNTS},

@@ -28,13 +28,21 @@ from .workers import tidy
 
 ALPHA, DELTA, COST = 0.05, 0.05, 10
 SCORES = ("symbols", "repeats", "dup_lines", "upper", "length")
-STEPS, TOP = 50, 2000  # cutoffs are multiples of 1 / STEPS; scores beyond TOP / STEPS are one step
+STEPS, EVEN = 50, 2000  # steps of 1 / STEPS up to EVEN / STEPS, beyond that of 1 in EVEN / 2 parts of each doubling
 BROADCAST_STRATA = 10_000
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper")
 _SPACES, _SYMBOLS, _UPPER = b" \t\n\x0b\x0c\r", b"#*$%&|<>", bytes(range(65, 91))
 
 
+def steps_of(score: np.ndarray) -> np.ndarray:
+    """The number of a score's step. Steps are even for scores that occur, and grow with the
+    score beyond, so that any score has one and there are some thousands at most."""
+    x = np.floor(score * STEPS).astype(np.int64)
+    doubled = np.maximum(np.frexp(x // EVEN)[1] - 1, 0)
+    return np.where(x <= EVEN, x, EVEN + doubled * (EVEN // 2) + ((x >> doubled) - EVEN) // 2).astype(np.int32)
+
+
 def counts_of(texts: list[bytes | None]) -> np.ndarray:
     """A row of ``_COUNTS`` for each text; a null text has none of anything."""
     out = np.zeros((len(texts), len(_COUNTS)), np.int64)
@@ -69,7 +77,7 @@ def measured(docs: DataFrame, text_col: str = "text", name: str = "__quality", p
             some = np.maximum(words, 1)
             failed = (words < 50) | (100 * repeats > 50 * words)
             scores = [symbols / some, repeats / some, lines / some, upper / np.maximum(chars, 1), chars / some]
-            steps = [np.minimum(np.floor(s * STEPS), TOP).astype(np.int32) for s in scores]
+            steps = [steps_of(s) for s in scores]
             made = pa.StructArray.from_arrays([*map(pa.array, c.T), pa.array(failed), *map(pa.array, steps)], names=[f for f, _ in fields])
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 

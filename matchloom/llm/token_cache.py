@@ -70,7 +70,8 @@ def fill(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", te
             yield batch.filter(pa.array(passes(bits.value, batch.column(0).to_numpy())))
 
     wanted = rows.select("place", "content_sha256", "body").mapInArrow(tidy(some), "place long, content_sha256 binary, body string")
-    wanted = wanted.join(misses.hint("shuffle_hash"), ["place", "content_sha256"], "left_semi")
+    # Copies of one id, or without any, have one place: one of them goes on, already map-side.
+    wanted = wanted.dropDuplicates(["place", "content_sha256"]).join(misses.hint("shuffle_hash"), ["place", "content_sha256"], "left_semi")
     _counts(wanted, tokenizer).select("content_sha256", F.lit(version).alias("tokenizer_sha256"), "n_tokens").write.mode("append").parquet(cache)
 
 

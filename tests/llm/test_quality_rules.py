@@ -2,7 +2,9 @@ import random
 import re
 from math import comb
 
-from matchloom.llm.quality_rules import counts_of, cutoffs, judged, keep_good, most_false, tail
+import numpy as np
+
+from matchloom.llm.quality_rules import counts_of, cutoffs, judged, keep_good, most_false, steps_of, tail
 
 
 def brute(text):
@@ -26,6 +28,14 @@ def test_counts_match_brute_force():
     assert [tuple(r) for r in got.tolist()] == [brute(t) for t in [None, *texts]]
 
 
+def test_steps_have_no_end():
+    scores = np.array([0, 0.019, 0.02, 39.99, 40, 40.02, 79.99, 80, 1e3, 1e6, 1e9, 4e9])
+    got = steps_of(scores).tolist()
+    assert got[:5] == [0, 0, 1, 1999, 2000] and got == sorted(got) and len(set(got)) == len(got) - 2 and got[-1] < 40_000
+    rising = steps_of(np.arange(0, 2_000_000, 7) / 50)
+    assert (np.diff(rising) >= 0).all() and len(np.unique(rising)) < 15_000
+
+
 def test_binomial_bounds():
     for n, p in ((10, 0.3), (60, 0.02)):
         for k in range(n):

@@ -71,3 +71,14 @@ def test_very_long_word(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, id int, body int")
     assert round_trip(none, PATH).count() == token_counts(none, PATH).count() == 0
+
+
+def test_each_distinct_content_is_encoded_once(spark):
+    from matchloom.llm.queries import tokenizer_file
+    from matchloom.llm.token_cache import fill, new_cache
+
+    rows = [(None, "a text without an id")] * 50 + [(1, "another text")] * 3 + [(k, "another text") for k in range(4)] + [(None, None)] * 5
+    cache = new_cache(spark)
+    for _ in range(2):
+        fill(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), tokenizer_file(), cache)
+        assert spark.read.parquet(cache).count() == 3
