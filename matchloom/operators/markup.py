@@ -1,10 +1,10 @@
-"""Elements of HTML pages, nested to any depth, as windows over a page's tags.
+"""Elements of HTML pages, nested to any depth.
 
-A page is cut at its tags into tokens. Per tag name a running depth says which end belongs to
-which beginning (windows by page), so an element may hold others of its own tag. A page's
-tokens then lie in one array, after the one exchange by page, and what holds what is a
-question of places in it: an element is a slice of the array. So a task holds one page at a
-time, and no page is joined with anything.
+A page is cut at its tags. Per tag name the open elements say which end belongs to which
+beginning, so an element may hold others of its own tag. What comes out is an array for each
+page, of the elements that selectors ask for, in order; an element is followed by those that
+it holds, so what lies in it is a slice of the array, and everything further is expressions on
+arrays. Pages are cut where they lie: nothing is exchanged, and a task holds a page at a time.
 
 Markup that isn't well-formed: an end without a beginning is passed over, an element that is
 never ended goes on to the end of its page, and comments, scripts and styles are no markup.
@@ -13,151 +13,178 @@ never ended goes on to the end of its page, and comments, scripts and styles are
 from __future__ import annotations
 
 import re
-from functools import reduce
-from operator import and_, or_
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ..functions.scalars import normalize_name
+from pyspark.sql import types as T
 
 #: Tags that hold nothing.
-VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
-_HEAD = r"""^</?[A-Za-z][\w:-]*(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
-_OPAQUE = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
-_PAGE_END = 1 << 30
+VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"])
+_TAG = re.compile(r"""<(/?)([A-Za-z][\w:-]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_OPAQUE = re.compile(r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>")
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_PART = re.compile(r"""(?P<tag>^[a-zA-Z][\w-]*)|\.(?P<class>[\w-]+)|\[(?P<name>[\w-]+)(?:(?P<op>[*^]?)=["']?(?P<value>[^"'\]]*)["']?)?\]""")
 
-
-def decoded(text: Column) -> Column:
-    """Text without entities, words one space apart."""
-    out = text
-    for entity, char in _ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return normalize_name(F.when(F.contains(text, F.lit("&")), out).otherwise(text))
-
-
-def _attribute(head: Column, name: str) -> Column:
-    """The value of an attribute in a tag's text, NULL without one."""
-    value = F.regexp_extract(head, rf"""(?is)^<[\w:-]+(?:[^"'>]++|"[^"]*+"|'[^']*+')*?[\s"']{re.escape(name)}(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/>]))""", 0)
-    quoted = F.regexp_extract(value, r"""(?s)=\s*(?:"([^"]*)"|'([^']*)')$""", 0)
-    said = F.when(quoted != "", F.regexp_replace(quoted, r"""(?s)^=\s*["']|["']$""", "")).otherwise(F.regexp_extract(value, r"=\s*([^\s\"'>]+)$", 1))
-    return F.when(F.contains(F.lower(head), F.lit(name)) & (value != ""), said)
-
-
-def attribute(head: Column, name: str) -> Column:
-    """The value of an attribute in a tag's text, empty without one."""
-    return F.coalesce(_attribute(head, name), F.lit(""))
+_FIELDS = [("pos", pa.int32()), ("end", pa.int32()), ("at", pa.int32()), ("size", pa.int32()), ("parent", pa.int32()), ("opens", pa.list_(pa.string())), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string())]
+_ELEMENT = "array<struct<pos: int, end: int, at: int, size: int, parent: int, opens: array<string>, attributes: map<string, string>, text: string>>"
 
 
-_PART = re.compile(r"""(?P<tag>^[a-zA-Z][\w-]*)|\.(?P<class>[\w-]+)|\[(?P<name>[\w-]+)(?:(?P<op>[*^]?)=["']?(?P<value>[^"'\]]*)["']?)?\]""")
+def _plain(text: str) -> str:
+    """Text without entities, words one space apart."""
+    if "&" in text:
+        for entity, char in _ENTITIES:
+            text = text.replace(entity, char)
+    return " ".join(text.split())
 
 
-def matches(tag: Column, value, selector: str) -> Column:
-    """Whether a tag fits one of the selectors, which are separated by commas: a tag's name,
+def selector(text: str) -> tuple[set[str], Callable[[str, dict], bool]]:
+    """The attributes that a selector asks for (empty if a tag's name can be enough), and whether
+    a tag (name, attributes) fits it. Selectors are separated by commas: a tag's name,
     ``.class``, ``[attribute]``, ``[attribute="value"]``, ``*=`` for a part of the value, ``^=``
-    for its beginning, or several of these in one. ``value`` gives an attribute's column, NULL
-    where a tag hasn't the attribute."""
-    found = []
-    for one in selector.split(","):
-        parts, at = [], 0
+    for its beginning, or several of these in one."""
+    every, asked, bare = [], set(), False
+    for one in text.split(","):
+        tests, at, names = [], 0, set()
         for m in _PART.finditer(one.strip()):
             if m.start() != at:
                 break
             at = m.end()
+            value = m["value"]
             if m["tag"]:
-                parts.append(tag == m["tag"].lower())
-            elif m["class"]:
-                parts.append(F.array_contains(F.split(value("class"), r"\s+"), m["class"]))
+                tests.append(lambda tag, has, want=m["tag"].lower(): tag == want)
+                continue
+            name = m["name"] or "class"
+            names.add(name)
+            if m["class"]:
+                tests.append(lambda tag, has, want=m["class"]: want in has.get("class", "").split())
             elif m["op"] is None:
-                parts.append(value(m["name"]).isNotNull())
+                tests.append(lambda tag, has, name=name: name in has)
+            elif m["op"] == "*":
+                tests.append(lambda tag, has, name=name, value=value: value in has.get(name, "\0"))
+            elif m["op"] == "^":
+                tests.append(lambda tag, has, name=name, value=value: has.get(name, "\0").startswith(value))
             else:
-                said = value(m["name"])
-                parts.append({"": said == m["value"], "*": said.contains(m["value"]), "^": said.startswith(m["value"])}[m["op"]])
-        if not parts or at != len(one.strip()):
+                tests.append(lambda tag, has, name=name, value=value: has.get(name) == value)
+        if not tests or at != len(one.strip()):
             raise ValueError(f"not a selector: {one}")
-        found.append(reduce(and_, parts))
-    return reduce(or_, found)
+        every.append(tests)
+        asked |= names
+        bare |= not names
+    return set() if bare else asked, lambda tag, has: any(all(t(tag, has) for t in tests) for tests in every)
 
 
 def by_test_id(ids: list[str], tag: str = "") -> str:
     return ", ".join(f'{tag}[data-testid="{x}"]' for x in ids)
 
 
-def parsed(pages: DataFrame, key: str, selectors: dict[str, str], html: str = "html") -> DataFrame:
-    """(key, toks) of each page: its tags in order, as (pos, end, head, text, opens): pos from 0,
-    end the place of the tag that ends the element, head the tag, text what follows it up to
-    the next tag, opens the names of the selectors that the element fits. A page without html
-    has none."""
-    plain = F.regexp_replace(F.coalesce(html, F.lit("")), _OPAQUE, " ")
-    rows = pages.select(F.col(key), F.posexplode(F.split(plain, r"(?=</?[A-Za-z])")).alias("pos", "part")).repartition(F.col(key))
-    rows = rows.withColumn("head", F.regexp_extract("part", _HEAD, 0))
-    rows = rows.withColumns({"tag": F.lower(F.regexp_extract("head", r"^</?([A-Za-z][\w:-]*)", 1)), "text": F.substr("part", F.length("head") + 1)}).drop("part")
-    head, tag = F.col("head"), F.col("tag")
-    names = {m["name"] or "class" for s in selectors.values() for m in _PART.finditer(s) if m["name"] or m["class"]}
-    rows = rows.withColumns({f"__{n}": _attribute(head, n) for n in sorted(names)})
-    step = F.when(head.startswith("</"), -1).when((head == "") | tag.isin(VOID) | head.endswith("/>"), 0).otherwise(1)
-    fits = [F.when((head != "") & ~head.startswith("</") & matches(tag, lambda n: F.col(f"__{n}"), s), F.lit(name)) for name, s in selectors.items()]
-    rows = rows.withColumns({"step": step, "opens": F.array_compact(F.array(*fits))})
-    depth = F.sum("step").over(Window.partitionBy(key, "tag").orderBy("pos"))
-    # An element's beginning and end are neighbours among the tags of its name and depth.
-    rows = rows.withColumn("level", depth + F.when(F.col("step") < 0, 1).otherwise(0))
-    same = Window.partitionBy(key, "tag", "level", F.col("step") != 0).orderBy("pos")
-    end = F.when(F.col("step") < 1, F.col("pos")).otherwise(F.coalesce(F.when(F.lead("step").over(same) < 0, F.lead("pos").over(same)), F.lit(_PAGE_END)))
-    each = F.struct("pos", "end", "head", "text", "opens")
-    return rows.withColumn("end", end).groupBy(key).agg(F.array_sort(F.collect_list(each)).alias("toks"))
+def _elements_of(html: str, kinds: dict, without: dict[str, str]) -> list[dict]:
+    """The elements of a page that fit a selector, in order."""
+    html = _OPAQUE.sub(" ", html)
+    needed = set().union(*(asked for asked, _ in kinds.values())) if all(asked for asked, _ in kinds.values()) else None
+    texts, found, opened, stack, last = [], [], {}, [], None
+    for m in _TAG.finditer(html):
+        if last is not None:
+            texts.append(html[last : m.start()])
+        last = m.end()
+        pos, (end, tag, rest) = len(texts), m.groups()
+        tag = tag.lower()
+        if end:
+            if opened.get(tag):
+                element = opened[tag].pop()
+                element["end"] = pos
+                if stack[-1] is element:
+                    stack.pop()
+                else:
+                    stack.remove(element)
+            continue
+        element = {"pos": pos, "end": pos, "parent": stack[-1]["pos"] if stack else -1}
+        if needed is None or any(n in rest.lower() for n in needed):
+            has = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(rest)}
+            opens = [name for name, (_, fits) in kinds.items() if fits(tag, has)]
+            if opens:
+                found.append(element | {"opens": opens, "attributes": list(has.items()), "of": element})
+        if tag not in VOID and not rest.endswith("/"):
+            element["end"] = 1 << 30
+            opened.setdefault(tag, []).append(element)
+            stack.append(element)
+    if last is not None:
+        texts.append(html[last:])
+    for k, e in enumerate(found):
+        e["at"], e["end"] = k, e.pop("of")["end"]
+        e["size"] = next((n for n, other in enumerate(found[k + 1 :]) if other["pos"] >= e["end"]), len(found) - k - 1)
+    for e in found:
+        stop, gone = min(e["end"], len(texts)), {without[o] for o in e["opens"] if o in without}
+        inner = [x for x in found[e["at"] + 1 : e["at"] + 1 + e["size"]] if gone & set(x["opens"])]
+        parts = texts[e["pos"] : stop] if not inner else [t for k, t in enumerate(texts[e["pos"] : stop], e["pos"]) if not any(x["pos"] <= k < x["end"] for x in inner)]
+        e["text"] = _plain(" ".join(parts))
+    return found
+
+
+def parsed(pages: DataFrame, key: str, selectors: dict[str, str], html: str = "html", without: dict[str, str] | None = None) -> DataFrame:
+    """(key, toks) of each page: its elements that fit a selector, in order: pos and end, the
+    places of its tags in the page; at, its place in the array, and size, the number of those
+    behind it that it holds; parent, the place of the tag of the element right around it; opens,
+    the names of the selectors; attributes; and text. ``without`` names selectors whose
+    elements are left out of the text of others. A page without html has no element."""
+    kinds = {name: selector(s) for name, s in selectors.items()}
+    left_out = dict(without or {})
+    kind = pa.list_(pa.struct(_FIELDS))
+
+    def run(batches):
+        for batch in batches:
+            toks = [_elements_of(h or "", kinds, left_out) for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(toks, kind)], names=["key", "toks"])
+
+    rows = pages.select(F.col(key).alias("key"), F.col(html).alias("html"))
+    schema = T.StructType([T.StructField("key", pages.schema[key].dataType), *T.StructType.fromDDL(f"toks {_ELEMENT}").fields])
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def elements(page: DataFrame, kind: str, *keep: str) -> DataFrame:
-    """(keep, pos, toks) of each element of a kind that can hold something: its tokens in order,
-    its own tag first."""
+    """(keep, pos, toks) of each element of a kind that can hold something: itself, and the
+    elements in it."""
     each = F.transform(F.filter(opening(F.col("toks"), kind), lambda o: o["end"] > o["pos"]), lambda o: F.struct(o["pos"].alias("pos"), within(F.col("toks"), o).alias("toks")))
     return page.select(*keep, F.inline(each))
 
 
-def text(toks: Column) -> Column:
-    """The text of tokens."""
-    return decoded(F.array_join(F.transform(toks, lambda t: t["text"]), " "))
+def attribute(element: Column, name: str) -> Column:
+    """The value of an attribute, empty without one."""
+    return F.coalesce(F.try_element_at(element["attributes"], F.lit(name)), F.lit(""))
 
 
 def within(toks: Column, of: Column) -> Column:
-    """Those of the tokens, which follow each other, that lie in the element that ``of`` begins."""
-    at = of["pos"] - toks[0]["pos"]
-    return F.slice(toks, at + 1, F.least(of["end"] - toks[0]["pos"], F.size(toks)) - at)
+    """An element and those in it, of elements that follow each other."""
+    return F.slice(toks, of["at"] - toks[0]["at"] + 1, of["size"] + 1)
 
 
 def opening(toks: Column, kind: str) -> Column:
-    """The tokens that begin an element of a kind."""
+    """The elements of a kind."""
     return F.filter(toks, lambda t: F.array_contains(t["opens"], kind))
 
 
-def holding(toks: Column, kind: str, of: Column) -> Column:
-    """The tokens that begin an element of a kind that ``of`` lies in."""
-    return F.filter(opening(toks, kind), lambda t: (t["pos"] < of["pos"]) & (t["end"] > of["pos"]))
+def first(toks: Column, kind: str) -> Column:
+    """The first element of a kind and those in it, none without one."""
+    return F.flatten(F.transform(F.slice(opening(toks, kind), 1, 1), lambda o: within(toks, o)))
 
 
 def first_text(toks: Column, kind: str) -> Column:
     """The text of the first element of a kind, NULL without one."""
-    return F.try_element_at(F.transform(F.slice(opening(toks, kind), 1, 1), lambda o: text(within(toks, o))), F.lit(1))
+    return F.try_element_at(opening(toks, kind), F.lit(1))["text"]
 
 
-def first(toks: Column, kind: str) -> Column:
-    """The tokens of the first element of a kind, none without one."""
-    return F.flatten(F.transform(F.slice(opening(toks, kind), 1, 1), lambda o: within(toks, o)))
+def texts(toks: Column, kind: str) -> Column:
+    return F.transform(opening(toks, kind), lambda o: o["text"])
 
 
 def children(toks: Column, kind: str) -> Column:
-    """The tokens that begin an element of a kind right below the element that the tokens are of."""
-    top = toks[0]["pos"]
-    between = lambda t: F.exists(toks, lambda o: (o["pos"] > top) & (o["pos"] < t["pos"]) & (o["end"] > t["pos"]))
-    return F.filter(opening(toks, kind), lambda t: (t["pos"] > top) & ~between(t))
+    """The elements of a kind right below the first of the elements."""
+    return F.filter(opening(toks, kind), lambda t: t["parent"] == toks[0]["pos"])
 
 
 def leaves(toks: Column, kind: str) -> Column:
-    """The tokens that begin an element of a kind that holds no other of the kind."""
+    """The elements of a kind that hold no other of the kind."""
     own = opening(toks, kind)
     return F.filter(own, lambda t: ~F.exists(own, lambda o: (o["pos"] > t["pos"]) & (o["pos"] < t["end"])))
-
-
-def texts(toks: Column, kind: str) -> Column:
-    return F.transform(opening(toks, kind), lambda o: text(within(toks, o)))

@@ -1,8 +1,8 @@
 """From the HTML of a page to rows: listings, bookmakers' odds, match headers.
 
-A page's elements are found by their tags and depth (``markup``), whatever they hold; what runs
-on from one to the next (a date header, a line's value) is a window over the page's elements.
-Pages are independent of each other: their tokens are exchanged once, by page.
+A page's elements are found by their tags and depth (``markup``), whatever they hold. Pages are
+independent of each other: what a page says is worked out where it lies, and only what runs on
+in a listing (the date header) is a window over a page's rows.
 """
 
 from __future__ import annotations
@@ -42,17 +42,17 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
     kinds = _named("date_header", "game_row", "time", "participants", "score") | {"link": "a[href]", "titled": "a[title]", "participant": f".participant-name, {M.by_test_id(TEST_IDS['participant'])}"}
     rows = M.elements(M.parsed(pages, key, kinds | {"any": ", ".join(kinds[k] for k in ("date_header", "game_row"))}), "any", key)
     is_header = F.array_contains(F.col("toks")[0]["opens"], "date_header")
-    rows = rows.withColumn("said", F.when(is_header, F.trim(F.element_at(F.split(M.text(F.col("toks")), r"\s*-\s*", 2), 1))))
+    rows = rows.withColumn("said", F.when(is_header, F.trim(F.element_at(F.split(F.col("toks")[0]["text"], r"\s*-\s*", 2), 1))))
     dated = F.when(S.parse_pt_datetime(F.col("said"), as_of).isNotNull(), F.col("said"))
     rows = rows.withColumn("header", carried(dated, [key], ["pos"])).where(~is_header)
-    rows = rows.withColumn("href", M.attribute(F.try_element_at(M.children(F.col("toks"), "link"), F.lit(1))["head"], "href")).where("href <> ''")
+    rows = rows.withColumn("href", M.attribute(F.try_element_at(M.children(F.col("toks"), "link"), F.lit(1)), "href")).where("href <> ''")
     filled = lambda xs: F.filter(xs, lambda x: x != "")
 
     def read(toks: Column) -> Column:
         people = M.first(toks, "participants")
         names = filled(M.texts(people, "participant"))
-        titles = filled(F.transform(M.opening(people, "titled"), lambda t: M.decoded(M.attribute(t["head"], "title"))))
-        return F.struct(names.alias("names"), titles.alias("titles"), F.coalesce(M.first_text(toks, "time"), F.lit("00:00")).alias("time"), M.first_text(toks, "score").alias("shown"), M.text(toks).alias("all"))
+        titles = filled(F.transform(M.opening(people, "titled"), lambda t: S.normalize_name(M.attribute(t, "title"))))
+        return F.struct(names.alias("names"), titles.alias("titles"), F.coalesce(M.first_text(toks, "time"), F.lit("00:00")).alias("time"), M.first_text(toks, "score").alias("shown"), toks[0]["text"].alias("all"))
 
     # Generated, so that what a row says is read once and filters stay behind it.
     rows = rows.select(key, "pos", "header", S.resolve_url(F.col("href"), base).alias("match_url"), F.inline(F.transform(F.array("toks"), read)))
@@ -101,12 +101,12 @@ def line_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> Da
 
     def valued(c: Column) -> Column:
         """A container's value; its own tag is no title of it."""
-        own = F.coalesce(*(F.nullif(M.attribute(c["head"], a), F.lit("")) for a in LINE_ATTRIBUTES))
+        own = F.coalesce(*(F.nullif(M.attribute(c, a), F.lit("")) for a in LINE_ATTRIBUTES))
         inner = F.slice(M.within(toks, c), 2, F.size(toks))
         return F.struct(c["pos"].alias("pos"), c["end"].alias("end"), F.coalesce(own, number(M.first_text(inner, "title")), F.lit("")).alias("line"))
 
     page = M.parsed(pages, key, kinds)
-    heads = F.transform(M.opening(toks, "line_header"), lambda h: F.struct(h["pos"].alias("pos"), number(M.text(M.within(toks, h))).alias("line")))
+    heads = F.transform(M.opening(toks, "line_header"), lambda h: F.struct(h["pos"].alias("pos"), number(h["text"]).alias("line")))
     page = page.select(key, "toks", F.transform(M.opening(toks, "container"), valued).alias("boxes"), F.filter(heads, lambda h: h["line"].isNotNull()).alias("heads"))
     each = F.transform(M.opening(toks, "odds_row"), lambda r: F.struct(
         M.within(toks, r).alias("toks"), r["pos"].alias("pos"),
@@ -133,9 +133,8 @@ def grid_odds(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """H-09 from the page: cells under the first table header (by test id, ``thead`` or the class
     ``table-header``), whose first cell names the bookmaker; of cells in cells the innermost count."""
     page = M.parsed(pages, key, _ODDS | {"header": f"{M.by_test_id(TEST_IDS['grid_header'])}, thead, .table-header", "cell": "th, td, div"})
-    header = F.slice(M.first(F.col("toks"), "header"), 2, F.size("toks"))
-    cells = F.transform(M.leaves(header, "cell"), lambda c: M.text(M.within(header, c)))
-    page = page.withColumn("cells", cells)
+    header = M.first(F.col("toks"), "header")
+    page = page.withColumn("cells", F.transform(M.leaves(F.slice(header, 2, F.size("toks")), "cell"), lambda c: c["text"]))
     heads = F.filter(F.slice("cells", 2, F.greatest(F.size("cells"), F.lit(1))), lambda x: x != "")
     rows = bookmaker_rows(page.withColumn("headers", heads), key, "headers")
     return _with_columns(grid(rows, [key, "payout_pct"]), pages, key)
@@ -151,10 +150,10 @@ def match_headers(pages: DataFrame, as_of: Column, key: str = "page_id") -> Data
     events = F.filter(F.transform(blocks, lambda x: F.from_json(x, _EVENT)), lambda x: x["@type"].contains("SportsEvent"))
     kinds = _named("host", "guest", "game_time", "live", "game_participants") | {"strong": "strong", "raised": "sup"}
     toks, event = F.col("toks"), F.col("event")
-    rows = pages.select(key, F.try_element_at(events, F.lit(1)).alias("event")).join(M.parsed(pages, key, kinds), key, "left")
+    rows = pages.select(key, F.try_element_at(events, F.lit(1)).alias("event")).join(M.parsed(pages, key, kinds, without={"live": "raised"}), key, "left")
     named = lambda team, name: F.coalesce(S.blank_to_null(S.normalize_name(event[team]["name"])), S.blank_to_null(F.col(name)))
-    live, raised = M.first(toks, "live"), lambda t: F.exists(M.opening(toks, "raised"), lambda o: (t["pos"] >= o["pos"]) & (t["pos"] < o["end"]))
-    found = {n: M.first_text(toks, n) for n in ("host", "guest")} | {"strong": F.coalesce(M.first_text(live, "strong"), F.lit("")), "live": M.text(F.filter(live, lambda t: ~raised(t))), "others": F.coalesce(M.first_text(toks, "game_participants"), F.lit("")), "time": M.first_text(toks, "game_time")}
+    live = M.first(toks, "live")
+    found = {n: M.first_text(toks, n) for n in ("host", "guest")} | {"strong": F.coalesce(M.first_text(live, "strong"), F.lit("")), "live": F.coalesce(M.first_text(toks, "live"), F.lit("")), "others": F.coalesce(M.first_text(toks, "game_participants"), F.lit("")), "time": M.first_text(toks, "game_time")}
     rows = rows.select(key, "event", *(c.alias(n) for n, c in found.items()))
     free, dashes = r"(\d+)\s*[:\-]\s*(\d+)", r"(\d+)\s*[–—\-]\s*(\d+)"
     by_strong, by_text = F.col("strong").rlike(_SCORE), F.col("live").rlike(free) & F.col("live").rlike("Result|[Ff]inal")
