@@ -73,13 +73,17 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
 _ODDS = _named("odds_row", "bookmaker", "odd", "payout")
 
 
-def bookmaker_rows(page: DataFrame, *keep: str) -> DataFrame:
+def bookmaker_rows(page: DataFrame, *keep: str, more=lambda row: []) -> DataFrame:
     """(keep, bookmaker, cells, payout_pct) of each row of odds of parsed pages; bookmaker is
-    NULL if none is named."""
-    toks = F.col("toks")
-    cells = F.transform(M.texts(toks, "odd"), lambda x: S.parse_odd(x))
-    rows = page if "pos" in page.columns else M.elements(page, "odds_row", *keep)
-    return rows.select(*keep, S.blank_to_null(M.first_text(toks, "bookmaker")).alias("bookmaker"), cells.alias("cells"), F.coalesce(M.first_text(toks, "payout"), F.lit("")).alias("payout_pct"))
+    NULL if none is named. ``more`` gives further fields of a row's element. All is generated,
+    so that it is read once however often it is named behind."""
+
+    def read(row: Column) -> Column:
+        toks = M.within(F.col("toks"), row)
+        cells = F.transform(M.texts(toks, "odd"), lambda x: S.parse_odd(x))
+        return F.struct(S.blank_to_null(M.first_text(toks, "bookmaker")).alias("bookmaker"), cells.alias("cells"), F.coalesce(M.first_text(toks, "payout"), F.lit("")).alias("payout_pct"), *more(row))
+
+    return page.select(*keep, F.inline(F.transform(M.opening(F.col("toks"), "odds_row"), read)))
 
 
 def fixed_outcome_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
@@ -107,13 +111,15 @@ def line_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> Da
 
     page = M.parsed(pages, key, kinds)
     heads = F.transform(M.opening(toks, "line_header"), lambda h: F.struct(h["pos"].alias("pos"), number(h["text"]).alias("line")))
-    page = page.select(key, "toks", F.transform(M.opening(toks, "container"), valued).alias("boxes"), F.filter(heads, lambda h: h["line"].isNotNull()).alias("heads"))
-    each = F.transform(M.opening(toks, "odds_row"), lambda r: F.struct(
-        M.within(toks, r).alias("toks"), r["pos"].alias("pos"),
-        F.transform(F.filter("boxes", lambda b: (b["pos"] < r["pos"]) & (b["end"] > r["pos"])), lambda b: b["line"]).alias("lines"),
-        F.coalesce(F.try_element_at(F.filter("heads", lambda h: h["pos"] < r["pos"]), F.lit(-1))["line"], F.lit("")).alias("header"),
-    ))
-    rows = bookmaker_rows(page.select(key, F.inline(each)), key, "lines", "header").where(F.col("bookmaker").isNotNull() & (F.size("cells") > 0))
+    once = F.struct("toks", F.transform(M.opening(toks, "container"), valued).alias("boxes"), F.filter(heads, lambda h: h["line"].isNotNull()).alias("heads"))
+    page = page.select(key, F.inline(F.array(once)))
+
+    def lines(row: Column) -> list[Column]:
+        held = F.filter("boxes", lambda b: (b["pos"] < row["pos"]) & (b["end"] > row["pos"]))
+        before = F.try_element_at(F.filter("heads", lambda h: h["pos"] < row["pos"]), F.lit(-1))
+        return [F.transform(held, lambda b: b["line"]).alias("lines"), F.coalesce(before["line"], F.lit("")).alias("header")]
+
+    rows = bookmaker_rows(page, key, more=lines).where(F.col("bookmaker").isNotNull() & (F.size("cells") > 0))
     of_page = Window.partitionBy(key)
     rows = rows.withColumn("in_boxes", F.max(F.size("lines")).over(of_page) > 0)
     rows = rows.withColumn("submarket", F.explode(F.when(F.col("in_boxes"), F.col("lines")).otherwise(F.array("header"))))
@@ -125,7 +131,8 @@ def best_price_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id")
     page = M.parsed(pages, key, _named("best_row", "best_label") | {"best_odd": M.by_test_id(TEST_IDS["best_odd"], "p"), "p": "p"})
     toks = F.col("toks")
     label = F.coalesce(M.first_text(M.first(toks, "best_label"), "p"), M.first_text(toks, "best_label"), F.lit(""))
-    rows = M.elements(page, "best_row", key).select(key, label.alias("label"), F.transform(M.texts(toks, "best_odd"), lambda x: S.parse_odd(x)).alias("cells"))
+    once = F.struct(label.alias("label"), F.transform(M.texts(toks, "best_odd"), lambda x: S.parse_odd(x)).alias("cells"))
+    rows = M.elements(page, "best_row", key).select(key, F.inline(F.array(once)))
     return _with_columns(best_prices(rows, outcomes, [key]), pages, key)
 
 
@@ -134,9 +141,10 @@ def grid_odds(pages: DataFrame, key: str = "page_id") -> DataFrame:
     ``table-header``), whose first cell names the bookmaker; of cells in cells the innermost count."""
     page = M.parsed(pages, key, _ODDS | {"header": f"{M.by_test_id(TEST_IDS['grid_header'])}, thead, .table-header", "cell": "th, td, div"})
     header = M.first(F.col("toks"), "header")
-    page = page.withColumn("cells", F.transform(M.leaves(F.slice(header, 2, F.size("toks")), "cell"), lambda c: c["text"]))
-    heads = F.filter(F.slice("cells", 2, F.greatest(F.size("cells"), F.lit(1))), lambda x: x != "")
-    rows = bookmaker_rows(page.withColumn("headers", heads), key, "headers")
+    cells = F.transform(M.leaves(F.slice(header, 2, F.size("toks")), "cell"), lambda c: c["text"])
+    page = page.select(key, F.inline(F.array(F.struct("toks", cells.alias("named")))))
+    heads = F.filter(F.slice("named", 2, F.greatest(F.size("named"), F.lit(1))), lambda x: x != "")
+    rows = bookmaker_rows(page.select(key, F.inline(F.array(F.struct("toks", heads.alias("headers"))))), key, "headers")
     return _with_columns(grid(rows, [key, "payout_pct"]), pages, key)
 
 
