@@ -42,30 +42,34 @@ STAR = {"sports": ["sport"], "leagues": ["league"], "teams": ["home", "away"], "
 ODDS_COLUMNS = ["market", "submarket", "outcome", "bookmaker"]
 
 
-def dictionary(rows: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+def dictionary(rows: DataFrame, columns: dict[str, list[str]], owners: dict[str, str] | None = None) -> DataFrame:
     """M-01 for several dimensions in one pass: (dim, id, name) of every distinct name that the
     columns of a dimension hold, ids from 1 in each in name order. Written, so that its size is
-    known where it is joined."""
-    every = F.array(*(F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("name")) for dim, cs in columns.items() for c in cs))
+    known where it is joined. ``owners`` gives a column for a dimension: ``owner`` is then the
+    least value of it that the name came with, NULL for other dimensions."""
+    owners = owners or {}
+    none = F.lit(None).cast(rows.schema[next(iter(owners.values()))].dataType if owners else "string")
+    entry = lambda dim, c: F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("name"), (F.col(owners[dim]) if dim in owners else none).alias("owner"))
+    every = F.array(*(entry(dim, c) for dim, cs in columns.items() for c in cs))
     names = rows.select(F.inline(every)).where("name is not null").distinct()
-    placed = stored(ranked(names, ["dim", "name"], "place"), "places")
-    first = placed.groupBy("dim").agg(F.min("place").alias("first"))  # a row for each dimension
-    return stored(placed.join(first, "dim").select("dim", (F.col("place") - F.col("first") + 1).alias("id"), "name"), "dictionary")
+    if owners:  # of the distinct rows, which are few; in one plan with them all rows would be sorted
+        names = stored(names, "names").groupBy("dim", "name").agg(F.min("owner").alias("owner"))
+    return stored(ranked(names, ["dim", "name"], "id", ("dim",)).select("dim", "id", "name", *(["owner"] if owners else [])), "dictionary")
 
 
 def star(wide: DataFrame, event_columns: list[str], odds_values: list[str], order: list[str]) -> dict[str, DataFrame]:
     """S-09: wide rows of odds as seven dimensions, events (a row for each event_id, the first
     by ``order``, with league_id, home_id, away_id and ``event_columns``) and odds (a row for
     each event and each of ``ODDS_COLUMNS``, the first by ``order``). leagues has its sport_id.
-    A missing name has a missing id.
+    A missing name has a missing id; a league of several sports has the first.
 
     What makes the wide rows is worked out once: they are written, and read for the names, for
     the events and for the odds."""
     wide = stored(wide.select(*dict.fromkeys(["event_id", *(c for cs in STAR.values() for c in cs), *event_columns, *odds_values, *order])), "wide")
-    names = dictionary(wide, STAR)
+    names = dictionary(wide, STAR, {"leagues": "sport"})
     out = {t: names.where(F.col("dim") == t).select("id", "name") for t in STAR}
-    sport_of = wide.select("league", "sport").where("league is not null").groupBy(F.col("league").cast("string").alias("name")).agg(F.min("sport").alias("sport"))
-    out["leagues"] = encoded_by(out["leagues"].join(sport_of, "name"), out["sports"], "sport", "sport_id").select("id", "sport_id", "name")
+    leagues = names.where("dim = 'leagues'").select("id", "name", F.col("owner").alias("sport"))
+    out["leagues"] = encoded_by(leagues, out["sports"], "sport", "sport_id").select("id", "sport_id", "name")
     events = first_wins(wide, ["event_id"], order).select("event_id", "league", "home", "away", *event_columns)
     for column, dim in (("league", "leagues"), ("home", "teams"), ("away", "teams")):
         events = encoded_by(events, out[dim], column, f"{column}_id")

@@ -55,13 +55,15 @@ def ranged(df: DataFrame, order: list) -> DataFrame:
     return stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged")
 
 
-def ranked(df: DataFrame, order: list, name: str) -> DataFrame:
-    """``df`` with its place from 1 in an order of all rows, without a task that has them all."""
+def ranked(df: DataFrame, order: list, name: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with its place from 1 in an order of all rows, without a task that has them all.
+    With ``within``, the first columns of the order, places start anew for each of their values,
+    which have to be few (a fixed list, say) and not NULL."""
     rows = ranged(df, order)
-    sizes = rows.groupBy("__part").agg(F.count("*").alias("__n"))  # as many rows as parts
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return rows.join(F.broadcast(before), "__part").withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
+    sizes = rows.groupBy("__part", *within).agg(F.count("*").alias("__n"))  # as many rows as parts and values together
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.partitionBy(*within).orderBy("__part")) - F.col("__n")).drop("__n")
+    place = F.row_number().over(Window.partitionBy("__part", *within).orderBy(*order))
+    return rows.join(F.broadcast(before), ["__part", *within]).withColumn(name, (F.col("__before") + place).cast("long")).drop("__part", "__before")
 
 
 def success_curve(log: DataFrame, order: list[str], every: int = 500, parts: int = 64) -> DataFrame:

@@ -21,7 +21,7 @@ def merge_shards(names: DataFrame, events: DataFrame, odds: DataFrame, state: Da
     Each table has shard_rank; names are (dim, id, name) in the ids of the shard, and the other
     tables refer to them, states to leagues by name. Rows with an id that has no name are
     dropped. Events are one shuffle by id, odds one by their key."""
-    dims, mapping = merged_names(names)
+    dims, mapping = merged_names(stored(names, "names"))
     dims, mapping = stored(dims, "dims"), stored(mapping, "mapping")
     merged = stored(fill_zero_scores(infer_season(merge_events(remapped(events, mapping, EVENT_IDS)), F.col("dt"))).drop("repaired"), "events")
     leagues = dims.where("dim = 'leagues'").select(F.col("id").alias("league_id"), F.col("name").alias("league"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -44,3 +47,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, jobs: list[Callable[[], object]]) -> list:
+    """Runs a few independent jobs at a time, so that the tasks of one fill the slots that
+    another leaves idle; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(max(1, min(8, len(jobs)))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [r.result() for r in running]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import together
+
 
 def with_shard_rank(df: DataFrame, path: Column, is_seed: Column) -> DataFrame:
     """S-01: shard_rank from 0: shards in the order of their paths, seeds after them. The
@@ -108,11 +112,15 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def write_star(tables: dict[str, DataFrame], path: str, partition: str | None = "season") -> None:
     """S-09: each table as Parquet, events partitioned by a column. Of events only the partitions
-    that there are rows for are replaced."""
-    for name, df in tables.items():
+    that there are rows for are replaced. The tables are written side by side."""
+
+    def write(name: str, df: DataFrame) -> None:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         (writer.partitionBy(partition) if partition and name == "events" else writer).parquet(f"{path}/{name}")
 
+    if tables:
+        together(next(iter(tables.values())).sparkSession, [partial(write, name, df) for name, df in tables.items()])
+
 
 def read_star(spark: SparkSession, names: list[str], path: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{path}/{n}") for n in names}

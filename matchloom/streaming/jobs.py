@@ -35,10 +35,10 @@ def rate_by_window(stream: DataFrame, ok, at: str = "ts", size: str = "1 day", d
     return rows.select(F.col("window.start").alias("start"), "n", "ok")
 
 
-def _latest(spark: SparkSession, path: str, before: int, value: str) -> DataFrame | None:
+def _latest(spark: SparkSession, path: str, before: int, value: str, schema: str = "number int") -> DataFrame | None:
     """What the batches before a number have said under a path, if any of them ran."""
     try:
-        rows = spark.read.parquet(f"{path}/*")
+        rows = spark.read.schema(schema).parquet(f"{path}/*")
     except AnalysisException:  # no batch has been written
         return None
     return rows.where(F.col("number") < before).agg(F.max(value).alias(value))
@@ -56,7 +56,7 @@ def fresh_rows(stream: DataFrame, at: str = "ts", ttl: str = "7 days") -> DataFr
     base, state = folder(spark, "fresh"), folder(spark, "fresh-state")
 
     def keep(batch: DataFrame, number: int) -> None:
-        known = _latest(spark, f"{base}/mark", number, "top")
+        known = _latest(spark, f"{base}/mark", number, "top", "number int, top timestamp")
         top = known.first()["top"] if known is not None else None  # one value
         rows = batch if top is None else batch.where(F.col(at) >= F.lit(top) - F.expr(f"interval {ttl}"))
         rows.write.mode("overwrite").parquet(f"{base}/rows/{number}")
@@ -134,7 +134,7 @@ def upsert_stream(stream: DataFrame, key: str = "id", seq: str = "seq", base: st
             first = done - FAN**level
             thinned(read([(level - 1, first + k * FAN ** (level - 1)) for k in range(FAN)])).write.mode("overwrite").parquet(at(level, first))
             level += 1
-        spark.range(1).select(F.lit(number).alias("number")).write.mode("overwrite").parquet(f"{base}/done/{number}")
+        spark.range(1, numPartitions=1).select(F.lit(number).alias("number")).write.mode("overwrite").parquet(f"{base}/done/{number}")
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     last = _latest(spark, f"{base}/done", 1 << 62, "number")

@@ -47,6 +47,8 @@ def test_ranks_and_running_sums_without_one_task(spark, n):
     log = spark.createDataFrame(rows, "shard int, ts long, event_id int, outcome string").repartition(6)
     got = {r["event_id"]: r["n"] for r in sequence.ranked(log, ["ts", "event_id"], "n").collect()}
     assert got == {r[2]: k + 1 for k, r in enumerate(sorted(rows, key=lambda r: r[1:3]))}
+    got = {r["event_id"]: r["n"] for r in sequence.ranked(log, ["shard", "ts", "event_id"], "n", ("shard",)).collect()}
+    assert got == {r[2]: k + 1 for shard in range(3) for k, r in enumerate(sorted((r for r in rows if r[0] == shard), key=lambda r: r[1:3]))}
     want = []
     for shard in range(3):
         ok = 0

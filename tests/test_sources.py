@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators import dims, extract, planning
 from matchloom.plans.views import view
+from matchloom.session import together
 from matchloom.sources import files
 
 
@@ -101,3 +103,15 @@ def test_one_dictionary_for_all_dimensions(spark):
     rows = spark.createDataFrame([("b", "x", 7), ("a", "b", None), (None, "a", 7)], "home string, away string, n int")
     got = sorted(tuple(r) for r in dims.dictionary(rows, {"teams": ["home", "away"], "numbers": ["n"]}).collect())
     assert got == [("numbers", 1, "7"), ("teams", 1, "a"), ("teams", 2, "b"), ("teams", 3, "x")]
+    owned = sorted(tuple(r) for r in dims.dictionary(rows, {"teams": ["home", "away"], "numbers": ["n"]}, {"teams": "n"}).collect())
+    assert owned == [("numbers", 1, "7", None), ("teams", 1, "a", 7), ("teams", 2, "b", 7), ("teams", 3, "x", 7)]
+
+
+def test_jobs_side_by_side_raise_the_first_failure(spark):
+    def fails():
+        raise ValueError("no")
+
+    assert together(spark, [lambda: spark.range(3).count(), lambda: 2]) == [3, 2]
+    assert together(spark, []) == []
+    with pytest.raises(ValueError, match="no"):
+        together(spark, [lambda: 1, fails])
