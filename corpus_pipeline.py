@@ -69,7 +69,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each written before the next; what a stage writes on
-    its way is deleted at its end."""
+    its way is deleted at its end. The result is read from the last stages' tables: a caller who
+    writes it within ``scratch`` of ``matchloom.llm.store`` has those deleted at the block's end."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name)
