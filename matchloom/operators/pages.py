@@ -1,8 +1,9 @@
 """From the HTML of a page to rows: listings, bookmakers' odds, match headers.
 
 A page's elements are found by their tags and depth (``markup``), whatever they hold. Pages are
-independent of each other: what a page says is worked out where it lies, and only what runs on
-in a listing (the date header) is a window over a page's rows.
+independent of each other: what a page says is worked out where it lies, a row for each element
+that is one, and only what runs on in a listing (the date header) or over a page (whether any
+row lies in a container) is a window over a page's rows.
 """
 
 from __future__ import annotations
@@ -39,23 +40,25 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
     The date is the latest header's that is one, the time the row's own. A row whose time isn't
     a time is finished, and has a score in its score element, else as text. Rows with fewer
     than two names are dropped."""
-    kinds = _named("date_header", "game_row", "time", "participants", "score") | {"link": "a[href]", "titled": "a[title]", "participant": f".participant-name, {M.by_test_id(TEST_IDS['participant'])}"}
-    rows = M.elements(M.parsed(pages, key, kinds | {"any": ", ".join(kinds[k] for k in ("date_header", "game_row"))}), "any", key)
-    is_header = F.array_contains(F.col("toks")[0]["opens"], "date_header")
-    rows = rows.withColumn("said", F.when(is_header, F.trim(F.element_at(F.split(F.col("toks")[0]["text"], r"\s*-\s*", 2), 1))))
-    dated = F.when(S.parse_pt_datetime(F.col("said"), as_of).isNotNull(), F.col("said"))
-    rows = rows.withColumn("header", carried(dated, [key], ["pos"])).where(~is_header)
-    rows = rows.withColumn("href", M.attribute(F.try_element_at(M.children(F.col("toks"), "link"), F.lit(1)), "href")).where("href <> ''")
+    people = M.by_test_id(TEST_IDS["participants"])
+    asks = {
+        "text": M.Ask(", ".join(_named("date_header", "game_row").values())), "hrefs": M.Ask("a[href]", "href", child=True),
+        "names": M.Ask(f".participant-name, {M.by_test_id(TEST_IDS['participant'])}", inside=people, first=False),
+        "titles": M.Ask("a[title]", "title", inside=people, first=False),
+        "times": M.Ask(M.by_test_id(TEST_IDS["time"])), "scores": M.Ask(M.by_test_id(TEST_IDS["score"])),
+    }
+    rows = M.rows(pages, key, _named("date_header", "game_row"), asks)
+    one = lambda name: F.try_element_at(F.col(name), F.lit(1))
     filled = lambda xs: F.filter(xs, lambda x: x != "")
-
-    def read(toks: Column) -> Column:
-        people = M.first(toks, "participants")
-        names = filled(M.texts(people, "participant"))
-        titles = filled(F.transform(M.opening(people, "titled"), lambda t: S.normalize_name(M.attribute(t, "title"))))
-        return F.struct(names.alias("names"), titles.alias("titles"), F.coalesce(M.first_text(toks, "time"), F.lit("00:00")).alias("time"), M.first_text(toks, "score").alias("shown"), toks[0]["text"].alias("all"))
-
-    # Generated, so that what a row says is read once and filters stay behind it.
-    rows = rows.select(key, "pos", "header", S.resolve_url(F.col("href"), base).alias("match_url"), F.inline(F.transform(F.array("toks"), read)))
+    is_header = F.array_contains("kind", "date_header")
+    said = F.when(is_header, F.trim(F.element_at(F.split(one("text"), r"\s*-\s*", 2), 1)))
+    # Only what a row says goes to its page's other rows: what has no link is dropped before.
+    rows = rows.select(
+        key, "pos", is_header.alias("is_header"), said.alias("said"), F.coalesce(one("hrefs"), F.lit("")).alias("href"), filled(F.col("names")).alias("names"),
+        filled(F.transform("titles", S.normalize_name)).alias("titles"), F.coalesce(one("times"), F.lit("00:00")).alias("time"), one("scores").alias("shown"), F.when(~is_header, one("text")).alias("all"),
+    ).where("is_header or href <> ''")
+    dated = F.when(S.parse_pt_datetime(F.col("said"), as_of).isNotNull(), F.col("said"))
+    rows = rows.withColumn("header", carried(dated, [key], ["pos"])).where("not is_header").withColumn("match_url", S.resolve_url(F.col("href"), base))
     rows = rows.withColumn("names", F.when(F.size("names") >= 2, F.col("names")).otherwise(F.array_union("names", "titles")))
     rows = rows.where((F.size("names") >= 2) & S.host_allowed(F.col("match_url"), hosts))
     finished = ~F.col("time").rlike(r"^\d{1,2}:\d{2}$")
@@ -70,26 +73,26 @@ def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], k
     return first_wins(out, [key, "match_url"], ["pos"])
 
 
-_ODDS = _named("odds_row", "bookmaker", "odd", "payout")
+_ODDS_ROW = _named("odds_row")
+_SAID = {"names": M.Ask(M.by_test_id(TEST_IDS["bookmaker"])), "cells": M.Ask(M.by_test_id(TEST_IDS["odd"]), first=False), "payouts": M.Ask(M.by_test_id(TEST_IDS["payout"]))}
 
 
-def bookmaker_rows(page: DataFrame, *keep: str, more=lambda row: []) -> DataFrame:
-    """(keep, bookmaker, cells, payout_pct) of each row of odds of parsed pages; bookmaker is
-    NULL if none is named. ``more`` gives further fields of a row's element. All is generated,
-    so that it is read once however often it is named behind."""
+def bookmaker_rows(pages: DataFrame, key: str, *keep: str, **further) -> DataFrame:
+    """(key, keep, bookmaker, cells, payout_pct) of each row of odds; bookmaker is NULL if none is
+    named, cells are the texts. ``further`` is handed on to ``markup.rows``."""
+    rows = M.rows(pages, key, _ODDS_ROW, _SAID, **further)
+    one = lambda name: F.try_element_at(F.col(name), F.lit(1))
+    return rows.select(key, *keep, S.blank_to_null(one("names")).alias("bookmaker"), "cells", F.coalesce(one("payouts"), F.lit("")).alias("payout_pct"))
 
-    def read(row: Column) -> Column:
-        toks = M.within(F.col("toks"), row)
-        cells = F.transform(M.texts(toks, "odd"), lambda x: S.parse_odd(x))
-        return F.struct(S.blank_to_null(M.first_text(toks, "bookmaker")).alias("bookmaker"), cells.alias("cells"), F.coalesce(M.first_text(toks, "payout"), F.lit("")).alias("payout_pct"), *more(row))
 
-    return page.select(*keep, F.inline(F.transform(M.opening(F.col("toks"), "odds_row"), read)))
+def priced(rows: DataFrame) -> DataFrame:
+    """Rows with the odds that their text says, one row for each cell."""
+    return rows.withColumn("odds_closing", S.parse_odd(F.col("odds_closing")))
 
 
 def fixed_outcome_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
     """H-06 from the page: pages' columns, payout_pct, bookmaker, outcome, odds_closing."""
-    rows = bookmaker_rows(M.parsed(pages, key, _ODDS), key)
-    return _with_columns(fixed_outcomes(rows, outcomes, [key, "payout_pct"]), pages, key)
+    return _with_columns(priced(fixed_outcomes(bookmaker_rows(pages, key), outcomes, [key, "payout_pct"])), pages, key)
 
 
 def line_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
@@ -99,53 +102,34 @@ def line_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> Da
     line is its attribute, else the number in its first title, else empty; rows outside all
     containers are dropped. Only on a page where no row with odds lies in a container, every
     row takes the number of the last line header before it, else the empty line."""
-    kinds = _ODDS | _named("line_header") | {"container": '[data-testid*="line"], ' + ", ".join(f"[{a}]" for a in LINE_ATTRIBUTES), "title": "h2, h3, h4, .title, .line-value"}
     number = lambda x: F.nullif(F.regexp_extract(F.coalesce(x, F.lit("")), _NUMBER, 1), F.lit(""))
-    toks, keep = F.col("toks"), [key, "submarket", "payout_pct"]
-
-    def valued(c: Column) -> Column:
-        """A container's value; its own tag is no title of it."""
-        own = F.coalesce(*(F.nullif(M.attribute(c, a), F.lit("")) for a in LINE_ATTRIBUTES))
-        inner = F.slice(M.within(toks, c), 2, F.size(toks))
-        return F.struct(c["pos"].alias("pos"), c["end"].alias("end"), F.coalesce(own, number(M.first_text(inner, "title")), F.lit("")).alias("line"))
-
-    page = M.parsed(pages, key, kinds)
-    heads = F.transform(M.opening(toks, "line_header"), lambda h: F.struct(h["pos"].alias("pos"), number(h["text"]).alias("line")))
-    once = F.struct("toks", F.transform(M.opening(toks, "container"), valued).alias("boxes"), F.filter(heads, lambda h: h["line"].isNotNull()).alias("heads"))
-    page = page.select(key, F.inline(F.array(once)))
-
-    def lines(row: Column) -> list[Column]:
-        held = F.filter("boxes", lambda b: (b["pos"] < row["pos"]) & (b["end"] > row["pos"]))
-        before = F.try_element_at(F.filter("heads", lambda h: h["pos"] < row["pos"]), F.lit(-1))
-        return [F.transform(held, lambda b: b["line"]).alias("lines"), F.coalesce(before["line"], F.lit("")).alias("header")]
-
-    rows = bookmaker_rows(page, key, more=lines).where(F.col("bookmaker").isNotNull() & (F.size("cells") > 0))
+    containers = M.Around('[data-testid*="line"], ' + ", ".join(f"[{a}]" for a in LINE_ATTRIBUTES), tuple(LINE_ATTRIBUTES), "h2, h3, h4, .title, .line-value")
+    rows = bookmaker_rows(pages, key, "own", "titles", "before", around=containers, before=(M.by_test_id(TEST_IDS["line_header"]), _NUMBER))
+    rows = rows.where(F.col("bookmaker").isNotNull() & (F.size("cells") > 0))
+    lines = F.zip_with("own", "titles", lambda own, title: F.coalesce(own, number(title), F.lit("")))
+    rows = rows.select(key, "payout_pct", "bookmaker", "cells", lines.alias("lines"), F.coalesce(number(F.col("before")), F.lit("")).alias("header"))
     of_page = Window.partitionBy(key)
     rows = rows.withColumn("in_boxes", F.max(F.size("lines")).over(of_page) > 0)
     rows = rows.withColumn("submarket", F.explode(F.when(F.col("in_boxes"), F.col("lines")).otherwise(F.array("header"))))
-    return _with_columns(fixed_outcomes(rows, outcomes, keep), pages, key)
+    return _with_columns(priced(fixed_outcomes(rows, outcomes, [key, "submarket", "payout_pct"])), pages, key)
 
 
 def best_price_odds(pages: DataFrame, outcomes: list[str], key: str = "page_id") -> DataFrame:
     """H-08 from the page: collapsed rows, the best price of each line."""
-    page = M.parsed(pages, key, _named("best_row", "best_label") | {"best_odd": M.by_test_id(TEST_IDS["best_odd"], "p"), "p": "p"})
-    toks = F.col("toks")
-    label = F.coalesce(M.first_text(M.first(toks, "best_label"), "p"), M.first_text(toks, "best_label"), F.lit(""))
-    once = F.struct(label.alias("label"), F.transform(M.texts(toks, "best_odd"), lambda x: S.parse_odd(x)).alias("cells"))
-    rows = M.elements(page, "best_row", key).select(key, F.inline(F.array(once)))
-    return _with_columns(best_prices(rows, outcomes, [key]), pages, key)
+    label = M.by_test_id(TEST_IDS["best_label"])
+    asks = {"inner": M.Ask("p", inside=label), "outer": M.Ask(label), "cells": M.Ask(M.by_test_id(TEST_IDS["best_odd"], "p"), first=False)}
+    one = lambda name: F.try_element_at(F.col(name), F.lit(1))
+    rows = M.rows(pages, key, _named("best_row"), asks).select(key, "cells", F.coalesce(one("inner"), one("outer"), F.lit("")).alias("label"))
+    return _with_columns(priced(best_prices(rows, outcomes, [key])), pages, key)
 
 
 def grid_odds(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """H-09 from the page: cells under the first table header (by test id, ``thead`` or the class
     ``table-header``), whose first cell names the bookmaker; of cells in cells the innermost count."""
-    page = M.parsed(pages, key, _ODDS | {"header": f"{M.by_test_id(TEST_IDS['grid_header'])}, thead, .table-header", "cell": "th, td, div"})
-    header = M.first(F.col("toks"), "header")
-    cells = F.transform(M.leaves(F.slice(header, 2, F.size("toks")), "cell"), lambda c: c["text"])
-    page = page.select(key, F.inline(F.array(F.struct("toks", cells.alias("named")))))
+    header = f"{M.by_test_id(TEST_IDS['grid_header'])}, thead, .table-header"
+    rows = bookmaker_rows(pages, key, "named", of_page={"named": M.Ask("th, td, div", inside=header, below=True, leaves=True, first=False)})
     heads = F.filter(F.slice("named", 2, F.greatest(F.size("named"), F.lit(1))), lambda x: x != "")
-    rows = bookmaker_rows(page.select(key, F.inline(F.array(F.struct("toks", heads.alias("headers"))))), key, "headers")
-    return _with_columns(grid(rows, [key, "payout_pct"]), pages, key)
+    return _with_columns(priced(grid(rows.withColumn("headers", heads), [key, "payout_pct"])), pages, key)
 
 
 _EVENT = "`@type` string, startDate string, homeTeam struct<name string>, awayTeam struct<name string>, location struct<address struct<addressCountry string>>"

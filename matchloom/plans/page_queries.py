@@ -126,11 +126,14 @@ AS_OF = "2001-08-02"
 SITE, HOSTS = "https://matches.example.com", ["example.com"]
 
 
-def joined(rows, page: str, order: list[str]):
-    """(page_id, html): the pieces of each page in their order, between what isn't of interest."""
-    piece = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "piece"))), lambda x: x["piece"]), "\n")
-    html = F.concat(F.lit("<html><body><nav><a href='/x'>1 2</a></nav>"), piece, F.lit("</body></html>"))
-    return rows.groupBy(F.col(page).alias("page_id")).agg(html.alias("html"))
+def joined(rows, page: str, order: list[str], piece):
+    """(page_id, html): the pieces of each page in their order, between what isn't of interest.
+    ``piece`` makes a row's markup of its values, which are gathered as they are: markup is many
+    times as long, and is made where its page is."""
+    values = F.struct(*order, *(c for c in rows.columns if c not in (page, *order)))
+    made = rows.groupBy(F.col(page).alias("page_id")).agg(F.sort_array(F.collect_list(values)).alias("rows"))
+    html = F.concat(F.lit("<html><body><nav><a href='/x'>1 2</a></nav>"), F.array_join(F.transform("rows", lambda row: piece(row, F.col("page_id"))), "\n"), F.lit("</body></html>"))
+    return made.select("page_id", html.alias("html"))
 
 
 def div(test_id: str, *inner):
@@ -141,22 +144,27 @@ def div(test_id: str, *inner):
 def listing_pages(spark, sf):
     """A page for each league and year, elements in elements of their own tag. Some rows stand twice, some lead to another site, some
     name one side only; a header that is no date comes between."""
-    e = view(spark, sf, "v_events").withColumn("page", F.concat_ws("/", "league", F.col("y").cast("string")))
-    date = F.concat_ws(" ", F.day("dt").cast("string"), F.element_at(F.lit([m.capitalize() for m in MONTHS_PT]), F.month("dt")), F.col("y").cast("string"))
-    people = F.concat(F.lit('<a title="'), F.col("home"), F.lit('"><p class="name participant-name">'), F.col("home"), F.lit('</p></a><a title="'), F.col("away"), F.lit('">'), F.when(F.col("id") % 4 == 0, "?").otherwise(F.concat(F.lit('<p data-testid="participant-name">'), F.col("away"), F.lit("</p>"))), F.lit("</a>"))
-    score = F.concat(F.col("score_home").cast("string"), F.lit(":"), F.col("score_away").cast("string"))
-    shown = F.coalesce(F.when(F.col("id") % 3 == 0, F.concat(F.lit("<p>after extra time "), F.replace(score, F.lit(":"), F.lit(" : ")), F.lit("</p>"))).otherwise(div("score", score)), F.lit(""))
-    time = F.when(F.col("status") == "finished", "Finalizado").otherwise(F.date_format("dt", "HH:mm"))
+    months = F.lit([m.capitalize() for m in MONTHS_PT])
+
+    def piece(row, _):
+        col = row.getField
+        date = F.concat_ws(" ", F.day(col("dt")).cast("string"), F.element_at(months, F.month(col("dt"))), col("y").cast("string"))
+        people = F.concat(F.lit('<a title="'), col("home"), F.lit('"><p class="name participant-name">'), col("home"), F.lit('</p></a><a title="'), col("away"), F.lit('">'), F.when(col("id") % 4 == 0, "?").otherwise(F.concat(F.lit('<p data-testid="participant-name">'), col("away"), F.lit("</p>"))), F.lit("</a>"))
+        score = F.concat(col("score_home").cast("string"), F.lit(":"), col("score_away").cast("string"))
+        shown = F.coalesce(F.when(col("id") % 3 == 0, F.concat(F.lit("<p>after extra time "), F.replace(score, F.lit(":"), F.lit(" : ")), F.lit("</p>"))).otherwise(div("score", score)), F.lit(""))
+        time = F.when(col("status") == "finished", "Finalizado").otherwise(F.date_format(col("dt"), "HH:mm"))
 
-    def row(href, names):
-        return F.concat(F.lit('<div data-testid="game-row"> <div></div><a href="'), href, F.lit('">'), div("game-row", div("time-item", time), div("event-participants", names), shown), F.lit("</a></div>"))
+        def game(href, names):
+            return F.concat(F.lit('<div data-testid="game-row"> <div></div><a href="'), href, F.lit('">'), div("game-row", div("time-item", time), div("event-participants", names), shown), F.lit("</a></div>"))
 
-    path = F.concat(F.lit("/"), F.col("nk").cast("string"), F.lit("/#"), F.col("id").cast("string"))
-    again = F.when(F.col("id") % 19 == 0, row(F.concat(F.lit(SITE), path), F.lit('<a title="X"></a><a title="Y"></a>'))).otherwise("")
-    foreign = F.when(F.col("id") % 17 == 0, row(F.lit("https://example.com.other.org/#1"), people)).otherwise("")
-    alone = F.when(F.col("id") % 23 == 0, row(F.lit("/one/#1"), F.lit('<a title="X">X</a>'))).otherwise("")
-    piece = F.concat(div("date-header", date, " - Playoffs"), div("secondary-header", "Best odds"), foreign, row(path, people), again, alone)
-    return joined(e.select("page", "id", piece.alias("piece")), "page", ["id"])
+        path = F.concat(F.lit("/"), col("nk").cast("string"), F.lit("/#"), col("id").cast("string"))
+        again = F.when(col("id") % 19 == 0, game(F.concat(F.lit(SITE), path), F.lit('<a title="X"></a><a title="Y"></a>'))).otherwise("")
+        foreign = F.when(col("id") % 17 == 0, game(F.lit("https://example.com.other.org/#1"), people)).otherwise("")
+        alone = F.when(col("id") % 23 == 0, game(F.lit("/one/#1"), F.lit('<a title="X">X</a>'))).otherwise("")
+        return F.concat(div("date-header", date, " - Playoffs"), div("secondary-header", "Best odds"), foreign, game(path, people), again, alone)
+
+    rows = view(spark, sf, "v_events").select(F.concat_ws("/", "league", F.col("y").cast("string")).alias("page"), "id", "y", "nk", "home", "away", "dt", "status", "score_home", "score_away")
+    return joined(rows, "page", ["id"], piece)
 
 
 @query("h02_listing_rows", f"""
@@ -170,22 +178,22 @@ ODDS_ROW = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 _PAYOUT = "cast(l_linenumber as string) || '.' || cast(l_partkey as string) || '%'"
 
 
-def odds_row(test_id: str = "odd-container", tag: str = "div"):
+def odds_row(row, test_id: str = "odd-container", tag: str = "div"):
     """One to three cells of odds in several notations, in an element of their own tag if it may nest."""
     inner = "span" if tag == "p" else tag
-    n = F.col("l_suppkey") % 3 + 1
-    text = [F.concat(F.lit("+"), F.col("l_quantity").cast("int").cast("string")), F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",5")), F.lit("-")]
+    n, quantity = row["l_suppkey"] % 3 + 1, row["l_quantity"].cast("int").cast("string")
+    text = [F.concat(F.lit("+"), quantity), F.concat(quantity, F.lit(",5")), F.lit("-")]
     return F.concat(*(F.when(n > k, F.concat(F.lit(f'<{tag} data-testid="{test_id}"><{inner}><b>'), t, F.lit(f"</b></{inner}></{tag}>"))).otherwise("") for k, t in enumerate(text)))
 
 
-def bookmakers(before=None):
-    name = F.when(F.col("l_partkey") % 11 != 0, F.concat(F.lit("Book &amp; Co "), F.col("l_suppkey").cast("string"))).otherwise(" ")
-    own = div("over-under-expanded-row", div("outrights-expanded-bookmaker-name", name), odds_row(), div("payout-container", F.expr(_PAYOUT)))
-    return own if before is None else F.concat(before, own)
+def bookmakers(row, page=None):
+    name = F.when(row["l_partkey"] % 11 != 0, F.concat(F.lit("Book &amp; Co "), row["l_suppkey"].cast("string"))).otherwise(" ")
+    payout = F.concat(row["l_linenumber"].cast("string"), F.lit("."), row["l_partkey"].cast("string"), F.lit("%"))
+    return div("over-under-expanded-row", div("outrights-expanded-bookmaker-name", name), odds_row(row), div("payout-container", payout))
 
 
-def odds_pages(spark, sf, piece):
-    return joined(table(spark, sf, "lineitem").select("l_orderkey", *ODDS_ROW, piece.alias("piece")), "l_orderkey", ODDS_ROW)
+def odds_pages(spark, sf, piece, *more):
+    return joined(table(spark, sf, "lineitem").select("l_orderkey", *ODDS_ROW, *more), "l_orderkey", ODDS_ROW, piece)
 
 
 _BOOKS = f"(select *, 'Book & Co ' || cast(l_suppkey as string) as book, {_PAYOUT} as payout_pct from {_CELLS} b)"
@@ -194,7 +202,7 @@ _BOOKS = f"(select *, 'Book & Co ' || cast(l_suppkey as string) as book, {_PAYOU
 @query("h06_page_odds", f"""
     select l_orderkey as page_id, payout_pct, book as bookmaker, (['home', 'draw', 'away'])[i] as outcome, cells[i] as odds_closing from {_BOOKS} c, (values (1), (2), (3)) t(i) where i <= n and bookmaker is not null""")
 def h06_page(spark, sf):
-    return pages.fixed_outcome_odds(odds_pages(spark, sf, bookmakers()), OUTCOMES["1x2"])
+    return pages.fixed_outcome_odds(odds_pages(spark, sf, bookmakers), OUTCOMES["1x2"])
 
 
 #: Where a row lies, by its line number, in pages whose number isn't a multiple of 4: the lines of
@@ -211,18 +219,21 @@ _HOLDERS = "(values (1, '2.5'), (3, '3.5'), (4, '+4.5'), (5, ''), (6, '-1.5'), (
 def h07_page(spark, sf):
     """Rows in containers of every kind, one in the other, and outside; pages without containers
     that hold a row have line headers only, one of them without a number."""
-    own, held, line = bookmakers(), F.col("l_orderkey") % 4 != 0, F.col("l_linenumber")
-    piece = (
-        F.when(held & (line == 1), F.concat(F.lit('<div class="x" data-line="2.5"><div>'), own, F.lit("</div></div>")))
-        .when(held & (line == 3), F.concat(F.lit('<section data-total=""><div><h3>Games <b>3.5</b> in all</h3></div>'), own, F.lit("<h3>9</h3></section>")))
-        .when(held & (line == 4), F.concat(F.lit('<div data-testid="total-line-box"><div><p class="big title">+4.5</p></div>'), own, F.lit("</div>")))
-        .when(held & (line == 5), F.concat(F.lit('<div data-handicap="">none'), own, F.lit("</div>")))
-        .when(held & (line == 6), F.concat(F.lit('<div data-handicap="-1.5"><div data-line=""><span class="line-value">Line -2</span>'), own, F.lit("</div></div>")))
-        .when(held & (line == 7), F.concat(F.lit('<div data-line="8"></div>'), div("line-header", "Games <i>7.5</i>"), own))
-        .when(~held & (line == 2), F.concat(div("handicap-row", "Handicap -1.5"), own))
-        .when(~held & (line == 4), F.concat(F.lit('<div data-total="4"></div>'), div("total-row", "Total"), own))
-        .otherwise(own)
-    )
+
+    def piece(row, page):
+        own, held, line = bookmakers(row), page % 4 != 0, row["l_linenumber"]
+        return (
+            F.when(held & (line == 1), F.concat(F.lit('<div class="x" data-line="2.5"><div>'), own, F.lit("</div></div>")))
+            .when(held & (line == 3), F.concat(F.lit('<section data-total=""><div><h3>Games <b>3.5</b> in all</h3></div>'), own, F.lit("<h3>9</h3></section>")))
+            .when(held & (line == 4), F.concat(F.lit('<div data-testid="total-line-box"><div><p class="big title">+4.5</p></div>'), own, F.lit("</div>")))
+            .when(held & (line == 5), F.concat(F.lit('<div data-handicap="">none'), own, F.lit("</div>")))
+            .when(held & (line == 6), F.concat(F.lit('<div data-handicap="-1.5"><div data-line=""><span class="line-value">Line -2</span>'), own, F.lit("</div></div>")))
+            .when(held & (line == 7), F.concat(F.lit('<div data-line="8"></div>'), div("line-header", "Games <i>7.5</i>"), own))
+            .when(~held & (line == 2), F.concat(div("handicap-row", "Handicap -1.5"), own))
+            .when(~held & (line == 4), F.concat(F.lit('<div data-total="4"></div>'), div("total-row", "Total"), own))
+            .otherwise(own)
+        )
+
     return pages.line_odds(odds_pages(spark, sf, piece), ["over", "under"])
 
 
@@ -230,10 +241,12 @@ def h07_page(spark, sf):
     select l_orderkey as page_id, case l_returnflag when 'A' then '+1.5' else '-3' end as submarket, 'best' as bookmaker, (['over', 'under'])[i] as outcome, cells[i] as odds_closing
     from {_CELLS} c, (values (1), (2)) t(i) where i <= n and l_returnflag <> 'R'""")
 def h08_page(spark, sf):
-    label = F.when(F.col("l_returnflag") == "A", "<p>Acima/Abaixo +1.5</p><p>+1.5</p>").when(F.col("l_returnflag") == "N", "Handicap 2 -3").otherwise("<p>no line</p>")
-    piece = div("over-under-collapsed-row", div("over-under-collapsed-option-box", label), div("odd-container-default", odds_row("odd-container-default", "p")))
-    rows = table(spark, sf, "lineitem").select("l_orderkey", *ODDS_ROW, piece.alias("piece"))
-    return pages.best_price_odds(joined(rows, "l_orderkey", ODDS_ROW), ["over", "under"])
+
+    def piece(row, page):
+        label = F.when(row["l_returnflag"] == "A", "<p>Acima/Abaixo +1.5</p><p>+1.5</p>").when(row["l_returnflag"] == "N", "Handicap 2 -3").otherwise("<p>no line</p>")
+        return div("over-under-collapsed-row", div("over-under-collapsed-option-box", label), div("odd-container-default", odds_row(row, "odd-container-default", "p")))
+
+    return pages.best_price_odds(odds_pages(spark, sf, piece, "l_returnflag"), ["over", "under"])
 
 
 @query("h09_page_grid", f"""
@@ -245,7 +258,7 @@ def h09_page(spark, sf):
     in_table = F.lit("<table><thead><tr><th>Bookmaker</th><th><div>2:0</div></th><th></th><th>2:1</th></tr></thead></table>")
     by_class = F.lit('<div class="wide table-header"><div>Bookmaker</div><div>2:0</div><span>no cell</span><div>2:1</div></div>')
     form = F.col("page_id") % 3
-    made = odds_pages(spark, sf, bookmakers()).withColumn("html", F.concat(F.when(form == 0, by_id).when(form == 1, in_table).otherwise(by_class), F.col("html")))
+    made = odds_pages(spark, sf, bookmakers).withColumn("html", F.concat(F.when(form == 0, by_id).when(form == 1, in_table).otherwise(by_class), F.col("html")))
     return pages.grid_odds(made)
 
 

@@ -3,9 +3,11 @@
 import datetime
 import random
 import re
+import time
 from xml.etree import ElementTree
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from matchloom.operators import markup, pages
@@ -168,3 +170,36 @@ def test_match_headers(spark):
         (None, None, at(2022, 10, 1, 10, 10), None, 3, 0, None, "finished"),
         (None, None, None, None, 107, 98, None, "finished"),
     ]
+
+
+def test_a_page_takes_time_in_proportion_to_its_rows():
+    def seconds(n):
+        html, start = "".join(odds(f"B{k}", "2", "3") for k in range(n)), time.process_time()
+        assert len(markup._elements_of(html, markup._Tags({"x": "[data-testid]"}), {})) == 5 * n
+        return time.process_time() - start
+
+    few = min(seconds(1_000) for _ in range(3))
+    assert seconds(8_000) < 30 * few
+
+
+def test_a_long_listing(spark):
+    html = '<div data-testid="date-header">17 Abr 2026</div>' + "".join(row(f"/#{k}", '<div data-testid="time-item">22:30</div>' + people(f"A{k}", "B")) for k in range(12_000))
+    got = listing(spark, html)
+    assert len(got) == 12_000 and {r["dt"] for r in got} == {datetime.datetime(2026, 4, 17, 22, 30)} and got[-1]["home"] == "A11999"
+
+
+def test_pages_leave_a_task_in_batches_of_bounded_size():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3)), pa.array(["ab", None, "c" * 7])], names=["key", "html"])
+    got = list(markup._pieces([batch], lambda html: html * 2_000, lambda out: {"x": pa.array(out)}))
+    assert [len(b) for b in got] == [5_000, 5_000, 5_000, 3_000]
+    assert [r["key"] for b in got for r in b.to_pylist()] == [0] * 4_000 + [2] * 14_000
+
+
+def test_what_rows_ask_for(spark):
+    html = '<b class="x">no</b><ul data-n="1"><h3>t</h3><ol data-n=""><li class="r" id="1"><b class="x"><i class="x">in</i></b><p><i>2</i></p><i>3</i></li></ol></ul><b class="x">8</b><li class="r">'
+    asks = {"i": markup.Ask("i", first=False), "child": markup.Ask("i", child=True), "leaf": markup.Ask(".x", leaves=True, first=False), "held": markup.Ask(".x", inside="b", below=True, first=False), "id": markup.Ask("li", "id")}
+    got = markup.rows(made(spark, html), "page_id", {"row": "li"}, asks, {"bold": markup.Ask("b", first=False)}, markup.Around("[data-n]", ("data-n",), "h3"), (".x", r"\d")).orderBy("pos").collect()
+    assert [tuple(r)[2:] for r in got] == [
+        (["row"], ["in", "2", "3"], ["3"], ["in"], ["in"], ["1"], ["no", "in", "8"], ["1", None], ["t", None], None),
+        (["row"], [], [], [], [], [""], ["no", "in", "8"], [], [], "8"),
+    ]
