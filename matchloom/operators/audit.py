@@ -71,10 +71,12 @@ def top_incomplete(report: DataFrame, n: int = 5) -> DataFrame:
 
 def orphans(odds: DataFrame, events: DataFrame) -> DataFrame:
     """J-12: odds rows whose event is missing, and events without odds, as (side, id)."""
-    keys = odds.select(F.col("event_id").alias("id")).distinct()
-    ids = events.select("id").distinct()
-    one = keys.join(ids, "id", "left_anti").select(F.lit("odds").alias("side"), "id")
-    return one.unionByName(ids.join(keys, "id", "left_anti").select(F.lit("event").alias("side"), "id"))
+    both = odds.select(F.col("event_id").alias("id"), F.lit(True).alias("__odds")).unionByName(events.select("id", F.lit(False).alias("__odds")))
+    # One pass by id holds no more than its key and two marks; a missing id has no partner.
+    seen = both.groupBy("id").agg(F.bool_or("__odds").alias("__odds"), F.bool_or(~F.col("__odds")).alias("__event"))
+    alone = lambda name, here, there: F.when(F.col(here) & (~F.col(there) | F.col("id").isNull()), F.lit(name))
+    sides = F.array_compact(F.array(alone("odds", "__odds", "__event"), alone("event", "__event", "__odds")))
+    return seen.select(F.explode(sides).alias("side"), "id")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
