@@ -18,7 +18,7 @@ def with_shard_rank(df: DataFrame, path: Column, is_seed: Column) -> DataFrame:
     from pyspark.sql import Window
 
     ranks = rows.select("__path", "__seed").distinct().withColumn("shard_rank", F.row_number().over(Window.orderBy("__seed", "__path")) - 1)
-    return rows.join(ranks, ["__path", "__seed"]).drop("__path", "__seed")
+    return rows.join(F.broadcast(ranks), ["__path", "__seed"]).drop("__path", "__seed")
 
 
 def read_shards(spark: SparkSession, folder: str, pattern: str = r"/shard-[^/]*$") -> DataFrame:
@@ -72,11 +72,12 @@ def usable_files(spark: SparkSession, folder: str, columns: list[str], pattern:
     return said.select("file", reason.alias("reason"))
 
 
-def read_usable_csv(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """S-03: (good rows, report of rows, report of skipped files) of a folder of CSV files."""
+def read_usable_csv(spark: SparkSession, folder: str, schema: T.StructType, written: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S-03: (good rows, report of rows, report of skipped files) of a folder of CSV files.
+    ``written`` says of ``file`` what is counted as one, a table's folder where many tasks write it."""
     files = usable_files(spark, folder, schema.names)
     good = [r["file"] for r in files.where("reason is null").select("file").collect()]  # a list of files, as a scan needs it
-    skipped = files.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+    skipped = files.where("reason is not null").groupBy("reason").agg((F.count("*") if written is None else F.count_distinct(written)).alias("n"))
     rows, report = read_tolerant_csv(spark, good, schema) if good else (spark.createDataFrame([], schema), spark.createDataFrame([], "good boolean, n long, n_values long"))
     return rows, report, skipped
 

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchloom.operators import dims, extract, planning
 from matchloom.plans.views import view
@@ -115,3 +116,25 @@ def test_jobs_side_by_side_raise_the_first_failure(spark):
     assert together(spark, []) == []
     with pytest.raises(ValueError, match="no"):
         together(spark, [lambda: 1, fails])
+
+
+def test_a_table_of_many_files_counts_once(spark, tmp_path):
+    for flag, column in (("a", "odd"), ("b", "other"), ("c", "other")):
+        files.write_csv(spark.range(40).select("id", F.col("id").alias(column)).repartition(4), str(tmp_path / flag))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("odd", T.LongType())])
+    rows, _, skipped = files.read_usable_csv(spark, f"{tmp_path}/*", schema, F.regexp_replace("file", "/[^/]*$", ""))
+    assert len(rows.collect()) == 40 and [tuple(r) for r in skipped.collect()] == [("schema", 2)]
+    assert len(list(tmp_path.glob("b/*.csv"))) == 4
+
+
+def test_ranks_go_to_the_rows(spark):
+    df = spark.range(9).select("id", F.concat(F.lit("a/shard-"), (F.col("id") % 2).cast("string")).alias("p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = files.with_shard_rank(df, F.col("p"), F.col("id") % 4 == 3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = {r["id"]: r["shard_rank"] for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows == {k: 2 if k % 4 == 3 else k % 2 for k in range(9)}
