@@ -26,10 +26,13 @@ def merge_shards(names: DataFrame, events: DataFrame, odds: DataFrame, state: Da
     merged = stored(fill_zero_scores(infer_season(merge_events(remapped(events, mapping, EVENT_IDS)), F.col("dt"))).drop("repaired"), "events")
     leagues = dims.where("dim = 'leagues'").select(F.col("id").alias("league_id"), F.col("name").alias("league"))
     seasons = merged.select("league_id", "season").distinct().join(leagues, "league_id")
+    odds_key = ["event_id", *ODDS_IDS]
+    # Odds are dealt by their key first: few rows share one, so sorting each task's rows before would drop none.
+    dealt = remapped(odds, mapping, ODDS_IDS).repartition(*odds_key)
     return {
         "dims": dims,
         "events": merged,
-        "odds": first_wins(remapped(odds, mapping, ODDS_IDS), ["event_id", *ODDS_IDS], ["shard_rank", *odds_order]).drop("shard_rank"),
+        "odds": first_wins(dealt, odds_key, ["shard_rank", *odds_order]).drop("shard_rank"),
         "state": drop_false_empty(merge_season_state(state), seasons),
     }
 

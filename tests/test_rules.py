@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from matchloom.operators import audit, dims, matching, merge, planning, sequence
+from matchloom.operators import audit, dims, matching, merge, planning, sequence, shards
 from matchloom.streaming import jobs
 
 
@@ -91,3 +91,23 @@ def test_upsert_stream_merges_batches(spark):
 
 def test_upsert_stream_without_rows(spark):
     assert jobs.upsert_stream(jobs.in_batches(spark.createDataFrame([], EVENT), 2, ["seq"])).count() == 0
+
+
+def test_orphans_in_one_pass(spark):
+    odds = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "event_id int")
+    events = spark.createDataFrame([(2,), (3,), (3,), (None,), (5,)], "id int")
+    found = audit.orphans(odds, events)
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [("odds", 1), ("event", 3), ("odds", None), ("event", None)]))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_odds_of_shards_are_not_sorted_before_they_are_dealt(spark):
+    names = [(s, d, s * 10 + k, f"{d}{k}") for s in (0, 1) for d in ("leagues", "teams", "markets", "submkts", "outcomes", "bookmakers") for k in (1, 2)]
+    names = spark.createDataFrame(names, "shard_rank int, dim string, id int, name string")
+    events = spark.range(2).selectExpr("cast(id as int) as shard_rank", "7 as id", "cast(id * 10 + 1 as int) as league_id", "cast(id * 10 + 1 as int) as home_id", "cast(id * 10 + 2 as int) as away_id", "'2001' as season", "timestamp '2001-01-02' as dt", "1 as score_home", "2 as score_away", "cast(null as string) as sets_detail", "'finished' as status")
+    odds = spark.range(6).selectExpr("cast(id % 2 as int) as shard_rank", "cast(id div 100 + 7 as int) as event_id", "cast(id % 2 * 10 + 1 as int) as market_id", "cast(id % 2 * 10 + 1 as int) as submarket_id", "cast(id % 2 * 10 + 1 as int) as outcome_id", "cast(id % 2 * 10 + 1 + id div 4 as int) as bookmaker_id", "id as odds_closing")
+    state = spark.createDataFrame([(0, "leagues1", "2001", 3, None)], "shard_rank int, league string, season string, n int, completed_at string")
+    got = shards.merge_shards(names, events, odds, state, ["odds_closing"])["odds"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("WindowGroupLimit") < plan.index("Exchange hashpartitioning(event_id")
+    assert sorted(r["odds_closing"] for r in got.collect()) == [0, 4] and got.select("bookmaker_id").distinct().count() == 2
