@@ -203,3 +203,13 @@ def test_what_rows_ask_for(spark):
         (["row"], ["in", "2", "3"], ["3"], ["in"], ["in"], ["1"], ["no", "in", "8"], ["1", None], ["t", None], None),
         (["row"], [], [], [], [], [""], ["no", "in", "8"], [], [], "8"),
     ]
+
+
+def test_plain_pages_are_cut_like_others():
+    html = "".join(odds(f"B{k % 3}", "2", "3 &lt; 4") for k in range(50)) + "<p data-x='1'>five<img data-x/>six</P></i><ul><li data-x=2>seven"
+    tags, other = markup._Tags({"x": "[data-testid], [data-x]"}), markup._Tags({"x": "[data-testid], [data-x]"})
+    plain = markup._elements_of(html, tags, {})
+    for odd in ("<", "< b", "<!-- <p> -->", "<script>'<p>'</script>", '<b title="<1>">', "<b title='>'>"):
+        by_tag = markup._elements_of(f"{html} {odd}", other, {})
+        assert [e | {"end": 0, "text": e["text"].split()[:1]} for e in by_tag] == [e | {"end": 0, "text": e["text"].split()[:1]} for e in plain]
+    assert len(plain) == 253 and len(tags.tags) < 20  # tags that recur are read once
