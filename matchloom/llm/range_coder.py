@@ -1,15 +1,18 @@
 """An adaptive context-mixing range coder for token ids.
 
-Ids are coded in blocks, each reset to the starting state and checksummed, so any block can be
-read alone. Three orders predict the next id. Order 2 and order 1 each name the id that last
-followed the two ids, or the one id, before; order 0 spreads over all ids, as nibbles whose
-frequencies adapt: four, or as many as the largest id needs. The mixture's weights adapt, too,
-apart for how sure the two named ids are and whether they agree. An id's share of the range is
-its largest term of the mixture, not the sum of its terms: what is coded is first which order
-explains the id, then, for order 0, its nibbles. The codes are driven into a carryless range
-coder of 64-bit state that moves 16 bits at a time.
-
-Many blocks are coded side by side: every step takes the next id of each of them.
+Ids are coded in blocks, each with a model of its own and checksummed, so any block can be
+read alone. Four orders predict the next id. Order 2 and order 1 each name the id that followed
+most often on the two ids, or the one id, before; order 0 knows how often each id was met;
+below it all ids are equally likely. The mixture's weights are learned apart for how sure the
+two named ids are and whether they agree. An id's share of the range is its largest term of the
+mixture, not the sum of its terms.
+
+A block is cut into lanes of ``STEPS`` ids, which are coded side by side: every step takes the
+next id of each lane. The model learns between rounds of steps, of which each is as long as all
+before it, from the ids that the round had, so reader and writer have the same one; within a
+round all ids are independent of each other but for their contexts. Each lane has a range coder
+of 64-bit state that moves 32 bits at a time. Ids are coded as 16-bit halves where one of them
+needs more.
 """
 
 from __future__ import annotations
@@ -19,207 +22,251 @@ import zlib
 
 import numpy as np
 
-LANES = 2048  # blocks side by side
-ONE_SLOTS, TWO_SLOTS = 1 << 11, 1 << 12  # contexts that a block tells apart
-NODES = 1 + 16 + 256 + 512
-MORE = 16  # nodes for each nibble above the lowest four
-HEAD = "<IIIB"  # ids, their crc32 as little-endian unsigned 32-bit integers, the code's crc32, nibbles
+STEPS = 512  # ids of a lane
+PIECE = 1 << 14  # ids whose shares are worked out at once
+HEAD = "<IIBI"  # ids, their crc32 as little-endian unsigned 32-bit integers, symbols an id, crc32 of these and the code
 HEAD_BYTES = struct.calcsize(HEAD)
-ONE = 1 << 12  # all shares are of this total
-FADE = 4  # weights move by a 16th
-
-_TARGET = np.array([[(i > s) * ((1 << 15) - 1) for i in range(16)] for s in range(16)], np.int32)
-_START = np.arange(16, dtype=np.uint16) * (1 << 11)
-_PLACE = np.arange(16, dtype=np.int32)
-U64 = np.uint64
-_TOP, _BOTTOM = U64(1 << 48), U64(1 << 32)
-
-
-class _Coder:
-    """The states of n blocks; ``words`` is what is read, or None to write."""
-
-    def __init__(self, n: int, words: np.ndarray | None, wide: int, nibbles: int):
-        self.nibbles, nodes = nibbles, NODES + MORE * (nibbles - 4)
-        self.low, self.span = np.zeros(n, U64), np.full(n, (1 << 64) - 1, U64)
-        self.reads = words is not None
-        self.words = np.zeros((n, wide), np.uint16) if words is None else words
-        self.used = np.full(n, 4 if self.reads else 0, np.int64)
-        self.code = np.zeros(n, U64)
-        for k in range(4 if self.reads else 0):
-            self.code = self.code << U64(16) | words[:, k].astype(U64)
-        # A named id plus 1, and 8 bits of how sure it is.
-        kind = np.uint32 if nibbles <= 5 else np.uint64
-        self.one, self.two = np.zeros(n * ONE_SLOTS, kind), np.zeros(n * TWO_SLOTS, kind)
-        self.weight = np.tile(np.array([[1 << 14, 1 << 13]], np.int32), (n * 32, 1))
-        self.cdf = np.tile(_START, (n * nodes, 1))
-        rows = np.arange(n, dtype=np.int64)
-        self.rows, self.at_one, self.at_two, self.at_weight, self.at_cdf = rows, rows * ONE_SLOTS, rows * TWO_SLOTS, rows * 32, rows * nodes
-
-    def narrow(self, lanes, start: np.ndarray, end: np.ndarray) -> None:
-        unit = self.span[lanes] >> U64(12)
-        self.low[lanes] += unit * start.astype(U64)
-        self.span[lanes] = unit * (end - start).astype(U64)
-
-    def aim(self, lanes) -> np.ndarray:
-        """Where the code points to, of ONE."""
-        at = (self.code[lanes] - self.low[lanes]) // (self.span[lanes] >> U64(12))
-        return np.minimum(at, U64(ONE - 1)).astype(np.int32)
-
-    def settle(self, lanes) -> None:
-        """Moves 16 bits wherever they are decided, or the span would become too small."""
-        low, span = self.low[lanes], self.span[lanes]
-        at = self.rows[lanes]
-        while True:
-            same = (low ^ (low + span)) < _TOP
-            small = span < _BOTTOM
-            if small.any():
-                tight = small & ~same
-                span[tight] = (U64(0) - low[tight]) & (_BOTTOM - U64(1))
-                same |= tight
-            move = np.flatnonzero(same)
-            if not len(move):
-                break
-            who = at[move]
-            if self.reads:
-                self.code[who] = self.code[who] << U64(16) | self.words[who, self.used[who]].astype(U64)
-            else:
-                self.words[who, self.used[who]] = (low[move] >> U64(48)).astype(np.uint16)
-            self.used[who] += 1
-            low[move] <<= U64(16)
-            span[move] <<= U64(16)
-        self.low[lanes], self.span[lanes] = low, span
-
-    def nibble(self, lanes: np.ndarray, node: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
-        at = self.at_cdf[lanes] + node
-        rows = self.cdf[at].astype(np.int32)
-        seen = rows[:, 0].copy()  # the first bound is always 0, so the times seen are kept there
-        rows[:, 0] = 0
-        shares = (rows * (ONE - 16) >> 15) + _PLACE
-        pick = np.arange(len(lanes))
-        if symbol is None:
-            symbol = (shares[:, 1:] <= self.aim(lanes)[:, None]).sum(axis=1)
-        end = np.where(symbol == 15, ONE, shares[pick, np.minimum(symbol + 1, 15)])
-        self.narrow(lanes, shares[pick, symbol], end)
-        rows += (_TARGET[symbol] - rows) >> np.minimum(seen + 1, 5)[:, None]
-        rows[:, 0] = np.minimum(seen + 1, 6)
-        self.cdf[at] = rows
-        return symbol
-
-    def step(self, m: int, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Codes the next id of the first m blocks. one, two: the ids before, plus 1, or 0."""
-        lanes = slice(0, m)
-        slot_one = self.at_one[:m] + ((one * 0x9E3779B1 >> 15) & ONE_SLOTS - 1)
-        slot_two = self.at_two[:m] + ((one * 0x85EBCA6B + two * 0xC2B2AE35 >> 13) & TWO_SLOTS - 1)
-        from_one, from_two = self.one[slot_one].astype(np.int64), self.two[slot_two].astype(np.int64)
-        named_one, sure_one, named_two, sure_two = from_one >> 8, from_one & 255, from_two >> 8, from_two & 255
-        kind = self.at_weight[:m] + np.minimum(sure_two, 3) * 8 + np.minimum(sure_one, 3) * 2 + (named_one == named_two)
-        weight = self.weight[kind]
-        first = np.clip(weight[:, 0] >> 4, 1, ONE - 3)
-        second = first + np.clip((ONE - first) * (weight[:, 1] >> 4) >> 12, 1, ONE - 1 - first)
-        if ids is None:
-            aim = self.aim(lanes)
-            order = (aim >= first).astype(np.int64) + (aim >= second)
-            got = np.where(order == 0, named_two, named_one) - 1
-        else:
-            got = ids
-            order = np.where(named_two == ids + 1, 0, np.where(named_one == ids + 1, 1, 2))
-        self.narrow(lanes, np.where(order == 0, 0, np.where(order == 1, first, second)), np.where(order == 0, first, np.where(order == 1, second, ONE)))
-        self.settle(lanes)
-        weight[:, 0] += ((order == 0) * 65535 - weight[:, 0]) >> FADE
-        weight[:, 1] += np.where(order == 0, 0, ((order == 1) * 65535 - weight[:, 1]) >> FADE)
-        self.weight[kind] = weight
-        plain = np.flatnonzero(order == 2)
-        if len(plain):
-            known = got[plain] if ids is not None else None
-            at = lambda shift: None if known is None else known >> shift & 15
-            above = np.zeros(len(plain), np.int64)
-            for k in range(self.nibbles - 1, 3, -1):
-                above = above << 4 | self.nibble(plain, NODES + MORE * (k - 4) + (above & 15), at(4 * k))
-                self.settle(plain)
-            a = self.nibble(plain, above & 0, at(12))
-            b = self.nibble(plain, 1 + a, at(8))
-            self.settle(plain)
-            high = a << 4 | b
-            c = self.nibble(plain, 17 + high, at(4))
-            d = self.nibble(plain, 273 + ((high << 4 | c) * 0x9E3779B1 >> 17 & 511), at(0))
-            self.settle(plain)
-            if known is None:
-                got[plain] = above << 16 | high << 8 | c << 4 | d
-        for table, slot, named, sure in ((self.one, slot_one, named_one, sure_one), (self.two, slot_two, named_two, sure_two)):
-            hit = named == got + 1
-            keep = hit | (sure > 1)
-            table[slot] = np.where(keep, named, got + 1) << 8 | np.where(hit, np.minimum(sure + 1, 255), np.where(keep, sure >> 1, 1))
-        return got
-
-
-def _in_order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Longest first, and how many blocks have an id at each step."""
-    order = np.argsort(-lengths, kind="stable")
-    left = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), "left")
-    return order, left
-
-
-def _run(coder: _Coder, left: np.ndarray, ids: np.ndarray, known: bool) -> None:
-    zero = np.zeros(len(ids), np.int64)
-    one = two = zero
-    for step, m in enumerate(left):
-        got = coder.step(int(m), one[:m], two[:m], ids[:m, step].astype(np.int64) if known else None)
-        if not known:
-            ids[:m, step] = got
-        one, two = got + 1, one[:m]
+SYMBOLS = 1 << 16
+TWO_BITS, PAIR_BITS = 17, 20  # contexts of order 2, and ids on contexts, that a block tells apart at most
+SLOT_BITS, SHARE_BITS = 17, 12  # order 0 has so many slots, the orders so many shares
+SURE = 8  # degrees of how sure a named id is; 0: none is named
+
+U64, U32 = np.uint64, np.uint32
+_SLOT, _ALL, _WORD, _LEAST = U64(SLOT_BITS), U64(SLOT_BITS + SHARE_BITS), U64(32), U64(1 << 32)
+_LAST, _LOW16 = U64((1 << SLOT_BITS + SHARE_BITS) - 1), U64(SYMBOLS - 1)
+_PLACE, _SIZE = U64(32), U64((1 << 32) - 1)  # of an id in order 0: its first slot above the number of them
+_KINDS = np.arange(SURE * SURE * 2)
+_PRIOR = np.stack([_KINDS >> 4, (_KINDS >> 1 & SURE - 1) * (1 - (_KINDS & 1)), np.full(len(_KINDS), 4), np.ones(len(_KINDS), np.int64)], axis=1)
+_IDS = np.arange(SYMBOLS, dtype=np.int64)
+_FLAT = 1 << SLOT_BITS - 16  # slots of an id below order 0
+
+
+class _Names:
+    """The id that followed most often on each context, with the degree of how sure it is
+    moved up by ``shift`` bits above the id."""
+
+    def __init__(self, contexts: int, pairs: int, shift: int):
+        self.best, self.met = np.zeros(contexts, U32), np.zeros(contexts, U32)
+        self.pairs = np.zeros(pairs, U32)
+        self.named, self.shift = np.zeros(contexts, U32), 16 + shift
+
+    def learn(self, context: np.ndarray, ids: np.ndarray) -> None:
+        pair = ((context << 16 | ids) * 0x2545F4914F6CDD1D >> 31) & len(self.pairs) - 1
+        np.add.at(self.pairs, pair, U32(1))
+        np.maximum.at(self.best, context, np.minimum(self.pairs[pair], U32(SYMBOLS - 1)) << U32(16) | ids.astype(U32))
+        np.add.at(self.met, context, U32(1))
+        some = context if len(context) < len(self.best) else np.flatnonzero(self.met)
+        best, met = self.best[some], np.minimum(self.met[some], U32(SYMBOLS - 1))
+        sure = U32(1) + np.minimum((best >> U32(16)) * U32(SURE - 1) // (met + U32(1)), U32(SURE - 2))
+        self.named[some] = best & U32(SYMBOLS - 1) | sure << U32(self.shift)
+
+
+class _Model:
+    """What both sides know at the start of a round."""
+
+    def __init__(self, n: int):
+        two, pairs = (1 << min(bits, n.bit_length() + 2) for bits in (TWO_BITS, PAIR_BITS))
+        self.one, self.two = _Names(SYMBOLS, pairs, 1), _Names(two, pairs, 4)
+        self.times = np.zeros(SYMBOLS, np.int64)
+        # Of order 0, and of all ids that it doesn't know.
+        self.slots = np.concatenate([np.zeros(1 << SLOT_BITS, U32), np.repeat(_IDS.astype(U32), _FLAT)])
+        self.places = (_IDS * _FLAT << 32 | _FLAT).view(U64)
+        self.order = np.full(SYMBOLS, 3, np.uint8)
+        self.chosen = np.zeros((len(_KINDS), 4), np.int64)
+        self.shares = np.full(len(_KINDS), 1 << 16 | 2 << 32 | 3 << 48, U64)
+
+    def context(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return ((before << 16 | last) * 0x1E3779B97F4A7C15 >> 33) & len(self.two.named) - 1
+
+    def kinds(self, before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The named ids of order 2 and 1, and how the two stand."""
+        two, one = self.two.named[self.context(before, last)], self.one.named[last]
+        name_two, name_one = two & U32(SYMBOLS - 1), one & U32(SYMBOLS - 1)
+        return name_two, name_one, ((two | one) >> U32(16) | (name_two == name_one)).astype(np.int64)
+
+    def orders(self, before: np.ndarray, last: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How the named ids stand, and the order that codes each id: 0 for order 2, 1 for
+        order 1, 2 for order 0, 3 for none."""
+        name_two, name_one, kind = self.kinds(before, last)
+        known = ids.astype(U32)
+        order = self.order[ids]
+        order[name_one == known] = 1
+        order[name_two == known] = 0
+        return kind, order
+
+    def spans(self, before: np.ndarray, last: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the share of each id starts, and its size."""
+        kind, order = self.orders(before, last, ids)
+        start, size = _shares(self.shares[kind], order)
+        place = self.places[ids]
+        place[order < 2] = 1 << SLOT_BITS
+        return (start << _SLOT) + size * (place >> _PLACE), size * (place & _SIZE)
+
+    def learn(self, before: np.ndarray, last: np.ndarray, ids: np.ndarray) -> None:
+        for at in range(0, len(ids), PIECE):
+            some = slice(at, at + PIECE)
+            kind, order = self.orders(before[some], last[some], ids[some])
+            self.chosen += np.bincount(kind << 2 | order, minlength=self.chosen.size).reshape(self.chosen.shape)
+            self.two.learn(self.context(before[some], last[some]), ids[some])
+            self.one.learn(last[some], ids[some])
+        weight = self.chosen * 8 + _PRIOR
+        ends = np.cumsum(1 + weight * ((1 << SHARE_BITS) - 4) // weight.sum(axis=1, keepdims=True), axis=1)
+        self.shares = (ends[:, 0] << 16 | ends[:, 1] << 32 | ends[:, 2] << 48).view(U64)
+        self.times += np.bincount(ids, minlength=SYMBOLS)
+        seen = np.flatnonzero(self.times)
+        times, slots = self.times[seen], 1 << SLOT_BITS
+        size, goal = np.maximum(times * slots // times.sum(), 1), slots
+        while (over := int(size.sum()) - slots) > 0:
+            goal -= over
+            size = np.maximum(times * max(goal, 0) // times.sum(), 1)
+        self.order[seen], self.places[seen] = 2, (np.cumsum(size) - size << 32 | size).view(U64)
+        filled = np.repeat(seen.astype(U32), size)
+        self.slots[: len(filled)] = filled
+
+
+def _shares(share: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first share of an order and the number of them; the last order ends with all."""
+    share = share >> (order.astype(U64) << U64(4))
+    start = share & _LOW16
+    return start, (share >> U64(16)) - start & U64((1 << SHARE_BITS) - 1)
+
+
+def _lanes(n: int) -> tuple[int, int, int]:
+    """How many lanes, the steps of the longest, and how many are as long."""
+    lanes = max(1, n // STEPS)
+    steps = -(-n // lanes)
+    return lanes, steps, n - lanes * (steps - 1)
+
+
+def _rounds(steps: int):
+    at, end = 0, 1
+    while at < steps:
+        yield at, min(end, steps)
+        at, end = end, 2 * end
+
+
+def _write(ids: np.ndarray) -> bytes:
+    """Counts of the lanes' words, and the words."""
+    lanes, steps, full = _lanes(len(ids))
+    grid = np.zeros((steps + 2, lanes), np.int64)  # a row for each step, behind two of zeros
+    grid[2:, :full] = ids[: full * steps].reshape(full, steps).T
+    grid[2 : steps + 1, full:] = ids[full * steps :].reshape(lanes - full, steps - 1).T
+    low, span = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
+    words, at = np.zeros((steps + 1) * lanes, U64), np.arange(lanes)
+    model = _Model(len(ids))
+    for first, end in _rounds(steps):
+        contexts = grid[first:end].ravel(), grid[first + 1 : end + 1].ravel(), grid[first + 2 : end + 2].ravel()
+        start, size = (x.reshape(-1, lanes) for x in _pieces(model, contexts))
+        for k in range(end - first):
+            m = lanes if first + k + 1 < steps else full
+            unit = span[:m] >> _ALL
+            moved = unit * start[k, :m]
+            low[:m] += moved
+            span[:m] = unit * size[k, :m]
+            over = np.flatnonzero(low[:m] < moved)
+            words[at[over] - lanes] += U64(1)
+            out = np.flatnonzero(span[:m] < _LEAST)
+            words[at[out]] = low[out] >> _WORD
+            at[out] += lanes
+            low[out] <<= _WORD
+            span[out] <<= _WORD
+        if end < steps:
+            model.learn(*contexts)
+    # The last word is the least that lies within the span, whatever follows it.
+    last = low + (_LEAST - U64(1))
+    over = np.flatnonzero(last < low)
+    words[at[over] - lanes] += U64(1)
+    words[at] = last >> _WORD
+    words = words.reshape(steps + 1, lanes)
+    for k in range(steps, 0, -1):
+        words[k - 1] += words[k] >> _WORD
+    used = at // lanes + 1
+    flat = words.astype("<u4").T[np.arange(steps + 1) < used[:, None]]
+    return used.astype("<u2").tobytes() + flat.tobytes()
+
+
+
+def _pieces(model: _Model, contexts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    start, size = np.empty(len(contexts[2]), U64), np.empty(len(contexts[2]), U64)
+    for at in range(0, len(start), PIECE):
+        start[at : at + PIECE], size[at : at + PIECE] = model.spans(*(c[at : at + PIECE] for c in contexts))
+    return start, size
+
+
+def _read(code: bytes, n: int) -> np.ndarray:
+    lanes, steps, full = _lanes(n)
+    used = np.frombuffer(code, "<u2", lanes).astype(np.int64)
+    words = np.append(np.frombuffer(code, "<u4", offset=2 * lanes), np.zeros(2, "<u4")).astype(U64)
+    ends = np.cumsum(used)
+    at = ends - used
+    # Behind its last word a lane reads zeros.
+    zero = len(words) - 1
+    value = words[at] << _WORD | words[np.where(used > 1, at + 1, zero)]
+    at += 2
+    grid, span = np.zeros((steps + 2, lanes), np.int64), np.full(lanes, (1 << 64) - 1, U64)
+    model = _Model(n)
+    for first, end in _rounds(steps):
+        for k in range(first, end):
+            m = lanes if k + 1 < steps else full
+            unit = span[:m] >> _ALL
+            aim = np.minimum(value[:m] // unit, _LAST)
+            name_two, name_one, kind = model.kinds(grid[k, :m], grid[k + 1, :m])
+            share, top = model.shares[kind], aim >> _SLOT
+            order = (top >= (share >> U64(16) & _LOW16)).astype(np.uint8)
+            order += top >= (share >> U64(32) & _LOW16)
+            order += top >= share >> U64(48)
+            start, size = _shares(share, order)
+            got = np.where(order == 0, name_two, name_one)
+            rest = np.flatnonzero(order >= 2)
+            some = size[rest]
+            start <<= _SLOT
+            slot = (aim[rest] - start[rest]) // some
+            ids = model.slots[slot.view(np.int64) + (order[rest] == 3) * (1 << SLOT_BITS)]
+            place = model.places[ids]
+            got[rest] = ids
+            start[rest] += some * (place >> _PLACE)
+            size <<= _SLOT
+            size[rest] = some * (place & _SIZE)
+            grid[k + 2, :m] = got
+            value[:m] -= unit * start
+            span[:m] = unit * size
+            out = np.flatnonzero(span[:m] < _LEAST)
+            place = at[out]
+            value[out] = value[out] << _WORD | words[np.where(place < ends[out], place, zero)]
+            at[out] = place + 1
+            span[out] <<= _WORD
+        if end < steps:
+            model.learn(grid[first:end].ravel(), grid[first + 1 : end + 1].ravel(), grid[first + 2 : end + 2].ravel())
+    return np.concatenate([grid[2:, :full].T.ravel(), grid[2 : steps + 1, full:].T.ravel()])
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids below 2**32 as ``HEAD`` and the code."""
-    return [c for at in range(0, len(blocks), LANES) for c in _encode(blocks[at : at + LANES])]
-
-
-def _encode(blocks: list[np.ndarray]) -> list[bytes]:
-    lengths = np.array([len(b) for b in blocks])
-    order, left = _in_order(lengths)
-    nibbles = max(4, -(-max((int(np.max(b)).bit_length() for b in blocks if len(b)), default=0) // 4))
-    ids = np.zeros((len(blocks), int(lengths.max(initial=0))), np.uint16 if nibbles == 4 else np.uint32)
-    for row, k in enumerate(order):
-        ids[row, : lengths[k]] = blocks[k]
-    # A nibble takes 12 bits at most and the order as many, so an id never more moves than nibbles.
-    coder = _Coder(len(blocks), None, ids.shape[1] * nibbles + 8, nibbles)
-    _run(coder, left, ids, True)
-    out = [b""] * len(blocks)
-    for row, k in enumerate(order):
-        code = coder.words[row, : coder.used[row]].astype("<u2").tobytes() + np.array([int(coder.low[row]) >> s & 0xFFFF for s in (48, 32, 16, 0)], "<u2").tobytes()
-        out[k] = struct.pack(HEAD, len(blocks[k]), zlib.crc32(np.asarray(blocks[k], "<u4").tobytes()), zlib.crc32(code), nibbles) + code
+    out = []
+    for block in blocks:
+        raw = np.asarray(block, "<u4")
+        halves = 2 if len(raw) and int(raw.max()) >= SYMBOLS else 1
+        code = _write((raw.view("<u2") if halves == 2 else raw).astype(np.int64)) if len(raw) else b""
+        head = struct.pack(HEAD, len(raw), zlib.crc32(raw.tobytes()), halves, 0)[:-4]
+        out.append(head + struct.pack("<I", zlib.crc32(code, zlib.crc32(head))) + code)
     return out
 
 
 def decode(codes: list[bytes]) -> list[np.ndarray]:
     """The ids of each block; a block that is damaged raises ValueError."""
-    heads = [struct.unpack_from(HEAD, c) for c in codes]
-    if any(zlib.crc32(c[HEAD_BYTES:]) != h[2] or not 4 <= h[3] <= 8 for c, h in zip(codes, heads, strict=True)):
-        raise ValueError("a block's checksum is wrong")
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
-    for nibbles in {h[3] for h in heads}:
-        rows = [k for k, h in enumerate(heads) if h[3] == nibbles]
-        for at in range(0, len(rows), LANES):
-            some = rows[at : at + LANES]
-            for k, ids in zip(some, _decode([codes[k] for k in some], [heads[k] for k in some], nibbles), strict=True):
-                out[k] = ids
-    return out
-
-
-def _decode(codes: list[bytes], heads: list[tuple], nibbles: int) -> list[np.ndarray]:
-    lengths = np.array([h[0] for h in heads])
-    order, left = _in_order(lengths)
-    words = np.zeros((len(codes), max(map(len, codes)) // 2 + 8), np.uint16)
-    for row, k in enumerate(order):
-        words[row, : (len(codes[k]) - HEAD_BYTES) // 2] = np.frombuffer(codes[k], "<u2", offset=HEAD_BYTES)
-    ids = np.zeros((len(codes), int(lengths.max(initial=0))), np.uint16 if nibbles == 4 else np.uint32)
-    _run(_Coder(len(codes), words, 0, nibbles), left, ids, False)
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(codes)
-    for row, k in enumerate(order):
-        got = ids[row, : lengths[k]].astype("<u4")
-        if zlib.crc32(got.tobytes()) != heads[k][1]:
+    out = []
+    for block in codes:
+        if len(block) < HEAD_BYTES:
+            raise ValueError("a block is cut off")
+        n, ids_crc, halves, crc = struct.unpack_from(HEAD, block)
+        code = memoryview(block)[HEAD_BYTES:]
+        if zlib.crc32(code, zlib.crc32(block[: HEAD_BYTES - 4])) != crc:
+            raise ValueError("a block's checksum is wrong")
+        got = _read(code, n * halves) if n else np.empty(0, np.int64)
+        got = got.astype("<u2").view("<u4") if halves == 2 else got.astype("<u4")
+        if zlib.crc32(got.tobytes()) != ids_crc:
             raise ValueError("a block's ids don't have the checksum they had")
-        out[k] = got
+        out.append(got)
     return out
 
 

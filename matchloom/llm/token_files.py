@@ -3,7 +3,8 @@
 The format is a table of blocks (Parquet, so that a task's part appears whole or not at all,
 wherever it runs): part and block number, for each document segment in it the id, the number
 of token ids and the place of the document's first one, and the code of ``range_coder``. A
-block ends with a document where it can; a document longer than a block has several.
+block ends with a document where it can; a document longer than a block has several. Texts are
+encoded by ``bulk_bpe``, as many at a time as fill a block or more.
 """
 
 from __future__ import annotations
@@ -17,12 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import range_coder
+from .bulk_bpe import merger
 from .store import tasks, written
-from .trie_bpe import codec
 from .workers import tidy
 
-BLOCK = 4096  # ids
-ROWS = 5000  # documents whose blocks are coded side by side
+BLOCK = 1 << 21  # ids
 BLOCKS = "part int, block long, ids array<long>, sizes array<long>, starts array<long>, whole array<boolean>, code binary"
 
 
@@ -49,28 +49,38 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     as empty: it has the end id only."""
 
     def run(batches):
-        c, end = codec(tokenizer), np.array([end_id], "<u4")
-        c.forget()
-        part, number, start = TaskContext.get().partitionId(), 0, 0
+        m, part, number, start = merger(tokenizer), TaskContext.get().partitionId(), 0, 0
+        ids, sizes, flat = [], [], np.empty(0, "<u4")  # of the texts whose block isn't full
+
+        def blocks_of(whole: bool) -> pa.RecordBatch:
+            """The full blocks, all if ``whole``."""
+            nonlocal ids, sizes, flat, number, start
+            blocks, rest = list(_segments(sizes)), len(sizes)
+            if not whole and blocks and blocks[-1][0][1] == 0 and blocks[-1][-1][2] == sizes[blocks[-1][-1][0]]:
+                rest = blocks.pop()[0][0]
+            at = np.cumsum([0, *sizes])  # of each text, in flat
+            out = {
+                "part": pa.array([part] * len(blocks), pa.int32()),
+                "block": pa.array(range(number, number + len(blocks)), pa.int64()),
+                "ids": pa.array([[ids[k] for k, _, _ in x] for x in blocks], pa.list_(pa.int64())),
+                "sizes": pa.array([[b - a for _, a, b in x] for x in blocks], pa.list_(pa.int64())),
+                "starts": pa.array([[start + int(at[k]) for k, _, _ in x] for x in blocks], pa.list_(pa.int64())),
+                "whole": pa.array([[b - a == sizes[k] for k, a, b in x] for x in blocks], pa.list_(pa.bool_())),
+                "code": pa.array(range_coder.encode([flat[at[x[0][0]] + x[0][1] : at[x[-1][0]] + x[-1][2]] for x in blocks]), pa.binary()),
+            }
+            number, start = number + len(blocks), start + int(at[rest])
+            ids, sizes, flat = ids[rest:], sizes[rest:], flat[at[rest] :]
+            return pa.RecordBatch.from_pydict(out)
+
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low in range(0, len(ids), ROWS):
-                flat = [np.concatenate([np.frombuffer(x, "<u4"), end]) for x in c.encode(texts[low : low + ROWS])]
-                first = start + np.cumsum([0] + [len(x) for x in flat])
-                start = int(first[-1])
-                blocks = list(_segments([len(x) for x in flat]))
-                codes = range_coder.encode([np.concatenate([flat[k][a:b] for k, a, b in block]) for block in blocks])
-                out = {
-                    "part": pa.array([part] * len(blocks), pa.int32()),
-                    "block": pa.array(range(number, number + len(blocks)), pa.int64()),
-                    "ids": pa.array([[ids[low + k] for k, _, _ in b] for b in blocks], pa.list_(pa.int64())),
-                    "sizes": pa.array([[b - a for _, a, b in x] for x in blocks], pa.list_(pa.int64())),
-                    "starts": pa.array([[int(first[k]) for k, _, _ in x] for x in blocks], pa.list_(pa.int64())),
-                    "whole": pa.array([[b - a == len(flat[k]) for k, a, b in x] for x in blocks], pa.list_(pa.bool_())),
-                    "code": pa.array(codes, pa.binary()),
-                }
-                number += len(blocks)
-                yield pa.RecordBatch.from_pydict(out)
+            row = 0
+            for some, n in m.encode(batch.column(1), end_id):
+                ids += batch.column(0)[row : row + len(n)].to_pylist()
+                sizes += n.tolist()
+                flat, row = np.concatenate([flat, some]), row + len(n)
+                if len(flat) > BLOCK:
+                    yield blocks_of(False)
+        yield blocks_of(True)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     rows = rows.repartitionByRange(tasks(docs.sparkSession), "id").sortWithinPartitions("id", "body")
@@ -84,15 +94,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, range_coder.LANES):
-                rows = batch.slice(at, range_coder.LANES)
-                decoded = range_coder.decode(rows.column("code").to_pylist())
-                out = []
-                for flat, part, block, *lists in zip(decoded, *(rows.column(c).to_pylist() for c in ("part", "block", "ids", "sizes", "starts", "whole")), strict=True):
-                    low = 0
-                    for i, n, start, whole in zip(*lists, strict=True):
-                        out.append((part, block, i, start, n, zlib.crc32(flat[low : low + n].astype("<u4").tobytes()), whole))
-                        low += n
+            for at in range(batch.num_rows):
+                part, block, *lists, code = (c[0].as_py() for c in batch.slice(at, 1).columns)
+                (flat,), low, out = range_coder.decode([code]), 0, []
+                for i, n, start, whole in zip(*lists, strict=True):
+                    out.append((part, block, i, start, n, zlib.crc32(flat[low : low + n]), whole))
+                    low += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), *[pa.int64()] * 5, pa.bool_()], strict=True)], names=["part", "block", "id", "start", "n_tokens", "ids_crc32", "whole"])
 
     found = written(blocks.mapInArrow(tidy(run), "part int, block long, id long, start long, n_tokens long, ids_crc32 long, whole boolean"), "segments")
