@@ -32,22 +32,22 @@ def _with_columns(out: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     return out.join(pages.select(key, *more), key) if more else out
 
 
-def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], key: str = "page_id") -> DataFrame:
+def listing_rows(pages: DataFrame, as_of: Column, base: str, hosts: list[str], key: str = "page_id", number: str | None = None) -> DataFrame:
     """H-02: (key, pos, match_url, dt, home, away, score_home, score_away, status), one row for
     each URL of a page.
 
     A game row counts if a link is right below it; the link's host has to be one of ``hosts``.
     The date is the latest header's that is one, the time the row's own. A row whose time isn't
     a time is finished, and has a score in its score element, else as text. Rows with fewer
-    than two names are dropped."""
+    than two names are dropped. With ``number`` pages come in pieces (``markup.rows``)."""
     people = M.by_test_id(TEST_IDS["participants"])
     asks = {
-        "text": M.Ask(", ".join(_named("date_header", "game_row").values())), "hrefs": M.Ask("a[href]", "href", child=True),
-        "names": M.Ask(f".participant-name, {M.by_test_id(TEST_IDS['participant'])}", inside=people, first=False),
-        "titles": M.Ask("a[title]", "title", inside=people, first=False),
-        "times": M.Ask(M.by_test_id(TEST_IDS["time"])), "scores": M.Ask(M.by_test_id(TEST_IDS["score"])),
+        "hrefs": M.Ask("a[href]", "href", child=True, of="game_row", need=True), "text": M.Ask(", ".join(_named("date_header", "game_row").values())),
+        "names": M.Ask(f".participant-name, {M.by_test_id(TEST_IDS['participant'])}", inside=people, first=False, of="game_row"),
+        "titles": M.Ask("a[title]", "title", inside=people, first=False, of="game_row"),
+        "times": M.Ask(M.by_test_id(TEST_IDS["time"]), of="game_row"), "scores": M.Ask(M.by_test_id(TEST_IDS["score"]), of="game_row"),
     }
-    rows = M.rows(pages, key, _named("date_header", "game_row"), asks)
+    rows = M.rows(pages, key, _named("date_header", "game_row"), asks, number=number)
     one = lambda name: F.try_element_at(F.col(name), F.lit(1))
     filled = lambda xs: F.filter(xs, lambda x: x != "")
     is_header = F.array_contains("kind", "date_header")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import MONTHS_PT, OUTCOMES
@@ -126,16 +127,29 @@ AS_OF = "2001-08-02"
 SITE, HOSTS = "https://matches.example.com", ["example.com"]
 
 
+_TOP, _BOTTOM = "<html><body><nav><a href='/x'>1 2</a></nav>", "</body></html>"
+
+
 def joined(rows, page: str, order: list[str], piece):
     """(page_id, html): the pieces of each page in their order, between what isn't of interest.
     ``piece`` makes a row's markup of its values, which are gathered as they are: markup is many
     times as long, and is made where its page is."""
     values = F.struct(*order, *(c for c in rows.columns if c not in (page, *order)))
     made = rows.groupBy(F.col(page).alias("page_id")).agg(F.sort_array(F.collect_list(values)).alias("rows"))
-    html = F.concat(F.lit("<html><body><nav><a href='/x'>1 2</a></nav>"), F.array_join(F.transform("rows", lambda row: piece(row, F.col("page_id"))), "\n"), F.lit("</body></html>"))
+    html = F.concat(F.lit(_TOP), F.array_join(F.transform("rows", lambda row: piece(row, F.col("page_id"))), "\n"), F.lit(_BOTTOM))
     return made.select("page_id", html.alias("html"))
 
 
+def in_pieces(rows, page: str, order: list[str], piece):
+    """(page_id, number, html): pages as those of ``joined``, of any length, in numbered pieces, one
+    for each row, in order. A page's values are sorted, not gathered, and its markup never is."""
+    mine = Window.partitionBy("page_id").orderBy(*order)
+    values = rows.withColumnRenamed(page, "page_id").withColumns({"number": F.row_number().over(mine), "last": F.lead(F.lit(1)).over(mine).isNull()})
+    values = values.select("page_id", "number", "last", F.struct(*(c for c in rows.columns if c != page)).alias("row"))
+    html = F.concat(F.when(F.col("number") == 1, _TOP).otherwise(""), F.coalesce(piece(F.col("row"), F.col("page_id")), F.lit("")), F.when(F.col("last"), _BOTTOM).otherwise("\n"))
+    return values.select("page_id", "number", html.alias("html"))
+
+
 def div(test_id: str, *inner):
     """An element with its content two elements of its own tag further down."""
     return F.concat(F.lit(f'<div class="row" data-testid="{test_id}"><div><div class="in">'), *(F.lit(x) if isinstance(x, str) else x for x in inner), F.lit("</div></div></div>"))
@@ -164,14 +178,14 @@ def listing_pages(spark, sf):
         return F.concat(div("date-header", date, " - Playoffs"), div("secondary-header", "Best odds"), foreign, game(path, people), again, alone)
 
     rows = view(spark, sf, "v_events").select(F.concat_ws("/", "league", F.col("y").cast("string")).alias("page"), "id", "y", "nk", "home", "away", "dt", "status", "score_home", "score_away")
-    return joined(rows, "page", ["id"], piece)
+    return in_pieces(rows, "page", ["id"], piece)
 
 
 @query("h02_listing_rows", f"""
     select league || '/' || cast(y as string) as page_id, '{SITE}/' || cast(nk as string) || '/#' || cast(id as string) as match_url, case when status = 'finished' then date_trunc('day', dt) else dt end as dt,
       home, away, case when status = 'finished' and score_away is not null then score_home end as score_home, case when status = 'finished' and score_home is not null then score_away end as score_away, status from {{v_events}}""")
 def h02_listing(spark, sf):
-    return pages.listing_rows(listing_pages(spark, sf), F.lit(AS_OF).cast("date"), SITE, HOSTS).drop("pos")
+    return pages.listing_rows(listing_pages(spark, sf), F.lit(AS_OF).cast("date"), SITE, HOSTS, number="number").drop("pos")
 
 
 ODDS_ROW = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]

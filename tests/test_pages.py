@@ -4,6 +4,7 @@ import datetime
 import random
 import re
 import time
+import tracemalloc
 from xml.etree import ElementTree
 
 import pytest
@@ -11,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from matchloom.operators import markup, pages
+from matchloom.plans import page_queries
 
 HOSTS, SITE = ["site.test"], "https://www.site.test"
 
@@ -213,3 +215,56 @@ def test_plain_pages_are_cut_like_others():
         by_tag = markup._elements_of(f"{html} {odd}", other, {})
         assert [e | {"end": 0, "text": e["text"].split()[:1]} for e in by_tag] == [e | {"end": 0, "text": e["text"].split()[:1]} for e in plain]
     assert len(plain) == 253 and len(tags.tags) < 20  # tags that recur are read once
+
+
+def test_pages_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(markup, "_STRETCH_CHARS", 60)
+    monkeypatch.setattr(markup, "_STRETCH_TAGS", 3)
+    rng = random.Random(11)
+    bits = ["<li id='a'>", "<li>", "</li>", "</li>", "<b class='x'>", "</b>", "<i>", "</i>", "text 3", "<div data-n='4'>", "</div>", "<h3>T</h3>", "<br>", "</ul>", "<i class='x'/>", "&amp;"]
+    odd = ["< b", "<!-- <li> -->", "<script>'<li>'</script>", '<b title="<1>">', "<!-- x", "<i"]
+    htmls = ["".join(rng.choice(bits + odd * (k % 2)) for _ in range(rng.randrange(90))) for k in range(200)]
+    kinds, asks = {"row": "li", "bold": "b"}, {"i": markup.Ask("i", first=False), "child": markup.Ask("i", child=True), "leaf": markup.Ask(".x", leaves=True, first=False)}
+
+    def got(df, **how):
+        out = markup.rows(df, "page_id", kinds, asks, None, markup.Around("[data-n]", ("data-n",), "h3"), (".x", r"\d"), **how)
+        return sorted(map(repr, out.collect()))
+
+    cut = []
+    for k, html in enumerate(htmls):
+        at = [0, *sorted(rng.randrange(len(html) + 1) for _ in range(rng.randrange(6))), len(html)]
+        cut += [(k, n, html[a:b]) for n, (a, b) in enumerate(zip(at, at[1:], strict=False), 1)]
+    pieces = spark.createDataFrame(cut, "page_id int, number int, html string").coalesce(1).sortWithinPartitions("page_id", "number")
+    want = got(made(spark, *htmls))
+    assert got(pieces, number="number") == want and len(want) > 1_000
+    for lost in (pieces.where("number <> 2 or page_id <> 7"), pieces.sortWithinPartitions("number", "page_id")):
+        with pytest.raises(Exception, match="doesn't follow"):
+            got(lost, number="number")
+
+
+def test_a_page_in_pieces_takes_no_more_memory_if_it_is_longer():
+    def peak(n):
+        tags = markup._Tags({"row": "[data-testid]"})
+        tracemalloc.start()
+        found = sum(len(page.found) for page in markup._read((odds(f"B{k % 9}", "2", "3") for k in range(n)), tags, whole=False))
+        out = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == 5 * n
+        return out
+
+    assert peak(16_000) < 1.5 * peak(4_000)
+
+
+def test_rows_that_need_an_answer(spark):
+    html = '<li id="1"><a href="x">one</a></li><li id="2"><p><a href="y">two</a></p></li><b><a href="z">three</a></b>'
+    asks = {"href": markup.Ask("a[href]", "href", child=True, of="row", need=True), "id": markup.Ask("li", "id", of="row"), "text": markup.Ask("a")}
+    got = markup.rows(made(spark, html), "page_id", {"row": "li", "bold": "b"}, asks).orderBy("pos").collect()
+    assert [tuple(r)[2:] for r in got] == [(["row"], ["x"], ["1"], ["one"]), (["bold"], [], [], ["three"])]
+
+
+def test_pieces_of_a_page_are_the_page(spark):
+    rows = spark.createDataFrame([(f"p{k % 3}", (k * 7) % 50, k) for k in range(50)], "page string, id int, v int")
+    piece = lambda row, page: F.when(row["v"] != 4, F.concat(page, F.lit(" "), row["v"].cast("string")))
+    whole = {r["page_id"]: r["html"] for r in page_queries.joined(rows, "page", ["id"], piece).collect()}
+    pieces = page_queries.in_pieces(rows, "page", ["id"], piece).orderBy("number").collect()
+    assert {p: "".join(r["html"] for r in pieces if r["page_id"] == p).split() for p in whole} == {p: h.split() for p, h in whole.items()}
