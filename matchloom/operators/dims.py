@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import FEW, stored
 from .merge import first_wins
 from .sequence import ranked
 
@@ -101,13 +101,18 @@ def merged_names(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     return merged.select("dim", "id", "name"), names.join(new, ["dim", "name"]).select("shard_rank", "dim", F.col("id").alias("old"), "new")
 
 
-def remapped(df: DataFrame, mapping: DataFrame, columns: dict[str, str]) -> DataFrame:
+def short_dims(rows: DataFrame) -> set[str]:
+    """The dimensions with ``FEW`` rows at most in a table of all of them, whose size says nothing of
+    the one that is joined."""
+    return {r["dim"] for r in rows.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") <= FEW).select("dim").collect()}
+
+
+def remapped(df: DataFrame, mapping: DataFrame, columns: dict[str, str], short: set[str]) -> DataFrame:
     """J-02: the columns' ids as those of the merged dimensions; rows with an id that their
-    shard has no name for are dropped. Spark broadcasts the mapping, whose size is known where
-    it has been written, or splits it up."""
+    shard has no name for are dropped. Of ``short`` dimensions the mapping is broadcast."""
     for column, dim in columns.items():
         ids = mapping.where(F.col("dim") == dim).select("shard_rank", F.col("old").alias(column), "new")
-        df = df.join(ids, ["shard_rank", column]).withColumn(column, F.col("new")).drop("new")
+        df = df.join(F.broadcast(ids) if dim in short else ids, ["shard_rank", column]).withColumn(column, F.col("new")).drop("new")
     return df
 
 

@@ -7,34 +7,34 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .audit import table_counts
-from .dims import merged_names, remapped
-from .merge import drop_false_empty, fill_zero_scores, first_wins, infer_season, merge_events, merge_season_state
+from .dims import merged_names, remapped, short_dims
+from .merge import drop_false_empty, fill_zero_scores, first_wins_of_few, infer_season, merge_events, merge_season_state
 
 EVENT_IDS = {"league_id": "leagues", "home_id": "teams", "away_id": "teams"}
 ODDS_IDS = {"market_id": "markets", "submarket_id": "submkts", "outcome_id": "outcomes", "bookmaker_id": "bookmakers"}
 
+TABLES = ("dims", "events", "odds", "state")
 
-def merge_shards(names: DataFrame, events: DataFrame, odds: DataFrame, state: DataFrame, odds_order: list) -> dict[str, DataFrame]:
+
+def merge_shards(names: DataFrame, events: DataFrame, odds: DataFrame, state: DataFrame, odds_order: list, tables: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     """M-12: names, events, odds and season states of ranked shards as one set: J-02, then M-03,
     M-02 and M-05, then the repairs M-08, M-09 and J-08.
 
     Each table has shard_rank; names are (dim, id, name) in the ids of the shard, and the other
     tables refer to them, states to leagues by name. Rows with an id that has no name are
-    dropped. Events are one shuffle by id, odds one by their key."""
+    dropped. Events are one shuffle by id; of odds, few of which share a key, only hashes are
+    exchanged. Of ``tables`` those that aren't named aren't worked out; dims are those of names."""
     dims, mapping = merged_names(stored(names, "names"))
     dims, mapping = stored(dims, "dims"), stored(mapping, "mapping")
-    merged = stored(fill_zero_scores(infer_season(merge_events(remapped(events, mapping, EVENT_IDS)), F.col("dt"))).drop("repaired"), "events")
-    leagues = dims.where("dim = 'leagues'").select(F.col("id").alias("league_id"), F.col("name").alias("league"))
-    seasons = merged.select("league_id", "season").distinct().join(leagues, "league_id")
-    odds_key = ["event_id", *ODDS_IDS]
-    # Odds are dealt by their key first: few rows share one, so sorting each task's rows before would drop none.
-    dealt = remapped(odds, mapping, ODDS_IDS).repartition(*odds_key)
-    return {
-        "dims": dims,
-        "events": merged,
-        "odds": first_wins(dealt, odds_key, ["shard_rank", *odds_order]).drop("shard_rank"),
-        "state": drop_false_empty(merge_season_state(state), seasons),
-    }
+    short, out = short_dims(mapping), {"dims": dims}
+    if "events" in tables or "state" in tables:
+        merged = stored(fill_zero_scores(infer_season(merge_events(remapped(events, mapping, EVENT_IDS, short)), F.col("dt"))).drop("repaired"), "events")
+        leagues = dims.where("dim = 'leagues'").select(F.col("id").alias("league_id"), F.col("name").alias("league"))
+        seasons = merged.select("league_id", "season").distinct().join(leagues, "league_id")
+        out |= {"events": merged, "state": drop_false_empty(merge_season_state(state), seasons)}
+    if "odds" in tables:
+        out["odds"] = first_wins_of_few(remapped(odds, mapping, ODDS_IDS, short), ["event_id", *ODDS_IDS], ["shard_rank", *odds_order]).drop("shard_rank")
+    return {t: out[t] for t in TABLES if t in out and t in ("dims", *tables)}
 
 
 def final_counts(merged: dict[str, DataFrame]) -> DataFrame:

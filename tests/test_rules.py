@@ -111,3 +111,32 @@ def test_odds_of_shards_are_not_sorted_before_they_are_dealt(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("WindowGroupLimit") < plan.index("Exchange hashpartitioning(event_id")
     assert sorted(r["odds_closing"] for r in got.collect()) == [0, 4] and got.select("bookmaker_id").distinct().count() == 2
+
+
+def test_the_first_of_few(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(900)]), rng.choice([None, "a", "b"]), k) for k in range(2_000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "x int, y string, k int").repartition(5)
+    want = sorted(map(repr, merge.first_wins(df, ["x", "y"], ["k"]).collect()))
+    few = merge.first_wins_of_few(df, ["x", "y"], ["k"])
+    assert sorted(map(repr, few.collect())) == want and len(want) < 1_990
+    monkeypatch.setattr(merge, "FEW", 3)
+    assert sorted(map(repr, merge.first_wins_of_few(df, ["x", "y"], ["k"]).collect())) == want
+    alone = spark.range(300).selectExpr("id", "id as k")
+    assert merge.first_wins_of_few(alone, ["id"], ["k"]).count() == 300
+
+
+def test_odds_that_share_no_key_are_not_exchanged(spark):
+    names = spark.createDataFrame([(s, d, s * 10, d) for s in (0, 1) for d in ("markets", "submkts", "outcomes", "bookmakers")], "shard_rank int, dim string, id int, name string")
+    odds = spark.range(3_000).selectExpr("cast(id % 2 as int) as shard_rank", "greatest(id, 3) as event_id", *(f"cast(id % 2 * 10 as int) as {c}_id" for c in ("market", "submarket", "outcome", "bookmaker")), "id as odds_closing")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too long for it
+    try:
+        got = shards.merge_shards(names, None, odds, None, ["odds_closing"], ("odds",))
+        assert set(got) == {"dims", "odds"}
+        rows = got["odds"].collect()
+        plan = got["odds"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r["odds_closing"] for r in rows) == [0, *range(4, 3_000)]
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(event_id") > 0
