@@ -95,10 +95,12 @@ def unstar(tables: dict[str, DataFrame]) -> DataFrame:
 
 def merged_names(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J-02 for all shards at once: of (shard_rank, dim, id, name) the merged dimensions (dim,
-    id, name) and the mapping (shard_rank, dim, old, new)."""
+    id, name) and the mapping (shard_rank, dim, old, new). An id that a shard has several names for
+    has the first of them."""
     merged = ranked(names.select("dim", "name").distinct(), ["dim", "name"], "id")
     new = merged.select("dim", "name", F.col("id").alias("new"))
-    return merged.select("dim", "id", "name"), names.join(new, ["dim", "name"]).select("shard_rank", "dim", F.col("id").alias("old"), "new")
+    mapping = names.join(new, ["dim", "name"]).groupBy("shard_rank", "dim", F.col("id").alias("old")).agg(F.min("new").alias("new"))
+    return merged.select("dim", "id", "name"), mapping
 
 
 def short_dims(rows: DataFrame) -> set[str]:
@@ -116,6 +118,20 @@ def remapped(df: DataFrame, mapping: DataFrame, columns: dict[str, str], short:
     return df
 
 
+def with_names(df: DataFrame, mapping: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The rows all of whose ids their shard has a name for, not remapped yet. Rows stay where
+    they are: their distinct ids are exchanged, and those without a name broadcast, unless they
+    are many."""
+    ids = F.array(*(F.struct(F.lit(dim).alias("dim"), F.col(c).alias("old")) for c, dim in columns.items()))
+    df = df.dropna(subset=["shard_rank", *columns])
+    lost = stored(df.select("shard_rank", F.inline(ids)).distinct().join(mapping, ["shard_rank", "dim", "old"], "left_anti"), "lost")
+    few = lost.count() <= FEW
+    for column, dim in columns.items():
+        mine = (lost if few else mapping).where(F.col("dim") == dim).select("shard_rank", F.col("old").alias(column))
+        df = df.join(F.broadcast(mine) if few else mine, ["shard_rank", column], "left_anti" if few else "left_semi")
+    return df
+
+
 def resolve_alias(rows: DataFrame, aliases: DataFrame, given: str = "given", sport: str = "sport") -> DataFrame:
     """P-19: path of a given name and whether it was rejected. aliases: (alias, sport, path).
     A known alias of another sport is rejected; an unknown name passes without outer slashes."""

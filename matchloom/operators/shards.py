@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .audit import table_counts
-from .dims import merged_names, remapped, short_dims
+from .dims import merged_names, remapped, short_dims, with_names
 from .merge import drop_false_empty, fill_zero_scores, first_wins_of_few, infer_season, merge_events, merge_season_state
 
 EVENT_IDS = {"league_id": "leagues", "home_id": "teams", "away_id": "teams"}
@@ -28,10 +28,15 @@ def merge_shards(names: DataFrame, events: DataFrame, odds: DataFrame, state: Da
     dims, mapping = stored(dims, "dims"), stored(mapping, "mapping")
     short, out = short_dims(mapping), {"dims": dims}
     if "events" in tables or "state" in tables:
-        merged = stored(fill_zero_scores(infer_season(merge_events(remapped(events, mapping, EVENT_IDS, short)), F.col("dt"))).drop("repaired"), "events")
+        # An event has the ids of its first row: those of long dimensions are remapped behind the fold, where
+        # there are fewer rows, and only for who reads them.
+        long = {c: dim for c, dim in EVENT_IDS.items() if dim not in short}
+        rows = remapped(events, mapping, {c: dim for c, dim in EVENT_IDS.items() if dim in short}, short)
+        rows = (with_names(rows, mapping, long) if long else rows).withColumn("__shard", F.col("shard_rank"))
+        folded = stored(fill_zero_scores(infer_season(merge_events(rows), F.col("dt"))).drop("repaired"), "events").withColumnRenamed("__shard", "shard_rank")
         leagues = dims.where("dim = 'leagues'").select(F.col("id").alias("league_id"), F.col("name").alias("league"))
-        seasons = merged.select("league_id", "season").distinct().join(leagues, "league_id")
-        out |= {"events": merged, "state": drop_false_empty(merge_season_state(state), seasons)}
+        seasons = remapped(folded.select("shard_rank", "league_id", "season").distinct(), mapping, {c: dim for c, dim in long.items() if c == "league_id"}, short)
+        out |= {"events": remapped(folded, mapping, long, short).drop("shard_rank"), "state": drop_false_empty(merge_season_state(state), seasons.drop("shard_rank").distinct().join(leagues, "league_id"))}
     if "odds" in tables:
         out["odds"] = first_wins_of_few(remapped(odds, mapping, ODDS_IDS, short), ["event_id", *ODDS_IDS], ["shard_rank", *odds_order]).drop("shard_rank")
     return {t: out[t] for t in TABLES if t in out and t in ("dims", *tables)}

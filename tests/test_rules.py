@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchloom.operators import audit, dims, matching, merge, planning, sequence, shards
 from matchloom.streaming import jobs
@@ -140,3 +141,49 @@ def test_odds_that_share_no_key_are_not_exchanged(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(r["odds_closing"] for r in rows) == [0, *range(4, 3_000)]
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(event_id") > 0
+
+
+def test_long_dimensions_are_remapped_behind_the_fold(spark, monkeypatch):
+    rng = random.Random(8)
+    maybe = lambda v: v if rng.random() < 0.6 else None
+    names = [(s, d, s * 100 + k, f"{d}{k}") for s in range(3) for d, n in (("leagues", 2), ("teams", 30)) for k in range(n) if d == "leagues" or (k + s) % 13]
+    some = lambda s, n: None if rng.random() < 0.03 else s * 100 + rng.randrange(n)
+    events = [(s, k, some(s, 2), some(s, 30), some(s, 30), maybe("2001"), maybe(k % 4), maybe(k % 3), maybe(f"s{s}"), "finished") for k in range(400) for s in range(3) if rng.random() < 0.7]
+    events = spark.createDataFrame(events, "shard_rank int, id int, league_id int, home_id int, away_id int, season string, score_home int, score_away int, sets_detail string, status string").selectExpr("*", "timestamp '2001-01-02' as dt")
+    names = spark.createDataFrame(names, "shard_rank int, dim string, id int, name string")
+    state = spark.createDataFrame([(0, "leagues1", "2001", 0, None), (1, "leagues0", "1999", 0, None)], "shard_rank int, league string, season string, n int, completed_at string")
+
+    def merged():
+        got = shards.merge_shards(names, events, None, state, [], ("events", "state"))
+        return sorted(map(repr, got["events"].select(sorted(got["events"].columns)).collect())), sorted(map(repr, got["state"].collect()))
+
+    mapping = dims.merged_names(names)[1]
+    want = merge.infer_season(merge.merge_events(dims.remapped(events, mapping, shards.EVENT_IDS, set())), F.col("dt"))
+    want = merge.fill_zero_scores(want).drop("repaired")
+    short = merged()
+    assert short[0] == sorted(map(repr, want.select(sorted(want.columns)).collect())) and 300 < len(short[0]) < 400
+    assert [r for r in short[1] if "1999" in r] and not [r for r in short[1] if "2001" in r]
+    for few in (60, 7, 1):  # the teams are long, the lost ids few; they are many; all is long
+        monkeypatch.setattr(dims, "FEW", few)
+        assert dims.short_dims(mapping) == ({"leagues"} if few > 6 else set())
+        assert merged() == short
+
+
+def test_rows_with_names_stay_where_they_are(spark):
+    mapping = spark.createDataFrame([(0, "teams", k, k) for k in range(1, 50)], "shard_rank int, dim string, old int, new int")
+    rows = spark.range(60).selectExpr("0 as shard_rank", "cast(id as int) as home_id", "if(id = 20, null, 3) as away_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too long for it
+    try:
+        got = dims.with_names(rows, mapping, {"home_id": "teams", "away_id": "teams"})
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["home_id"] for r in got.collect()) == [k for k in range(1, 50) if k != 20]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_an_id_with_two_names_has_the_first(spark):
+    names = spark.createDataFrame([(0, "teams", 5, "b"), (0, "teams", 5, "a"), (1, "teams", 5, "b")], "shard_rank int, dim string, id int, name string")
+    merged, mapping = dims.merged_names(names)
+    ids = {r["name"]: r["id"] for r in merged.collect()}
+    assert {(r["shard_rank"], r["old"], r["new"]) for r in mapping.collect()} == {(0, 5, ids["a"]), (1, 5, ids["b"])}
