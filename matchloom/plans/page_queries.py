@@ -142,9 +142,12 @@ def joined(rows, page: str, order: list[str], piece):
 
 def in_pieces(rows, page: str, order: list[str], piece):
     """(page_id, number, html): pages as those of ``joined``, of any length, in numbered pieces, one
-    for each row, in order. A page's values are sorted, not gathered, and its markup never is."""
+    for each row, in order. A page's values are sorted, not gathered, and its markup never is.
+    Partitions are as many as the session has for shuffles: by the size of the values, which their
+    markup is many times as long as, Spark would make few of them."""
     mine = Window.partitionBy("page_id").orderBy(*order)
-    values = rows.withColumnRenamed(page, "page_id").withColumns({"number": F.row_number().over(mine), "last": F.lead(F.lit(1)).over(mine).isNull()})
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = rows.withColumnRenamed(page, "page_id").repartition(parts, "page_id").withColumns({"number": F.row_number().over(mine), "last": F.lead(F.lit(1)).over(mine).isNull()})
     values = values.select("page_id", "number", "last", F.struct(*(c for c in rows.columns if c != page)).alias("row"))
     html = F.concat(F.when(F.col("number") == 1, _TOP).otherwise(""), F.coalesce(piece(F.col("row"), F.col("page_id")), F.lit("")), F.when(F.col("last"), _BOTTOM).otherwise("\n"))
     return values.select("page_id", "number", html.alias("html"))
